@@ -67,7 +67,7 @@ def dimension(df: DataFrame, name: str, dtype: str = "string") -> Column:
 def parse_date(col: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Parse text with the first format that fits; null when none does."""
     c = F.col(col) if isinstance(col, str) else col
-    tries = [F.try_to_date(c, F.lit(fmt)) for fmt in formats]
+    tries = [F.try_to_date(c, fmt) for fmt in formats]
     return tries[0] if len(tries) == 1 else F.coalesce(*tries)
 
 

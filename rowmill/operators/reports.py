@@ -4,10 +4,11 @@ Each report resolves its fields through the synonym lists, so it works on any
 table that has some of them; absent dimensions group as a typed null.  All are
 single ``groupBy`` aggregates with map-side partial aggregation.
 
-The median is ``percentile_approx`` with accuracy 10,000: a mergeable sketch of
-bounded size, so a group holding a third of all rows still aggregates in
-parallel and never buffers its values in one task; its rank error is below
-1/10,000 of the group size (exact for groups under 10,000 rows).
+The market-trends median is exact by default (SQL ``percentile_disc(0.5)``,
+computed as a distributed prefix sum, see :mod:`rowmill.operators.quantile`),
+so no group is ever buffered in one task.  ``median="approx"`` uses
+``percentile_approx`` instead: a mergeable sketch of bounded size, one pass,
+rank error below 1/accuracy of the group size.
 """
 
 from __future__ import annotations
@@ -19,20 +20,35 @@ from pyspark.sql import functions as F
 
 from rowmill.functions.columns import ACRES, BATH, BEDS_AGG, PRICE, SIZE_AGG, dimension, first_present, lot_bucket, year_of
 from rowmill.operators.aggregate import avg_of, sum_of
+from rowmill.operators.quantile import attach, percentile_disc
 
 MEDIAN_ACCURACY = 10_000
 
 
 
 
-def market_trends(df: DataFrame, scale: int | None = None, median_accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+def market_trends(df: DataFrame, scale: int | None = None, median: str = "exact",
+                  median_accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
     price, size = first_present(df, PRICE), first_present(df, SIZE_AGG)
-    return df.groupBy(dimension(df, "city"), dimension(df, "state")).agg(
-        avg_of(price, scale).alias("avg_price"),
-        F.percentile_approx(price, 0.5, median_accuracy).alias("median_price"),
+    dims = df.select(dimension(df, "city"), dimension(df, "state"), price.alias("__price"), size.alias("__size"))
+    p, s = F.col("__price"), F.col("__size")
+    if median == "approx":
+        return dims.groupBy("city", "state").agg(
+            avg_of(p, scale).alias("avg_price"),
+            F.percentile_approx(p, 0.5, median_accuracy).alias("median_price"),
+            F.count(F.lit(1)).alias("num_properties"),
+            avg_of(s, scale).alias("avg_house_size"),
+        )
+    if median != "exact":
+        raise ValueError("median must be 'exact' or 'approx'")
+    base = dims.groupBy("city", "state").agg(
+        avg_of(p, scale).alias("avg_price"),
         F.count(F.lit(1)).alias("num_properties"),
-        avg_of(size, scale).alias("avg_house_size"),
+        avg_of(s, scale).alias("avg_house_size"),
     )
+    med = percentile_disc(dims, ["city", "state"], p, 0.5, alias="median_price")
+    out = attach(base, med, ["city", "state"], ["median_price"])
+    return out.select("city", "state", "avg_price", "median_price", "num_properties", "avg_house_size")
 
 
 def property_type_size(df: DataFrame, scale: int | None = None) -> DataFrame:

@@ -34,6 +34,13 @@ _CONFS = (
 )
 
 
+def _conf(spark: SparkSession, key: str) -> str:
+    try:
+        return str(spark.conf.get(key))
+    except Exception:  # noqa: BLE001 - unset keys without a default
+        return ""
+
+
 def timed(df: DataFrame) -> tuple[float, int]:
     """Run ``df`` to completion through the noop sink; (seconds, rows out)."""
     obs = Observation()
@@ -58,7 +65,7 @@ def measure(
     rule_set: str = "preset_basic",
 ) -> DataFrame:
     """One row per (size, stage); size ``<= 0`` means the whole input ("all")."""
-    conf = {name: str(spark.conf.get(key, "")) for name, key in _CONFS}
+    conf = {name: _conf(spark, key) for name, key in _CONFS}
     keys = list(keys) if keys else detect_keys(df, required=False)
     records: list[tuple] = []
     for size in sizes:
