@@ -110,8 +110,14 @@ def dedup(
     if keys is None:
         return df
     cols = df.columns
-    part = _key_columns(keys, match_on)
     src = df
+    if match_on is not None:
+        # materialise the normalised keys once: as window partition expressions they
+        # would be re-evaluated by every sort comparison (regexes, O(n log n) times)
+        src = src.select("*", *[k.alias(f"__rowmill_k{i}") for i, k in enumerate(_key_columns(keys, match_on))])
+        part = [F.col(f"__rowmill_k{i}") for i in range(len(keys))]
+    else:
+        part = [F.col(k) for k in keys]
     if null_keys == "drop":
         src = src.filter(_all_not_null(keys))
     elif null_keys == "keep":

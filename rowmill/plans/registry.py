@@ -35,6 +35,7 @@ from rowmill.plans.throughput import measure
 from rowmill.sinks.scratch import shared_dir
 from rowmill.sinks.writers import write_split, write_table
 from rowmill.sources.files import read_csv, read_table
+from rowmill.streaming.split import annotate_stream, split_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -752,3 +753,23 @@ _E2E = (
 )
 def pipeline_end_to_end(spark, sf):
     return summary_by_segment(listings_dirty(spark, sf), PipelineOptions(keys=ADDRESS, scale=SCALE))
+
+
+# ---------------------------------------------------------------- streaming (row-wise operators on a stream)
+@register(
+    "stream_split",
+    O.listings_query(
+        f"select * exclude (segment, validation_errors, is_valid), segment, validation_errors, is_valid "
+        f"from ({O.annotated_sql(source='routed')}) v",
+        extra_ctes=_ROUTED,
+    ),
+)
+def stream_split(spark, sf):
+    src = shared_dir(spark, "stream-source")
+    base = listings(spark, sf)
+    base.write.mode("overwrite").parquet(src)
+    out = shared_dir(spark, "stream-out")
+    q = split_stream(annotate_stream(spark, src, base.schema, max_files_per_trigger=2), out)
+    q.awaitTermination()
+    back = spark.read.parquet(f"{out}/valid").unionByName(spark.read.parquet(f"{out}/invalid"))
+    return _errors_as_text(back.drop("batch"))
