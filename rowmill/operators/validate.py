@@ -34,6 +34,7 @@ class ValidationSpec:
     zip_numeric: bool = False
     nonneg: Sequence[str] = ("price", "house_size", "acre_lot")
     integers: Sequence[str] = ("bed", "bath")
+    numeric: Sequence[str] = ()  # text that must parse as a number: reported, not silently nulled
     extra: Sequence[tuple[str, str]] = field(default_factory=tuple)  # (error text, SQL condition)
 
 
@@ -77,6 +78,11 @@ def error_columns(df: DataFrame, spec: ValidationSpec) -> list[Column]:
                 cond = (c.try_cast("double") % F.lit(1.0)) != F.lit(0.0)
             errs.append(_flag(cond, f"not_integer:{col}"))
 
+    for col in spec.numeric:
+        if col in df.columns:
+            c = F.col(col)
+            errs.append(_flag(c.isNotNull() & c.try_cast("double").isNull(), f"not_numeric:{col}"))
+
     zc = spec.zip_column
     if zc and zc in df.columns and (spec.zip_length is not None or spec.zip_numeric):
         z = F.col(zc).cast("string")

@@ -73,6 +73,7 @@ def errors_sql(
     zip_numeric: bool = False,
     nonneg: Sequence[str] = ("price", "house_size", "acre_lot"),
     integers: Sequence[str] = ("bed", "bath"),
+    numeric: Sequence[str] = (),
     present: Sequence[str] = LISTING_COLUMNS,
     strings: Sequence[str] = LISTING_STRINGS,
 ) -> str:
@@ -98,6 +99,9 @@ def errors_sql(
                 parts.append(f"case when regexp_replace({c}, '[0-9]', '', 'g') <> '' then 'not_integer:{c}' end")
             else:
                 parts.append(f"case when cast({c} as double) % 1 <> 0 then 'not_integer:{c}' end")
+    for c in numeric:
+        if c in present:
+            parts.append(f"case when {c} is not null and try_cast({c} as double) is null then 'not_numeric:{c}' end")
     if zip_column and zip_column in present and (zip_length is not None or zip_numeric):
         z = f"cast({zip_column} as string)"
         if zip_numeric:

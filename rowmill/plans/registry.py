@@ -613,6 +613,11 @@ def validate_zip(spark, sf):
     return _validated(spark, sf, **{**_NONE, "zip_column": "zip_code", "zip_length": 5, "zip_numeric": True})
 
 
+@register("validate_coercion", _vq(numeric=("zip_code", "street", "price", "county")))
+def validate_coercion(spark, sf):
+    return _validated(spark, sf, **{**_NONE, "numeric": ("zip_code", "street", "price", "county")})
+
+
 _FULL = dict(max_value=2000000.0, zip_numeric=True)
 
 

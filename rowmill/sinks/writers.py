@@ -76,3 +76,8 @@ def write_named(
 ) -> dict[str, dict[str, str]]:
     """One sub-folder per named frame (reports)."""
     return {name: write_table(df, f"{root.rstrip('/')}/{name}", formats, coalesce) for name, df in frames.items()}
+
+
+def write_report(report: DataFrame, root: str, formats: Sequence[str] = ("json", "csv")) -> dict[str, str]:
+    """A small report table (quality checks, throughput records) as one JSON and one CSV file."""
+    return write_table(report, root, formats=formats, coalesce=1)

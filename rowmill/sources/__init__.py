@@ -1,5 +1,5 @@
 """Table sources: CSV and Parquet scans, glob resolution, upstream fallback."""
 
-from rowmill.sources.files import first_existing, read_csv, read_parquet, read_table, resolve_paths
+from rowmill.sources.files import first_existing, read_csv, read_parquet, read_table, resolve_paths, upstream_input
 
-__all__ = ["first_existing", "read_csv", "read_parquet", "read_table", "resolve_paths"]
+__all__ = ["first_existing", "read_csv", "read_parquet", "read_table", "resolve_paths", "upstream_input"]

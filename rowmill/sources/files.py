@@ -97,3 +97,16 @@ def read_table(
     if format == "csv":
         return read_csv(spark, paths, **csv_options)
     return spark.read.format(format).load(paths)
+
+
+# --- Fixed values: stage hand-off folders under a project root, newest stage first.
+UPSTREAM = {
+    "route": ("processed/cleanse_dedup/parquet", "raw/usa-real-estate/*.csv"),
+    "aggregate": ("processed/routed/parquet", "processed/cleanse_dedup/parquet", "raw/usa-real-estate/*.csv"),
+}
+
+
+def upstream_input(root: str, stage: str = "aggregate") -> str:
+    """The newest existing hand-off for ``stage`` under ``root`` (routed -> dedup -> raw CSV)."""
+    chain = UPSTREAM.get(stage, UPSTREAM["aggregate"])
+    return first_existing([f"{root.rstrip('/')}/{rel}" for rel in chain])

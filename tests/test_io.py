@@ -82,3 +82,29 @@ def test_publish_tables(spark, sample, tmp_path, capsys):
     assert spark.table("t_routed").count() == 10
     publish_tables(spark, root, ["routed"], location=str(tmp_path / "tables"), prefix="t_")
     assert spark.table("t_routed").count() == 10
+
+
+def test_upstream_fallback(tmp_path, sample_csv):
+    from rowmill.sources import upstream_input
+    raw = tmp_path / "raw" / "usa-real-estate"
+    raw.mkdir(parents=True)
+    (raw / "a.csv").write_text(open(sample_csv).read())
+    assert upstream_input(str(tmp_path)).endswith("raw/usa-real-estate/*.csv")
+    (tmp_path / "processed" / "cleanse_dedup" / "parquet").mkdir(parents=True)
+    assert upstream_input(str(tmp_path)).endswith("processed/cleanse_dedup/parquet")
+    (tmp_path / "processed" / "routed" / "parquet").mkdir(parents=True)
+    assert upstream_input(str(tmp_path)).endswith("processed/routed/parquet")
+    assert upstream_input(str(tmp_path), "route").endswith("processed/cleanse_dedup/parquet")
+    with pytest.raises(FileNotFoundError):
+        upstream_input(str(tmp_path / "empty"))
+
+
+def test_report_sinks(spark, sample, tmp_path):
+    from rowmill.operators import quality_report
+    from rowmill.plans.throughput import measure
+    from rowmill.sinks import write_report
+    q = write_report(quality_report(sample), str(tmp_path / "quality"))
+    assert len(glob.glob(q["json"] + "/*.json")) == 1
+    assert spark.read.json(q["json"]).count() == 11
+    t = write_report(measure(spark, sample, keys=["street"]), str(tmp_path / "metrics"))
+    assert spark.read.option("header", "true").csv(t["csv"]).count() == 4

@@ -94,3 +94,9 @@ def test_quality_is_one_scan_one_shuffle(sample):
 def test_parse_thresholds():
     assert parse_thresholds("price:0, house_size:10,junk") == {"price": 0.0, "house_size": 10.0}
     assert parse_thresholds("") == {}
+
+
+def test_coercion_rule_reports_unparsable_text(spark):
+    df = spark.createDataFrame([("12",), ("12a",), (None,), (" 7 ",)], "p string")
+    spec = ValidationSpec(required=(), range_column=None, zip_column=None, nonneg=(), integers=(), numeric=("p",))
+    assert [r[0] for r in annotate(df, spec).select("validation_errors").collect()] == [[], ["not_numeric:p"], [], []]
