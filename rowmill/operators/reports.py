@@ -123,11 +123,90 @@ def run_report(df: DataFrame, name: str, scale: int | None = None) -> DataFrame:
     return REPORTS[name](df, scale=scale)
 
 
-def run_reports(df: DataFrame, names: Iterable[str] | None = None, scale: int | None = None) -> dict[str, DataFrame]:
+def run_reports(df: DataFrame, names: Iterable[str] | None = None, scale: int | None = None,
+                one_pass: bool = False, materialize_to: str | None = None) -> dict[str, DataFrame]:
     """Lazy plans for the chosen reports (all by default).
 
-    Each report prunes the scan to the 2-4 columns it needs, so re-reading a
-    columnar source per report is cheaper than caching the whole input; cache
-    the input yourself only when it is an expensive derived frame.
+    By default each report is its own plan and prunes the scan to the 2-4
+    columns it needs.  ``one_pass=True`` computes them together from one scan
+    and one shuffle (see :func:`reports_one_pass`): on storage where scans
+    dominate it reads each column once instead of once per report.
     """
+    for n in names or ():
+        if n not in REPORTS:
+            raise ValueError(f"unknown report {n!r}; known: {sorted(REPORTS)}")
+    if one_pass:
+        return reports_one_pass(df, names, scale, materialize_to)
     return {n: run_report(df, n, scale) for n in (names or REPORTS)}
+
+
+# --- one pass for all reports ------------------------------------------------------------
+
+_DIMS = ("city", "state", "bed", "bath", "lot_bucket", "brokered_by", "status", "year")
+_SETS = {
+    "market_trends": ("city", "state"),
+    "property_type_size": ("bed", "bath"),
+    "lot_size_influence": ("lot_bucket",),
+    "broker_performance": ("brokered_by",),
+    "status_analysis": ("status",),
+    "time_yearly": ("year",),
+}
+_OUTPUT = {
+    "market_trends": ("city", "state", "avg_price", "median_price", "num_properties", "avg_house_size"),
+    "property_type_size": ("bed", "bath", "avg_price", "min_price", "max_price", "num_properties"),
+    "lot_size_influence": ("lot_bucket", "avg_price", "avg_house_size"),
+    "broker_performance": ("brokered_by", "num_listings", "avg_price", "total_listing_value"),
+    "status_analysis": ("status", "count", "avg_price", "avg_house_size"),
+    "time_yearly": ("year", "avg_price", "num_transactions"),
+}
+
+
+def _gid(dims: tuple[str, ...]) -> int:
+    n = len(_DIMS)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(_DIMS) if c not in dims)
+
+
+def reports_one_pass(df: DataFrame, names: Iterable[str] | None = None, scale: int | None = None,
+                     materialize_to: str | None = None) -> dict[str, DataFrame]:
+    """All chosen reports from one scan and one shuffle (``GROUPING SETS``).
+
+    Each input row is expanded once per report and partially aggregated before
+    the shuffle.  The combined result -- one row per report group -- is written
+    to ``materialize_to`` (a shared folder) when given, so the per-report frames
+    read it instead of recomputing the aggregate; the market-trends median
+    still needs its own distributed pass over (city, state, price).
+    """
+    names = list(names or REPORTS)
+    price, size = first_present(df, PRICE), first_present(df, SIZE_AGG)
+    dims = df.select(
+        dimension(df, "city"), dimension(df, "state"),
+        first_present(df, BEDS_AGG, "int").alias("bed"), first_present(df, BATH, "int").alias("bath"),
+        lot_bucket(first_present(df, ACRES)).alias("lot_bucket"),
+        dimension(df, "brokered_by"), dimension(df, "status"),
+        year_of(df, "prev_sold_date").alias("year"),
+        price.alias("__price"), size.alias("__size"),
+    )
+    p, s = F.col("__price"), F.col("__size")
+    sets = [list(_SETS[n]) for n in names]
+    combined = dims.groupingSets(sets, *_DIMS).agg(
+        F.grouping_id().alias("__gid"),
+        F.count(F.lit(1)).alias("__rows"),
+        avg_of(p, scale).alias("avg_price"),
+        F.min(p).alias("min_price"),
+        F.max(p).alias("max_price"),
+        sum_of(p, scale).alias("total_listing_value"),
+        avg_of(s, scale).alias("avg_house_size"),
+    )
+    if materialize_to:
+        combined.write.mode("overwrite").parquet(materialize_to)
+        combined = df.sparkSession.read.parquet(materialize_to)
+    out: dict[str, DataFrame] = {}
+    for name in names:
+        part = combined.filter(F.col("__gid") == F.lit(_gid(_SETS[name])))
+        part = part.withColumns({"num_properties": F.col("__rows"), "num_listings": F.col("__rows"),
+                                 "count": F.col("__rows"), "num_transactions": F.col("__rows")})
+        if name == "market_trends":
+            med = percentile_disc(dims, ["city", "state"], p, 0.5, alias="median_price")
+            part = attach(part, med, ["city", "state"], ["median_price"])
+        out[name] = part.select(*_OUTPUT[name])
+    return out

@@ -9,7 +9,6 @@ it too.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -29,13 +28,10 @@ def _configured(spark: SparkSession) -> str | None:
 
 
 def shared_dir(spark: SparkSession, name: str = "scratch") -> str:
-    """A fresh, unique sub-folder of the shared checkpoint folder."""
+    """A fresh, unique path under the shared checkpoint folder (not yet created)."""
     root = _configured(spark)
     if not root:
         root = tempfile.mkdtemp(prefix="rowmill-checkpoint-")
         spark.conf.set(_CONF, root)
         spark.sparkContext.setCheckpointDir(root)
-    path = f"{root.rstrip('/')}/rowmill/{name}-{uuid.uuid4().hex}"
-    if "://" not in path or path.startswith("file://"):
-        os.makedirs(path.replace("file://", ""), exist_ok=True)
-    return path
+    return f"{root.rstrip('/')}/rowmill/{name}-{uuid.uuid4().hex}"

@@ -96,3 +96,18 @@ def test_percentile_disc_matches_brute_force_with_hot_group(spark):
     for g in got:
         vals = sorted(v for k, v in data if k == g)
         assert got[g] == vals[(len(vals) + 1) // 2 - 1]
+
+
+def test_one_pass_reports_equal_separate_plans(sample, spark):
+    from rowmill.sinks import shared_dir
+    df = sample.union(sample.limit(3).selectExpr("street", "city", "state", "zip_code", "null as brokered_by",
+                                                 "status", "price + 1", "bed", "bath", "acre_lot", "house_size",
+                                                 "null as prev_sold_date"))
+    sep = run_reports(df, scale=2)
+    one = run_reports(df, scale=2, one_pass=True, materialize_to=shared_dir(spark, "reports"))
+    assert set(sep) == set(one)
+    for name in sep:
+        assert sep[name].columns == one[name].columns
+        assert rows(sep[name]) == rows(one[name]), name
+    with pytest.raises(ValueError):
+        run_reports(df, ["nope"])
