@@ -55,21 +55,32 @@ def detect_keys(df: DataFrame, required: bool = True) -> list[str]:
     return []
 
 
-def _order_exprs(df: DataFrame, keys: Sequence[str], order_by, keys_vary: bool = False) -> list[Column]:
-    """Plain (unsorted) ordering expressions; ascending with nulls first is applied later.
+def _order_exprs(df: DataFrame, keys: Sequence[str], order_by, keys_vary: bool = False) -> list[tuple[Column, bool]]:
+    """``(expression, descending)`` pairs.
 
-    The default is every non-key column; when keys are matched after a
-    normalisation their original values differ inside a group, so they follow
-    as the last tie-breakers.
+    The default is every non-key column ascending; when keys are matched after
+    a normalisation their original values differ inside a group, so they follow
+    as the last tie-breakers.  A name prefixed with ``-`` sorts descending.
     """
     if order_by is None:
         rest = [c for c in df.columns if c not in set(keys)]
         if keys_vary:
             rest += list(keys)
-        return [F.col(c) for c in rest] or [F.lit(1)]
+        return [(F.col(c), False) for c in rest] or [(F.lit(1), False)]
     if order_by == "physical":
-        return [F.monotonically_increasing_id()]
-    return [F.col(c) if isinstance(c, str) else c for c in order_by]
+        return [(F.monotonically_increasing_id(), False)]
+    out = []
+    for c in order_by:
+        if isinstance(c, str) and c.startswith("-"):
+            out.append((F.col(c[1:]), True))
+        else:
+            out.append((F.col(c) if isinstance(c, str) else c, False))
+    return out
+
+
+def _sorted(pairs: list[tuple[Column, bool]]) -> list[Column]:
+    """Ascending with nulls first; descending with nulls last (the mirror order)."""
+    return [c.desc_nulls_last() if desc else c.asc_nulls_first() for c, desc in pairs]
 
 
 def _key_columns(keys: Sequence[str], match_on: Callable[[Column], Column] | None) -> list[Column]:
@@ -99,8 +110,9 @@ def dedup(
 ) -> DataFrame:
     """One row per key, chosen by ``order_by`` (first row wins).
 
-    ``order_by`` lists ascending expressions (nulls first); ``None`` means every
-    non-key column.  ``null_keys``: ``drop`` rows with a null key (as an inner self-join does),
+    ``order_by`` lists names or expressions, ascending with nulls first; a name
+    written ``"-col"`` sorts descending with nulls last (keep the latest row).
+    ``None`` means every non-key column.  ``null_keys``: ``drop`` rows with a null key (as an inner self-join does),
     ``group`` nulls together as one key value, or ``keep`` every such row.
     ``match_on`` compares keys after a normalisation (e.g. :func:`clean_text`)
     while the output keeps the original values.  ``order_by='physical'`` keeps
@@ -124,7 +136,7 @@ def dedup(
         # each row with a null key becomes its own group: kept, and spread over all partitions
         src = src.withColumn(_NULLSEP, F.when(~_all_not_null(keys), F.monotonically_increasing_id()))
         part = part + [F.col(_NULLSEP)]
-    w = Window.partitionBy(*part).orderBy(*[o.asc_nulls_first() for o in _order_exprs(df, keys, order_by, match_on is not None)])
+    w = Window.partitionBy(*part).orderBy(*_sorted(_order_exprs(df, keys, order_by, match_on is not None)))
     return src.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).select(*cols)
 
 
@@ -157,10 +169,12 @@ def dedup_by_join(
     cols = df.columns
     with_id = df.withColumn(_RID, F.monotonically_increasing_id())
     order = _order_exprs(df, keys, order_by)
+    if any(desc for _, desc in order):
+        raise ValueError("dedup_by_join orders ascending only; use dedup() for descending keys")
     # min() over a struct compares its fields left to right, ascending, nulls first:
     # the same winner as the window form, with the row id separating identical rows.
     winners = with_id.groupBy(*keys).agg(
-        F.min(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.col(_RID).alias("rid")))
+        F.min(F.struct(*[o.alias(f"o{i}") for i, (o, _) in enumerate(order)], F.col(_RID).alias("rid")))
         .getField("rid").alias(_RID)
     )
     left, right = with_id.alias("l"), winners.alias("r")

@@ -181,7 +181,11 @@ def quality_sql(
         rows.append(row(k, f"unique_keys:{','.join(unique_keys)}",
                         "case when dup_groups = 0 then 'pass' else 'fail' end", dup="dup_groups",
                         tname="duplicates", tval=0.0))
-    return listings_query("\nunion all\n".join(rows), extra_ctes=f"s as (select {', '.join(aggs)} from {source})")
+    stats = f"s as (select {', '.join(aggs)} from {source})"
+    body = "\nunion all\n".join(rows)
+    if source.startswith("listings"):
+        return listings_query(body, dirty=source == "listings_dirty", extra_ctes=stats)
+    return f"with {stats}\n{body}"
 
 
 def listings_query(sql: str, dirty: bool = False, extra_ctes: str = "") -> str:

@@ -778,3 +778,118 @@ def stream_split(spark, sf):
     q.awaitTermination()
     back = spark.read.parquet(f"{out}/valid").unionByName(spark.read.parquet(f"{out}/invalid"))
     return _errors_as_text(back.drop("batch"))
+
+
+# ---------------------------------------------------------------- the same operators on other tables
+@register(
+    "dedup_events_latest",
+    "select event_id, ts, user_id, event_type, value, props from (select *, row_number() over (partition by "
+    "user_id, event_type order by ts desc nulls last, event_id asc nulls first) as rn from events "
+    "where user_id is not null and event_type is not null) e where rn = 1",
+)
+def dedup_events_latest(spark, sf):
+    return dedup(table(spark, sf, "events"), ["user_id", "event_type"], order_by=["-ts", "event_id"])
+
+
+@register(
+    "agg_events",
+    f"select event_type, {O.dsum('value')} as value_sum, {O.davg('value')} as value_avg, min(value) as value_min, "
+    "max(value) as value_max, count(value) as value_count from events group by event_type",
+)
+def agg_events(spark, sf):
+    return aggregate(table(spark, sf, "events"), ["event_type"],
+                     "value:sum,value:avg,value:min,value:max,value:count", scale=SCALE)
+
+
+EVENT_RULES = (
+    Rule("high_value_purchase", "event_type = 'purchase' and value > 100"),
+    Rule("failure", "event_type = 'error'"),
+    Rule("engaged", "event_type in ('click', 'view') and value >= 50"),
+)
+
+
+@register(
+    "route_events",
+    "select event_id, event_type, value, case when event_type = 'purchase' and value > 100 then 'high_value_purchase' "
+    "when event_type = 'error' then 'failure' when event_type in ('click', 'view') and value >= 50 then 'engaged' "
+    "else 'other' end as event_class from events",
+)
+def route_events(spark, sf):
+    e = table(spark, sf, "events").select("event_id", "event_type", "value")
+    return route(e, EVENT_RULES, default="other", column="event_class")
+
+
+_ORDERS_Q = dict(
+    required=("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"),
+    unique_keys=("o_orderkey",),
+    minimum={"o_totalprice": 0.0},
+    maximum={"o_totalprice": 450000.0},
+    max_null_fraction={"o_orderpriority": 0.0},
+)
+_ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+@register("quality_orders", O.quality_sql(source="orders", present=_ORDER_COLS, **_ORDERS_Q))
+def quality_orders(spark, sf):
+    return quality_report(table(spark, sf, "orders"), QualitySpec(**_ORDERS_Q))
+
+
+_CUSTOMER_V = dict(
+    required=("c_name", "c_mktsegment", "c_phone"),
+    range_column="c_acctbal", min_value=0.0, max_value=9000.0,
+    zip_column=None, nonneg=("c_acctbal",), integers=("c_nationkey", "c_name"), numeric=("c_mktsegment",),
+)
+_CUSTOMER_COLS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@register(
+    "validate_customer",
+    O.annotated_sql(source="customer", present=_CUSTOMER_COLS, strings=("c_name", "c_mktsegment"), **_CUSTOMER_V),
+)
+def validate_customer(spark, sf):
+    return _errors_as_text(annotate(table(spark, sf, "customer"), ValidationSpec(**_CUSTOMER_V)))
+
+
+_ORDER_TYPES = ("bigint", "bigint", "string", "double", "timestamp_ntz", "string")
+
+
+@register(
+    "profile_orders",
+    " union all ".join(
+        f"select {i} as position, '{c}' as \"column\", '{t}' as type, count(*) as rows, "
+        f"count(*) filter (where {c} is null) as nulls from orders"
+        for i, (c, t) in enumerate(zip(_ORDER_COLS, _ORDER_TYPES))
+    ),
+)
+def profile_orders(spark, sf):
+    return profile(table(spark, sf, "orders"))
+
+
+@register(
+    "clean_conversations",
+    "select conv_id, turn, {r} as role, {t} as text from conversations".format(
+        r=r"regexp_replace(trim(regexp_replace(lower(trim(role)), '\s+', ' ', 'g')), '[^\p{L}\p{N}_\s]', '', 'g')",
+        t=r"regexp_replace(trim(regexp_replace(lower(trim(text)), '\s+', ' ', 'g')), '[^\p{L}\p{N}_\s]', '', 'g')",
+    ),
+)
+def clean_conversations(spark, sf):
+    return normalize_strings(table(spark, sf, "conversations"), trim=True, lowercase=True, normalize_spaces=True,
+                             strip_punct=True, unicode=True)
+
+
+@register(
+    "duplicate_groups_lineitem",
+    "select l_orderkey, l_linenumber, count(*) as count from lineitem group by l_orderkey, l_linenumber "
+    "having count(*) > 1",
+)
+def duplicate_groups_lineitem(spark, sf):
+    return duplicate_groups(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+_LI_Q = dict(required=("l_orderkey", "l_returnflag"), unique_keys=("l_orderkey", "l_linenumber"),
+             minimum={"l_quantity": 1.0, "l_discount": 0.0}, maximum={"l_discount": 0.1}, max_null_fraction={})
+
+
+@register("quality_lineitem", O.quality_sql(source="lineitem", present=O.LINEITEM_NO_TS, **_LI_Q))
+def quality_lineitem(spark, sf):
+    return quality_report(table(spark, sf, "lineitem"), QualitySpec(**_LI_Q))

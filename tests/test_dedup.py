@@ -75,3 +75,14 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     out = dedup(df, ["k"])
     assert out.filter("k = 0").collect()[0]["v"] == 0
     assert out.count() == df.selectExpr("k").distinct().count()
+
+
+def test_descending_order_keeps_latest(spark):
+    import datetime as dt
+    df = spark.createDataFrame(
+        [(1, "u", dt.datetime(2024, 1, 1)), (2, "u", dt.datetime(2024, 1, 3)), (3, "u", None), (4, "v", None)],
+        "id int, user string, ts timestamp",
+    )
+    assert rows(dedup(df, ["user"], order_by=["-ts", "id"]).select("user", "id")) == [("u", 2), ("v", 4)]
+    with pytest.raises(ValueError):
+        dedup_by_join(df, ["user"], order_by=["-ts"])
