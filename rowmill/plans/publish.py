@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,12 +25,14 @@ def publish_tables(
     known: Mapping[str, str] = DEFAULT_TABLES,
     location: str | None = None,
     prefix: str = "",
+    buckets: Mapping[str, tuple[int, Sequence[str]]] | None = None,
 ) -> list[str]:
     """Create or replace one table per name from ``root/<relative path>``.
 
     Unknown names are skipped with a message; all known tables when ``tables``
     is None.  With ``location`` the tables are external, stored under it.
-    Returns the names of the tables written.
+    ``buckets`` maps a name to ``(number of buckets, columns)``: see
+    :func:`save_table`.  Returns the names of the tables written.
     """
     written: list[str] = []
     for name in (list(tables) if tables is not None else list(known)):
@@ -38,13 +40,25 @@ def publish_tables(
             print(f"skipping unknown table {name!r}; known: {sorted(known)}")
             continue
         df = spark.read.parquet(f"{root.rstrip('/')}/{known[name]}")
-        written.append(save_table(df, prefix + name, None if location is None else f"{location.rstrip('/')}/{name}"))
+        bucket = (buckets or {}).get(name)
+        written.append(save_table(df, prefix + name, None if location is None else f"{location.rstrip('/')}/{name}",
+                                  bucket_by=bucket))
     return written
 
 
-def save_table(df: DataFrame, name: str, location: str | None = None) -> str:
+def save_table(df: DataFrame, name: str, location: str | None = None,
+               bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
+    """``saveAsTable`` in overwrite mode, optionally bucketed and sorted by key columns.
+
+    A table bucketed by the keys that later dedups, uniqueness checks or joins
+    use is already hash-partitioned on them: those plans read it without an
+    exchange, so the shuffle is paid once at write time instead of per query.
+    """
     writer = df.write.mode("overwrite").format("parquet")
     if location:
         writer = writer.option("path", location)
+    if bucket_by:
+        n, cols = bucket_by
+        writer = writer.bucketBy(int(n), *cols).sortBy(*cols)
     writer.saveAsTable(name)
     return name

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from rowmill.operators import dedup, quality_report
+from rowmill.operators import QualitySpec, dedup, quality_report
 from rowmill.operators.reports import REPORTS
 from rowmill.streaming.split import _write_batch
 
@@ -59,3 +59,15 @@ def test_streaming_batch_replay_is_idempotent(spark, sample, tmp_path):
     write(batch, 7)
     write(batch, 7)  # a replay of the same batch after a failure replaces its output
     assert spark.read.parquet(f"{root}/valid").count() == sample.count()
+
+
+def test_bucketed_table_dedups_without_exchange(spark, sample, tmp_path):
+    from rowmill.plans.publish import save_table
+    keys = ["city", "state"]
+    save_table(sample, "bucketed_listings", str(tmp_path / "bucketed"), bucket_by=(4, keys))
+    t = spark.table("bucketed_listings")
+    plan = dedup(t, keys)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert dedup(t, keys).count() == 10
+    q = quality_report(t, QualitySpec(unique_keys=keys))
+    assert "Exchange hashpartitioning" not in q._jdf.queryExecution().executedPlan().toString()
