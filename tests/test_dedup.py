@@ -86,3 +86,8 @@ def test_descending_order_keeps_latest(spark):
     assert rows(dedup(df, ["user"], order_by=["-ts", "id"]).select("user", "id")) == [("u", 2), ("v", 4)]
     with pytest.raises(ValueError):
         dedup_by_join(df, ["user"], order_by=["-ts"])
+
+
+def test_physical_order_keeps_first_scanned_row(spark):
+    df = spark.createDataFrame([("a", 3), ("a", 1), ("b", 2), ("a", 2)], "k string, v int").coalesce(1)
+    assert rows(dedup(df, ["k"], order_by="physical")) == [("a", 3), ("b", 2)]

@@ -65,3 +65,11 @@ def test_string_rewrites_keep_types_and_order(spark):
     assert out.columns == ["a", "n", "b"] and tuple(out.first()) == ("A", 1, "B")
     only_b = normalize_strings(df, lowercase=True, columns=["b"])
     assert tuple(only_b.first()) == (" A ", 1, " b ")
+
+
+def test_year_of_timestamps(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2019, 12, 31, 23, 59),)], "prev_sold_date timestamp_ntz")
+    assert df.select(year_of(df)).first()[0] == 2019
+    d = spark.createDataFrame([(dt.date(2020, 2, 29),)], "prev_sold_date date")
+    assert d.select(year_of(d)).first()[0] == 2020

@@ -111,3 +111,10 @@ def test_one_pass_reports_equal_separate_plans(sample, spark):
         assert rows(sep[name]) == rows(one[name]), name
     with pytest.raises(ValueError):
         run_reports(df, ["nope"])
+
+
+def test_report_registry(sample):
+    from rowmill.operators.reports import run_report
+    assert run_report(sample, "status_analysis").count() == 2
+    with pytest.raises(ValueError):
+        run_report(sample, "no_such_report")
