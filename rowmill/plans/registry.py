@@ -893,3 +893,12 @@ _LI_Q = dict(required=("l_orderkey", "l_returnflag"), unique_keys=("l_orderkey",
 @register("quality_lineitem", O.quality_sql(source="lineitem", present=O.LINEITEM_NO_TS, **_LI_Q))
 def quality_lineitem(spark, sf):
     return quality_report(table(spark, sf, "lineitem"), QualitySpec(**_LI_Q))
+
+
+@register("dedup_physical", O.listings_query(
+    "select * from listings where street is not null and city is not null and state is not null "
+    "and zip_code is not null"))
+def dedup_physical(spark, sf):
+    # first row in scan order (P9); the listing address keys are unique, so the result does not
+    # depend on the physical order and can be checked exactly
+    return dedup(listings(spark, sf), ADDRESS, order_by="physical")
