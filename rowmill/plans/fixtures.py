@@ -24,7 +24,7 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-LISTINGS_SQL = """
+LISTINGS_TEMPLATE = """
 select cast(l_orderkey as string)||'-'||cast(l_linenumber as string) as street,
   n_name as city, r_name as state,
   case when l_orderkey%89=0 then cast(l_partkey as string)||'a'
@@ -37,19 +37,24 @@ select cast(l_orderkey as string)||'-'||cast(l_linenumber as string) as street,
   cast(l_linenumber as double)/case when l_orderkey%83=0 then 2 else 1 end as bath,
   case when l_orderkey%71=0 then null else l_discount*20 end as acre_lot,
   l_quantity*80 as house_size, cast(l_shipdate as date) as prev_sold_date
-from lineitem join part on l_partkey=p_partkey join supplier on l_suppkey=s_suppkey
-  join nation on s_nationkey=n_nationkey join region on n_regionkey=r_regionkey
+from {lineitem} join {part} on l_partkey=p_partkey join {supplier} on l_suppkey=s_suppkey
+  join {nation} on s_nationkey=n_nationkey join {region} on n_regionkey=r_regionkey
 """
 
-LISTINGS_DIRTY_SQL = """
+LISTINGS_DIRTY_TEMPLATE = """
 select street, city, state, zip_code, brokered_by, status, price, bed, bath,
-       acre_lot, house_size, prev_sold_date from listings
+       acre_lot, house_size, prev_sold_date from {listings}
 union all
 select '  '||upper(street)||'.' as street, '  '||city as city, upper(state)||'  ' as state,
        zip_code, brokered_by, status, price+1 as price, bed, bath,
-       acre_lot, house_size, prev_sold_date from listings where bed = 3
+       acre_lot, house_size, prev_sold_date from {listings} where bed = 3
 """
 
+_BASE = ("lineitem", "part", "supplier", "nation", "region")
+# the same text with plain table names: what the DuckDB oracle runs
+LISTINGS_SQL = LISTINGS_TEMPLATE.format(**{t: t for t in _BASE})
+LISTINGS_DIRTY_SQL = LISTINGS_DIRTY_TEMPLATE.format(listings="listings")
+
 
 def with_listings(sql: str, dirty: bool = False) -> str:
     """Prefix ``sql`` with the fixture views as CTEs (for the DuckDB oracle)."""
@@ -63,20 +68,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Temp views over the parquet tables of ``sf_dir``."""
+def tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
+    """DataFrames over the parquet tables of ``sf_dir``; the fixed-size dimensions carry a broadcast hint."""
+    out = {}
     for name in names:
         df = table(spark, sf_dir, name)
         if name in ("nation", "region"):
             df = F.broadcast(df)  # fixed-size dimension tables: 25 and 5 rows at every scale
-        df.createOrReplaceTempView(name)
+        out[name] = df
+    return out
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_tables(spark, sf_dir, ("lineitem", "part", "supplier", "nation", "region"))
-    return spark.sql(LISTINGS_SQL)
+    """The listing view.  DataFrames are bound into the SQL text as arguments, so no
+    temporary view is registered in the caller's session."""
+    return spark.sql(LISTINGS_TEMPLATE, **tables(spark, sf_dir, _BASE))
 
 
 def listings_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listings(spark, sf_dir).createOrReplaceTempView("listings")
-    return spark.sql(LISTINGS_DIRTY_SQL)
+    return spark.sql(LISTINGS_DIRTY_TEMPLATE, listings=listings(spark, sf_dir))

@@ -28,7 +28,7 @@ from rowmill.operators.validate import (
     ValidationSpec, annotate, error_counts, invalid_sample, normalize_zip, split, validation_counts, zip_changes,
 )
 from rowmill.plans import oracle as O
-from rowmill.plans.fixtures import listings, listings_dirty, register_tables, table
+from rowmill.plans.fixtures import listings, listings_dirty, table
 from rowmill.plans.pipeline import PipelineOptions, key_normalizer, summary_by_segment
 from rowmill.plans.publish import publish_tables
 from rowmill.plans.throughput import measure
@@ -251,15 +251,16 @@ def dim_or_null(spark, sf):
     return L.select("street", dimension(L, "brokered_by"), dimension(L, "county"))
 
 
-DATES_SQL = """
+DATES_TEMPLATE = """
 select l_orderkey, l_linenumber, case l_orderkey % 5
   when 0 then cast(year(d) as string)||'-'||lpad(cast(month(d) as string), 2, '0')||'-'||lpad(cast(day(d) as string), 2, '0')
   when 1 then lpad(cast(month(d) as string), 2, '0')||'/'||lpad(cast(day(d) as string), 2, '0')||'/'||cast(year(d) as string)
   when 2 then cast(month(d) as string)||'/'||cast(day(d) as string)||'/'||cast(year(d) as string)
   when 3 then cast(year(d) as string)||'/'||lpad(cast(month(d) as string), 2, '0')||'/'||lpad(cast(day(d) as string), 2, '0')
   else 'junk' end as d_text
-from (select l_orderkey, l_linenumber, cast(l_shipdate as date) as d from lineitem) x
+from (select l_orderkey, l_linenumber, cast(l_shipdate as date) as d from {lineitem}) x
 """
+DATES_SQL = DATES_TEMPLATE.format(lineitem="lineitem")
 
 
 @register(
@@ -269,8 +270,7 @@ from (select l_orderkey, l_linenumber, cast(l_shipdate as date) as d from lineit
     "as parsed from dates) select l_orderkey, l_linenumber, d_text, parsed, cast(year(parsed) as integer) as year from p",
 )
 def parse_dates(spark, sf):
-    register_tables(spark, sf, ("lineitem",))
-    d = spark.sql(DATES_SQL)
+    d = spark.sql(DATES_TEMPLATE, lineitem=table(spark, sf, "lineitem"))
     parsed = parse_date(F.col("d_text"))
     return d.select("l_orderkey", "l_linenumber", "d_text", parsed.alias("parsed"), F.year(parsed).alias("year"))
 
