@@ -70,7 +70,9 @@ def measure(
     records: list[tuple] = []
     for size in sizes:
         label = "all" if size is None or size <= 0 else str(size)
-        src = df if label == "all" else df.limit(int(size))
+        # a limit funnels its rows into one partition; spread them again so that the
+        # timed stages run with the session's parallelism, not as single tasks
+        src = df if label == "all" else df.limit(int(size)).repartition(spark.sparkContext.defaultParallelism)
         held: list[DataFrame] = []
         try:
             read, t, n_in = _persisted(src)
