@@ -902,3 +902,18 @@ def dedup_physical(spark, sf):
     # first row per key in scan order (P9).  Which duplicate wins depends on the physical order,
     # so only the key columns are returned: that part of the result is order-independent.
     return dedup(listings(spark, sf), ADDRESS, order_by="physical").select(*ADDRESS)
+
+
+@register(
+    "top_states_sql",
+    O.listings_query(f"select state, avg_price, num_properties from ({_MARKET}) m "
+                     "order by avg_price desc nulls last, state, city limit 5"),
+)
+def top_states_sql(spark, sf):
+    # F6 as the original runs it: SQL over the published report table
+    root = shared_dir(spark, "outputs")
+    write_table(REPORTS["market_trends"](listings(spark, sf), scale=SCALE), f"{root}/aggregated/market_trends",
+                formats=("parquet",))
+    (name,) = publish_tables(spark, root, ["market_trends"], location=shared_dir(spark, "tables"), prefix="rowmill_top_")
+    return spark.sql(f"select state, avg_price, num_properties from {name} "
+                     "order by avg_price desc nulls last, state, city limit 5")
