@@ -37,9 +37,20 @@ def write_table(
     coalesce: int | None = None,
     partition_by: Sequence[str] | None = None,
     mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> dict[str, str]:
-    """Write ``df`` under ``root/<format>`` for each format; returns the paths."""
-    out = df.coalesce(coalesce) if coalesce and coalesce > 0 else df
+    """Write ``df`` under ``root/<format>`` for each format; returns the paths.
+
+    With ``partition_by`` the rows are first rebalanced by the partition columns
+    (``rebalance`` hint): without it every task writes a file into every value it
+    sees (tasks x values small files); with a plain ``repartition`` a value that
+    holds a third of the rows would be written by one task.  The hint lets AQE
+    split such a value into advisory-size pieces and merge small ones.
+    """
+    out = df
+    if partition_by and rebalance and not (coalesce and coalesce > 0):
+        out = out.hint("rebalance", *partition_by)
+    out = out.coalesce(coalesce) if coalesce and coalesce > 0 else out
     paths: dict[str, str] = {}
     for fmt in formats:
         target = f"{root.rstrip('/')}/{fmt}"

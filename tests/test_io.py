@@ -108,3 +108,14 @@ def test_report_sinks(spark, sample, tmp_path):
     assert spark.read.json(q["json"]).count() == 11
     t = write_report(measure(spark, sample, keys=["street"]), str(tmp_path / "metrics"))
     assert spark.read.option("header", "true").csv(t["csv"]).count() == 4
+
+
+def test_partitioned_write_is_rebalanced(spark, tmp_path):
+    from pyspark.sql import functions as F
+    # one partition value holds a third of the rows, spread over 16 input partitions
+    df = spark.range(0, 30000, 1, 16).withColumn("state", F.when(F.col("id") % 3 == 0, "HOT").otherwise(
+        F.concat(F.lit("S"), (F.col("id") % 7).cast("string"))))
+    p = write_table(df, str(tmp_path / "r"), formats=("parquet",), partition_by=["state"])["parquet"]
+    files = glob.glob(p + "/state=*/*.parquet")
+    assert len(files) < 16 * 8  # far fewer than tasks x values
+    assert spark.read.parquet(p).count() == 30000
