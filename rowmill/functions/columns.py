@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowmill.functions.names import named
+
 # --- Fixed values: column-synonym lists (order is significant, first match wins).
 # Routing uses one order for beds and size, the named reports another.
 PRICE = ("price", "list_price", "sold_price")
@@ -53,14 +55,14 @@ def first_present(df: DataFrame, names: Sequence[str], dtype: str | None = "doub
     present = [n for n in names if n in df.columns]
     if not present:
         return F.lit(None).cast(dtype or "string")
-    cols = [number(F.col(n), dtype) if dtype else F.col(n) for n in present]
+    cols = [number(named(n), dtype) if dtype else named(n) for n in present]
     return cols[0] if len(cols) == 1 else F.coalesce(*cols)
 
 
 def dimension(df: DataFrame, name: str, dtype: str = "string") -> Column:
     """The column ``name`` if it exists, otherwise a typed null under that name."""
     if name in df.columns:
-        return F.col(name).alias(name)
+        return named(name).alias(name)
     return F.lit(None).cast(dtype).alias(name)
 
 
@@ -75,7 +77,7 @@ def year_of(df: DataFrame, name: str = "prev_sold_date", formats: Sequence[str]
     """Year of a multi-format date column; typed null when the column is absent."""
     if name not in df.columns:
         return F.lit(None).cast("int")
-    return F.year(parse_date(F.col(name), formats))
+    return F.year(parse_date(named(name), formats))
 
 
 def lot_bucket(acres: Column) -> Column:

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from rowmill.functions.names import named
+
 # --- Fixed values: the patterns of the clean-up steps.
 BLANK_RUN = r"\s+"
 PUNCT_ASCII = r"[^\w\s]"          # ASCII word characters: letters with accents are dropped
@@ -60,7 +62,7 @@ def _rewrite(df: DataFrame, targets: list[str], fn) -> DataFrame:
     if not targets:
         return df
     chosen = set(targets)
-    return df.select(*[fn(F.col(c)).alias(c) if c in chosen else F.col(c) for c in df.columns])
+    return df.select(*[fn(named(c)).alias(c) if c in chosen else named(c) for c in df.columns])
 
 
 def trim_strings(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

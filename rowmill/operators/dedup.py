@@ -38,6 +38,11 @@ _RID = "__rowmill_rid"
 _NULLSEP = "__rowmill_nullsep"
 
 
+def _c(name: str) -> Column:
+    """A column by its exact name (dots and blanks are part of the name)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def detect_keys(df: DataFrame, required: bool = True) -> list[str]:
     """Pick dedup keys from the schema (case-insensitive): an id column, else an address combo.
 
@@ -66,15 +71,15 @@ def _order_exprs(df: DataFrame, keys: Sequence[str], order_by, keys_vary: bool =
         rest = [c for c in df.columns if c not in set(keys)]
         if keys_vary:
             rest += list(keys)
-        return [(F.col(c), False) for c in rest] or [(F.lit(1), False)]
+        return [(_c(c), False) for c in rest] or [(F.lit(1), False)]
     if order_by == "physical":
         return [(F.monotonically_increasing_id(), False)]
     out = []
     for c in order_by:
         if isinstance(c, str) and c.startswith("-"):
-            out.append((F.col(c[1:]), True))
+            out.append((_c(c[1:]), True))
         else:
-            out.append((F.col(c) if isinstance(c, str) else c, False))
+            out.append((_c(c) if isinstance(c, str) else c, False))
     return out
 
 
@@ -84,7 +89,7 @@ def _sorted(pairs: list[tuple[Column, bool]]) -> list[Column]:
 
 
 def _key_columns(keys: Sequence[str], match_on: Callable[[Column], Column] | None) -> list[Column]:
-    return [match_on(F.col(k)) if match_on else F.col(k) for k in keys]
+    return [match_on(_c(k)) if match_on else _c(k) for k in keys]
 
 
 def _prepare(df: DataFrame, keys: Sequence[str], null_keys: str, on_missing_keys: str):
@@ -112,8 +117,9 @@ def dedup(
 
     ``order_by`` lists names or expressions, ascending with nulls first; a name
     written ``"-col"`` sorts descending with nulls last (keep the latest row).
-    ``None`` means every non-key column.  ``null_keys``: ``drop`` rows with a null key (as an inner self-join does),
-    ``group`` nulls together as one key value, or ``keep`` every such row.
+    ``None`` means every non-key column.  ``null_keys``: ``drop`` rows with a
+    null key (as an inner self-join does), ``group`` nulls together as one key
+    value, or ``keep`` every such row.
     ``match_on`` compares keys after a normalisation (e.g. :func:`clean_text`)
     while the output keeps the original values.  ``order_by='physical'`` keeps
     the first row in scan order, which depends on the input partitioning.
@@ -129,7 +135,7 @@ def dedup(
         src = src.select("*", *[k.alias(f"__rowmill_k{i}") for i, k in enumerate(_key_columns(keys, match_on))])
         part = [F.col(f"__rowmill_k{i}") for i in range(len(keys))]
     else:
-        part = [F.col(k) for k in keys]
+        part = [_c(k) for k in keys]
     if null_keys == "drop":
         src = src.filter(_all_not_null(keys))
     elif null_keys == "keep":
@@ -137,13 +143,13 @@ def dedup(
         src = src.withColumn(_NULLSEP, F.when(~_all_not_null(keys), F.monotonically_increasing_id()))
         part = part + [F.col(_NULLSEP)]
     w = Window.partitionBy(*part).orderBy(*_sorted(_order_exprs(df, keys, order_by, match_on is not None)))
-    return src.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).select(*cols)
+    return src.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).select(*[_c(c) for c in cols])
 
 
 def _all_not_null(keys: Sequence[str]) -> Column:
-    cond = F.col(keys[0]).isNotNull()
+    cond = _c(keys[0]).isNotNull()
     for k in keys[1:]:
-        cond = cond & F.col(k).isNotNull()
+        cond = cond & _c(k).isNotNull()
     return cond
 
 
@@ -168,16 +174,17 @@ def dedup_by_join(
         raise ValueError("dedup_by_join supports null_keys 'drop' or 'group'")
     cols = df.columns
     with_id = df.withColumn(_RID, F.monotonically_increasing_id())
-    order = _order_exprs(df, keys, order_by)
+    # physical order: the row id itself decides (one evaluation of the id, shared by both sides)
+    order = [] if order_by == "physical" else _order_exprs(df, keys, order_by)
     if any(desc for _, desc in order):
         raise ValueError("dedup_by_join orders ascending only; use dedup() for descending keys")
     # min() over a struct compares its fields left to right, ascending, nulls first:
     # the same winner as the window form, with the row id separating identical rows.
-    winners = with_id.groupBy(*keys).agg(
+    winners = with_id.groupBy(*[_c(k) for k in keys]).agg(
         F.min(F.struct(*[o.alias(f"o{i}") for i, (o, _) in enumerate(order)], F.col(_RID).alias("rid")))
         .getField("rid").alias(_RID)
     )
     left, right = with_id.alias("l"), winners.alias("r")
     eq = (lambda a, b: a.eqNullSafe(b)) if null_keys == "group" else (lambda a, b: a == b)
-    cond = [eq(F.col(f"l.{k}"), F.col(f"r.{k}")) for k in keys] + [F.col(f"l.{_RID}") == F.col(f"r.{_RID}")]
-    return left.join(right, cond, "inner").select(*[F.col(f"l.{c}") for c in cols])
+    cond = [eq(F.col(f"l.`{k}`"), F.col(f"r.`{k}`")) for k in keys] + [F.col(f"l.{_RID}") == F.col(f"r.{_RID}")]
+    return left.join(right, cond, "inner").select(*[F.col(f"l.`{c}`").alias(c) for c in cols])

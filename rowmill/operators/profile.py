@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowmill.functions.names import named
+
 
 def profile(df: DataFrame) -> DataFrame:
     """``(position, column, type, rows, nulls)`` for every column, from one aggregate."""
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("__rows")] + [
-        F.count_if(F.col(f.name).isNull()).alias(f"__n{i}") for i, f in enumerate(fields)
+        F.count_if(named(f.name).isNull()).alias(f"__n{i}") for i, f in enumerate(fields)
     ]
     stats = df.agg(*aggs)
     rows = [
@@ -33,4 +35,4 @@ def take_ordered(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -
     if n is None or n <= 0:
         return df
     cols = order_by or df.columns
-    return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(int(n))
+    return df.orderBy(*[named(c).asc_nulls_first() for c in cols]).limit(int(n))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from rowmill.functions.columns import normalize_code
+from rowmill.functions.names import named
 
 ERRORS = "validation_errors"
 VALID = "is_valid"
@@ -53,13 +54,13 @@ def error_rules(df: DataFrame, spec: ValidationSpec) -> list[tuple[Column | None
         if col not in df.columns:
             errs.append((None, f"missing_column:{col}"))
             continue
-        c = F.col(col)
+        c = named(col)
         cond = c.isNull() | (F.trim(c) == F.lit("")) if _is_string(df, col) else c.isNull()
         errs.append(_flag(cond, f"required_empty:{col}"))
 
     rc = spec.range_column
     if rc and rc in df.columns:
-        v = F.col(rc).try_cast("double")
+        v = named(rc).try_cast("double")
         if spec.min_value is not None:
             errs.append(_flag(v < F.lit(float(spec.min_value)), f"{rc}_below_min"))
         if spec.max_value is not None:
@@ -67,11 +68,11 @@ def error_rules(df: DataFrame, spec: ValidationSpec) -> list[tuple[Column | None
 
     for col in spec.nonneg:
         if col in df.columns:
-            errs.append(_flag(F.col(col).try_cast("double") < F.lit(0.0), f"negative:{col}"))
+            errs.append(_flag(named(col).try_cast("double") < F.lit(0.0), f"negative:{col}"))
 
     for col in spec.integers:
         if col in df.columns:
-            c = F.col(col)
+            c = named(col)
             if _is_string(df, col):
                 cond = F.regexp_replace(c, r"[0-9]", "") != F.lit("")  # digits only; null -> no error
             else:
@@ -80,12 +81,12 @@ def error_rules(df: DataFrame, spec: ValidationSpec) -> list[tuple[Column | None
 
     for col in spec.numeric:
         if col in df.columns:
-            c = F.col(col)
+            c = named(col)
             errs.append(_flag(c.isNotNull() & c.try_cast("double").isNull(), f"not_numeric:{col}"))
 
     zc = spec.zip_column
     if zc and zc in df.columns and (spec.zip_length is not None or spec.zip_numeric):
-        z = F.col(zc).cast("string")
+        z = named(zc).cast("string")
         if spec.zip_numeric:
             errs.append(_flag(z.rlike(r"[^0-9]"), "zip_non_numeric"))
         if spec.zip_length is not None:

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from rowmill.functions.names import named
+
 ARRAY_SEPARATOR = "|"
 
 
@@ -22,11 +24,11 @@ def csv_safe(df: DataFrame, separator: str = ARRAY_SEPARATOR) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, ArrayType):
-            cols.append(F.concat_ws(separator, F.col(f.name).cast("array<string>")).alias(f.name))
+            cols.append(F.concat_ws(separator, named(f.name).cast("array<string>")).alias(f.name))
         elif isinstance(f.dataType, (StructType, MapType)):
-            cols.append(F.to_json(F.col(f.name)).alias(f.name))
+            cols.append(F.to_json(named(f.name)).alias(f.name))
         else:
-            cols.append(F.col(f.name))
+            cols.append(named(f.name))
     return df.select(*cols)
 
 

@@ -91,3 +91,12 @@ def test_descending_order_keeps_latest(spark):
 def test_physical_order_keeps_first_scanned_row(spark):
     df = spark.createDataFrame([("a", 3), ("a", 1), ("b", 2), ("a", 2)], "k string, v int").coalesce(1)
     assert rows(dedup(df, ["k"], order_by="physical")) == [("a", 3), ("b", 2)]
+
+
+def test_join_form_physical_order_and_odd_names(spark):
+    df = spark.createDataFrame([("a", 3), ("a", 1), ("b", 2)], "`key col` string, `v.x` int").coalesce(1)
+    assert rows(dedup_by_join(df, ["key col"], order_by="physical")) == [("a", 3), ("b", 2)]
+    assert rows(dedup_by_join(df, ["key col"])) == [("a", 1), ("b", 2)]
+    assert rows(dedup(df, ["key col"], order_by=["v.x"])) == [("a", 1), ("b", 2)]
+    assert rows(dedup(df, ["key col"], order_by=["-v.x"])) == [("a", 3), ("b", 2)]
+    assert dedup(df, ["key col"]).columns == ["key col", "v.x"]

@@ -73,3 +73,20 @@ def test_year_of_timestamps(spark):
     assert df.select(year_of(df)).first()[0] == 2019
     d = spark.createDataFrame([(dt.date(2020, 2, 29),)], "prev_sold_date date")
     assert d.select(year_of(d)).first()[0] == 2020
+
+
+def test_names_with_dots_and_blanks(spark):
+    from rowmill.operators import annotate, profile, quality_report, QualitySpec, ValidationSpec
+    from rowmill.sinks import csv_safe
+    df = spark.createDataFrame([(" a ", 1.0), (None, -2.0)], "`my.street` string, `list price` double")
+    assert trim_strings(df).first()[0] == "a"
+    assert df.select(first_present(df, ["list price"])).first()[0] == 1.0
+    spec = ValidationSpec(required=("my.street",), range_column="list price", zip_column=None, nonneg=("list price",),
+                          integers=())
+    assert [r["validation_errors"] for r in annotate(df, spec).collect()] == [
+        [], ["required_empty:my.street", "list price_below_min", "negative:list price"]]
+    assert profile(df).count() == 2
+    rep = quality_report(df, QualitySpec(required=("my.street",), unique_keys=("my.street",),
+                                         minimum={"list price": 0.0}, max_null_fraction={"my.street": 0.1}))
+    assert rep.count() == 4
+    assert csv_safe(annotate(df, spec)).columns[0] == "my.street"
