@@ -15,6 +15,11 @@ distributed prefix sum instead:
    cumulative count; the first value reaching ``p * n`` is the answer.
 
 No step holds more than one range partition of distinct values per task.
+
+Steps 3 and 4 both read the range-partitioned table; Spark reuses that one
+exchange (``ReusedExchange``), so both see the same partition ids.  When
+exchange reuse is switched off the table is cut with a reliable
+``checkpoint()`` into the shared checkpoint folder instead.
 """
 
 from __future__ import annotations
@@ -24,6 +29,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowmill.functions.names import named
+from rowmill.sinks.scratch import ensure_checkpoint_dir
+
 _V, _C, _PID, _T, _OFF, _N, _CUM = "__q_v", "__q_c", "__q_pid", "__q_t", "__q_off", "__q_n", "__q_cum"
 
 
@@ -40,16 +48,21 @@ def percentile_disc(
         raise ValueError("p must be within [0, 1]")
     spark = df.sparkSession
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = F.col(value) if isinstance(value, str) else value
+    v = named(value) if isinstance(value, str) else value
     g = list(group_by)
     counts = (
-        df.select(*[F.col(c) for c in g], v.alias(_V))
+        df.select(*[named(c) for c in g], v.alias(_V))
         .filter(F.col(_V).isNotNull())
         .groupBy(*g, _V)
         .agg(F.count(F.lit(1)).alias(_C))
     )
-    ranged = counts.repartitionByRange(nparts, *[F.col(c).asc_nulls_first() for c in g], F.col(_V).asc())
+    ranged = counts.repartitionByRange(nparts, *[named(c).asc_nulls_first() for c in g], F.col(_V).asc())
     ranged = ranged.withColumn(_PID, F.spark_partition_id())
+    if str(spark.conf.get("spark.sql.exchange.reuse", "true")).lower() != "true":
+        # both consumers below must see the same range partitions; with exchange reuse
+        # off they would each re-sample the bounds, so cut the lineage in the shared folder
+        ensure_checkpoint_dir(spark)
+        ranged = ranged.checkpoint(eager=True)
 
     runs = ranged.groupBy(_PID, *g).agg(F.sum(_C).alias(_T))
     before = Window.partitionBy(*g).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

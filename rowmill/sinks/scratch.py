@@ -35,3 +35,18 @@ def shared_dir(spark: SparkSession, name: str = "scratch") -> str:
         spark.conf.set(_CONF, root)
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/rowmill/{name}-{uuid.uuid4().hex}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint()`` usable: the context's checkpoint folder is the
+    shared one from ``spark.checkpoint.dir`` (a local folder only when that is unset)."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    root = _configured(spark)
+    if not root:
+        root = tempfile.mkdtemp(prefix="rowmill-checkpoint-")
+        spark.conf.set(_CONF, root)
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir()

@@ -118,3 +118,14 @@ def test_report_registry(sample):
     assert run_report(sample, "status_analysis").count() == 2
     with pytest.raises(ValueError):
         run_report(sample, "no_such_report")
+
+
+def test_percentile_without_exchange_reuse(spark):
+    data = [("g", float(v)) for v in range(101)] + [("h", float(v)) for v in (5, 1, 9)]
+    df = spark.createDataFrame(data, "g string, v double")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r["g"]: r["p"] for r in percentile_disc(df, ["g"], "v", 0.5, alias="p", partitions=7).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert got == {"g": 50.0, "h": 5.0}
