@@ -22,6 +22,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowmill.sinks.scratch import ensure_checkpoint_dir
+
 NULL_KEY_MODES = ("drop", "group", "keep")
 
 # --- Fixed values: key candidates for auto-detection, tried in this order.
@@ -159,6 +161,7 @@ def dedup_by_join(
     order_by: Sequence[str | Column] | str | None = None,
     null_keys: str = "drop",
     on_missing_keys: str = "error",
+    checkpoint: bool = False,
 ) -> DataFrame:
     """Self-join form: the winning row id per key, joined back on keys + id.
 
@@ -166,6 +169,12 @@ def dedup_by_join(
     the same ``order_by`` as :func:`dedup`; the row id only separates identical
     rows.  Rows with a null key never match the join (``drop``) unless
     ``null_keys='group'`` compares keys null-safely.
+
+    The row id is evaluated on both sides of the join; that gives the same ids
+    for a deterministic input (a file scan and the transformations above it).
+    For an input whose row order is not repeatable (a round-robin repartition,
+    a sample) pass ``checkpoint=True``: the id-tagged table is then written once
+    to the shared checkpoint folder and both sides read it.
     """
     keys = _prepare(df, keys, null_keys, on_missing_keys)
     if keys is None:
@@ -174,6 +183,9 @@ def dedup_by_join(
         raise ValueError("dedup_by_join supports null_keys 'drop' or 'group'")
     cols = df.columns
     with_id = df.withColumn(_RID, F.monotonically_increasing_id())
+    if checkpoint:
+        ensure_checkpoint_dir(df.sparkSession)
+        with_id = with_id.checkpoint(eager=True)
     # physical order: the row id itself decides (one evaluation of the id, shared by both sides)
     order = [] if order_by == "physical" else _order_exprs(df, keys, order_by)
     if any(desc for _, desc in order):

@@ -100,3 +100,9 @@ def test_join_form_physical_order_and_odd_names(spark):
     assert rows(dedup(df, ["key col"], order_by=["v.x"])) == [("a", 1), ("b", 2)]
     assert rows(dedup(df, ["key col"], order_by=["-v.x"])) == [("a", 3), ("b", 2)]
     assert dedup(df, ["key col"]).columns == ["key col", "v.x"]
+
+
+def test_join_form_checkpoint_on_unrepeatable_input(spark):
+    df = spark.range(0, 5000, 1, 4).selectExpr("id % 50 as k", "id as v").repartition(7)  # round-robin order
+    out = dedup_by_join(df, ["k"], checkpoint=True)
+    assert out.count() == 50 and rows(out) == rows(dedup(df, ["k"]))
