@@ -36,7 +36,7 @@ HEADLINE = (
     "profile_table",
     "clean_full",
     "dedup_text",
-    "pipeline_end_to_end",
+    "end_to_end",
 )
 
 

@@ -29,7 +29,7 @@ from rowmill.operators.validate import (
 )
 from rowmill.plans import oracle as O
 from rowmill.plans.fixtures import listings, listings_dirty, table
-from rowmill.plans.pipeline import PipelineOptions, key_normalizer, summary_by_segment
+from rowmill.plans.end_to_end import PipelineOptions, key_normalizer, summary_by_segment
 from rowmill.plans.publish import publish_tables
 from rowmill.plans.throughput import measure
 from rowmill.sinks.scratch import shared_dir
@@ -745,7 +745,7 @@ _E2E = (
 
 
 @register(
-    "pipeline_end_to_end",
+    "end_to_end",
     O.listings_query(
         "select segment, state, count(*) filter (where errs = '') as valid_rows, "
         "count(*) filter (where errs <> '') as invalid_rows, "
@@ -756,7 +756,7 @@ _E2E = (
         extra_ctes=_E2E,
     ),
 )
-def pipeline_end_to_end(spark, sf):
+def end_to_end(spark, sf):
     return summary_by_segment(listings_dirty(spark, sf), PipelineOptions(keys=ADDRESS, scale=SCALE))
 
 

@@ -1,6 +1,6 @@
 import __spark_entry__ as E
 from rowmill.operators.dedup import dedup
-from rowmill.plans.pipeline import PipelineOptions, run
+from rowmill.plans.end_to_end import PipelineOptions, run
 from rowmill.plans.throughput import measure
 from tests.conftest import SF_SMALL
 
