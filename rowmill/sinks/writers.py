@@ -40,6 +40,7 @@ def write_table(
     partition_by: Sequence[str] | None = None,
     mode: str = "overwrite",
     rebalance: bool = True,
+    compression: str | None = None,
 ) -> dict[str, str]:
     """Write ``df`` under ``root/<format>`` for each format; returns the paths.
 
@@ -62,6 +63,8 @@ def write_table(
             writer = writer.partitionBy(*partition_by)
         if fmt == "csv":
             writer = writer.option("header", "true")
+        if compression:
+            writer = writer.option("compression", compression)
         writer.format(fmt).save(target)
         paths[fmt] = target
     return paths

@@ -60,16 +60,21 @@ def read_csv(
     infer_schema: bool = True,
     delimiter: str = ",",
     schema: StructType | str | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """CSV scan of one path, a glob or a list of paths read as one table.
 
     With ``schema`` given, inference is skipped (no extra pass) and the declared
     types are used; with ``infer_schema=False`` every column is a string.
+    ``options`` pass through to the reader (``quote``, ``escape``, ``multiLine``,
+    ``mode``, ``dateFormat`` ...).
     """
     reader = (
         spark.read.option("header", str(bool(header)).lower())
         .option("sep", delimiter)
     )
+    for key, value in (options or {}).items():
+        reader = reader.option(key, value)
     if schema is not None:
         reader = reader.schema(schema)
     else:

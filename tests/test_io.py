@@ -119,3 +119,12 @@ def test_partitioned_write_is_rebalanced(spark, tmp_path):
     files = glob.glob(p + "/state=*/*.parquet")
     assert len(files) < 16 * 8  # far fewer than tasks x values
     assert spark.read.parquet(p).count() == 30000
+
+
+def test_reader_options_and_compression(spark, tmp_path, sample):
+    p = tmp_path / "quoted.csv"
+    p.write_text('a;b\n"x;1";2\n')
+    df = read_csv(spark, str(p), delimiter=";", options={"quote": '"', "mode": "FAILFAST"})
+    assert tuple(df.first()) == ("x;1", 2)
+    out = write_table(sample, str(tmp_path / "z"), formats=("parquet",), compression="zstd")
+    assert glob.glob(out["parquet"] + "/*.zstd.parquet")
