@@ -44,7 +44,11 @@ def _coalesce(n: int | None) -> int | None:
 
 
 def _limit(df: DataFrame, take: int | None) -> DataFrame:
-    return take_ordered(df, take) if take and take > 0 else df
+    """Ordered limit; its rows are spread back over the session's parallelism (a limit
+    leaves them in one partition, which would make every later stage a single task)."""
+    if not take or take <= 0:
+        return df
+    return take_ordered(df, take).repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _csv_flags(p: argparse.ArgumentParser) -> None:

@@ -46,3 +46,12 @@ def test_cleanse_needs_keys(spark, root):
         main(["cleanse", "--root", root], spark)
     with pytest.raises(SystemExit):
         main(["aggregate", "--root", root], spark)
+
+
+def test_take_is_ordered_and_parallel(spark, root):
+    from rowmill.cli import _limit
+    from rowmill.sources import read_csv
+    df = read_csv(spark, root + "/raw/usa-real-estate/*.csv")
+    small = _limit(df, 3)
+    assert small.count() == 3 and small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r["street"] for r in small.collect()) == ["101 Maple Dr", "123 Main St", "202 Elm St"]
