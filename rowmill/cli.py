@@ -277,5 +277,9 @@ COMMANDS = {
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = build_parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"rowmill-{args.stage}").getOrCreate()
+    spark = spark or (
+        SparkSession.builder.appName(f"rowmill-{args.stage}")
+        .config("spark.ui.enabled", "false")  # no web server from a batch job
+        .getOrCreate()
+    )
     return COMMANDS[args.stage](spark, args)
