@@ -44,10 +44,6 @@ def percentile_disc(
     partitions: int | None = None,
 ) -> DataFrame:
     """One row per group with a non-null value: ``group_by..., alias``."""
-    if not 0.0 <= p <= 1.0:
-        raise ValueError("p must be within [0, 1]")
-    spark = df.sparkSession
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = named(value) if isinstance(value, str) else value
     g = list(group_by)
     counts = (
@@ -56,6 +52,25 @@ def percentile_disc(
         .groupBy(*g, _V)
         .agg(F.count(F.lit(1)).alias(_C))
     )
+    return percentile_from_counts(counts, g, _V, _C, p, alias, partitions)
+
+
+def percentile_from_counts(
+    counts: DataFrame,
+    group_by: Sequence[str],
+    value: str,
+    count: str,
+    p: float = 0.5,
+    alias: str = "percentile",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Steps 2-4 over a ``(group..., value, count)`` table with non-null values."""
+    if not 0.0 <= p <= 1.0:
+        raise ValueError("p must be within [0, 1]")
+    spark = counts.sparkSession
+    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    g = list(group_by)
+    counts = counts.select(*[named(c) for c in g], named(value).alias(_V), named(count).alias(_C))
     ranged = counts.repartitionByRange(nparts, *[named(c).asc_nulls_first() for c in g], F.col(_V).asc())
     ranged = ranged.withColumn(_PID, F.spark_partition_id())
     if str(spark.conf.get("spark.sql.exchange.reuse", "true")).lower() != "true":
