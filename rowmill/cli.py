@@ -19,7 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowmill.functions.text import normalize_strings, trim_strings
+from rowmill.functions.text import clean_text, normalize_strings, trim_strings
 from rowmill.operators.aggregate import aggregate
 from rowmill.operators.dedup import dedup, dedup_by_join, detect_keys
 from rowmill.operators.profile import take_ordered
@@ -88,12 +88,21 @@ def cmd_cleanse(spark, args) -> dict:
                          infer_schema=not args.no_infer_schema, delimiter=args.delimiter), args.take)
     if not args.no_trim:
         df = trim_strings(df)
-    if args.lowercase or args.normalize_spaces or args.strip_punct:
-        df = normalize_strings(df, args.lowercase, args.normalize_spaces, args.strip_punct)
+    normalize = args.lowercase or args.normalize_spaces or args.strip_punct
+    if normalize and not args.keep_original_values:
+        df = normalize_strings(df, args.lowercase, args.normalize_spaces, args.strip_punct,
+                               columns=_csv_list(args.columns) or None)
     keys = _csv_list(args.keys) or (detect_keys(df) if args.auto_keys else [])
     if not keys:
         raise SystemExit("--keys is required unless --auto-keys is given")
-    deduped = dedup_by_join(df, keys) if args.method == "join" else dedup(df, keys)
+    if normalize and args.keep_original_values:
+        # compare keys after the clean-up, keep every value as it was read
+        def match(c):
+            return clean_text(c, trim=True, lowercase=args.lowercase, normalize_spaces=args.normalize_spaces,
+                              strip_punct=args.strip_punct)
+        deduped = dedup(df, keys, match_on=match)
+    else:
+        deduped = dedup_by_join(df, keys) if args.method == "join" else dedup(df, keys)
     out = {"keys": keys}
     if args.write_output:
         out["paths"] = write_table(deduped, f"{args.root}/processed/cleanse_dedup", coalesce=_coalesce(args.coalesce))
@@ -220,6 +229,9 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--normalize-spaces", action="store_true")
     p.add_argument("--strip-punct", action="store_true")
     p.add_argument("--method", choices=["window", "join"], default="window")
+    p.add_argument("--columns", help="normalise only these string columns (default: all)")
+    p.add_argument("--keep-original-values", action="store_true",
+                   help="apply the clean-up only to compare keys; output keeps the values as read")
 
     p = sub.add_parser("route", help="derive the segment column by a named rule set")
     _common(p)

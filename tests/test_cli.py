@@ -55,3 +55,15 @@ def test_take_is_ordered_and_parallel(spark, root):
     small = _limit(df, 3)
     assert small.count() == 3 and small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(r["street"] for r in small.collect()) == ["101 Maple Dr", "123 Main St", "202 Elm St"]
+
+
+def test_cleanse_normalisation_scope(spark, root):
+    from pyspark.sql import functions as F  # noqa: F401
+    main(["cleanse", "--root", root, "--keys", "street,city,state,zip_code", "--lowercase", "--columns", "city",
+          "--write-output"], spark)
+    out = spark.read.parquet(root + "/processed/cleanse_dedup/parquet")
+    assert out.filter("city = 'boston'").count() == 1 and out.filter("state = 'MA'").count() == 1
+    main(["cleanse", "--root", root, "--keys", "street,city,state,zip_code", "--lowercase", "--strip-punct",
+          "--keep-original-values", "--write-output"], spark)
+    out = spark.read.parquet(root + "/processed/cleanse_dedup/parquet")
+    assert out.count() == 10 and out.filter("city = 'Boston'").count() == 1
