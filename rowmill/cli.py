@@ -39,6 +39,10 @@ def _csv_list(text: str | None) -> list[str]:
     return [c.strip() for c in (text or "").split(",") if c.strip()]
 
 
+def _bound(text: str) -> float | None:
+    return None if text.strip().lower() in ("none", "") else float(text)
+
+
 def _coalesce(n: int | None) -> int | None:
     return n if n is not None and n > 0 else None
 
@@ -248,8 +252,8 @@ def build_parser() -> argparse.ArgumentParser:
     p = sub.add_parser("validate", help="per-row error codes and the valid / invalid split")
     _common(p)
     p.add_argument("--required-cols", default="street,city,state,zip_code,price")
-    p.add_argument("--min-price", type=float, default=0.0)
-    p.add_argument("--max-price", type=float, default=None)
+    p.add_argument("--min-price", type=_bound, default=0.0, help="inclusive lower bound; 'none' disables it")
+    p.add_argument("--max-price", type=_bound, default=None, help="inclusive upper bound; 'none' disables it")
     p.add_argument("--zip-col", default="zip_code")
     p.add_argument("--zip-len", type=int, default=5)
     p.add_argument("--zip-normalize", action="store_true")

@@ -67,3 +67,11 @@ def test_cleanse_normalisation_scope(spark, root):
           "--keep-original-values", "--write-output"], spark)
     out = spark.read.parquet(root + "/processed/cleanse_dedup/parquet")
     assert out.count() == 10 and out.filter("city = 'Boston'").count() == 1
+
+
+def test_price_bounds_can_be_disabled(spark, root):
+    main(["cleanse", "--root", root, "--keys", "street", "--write-output"], spark)
+    strict = main(["validate", "--root", root, "--min-price", "1000000", "--zip-col", "none"], spark)
+    assert strict["invalid"] == 8
+    off = main(["validate", "--root", root, "--min-price", "none", "--zip-col", "none"], spark)
+    assert off["invalid"] == 0
