@@ -215,6 +215,7 @@ def cmd_persist(spark, args) -> dict:
     return {"tables": written}
 
 
+# --- Fixed values: flag names and defaults follow the original stage scripts.
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="rowmill", description="Batch data preparation on Spark.")
     sub = parser.add_subparsers(dest="stage", required=True)

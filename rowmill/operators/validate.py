@@ -22,6 +22,8 @@ ERRORS = "validation_errors"
 VALID = "is_valid"
 
 
+# --- Fixed values: the defaults below are the listing pipeline's rules (required columns,
+# minimum price 0, zip column and length 5, non-negative and integer columns).
 @dataclass(frozen=True)
 class ValidationSpec:
     """Which rules to run.  Defaults are those of the listing pipeline."""
