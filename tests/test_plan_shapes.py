@@ -71,3 +71,16 @@ def test_bucketed_table_dedups_without_exchange(spark, sample, tmp_path):
     assert dedup(t, keys).count() == 10
     q = quality_report(t, QualitySpec(unique_keys=keys))
     assert "Exchange hashpartitioning" not in q._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quality_report_job_count(spark, sample_parquet):
+    # the original ran one action (a full scan) per check; here the whole report is one
+    # query: with AQE every query stage is its own job, so at most three, reading the input once
+    sc = spark.sparkContext
+    sc.setJobGroup("rowmill-quality-jobs", "quality report job count")
+    try:
+        quality_report(sample_parquet).collect()
+        jobs = sc.statusTracker().getJobIdsForGroup("rowmill-quality-jobs")
+    finally:
+        sc.setJobGroup(None, None)
+    assert 1 <= len(jobs) <= 3
