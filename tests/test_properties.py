@@ -75,3 +75,59 @@ def test_percentile_disc_brute_force(spark, values, p):
         vals = sorted(v for k, v in values if k == g)
         want = next(v for i, v in enumerate(vals, 1) if i >= p * len(vals))
         assert got[g] == want
+
+
+def _expected_errors(row, spec):
+    """Plain-Python statement of the row rules, used as an independent oracle."""
+    street, price, bath, zip_code, bed = row
+    cols = {"street": street, "price": price, "bath": bath, "zip_code": zip_code, "bed": bed}
+    strings = {"street", "price", "bath", "zip_code", "bed"}  # every column of this frame is text
+    out = []
+    for c in spec["required"]:
+        v = cols.get(c, "absent")
+        if v == "absent":
+            out.append(f"missing_column:{c}")
+        elif v is None or (c in strings and v.strip(" ") == ""):
+            out.append(f"required_empty:{c}")
+
+    def num(v):
+        try:
+            return float(v) if v is not None else None
+        except ValueError:
+            return None
+
+    p = num(price)
+    if p is not None and p < spec["min_value"]:
+        out.append("price_below_min")
+    if p is not None and p > spec["max_value"]:
+        out.append("price_above_max")
+    if p is not None and p < 0:
+        out.append("negative:price")
+    for c in ("bath", "bed"):
+        v = cols[c]
+        if v is not None and any(ch not in "0123456789" for ch in v):
+            out.append(f"not_integer:{c}")
+    z = zip_code
+    if z is not None and any(ch not in "0123456789" for ch in z):
+        out.append("zip_non_numeric")
+    digits = "".join(ch for ch in (z or "") if ch in "0123456789")
+    if len(digits) != 5:
+        out.append("zip_wrong_length")
+    return out
+
+
+text = st.one_of(st.none(), st.text(alphabet="0123456789 .-ab", max_size=7))
+dirty_rows = st.lists(st.tuples(text, st.one_of(st.none(), st.sampled_from(["-3", "0", "12.5", "2000001", "abc", ""])),
+                                text, text, text), min_size=1, max_size=20)
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=dirty_rows)
+def test_validation_rules_match_plain_python(spark, data):
+    from rowmill.operators import ValidationSpec
+    spec = dict(required=("street", "price", "lot"), min_value=0.0, max_value=2000000.0)
+    vs = ValidationSpec(required=spec["required"], min_value=0.0, max_value=2000000.0, zip_numeric=True,
+                        nonneg=("price",), integers=("bath", "bed"))
+    df = spark.createDataFrame(data, "street string, price string, bath string, zip_code string, bed string")
+    got = [r["validation_errors"] for r in annotate(df, vs).collect()]
+    assert got == [_expected_errors(r, spec) for r in data]
