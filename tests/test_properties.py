@@ -131,3 +131,21 @@ def test_validation_rules_match_plain_python(spark, data):
     df = spark.createDataFrame(data, "street string, price string, bath string, zip_code string, bed string")
     got = [r["validation_errors"] for r in annotate(df, vs).collect()]
     assert got == [_expected_errors(r, spec) for r in data]
+
+
+def _clean_py(s):
+    import re
+    if s is None:
+        return None
+    s = s.strip(" ").lower()
+    s = re.sub(r"\s+", " ", s, flags=re.ASCII).strip(" ")
+    return re.sub(r"[^\w\s]", "", s, flags=re.ASCII)
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.none(), st.text(alphabet="aZ9_ .,-#\t\néÉ", max_size=12)), min_size=1, max_size=20))
+def test_clean_text_matches_plain_python(spark, values):
+    from rowmill.functions import clean_text
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = [r[0] for r in df.select(clean_text("s", True, True, True, True)).collect()]
+    assert got == [_clean_py(v) for v in values]
