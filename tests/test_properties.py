@@ -149,3 +149,29 @@ def test_clean_text_matches_plain_python(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = [r[0] for r in df.select(clean_text("s", True, True, True, True)).collect()]
     assert got == [_clean_py(v) for v in values]
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=frames)
+def test_quality_counts_match_plain_python(spark, data):
+    from rowmill.operators import QualitySpec
+    spec = QualitySpec(required=("street", "price"), unique_keys=("street", "city"), minimum={"price": 0.0},
+                       maximum={"bed": 4.0}, max_null_fraction={"city": 0.3})
+    got = {r["check"]: r for r in quality_report(spark.createDataFrame(data, SCHEMA), spec).collect()}
+    n = len(data)
+    blank_street = sum(1 for s, *_ in data if s is None or s.strip(" ") == "")
+    null_price = sum(1 for *_, p, _b in data if p is None)
+    null_city = sum(1 for _s, c, *_ in data if c is None)
+    below = sum(1 for *_, p, _b in data if p is not None and p < 0)
+    above = sum(1 for *_, b in data if b is not None and b > 4)
+    keys = {}
+    for s, c, *_ in data:
+        keys[(s, c)] = keys.get((s, c), 0) + 1
+    dup = sum(1 for v in keys.values() if v > 1)
+    assert got["required_non_null:street"]["nulls"] == blank_street
+    assert got["required_non_null:price"]["nulls"] == null_price
+    assert got["null_rate:city"]["nulls"] == null_city
+    assert got["null_rate:city"]["status"] == ("pass" if (null_city / n if n else 0.0) <= 0.3 else "fail")
+    assert got["min:price"]["out_of_range"] == below and got["max:bed"]["out_of_range"] == above
+    assert got["unique_keys:street,city"]["duplicate_key_groups"] == dup
+    assert all(r["total_rows"] == n for r in got.values())
