@@ -129,7 +129,9 @@ def quality_sql(
     maximum: Mapping[str, float] | None = None,
     max_null_fraction: Mapping[str, float] | None = None,
     present: Sequence[str] = LISTING_COLUMNS,
+    then: str | None = None,
 ) -> str:
+    """The report rows; with ``then`` they become a CTE named ``report`` that ``then`` selects from."""
     minimum = {"price": 0.0, "house_size": 0.0, "acre_lot": 0.0} if minimum is None else minimum
     maximum = {} if maximum is None else maximum
     max_null_fraction = {"status": 0.2, "brokered_by": 0.5} if max_null_fraction is None else max_null_fraction
@@ -181,11 +183,13 @@ def quality_sql(
         rows.append(row(k, f"unique_keys:{','.join(unique_keys)}",
                         "case when dup_groups = 0 then 'pass' else 'fail' end", dup="dup_groups",
                         tname="duplicates", tval=0.0))
-    stats = f"s as (select {', '.join(aggs)} from {source})"
+    ctes = f"s as (select {', '.join(aggs)} from {source})"
     body = "\nunion all\n".join(rows)
+    if then is not None:
+        ctes, body = f"{ctes}, report as ({body})", then
     if source.startswith("listings"):
-        return listings_query(body, dirty=source == "listings_dirty", extra_ctes=stats)
-    return f"with {stats}\n{body}"
+        return listings_query(body, dirty=source == "listings_dirty", extra_ctes=ctes)
+    return f"with {ctes}\n{body}"
 
 
 def listings_query(sql: str, dirty: bool = False, extra_ctes: str = "") -> str:

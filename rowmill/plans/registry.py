@@ -689,21 +689,14 @@ def quality_unique(spark, sf):
     return quality_report(listings(spark, sf), spec)
 
 
-def _report_sql_to(select: str) -> str:
-    # wrap the default report in a CTE named "report"
-    base = O.quality_sql()
-    head, _, tail = base.partition("\nselect cast(0 as integer)")
-    return f"{head}, report as (select cast(0 as integer){tail})\n{select}"
-
-
-@register("quality_summary", _report_sql_to(
+@register("quality_summary", O.quality_sql(then=(
     "select max(total_rows) as total_rows, count(*) filter (where status = 'pass') as passed, "
-    "count(*) filter (where status = 'fail') as failed from report"))
+    "count(*) filter (where status = 'fail') as failed from report")))
 def quality_summary_q(spark, sf):
     return quality_summary(quality_report(listings(spark, sf)))
 
 
-@register("quality_failing", _report_sql_to("select * from report where status = 'fail'"))
+@register("quality_failing", O.quality_sql(then="select * from report where status = 'fail'"))
 def quality_failing(spark, sf):
     return failing(quality_report(listings(spark, sf)))
 
