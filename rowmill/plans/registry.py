@@ -22,7 +22,7 @@ from rowmill.operators.aggregate import aggregate, top_k
 from rowmill.operators.dedup import dedup, dedup_by_join, detect_keys
 from rowmill.operators.profile import profile, take_ordered
 from rowmill.operators.quality import QualitySpec, duplicate_groups, failing, quality_report, quality_summary
-from rowmill.operators.reports import REPORTS, segment_state
+from rowmill.operators.reports import REPORTS, run_reports, segment_state
 from rowmill.operators.route import Rule, apply_rule_set, route
 from rowmill.operators.validate import (
     ValidationSpec, annotate, error_counts, invalid_sample, normalize_zip, split, validation_counts, zip_changes,
@@ -910,3 +910,22 @@ def top_states_sql(spark, sf):
     (name,) = publish_tables(spark, root, ["market_trends"], location=shared_dir(spark, "tables"), prefix="rowmill_top_")
     return spark.sql(f"select state, avg_price, num_properties from {name} "
                      "order by avg_price desc nulls last, state, city limit 5")
+
+
+# ---------------------------------------------------------------- all reports in one pass (R8 option)
+def _one_pass(spark, sf, name):
+    return run_reports(listings(spark, sf), scale=SCALE, one_pass=True)[name]
+
+
+@register("reports_one_pass_market_trends", O.listings_query(_MARKET))
+def reports_one_pass_market_trends(spark, sf):
+    return _one_pass(spark, sf, "market_trends")
+
+
+@register(
+    "reports_one_pass_broker",
+    O.listings_query(f"select brokered_by, count(*) as num_listings, {O.davg('price')} as avg_price, "
+                     f"{O.dsum('price')} as total_listing_value from listings group by brokered_by"),
+)
+def reports_one_pass_broker(spark, sf):
+    return _one_pass(spark, sf, "broker_performance")
