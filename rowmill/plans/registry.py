@@ -929,3 +929,11 @@ def reports_one_pass_market_trends(spark, sf):
 )
 def reports_one_pass_broker(spark, sf):
     return _one_pass(spark, sf, "broker_performance")
+
+
+@register("report_market_trends_approx")
+def report_market_trends_approx(spark, sf):
+    # D8 option: one-pass percentile_approx sketch (accuracy 10,000) instead of the exact median.
+    # Rows-only: its median may differ from SQL percentile_disc by the sketch's rank error and
+    # takes the lower middle value for even counts, so no SQL oracle states it exactly.
+    return REPORTS["market_trends"](listings(spark, sf), scale=SCALE, median="approx")
