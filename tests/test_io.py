@@ -128,3 +128,14 @@ def test_reader_options_and_compression(spark, tmp_path, sample):
     assert tuple(df.first()) == ("x;1", 2)
     out = write_table(sample, str(tmp_path / "z"), formats=("parquet",), compression="zstd")
     assert glob.glob(out["parquet"] + "/*.zstd.parquet")
+
+
+def test_publish_bucketed(spark, sample, tmp_path):
+    root = str(tmp_path / "outputs")
+    write_table(sample, root + "/routed", formats=("parquet",))
+    publish_tables(spark, root, ["routed"], location=str(tmp_path / "tables"), prefix="b_",
+                   buckets={"routed": (4, ["city", "state"])})
+    t = spark.table("b_routed")
+    assert t.count() == 10
+    plan = t.groupBy("city", "state").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # already partitioned by the bucket columns
