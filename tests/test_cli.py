@@ -58,7 +58,6 @@ def test_take_is_ordered_and_parallel(spark, root):
 
 
 def test_cleanse_normalisation_scope(spark, root):
-    from pyspark.sql import functions as F  # noqa: F401
     main(["cleanse", "--root", root, "--keys", "street,city,state,zip_code", "--lowercase", "--columns", "city",
           "--write-output"], spark)
     out = spark.read.parquet(root + "/processed/cleanse_dedup/parquet")

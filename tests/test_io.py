@@ -1,5 +1,4 @@
 import glob
-import os  # noqa: F401
 
 import pytest
 
