@@ -175,3 +175,45 @@ def test_quality_counts_match_plain_python(spark, data):
     assert got["min:price"]["out_of_range"] == below and got["max:bed"]["out_of_range"] == above
     assert got["unique_keys:street,city"]["duplicate_key_groups"] == dup
     assert all(r["total_rows"] == n for r in got.values())
+
+
+def _parse_py(s):
+    """Plain-Python statement of the four date formats, first match wins."""
+    import datetime as dt
+    import re
+    if s is None:
+        return None
+    patterns = (
+        (r"(\d{4})-(\d{2})-(\d{2})", (0, 1, 2)),   # yyyy-MM-dd
+        (r"(\d{2})/(\d{2})/(\d{4})", (2, 0, 1)),   # MM/dd/yyyy
+        (r"(\d{1,2})/(\d{1,2})/(\d{4})", (2, 0, 1)),  # M/d/yyyy
+        (r"(\d{4})/(\d{2})/(\d{2})", (0, 1, 2)),   # yyyy/MM/dd
+    )
+    for pat, (y, m, d) in patterns:
+        hit = re.fullmatch(pat, s)
+        if hit:
+            g = hit.groups()
+            try:
+                return dt.date(int(g[y]), int(g[m]), int(g[d]))
+            except ValueError:
+                continue
+    return None
+
+
+date_text = st.one_of(
+    st.none(),
+    st.builds(lambda y, m, d, f: f.format(y=y, m=m, d=d),
+              st.integers(1990, 2030), st.integers(0, 13), st.integers(0, 32),
+              st.sampled_from(["{y}-{m:02d}-{d:02d}", "{m:02d}/{d:02d}/{y}", "{m}/{d}/{y}", "{y}/{m:02d}/{d:02d}",
+                               "{y}-{m}-{d}", "{d:02d}.{m:02d}.{y}", "{y}{m:02d}{d:02d}"])),
+    st.text(alphabet="0123456789/-", max_size=10),
+)
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(date_text, min_size=1, max_size=25))
+def test_parse_date_matches_plain_python(spark, values):
+    from rowmill.functions import parse_date
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = [r[0] for r in df.select(parse_date("s")).collect()]
+    assert got == [_parse_py(v) for v in values]
