@@ -3,7 +3,7 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from rowmill.operators import annotate, dedup, quality_report, quality_summary, split
+from rowmill.operators import annotate, apply_rule_set, dedup, quality_report, quality_summary, split
 from rowmill.operators.quantile import percentile_disc
 from rowmill.operators.reports import run_reports
 
@@ -217,3 +217,40 @@ def test_parse_date_matches_plain_python(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = [r[0] for r in df.select(parse_date("s")).collect()]
     assert got == [_parse_py(v) for v in values]
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.tuples(
+    st.one_of(st.none(), st.text(alphabet="0123456789-a ", max_size=11)),
+    st.one_of(st.none(), st.sampled_from([0.0, 0.2499, 0.25, 0.5, 1.0, 1.0001, 7.5, -1.0])),
+    st.one_of(st.none(), st.sampled_from([999999.0, 1000000.0, 1000001.0, 5.0])),
+    st.one_of(st.none(), st.integers(0, 6)),
+    st.one_of(st.none(), st.sampled_from([1999.0, 2000.0, 2500.0])),
+), min_size=1, max_size=25))
+def test_codes_buckets_and_routing_match_plain_python(spark, values):
+    from pyspark.sql import functions as F
+    from rowmill.functions import lot_bucket, normalize_code
+    df = spark.createDataFrame(values, "zip string, acre_lot double, price double, beds int, sqft double")
+    out = apply_rule_set(df).select(normalize_code("zip", 5, numeric=True).alias("z"),
+                                    lot_bucket(F.col("acre_lot")).alias("b"), "segment").collect()
+
+    def zip_py(z):
+        if z is None:
+            return None
+        digits = "".join(ch for ch in z if ch.isdigit())
+        return digits[:5] if len(digits) >= 5 else digits.rjust(5, "0")
+
+    def bucket_py(a):
+        if a is None:
+            return "unknown"
+        return "small" if a < 0.25 else "medium" if a <= 1.0 else "large"
+
+    def segment_py(price, beds, sqft):
+        if price is not None and price > 1_000_000:
+            return "luxury"
+        if beds is not None and sqft is not None and beds >= 3 and sqft >= 2000:
+            return "family"
+        return "standard"
+
+    expected = [(zip_py(z), bucket_py(a), segment_py(p, b, s)) for z, a, p, b, s in values]
+    assert [tuple(r) for r in out] == expected
