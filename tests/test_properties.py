@@ -254,3 +254,22 @@ def test_codes_buckets_and_routing_match_plain_python(spark, values):
 
     expected = [(zip_py(z), bucket_py(a), segment_py(p, b, s)) for z, a, p, b, s in values]
     assert [tuple(r) for r in out] == expected
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=frames, mode=st.sampled_from(["drop", "group"]))
+def test_dedup_winner_matches_brute_force(spark, data, mode):
+    df = spark.createDataFrame(data, SCHEMA)
+    got = sorted(map(repr, (tuple(r) for r in dedup(df, ["street", "city"], null_keys=mode).collect())))
+
+    def order_key(row):  # remaining columns ascending, nulls first
+        return tuple((v is not None, v) for v in row[2:])
+
+    best = {}
+    for row in data:
+        key = row[:2]
+        if mode == "drop" and (key[0] is None or key[1] is None):
+            continue
+        if key not in best or order_key(row) < order_key(best[key]):
+            best[key] = row
+    assert got == sorted(map(repr, best.values()))
