@@ -273,3 +273,32 @@ def test_dedup_winner_matches_brute_force(spark, data, mode):
         if key not in best or order_key(row) < order_key(best[key]):
             best[key] = row
     assert got == sorted(map(repr, best.values()))
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(st.tuples(st.sampled_from(["g", "h", None]),
+                               st.one_of(st.none(), st.sampled_from(["1.25", "-3", "10", "abc", " 7 ", "", "0.01"]))),
+                     min_size=1, max_size=30))
+def test_spec_aggregates_match_plain_python(spark, data):
+    from decimal import Decimal
+
+    from rowmill.operators import aggregate
+    df = spark.createDataFrame(data, "g string, v string")
+    got = {r["g"]: r.asDict() for r in aggregate(df, ["g"], "v:sum,v:min,v:max,v:avg,v:count", scale=2).collect()}
+
+    def num(text):
+        try:
+            return Decimal(text.strip()) if text is not None and text.strip() else None
+        except Exception:  # noqa: BLE001
+            return None
+
+    for g in {k for k, _ in data}:
+        vals = [num(v) for k, v in data if k == g]
+        vals = [v for v in vals if v is not None]
+        row = got[g]
+        assert row["v_count"] == len(vals)
+        if vals:
+            assert row["v_sum"] == float(sum(vals)) and row["v_min"] == float(min(vals))
+            assert row["v_max"] == float(max(vals)) and row["v_avg"] == float(sum(vals)) / len(vals)
+        else:
+            assert row["v_sum"] is None and row["v_min"] is None and row["v_avg"] is None
