@@ -19,7 +19,7 @@ from rowmill.functions.columns import PRICE, first_present
 from rowmill.functions.text import clean_text, trim_strings
 from rowmill.operators.aggregate import avg_of
 from rowmill.operators.dedup import dedup, detect_keys
-from rowmill.operators.reports import REPORTS, segment_state
+from rowmill.operators.reports import REPORTS, run_reports, segment_state
 from rowmill.operators.route import apply_rule_set
 from rowmill.operators.validate import ValidationSpec, annotate, split, validation_counts
 from rowmill.sinks.scratch import shared_dir
@@ -34,6 +34,7 @@ class PipelineOptions:
     reports: Sequence[str] = tuple(REPORTS)
     scale: int | None = None                   # exact decimal sums/averages when set
     materialize: bool = True                   # write the fork point to the shared folder
+    one_pass: bool = False                     # all reports from one scan (GROUPING SETS)
 
 
 def key_normalizer(c):
@@ -59,8 +60,7 @@ def run(df: DataFrame, opts: PipelineOptions = PipelineOptions()) -> dict[str, D
         annotated = df.sparkSession.read.parquet(path)
     valid, invalid = split(annotated)
     out = {"annotated": annotated, "valid": valid, "invalid": invalid, "counts": validation_counts(annotated)}
-    for name in opts.reports:
-        out[name] = REPORTS[name](valid, scale=opts.scale)
+    out.update(run_reports(valid, opts.reports, scale=opts.scale, one_pass=opts.one_pass))
     out["segment_state"] = segment_state(valid, scale=opts.scale)
     return out
 

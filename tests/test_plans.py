@@ -37,3 +37,12 @@ def test_dedup_on_testdata_lineitem(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     out = dedup(li, ["l_partkey", "l_suppkey"])
     assert out.count() == li.select("l_partkey", "l_suppkey").distinct().count()
+
+
+def test_pipeline_one_pass_reports_equal(spark, sample):
+    from tests.conftest import rows
+    keys = ["street", "city", "state", "zip_code"]
+    a = run(sample, PipelineOptions(keys=keys, scale=2))
+    b = run(sample, PipelineOptions(keys=keys, scale=2, one_pass=True))
+    for name in ("market_trends", "status_analysis", "time_yearly"):
+        assert rows(a[name]) == rows(b[name])
