@@ -120,6 +120,7 @@ def cmd_route(spark, args) -> dict:
     out = {}
     if args.write_output:
         out["paths"] = write_table(routed, f"{args.root}/processed/routed", coalesce=_coalesce(args.coalesce))
+        routed = spark.read.parquet(out["paths"]["parquet"])  # count from what was written, not a recompute
     out["segments"] = {r[0]: r[1] for r in routed.groupBy("segment").count().collect()}
     print(json.dumps(out))
     return out
@@ -134,6 +135,7 @@ def cmd_aggregate(spark, args) -> dict:
         out = {"groups": {}}
         if args.write_output:
             out["paths"] = write_named(reports, base, coalesce=_coalesce(args.coalesce))
+            reports = {n: spark.read.parquet(p["parquet"]) for n, p in out["paths"].items()}
         for name, rep in reports.items():
             out["groups"][name] = rep.count()
         print(json.dumps(out))
@@ -144,6 +146,7 @@ def cmd_aggregate(spark, args) -> dict:
     out = {}
     if args.write_output:
         out["paths"] = write_table(grouped, base, coalesce=_coalesce(args.coalesce))
+        grouped = spark.read.parquet(out["paths"]["parquet"])
     out["groups"] = grouped.count()
     print(json.dumps(out))
     return out
@@ -163,12 +166,15 @@ def cmd_validate(spark, args) -> dict:
         nonneg=tuple(_csv_list(args.nonneg_cols)), integers=tuple(_csv_list(args.int_cols)),
     )
     ann = annotate(df, spec)
-    c = validation_counts(ann).first()
-    out.update(total=c["total"], valid=c["valid"], invalid=c["invalid"])
-    out["sample_invalid"] = [r.asDict() for r in invalid_sample(ann).collect()]
     if args.write_output:
         valid, invalid = split(ann)
         out["paths"] = write_split(valid, invalid, f"{args.root}/processed/validated", coalesce=_coalesce(args.coalesce))
+        # counts and the sample come from the written tables: no second pass over the input
+        ann = spark.read.parquet(out["paths"]["valid"]["parquet"]).unionByName(
+            spark.read.parquet(out["paths"]["invalid"]["parquet"]))
+    c = validation_counts(ann).first()
+    out.update(total=c["total"], valid=c["valid"], invalid=c["invalid"])
+    out["sample_invalid"] = [r.asDict() for r in invalid_sample(ann).collect()]
     print(json.dumps(out, default=str))
     return out
 
