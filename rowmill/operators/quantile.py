@@ -71,6 +71,8 @@ def percentile_from_counts(
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = list(group_by)
     counts = counts.select(*[named(c) for c in g], named(value).alias(_V), named(count).alias(_C))
+    # an explicit partition count: AQE leaves such a repartition as it is, so both readers of
+    # the exchange below see the same partitions (coalescing could merge them differently per reader)
     ranged = counts.repartitionByRange(nparts, *[named(c).asc_nulls_first() for c in g], F.col(_V).asc())
     ranged = ranged.withColumn(_PID, F.spark_partition_id())
     if str(spark.conf.get("spark.sql.exchange.reuse", "true")).lower() != "true":
