@@ -302,3 +302,19 @@ def test_spec_aggregates_match_plain_python(spark, data):
             assert row["v_max"] == float(max(vals)) and row["v_avg"] == float(sum(vals)) / len(vals)
         else:
             assert row["v_sum"] is None and row["v_min"] is None and row["v_avg"] is None
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=frames)
+def test_profile_and_error_histogram_match_plain_python(spark, data):
+    from collections import Counter
+
+    from rowmill.operators import error_counts, profile
+    df = spark.createDataFrame(data, SCHEMA)
+    prof = {r["column"]: (r["rows"], r["nulls"]) for r in profile(df).collect()}
+    for i, name in enumerate(["street", "city", "zip_code", "price", "bed"]):
+        assert prof[name] == (len(data), sum(1 for row in data if row[i] is None))
+    ann = annotate(df)
+    hist = {r["error"]: r["rows"] for r in error_counts(ann).collect()}
+    expected = Counter(e for r in ann.select("validation_errors").collect() for e in r[0])
+    assert hist == dict(expected)
