@@ -46,3 +46,14 @@ def test_pipeline_one_pass_reports_equal(spark, sample):
     b = run(sample, PipelineOptions(keys=keys, scale=2, one_pass=True))
     for name in ("market_trends", "status_analysis", "time_yearly"):
         assert rows(a[name]) == rows(b[name])
+
+
+def test_rows_only_queries(spark):
+    q = E.queries()
+    stages = q["throughput"](spark, SF_SMALL).collect()
+    assert [r["stage"] for r in stages] == ["read", "dedup", "route", "aggregate"]
+    approx = q["report_market_trends_approx"](spark, SF_SMALL)
+    exact = q["report_market_trends"](spark, SF_SMALL)
+    assert approx.columns == exact.columns
+    assert sorted((r["city"], r["state"], r["num_properties"]) for r in approx.collect()) == sorted(
+        (r["city"], r["state"], r["num_properties"]) for r in exact.collect())
