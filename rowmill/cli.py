@@ -106,7 +106,10 @@ def cmd_cleanse(spark, args) -> dict:
                               strip_punct=args.strip_punct)
         deduped = dedup(df, keys, match_on=match)
     else:
-        deduped = dedup_by_join(df, keys) if args.method == "join" else dedup(df, keys)
+        # after --take the rows come out of a shuffle, whose order is not repeatable: the join
+        # form then reads its id-tagged table from a checkpoint so both sides see the same ids
+        limited = bool(args.take and args.take > 0)
+        deduped = dedup_by_join(df, keys, checkpoint=limited) if args.method == "join" else dedup(df, keys)
     out = {"keys": keys}
     if args.write_output:
         out["paths"] = write_table(deduped, f"{args.root}/processed/cleanse_dedup", coalesce=_coalesce(args.coalesce))

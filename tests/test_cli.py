@@ -74,3 +74,9 @@ def test_price_bounds_can_be_disabled(spark, root):
     assert strict["invalid"] == 8
     off = main(["validate", "--root", root, "--min-price", "none", "--zip-col", "none"], spark)
     assert off["invalid"] == 0
+
+
+def test_cleanse_join_after_take(spark, root):
+    out = main(["cleanse", "--root", root, "--keys", "street,city,state,zip_code", "--method", "join",
+                "--take", "7"], spark)
+    assert out["rows"] == 7
