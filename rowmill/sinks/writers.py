@@ -48,7 +48,8 @@ def write_table(
     (``rebalance`` hint): without it every task writes a file into every value it
     sees (tasks x values small files); with a plain ``repartition`` a value that
     holds a third of the rows would be written by one task.  The hint lets AQE
-    split such a value into advisory-size pieces and merge small ones.
+    split such a value into advisory-size pieces and merge small ones (with AQE
+    off the hint is a plain hash repartition by the partition columns).
     """
     out = df
     if partition_by and rebalance and not (coalesce and coalesce > 0):
