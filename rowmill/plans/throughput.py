@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from rowmill.operators.dedup import dedup, detect_keys
 from rowmill.operators.reports import segment_state
 from rowmill.operators.route import apply_rule_set
+from rowmill.sinks.scratch import shared_dir
 
 SCHEMA = (
     "size string, stage string, seconds double, records bigint, rps double, "
@@ -57,14 +58,35 @@ def _persisted(df: DataFrame) -> tuple[DataFrame, float, int]:
     return p, seconds, rows
 
 
+def _written(df: DataFrame) -> tuple[DataFrame, float, int]:
+    """Hand-off through Parquet in the shared folder: the stage time includes the write."""
+    spark = df.sparkSession
+    path = shared_dir(spark, "throughput")
+    obs = Observation()
+    start = time.perf_counter()
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    seconds = time.perf_counter() - start
+    return spark.read.parquet(path), seconds, int(obs.get["rows"])
+
+
 def measure(
     spark: SparkSession,
     df: DataFrame,
     sizes: Sequence[int] = (-1,),
     keys: Sequence[str] | None = None,
     rule_set: str = "preset_basic",
+    handoff: str = "persist",
 ) -> DataFrame:
-    """One row per (size, stage); size ``<= 0`` means the whole input ("all")."""
+    """One row per (size, stage); size ``<= 0`` means the whole input ("all").
+
+    ``handoff`` is how a stage's output reaches the next stage: ``persist``
+    (executor memory and local disk; fine for samples and local runs) or
+    ``write`` (Parquet in the shared checkpoint folder; the scale-safe choice
+    for a whole large table, and the stage time then includes the write).
+    """
+    if handoff not in ("persist", "write"):
+        raise ValueError("handoff must be 'persist' or 'write'")
+    keep = _persisted if handoff == "persist" else _written
     conf = {name: _conf(spark, key) for name, key in _CONFS}
     keys = list(keys) if keys else detect_keys(df, required=False)
     records: list[tuple] = []
@@ -75,23 +97,24 @@ def measure(
         src = df if label == "all" else df.limit(int(size)).repartition(spark.sparkContext.defaultParallelism)
         held: list[DataFrame] = []
         try:
-            read, t, n_in = _persisted(src)
+            read, t, n_in = keep(src)
             held.append(read)
             records.append((label, "read", t, n_in, n_in))
             if keys:
-                deduped, t, n = _persisted(dedup(read, keys))
+                deduped, t, n = keep(dedup(read, keys))
                 held.append(deduped)
                 records.append((label, "dedup", t, n, n_in))
             else:
                 deduped = read
-            routed, t, n = _persisted(apply_rule_set(deduped, rule_set))
+            routed, t, n = keep(apply_rule_set(deduped, rule_set))
             held.append(routed)
             records.append((label, "route", t, n, n_in))
             t, n = timed(segment_state(routed))
             records.append((label, "aggregate", t, n, n_in))
         finally:
             for h in held:
-                h.unpersist()
+                if handoff == "persist":
+                    h.unpersist()
     rows = [
         (size, stage, round(sec, 4), int(out), round(n_in / sec, 2) if sec > 0 else 0.0,
          conf["aqe"], conf["skew_join"], conf["shuffle_partitions"], conf["broadcast_threshold"])

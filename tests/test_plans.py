@@ -57,3 +57,9 @@ def test_rows_only_queries(spark):
     assert approx.columns == exact.columns
     assert sorted((r["city"], r["state"], r["num_properties"]) for r in approx.collect()) == sorted(
         (r["city"], r["state"], r["num_properties"]) for r in exact.collect())
+
+
+def test_throughput_write_handoff(spark, sample):
+    m = measure(spark, sample, keys=["street", "city", "state", "zip_code"], handoff="write")
+    got = {r["stage"]: r["records"] for r in m.collect()}
+    assert got == {"read": 10, "dedup": 10, "route": 10, "aggregate": 10}
