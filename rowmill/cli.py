@@ -205,7 +205,7 @@ def cmd_quality(spark, args) -> dict:
 def cmd_throughput(spark, args) -> dict:
     df = _read(spark, args, "aggregate")
     sizes = [int(s) for s in _csv_list(args.sizes)] or [-1]
-    m = measure(spark, df, sizes, _csv_list(args.keys) or None)
+    m = measure(spark, df, sizes, _csv_list(args.keys) or None, handoff=args.handoff)
     if args.write_output:
         write_report(m, f"{args.root}/metrics")
     rows = [r.asDict() for r in m.collect()]
@@ -286,6 +286,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--write-output", action="store_true")
     p.add_argument("--sizes", default="-1")
     p.add_argument("--keys")
+    p.add_argument("--handoff", choices=["persist", "write"], default="persist",
+                   help="stage outputs kept in executors (persist) or written to the shared folder (write)")
 
     p = sub.add_parser("persist", help="publish Parquet outputs as catalog tables")
     p.add_argument("--root", default="data")
