@@ -937,3 +937,39 @@ def report_market_trends_approx(spark, sf):
     # Rows-only: its median may differ from SQL percentile_disc by the sketch's rank error and
     # takes the lower middle value for even counts, so no SQL oracle states it exactly.
     return REPORTS["market_trends"](listings(spark, sf), scale=SCALE, median="approx")
+
+
+# ---------------------------------------------------------------- more tables
+@register(
+    "dedup_orders_latest",
+    "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from ("
+    "select *, row_number() over (partition by o_custkey order by o_orderdate desc nulls last, "
+    "o_orderkey asc nulls first) as rn from orders where o_custkey is not null) o where rn = 1",
+)
+def dedup_orders_latest(spark, sf):
+    return dedup(table(spark, sf, "orders"), ["o_custkey"], order_by=["-o_orderdate", "o_orderkey"])
+
+
+_EVENTS_V = dict(
+    required=("event_id", "ts", "event_type"), range_column="value", min_value=0.0, max_value=400.0,
+    zip_column=None, nonneg=("value",), integers=("user_id",), numeric=("props",),
+)
+_EVENT_COLS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+@register(
+    "validate_events",
+    O.annotated_sql(source="events", present=_EVENT_COLS, strings=("event_type", "props"), **_EVENTS_V),
+)
+def validate_events(spark, sf):
+    return _errors_as_text(annotate(table(spark, sf, "events"), ValidationSpec(**_EVENTS_V)))
+
+
+_UNI = r"regexp_replace(trim(regexp_replace(lower(trim({c})), '\s+', ' ', 'g')), '[^\p{{L}}\p{{N}}_\s]', '', 'g')"
+
+
+@register("clean_pages", "select page_id, {u} as url, {h} as html from pages".format(
+    u=_UNI.format(c="url"), h=_UNI.format(c="html")))
+def clean_pages(spark, sf):
+    return normalize_strings(table(spark, sf, "pages"), trim=True, lowercase=True, normalize_spaces=True,
+                             strip_punct=True, unicode=True)
