@@ -80,3 +80,13 @@ def test_cleanse_join_after_take(spark, root):
     out = main(["cleanse", "--root", root, "--keys", "street,city,state,zip_code", "--method", "join",
                 "--take", "7"], spark)
     assert out["rows"] == 7
+
+
+def test_ingest_csv_flags(spark, root, tmp_path):
+    from tests.conftest import SAMPLE_HEADER, SAMPLE_ROWS
+    piped = tmp_path / "piped.csv"
+    piped.write_text("\n".join(r.replace(",", "|") for r in [SAMPLE_HEADER, *SAMPLE_ROWS]))
+    out = main(["ingest", "--input", str(piped), "--delimiter", "|", "--no-header", "--no-infer-schema",
+                "--take", "3"], spark)
+    assert out["rows"] == 3 and set(out["sample"][0]) == {f"_c{i}" for i in range(12)}
+    assert all(isinstance(v, str) for v in out["sample"][0].values())
