@@ -63,3 +63,16 @@ def test_throughput_write_handoff(spark, sample):
     m = measure(spark, sample, keys=["street", "city", "state", "zip_code"], handoff="write")
     got = {r["stage"]: r["records"] for r in m.collect()}
     assert got == {"read": 10, "dedup": 10, "route": 10, "aggregate": 10}
+
+
+def test_entry_module_import_is_side_effect_free():
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, '.'); import __spark_entry__ as E; "
+            "from pyspark import SparkContext; assert SparkContext._active_spark_context is None; "
+            "print(len(E.queries()), len(E.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120,
+                         cwd=__file__.rsplit("/tests/", 1)[0])
+    assert out.returncode == 0, out.stderr[-2000:]
+    n_queries, n_oracles = map(int, out.stdout.split())
+    assert n_queries == n_oracles + 2
