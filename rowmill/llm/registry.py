@@ -6,14 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowmill.llm import bpe, line_dedup, packing
+from pyspark.sql import functions as F
+
+from rowmill.llm import bpe, langid, line_dedup, ngram_join, nn_descent, packing, pii, pivot_topk, quality, token_scan
 from rowmill.llm.common import table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = table(spark, sf_dir, "embeddings")
+    return nn_descent.nearest(emb, emb.where(F.col("vec_id") % 20 == 0))
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.document_tokens(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -22,7 +49,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_line_dedup, op8_bpe, op9_packing)}
+def op10_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = table(spark, sf_dir, "embeddings")
+    return pivot_topk.search(emb, emb.where(F.col("vec_id") % 100 == 0))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (op1_ngram_join, op2_pii, op3_quality, op4_line_dedup, op5_nn_descent, op6_langid, op7_token_scan, op8_bpe, op9_packing, op10_pivot_topk)
+}
 
 ORACLE: dict[str, str] = {
     "op4_line_dedup": r"""
@@ -38,4 +73,41 @@ select doc_id, count(*) as n_lines,
   count(*) filter (where keeper is not null and keeper <> doc_id) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where keeper is null or keeper = doc_id), '')) as kept_sha256
 from keys left join often using (k) group by doc_id""",
+    "op1_ngram_join": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') as w from documents),
+shingled as (
+  select doc_id, case when len(w) = 0 then []
+    when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) end as s
+  from words),
+sets as (select distinct list_sort(s) as s from shingled where len(s) > 0),
+named as (select row_number() over (order by s) as k, s, len(s) as n from sets),
+member as (select doc_id, k from shingled left join named on list_sort(shingled.s) = named.s),
+copies as (select k, count(*) as c from member where k is not null group by k),
+grams as (select k, n, unnest(s) as g from named),
+pairs as (
+  select a.k as i, b.k as j from grams a join grams b on a.g = b.g and a.k <> b.k
+  where 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n)
+  group by a.k, b.k, a.n, b.n having 10 * count(*) >= 8 * (a.n + b.n - count(*))),
+reach(i, j) as (select k, k from named union select reach.i, pairs.j from reach join pairs on reach.j = pairs.i),
+class as (select i, min(j) as label from reach group by i),
+links as (select i, sum(c) as links from pairs join copies on pairs.j = copies.k group by i),
+label as (select label, min(doc_id) as class_id from class join member on class.i = member.k group by label)
+select doc_id, coalesce(class_id, doc_id) as class_id,
+  cast(case when member.k is null then 0 else coalesce(links.links, 0) + copies.c - 1 end as bigint) as n_links
+from member left join class on member.k = class.i left join label using (label)
+left join links on links.i = member.k left join copies on copies.k = member.k""",
+    "op10_pivot_topk": """
+with ints as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from ints q join ints c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+select query_id, cast(rank as int) as rank, vec_id, score from ranked where rank <= 10""",
 }
