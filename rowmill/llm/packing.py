@@ -90,9 +90,8 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
         left[size] -= number
 
     third = capacity // 3
-    partner = capacity
     for size in range(capacity, third, -1):
-        partner = min(partner, size, capacity - size)
+        partner = min(size, capacity - size)
         while left[size]:
             while partner > third and not left[partner]:
                 partner -= 1
