@@ -94,11 +94,11 @@ def count_tokens(spark: SparkSession, path: str, digits: int = HEADER, block: in
                     ends, own, opened = scan_block(ids, at, block, digits)
                     n = len(ends)
                     # documents that start and end inside: kind 0; the first end: kind 1; the block: kind 2
-                    doc = np.concatenate([own[: max(0, n - 1)], [NO_ID] if n else [], [own[-1] if n else NO_ID if opened is None else opened]]).astype(np.int64)
+                    doc = np.array([*own[: max(0, n - 1)], *[NO_ID][: n > 0], own[-1] if n else NO_ID if opened is None else opened], np.int64)
                     kind = np.array([0] * max(0, n - 1) + [1] * (n > 0) + [2], np.int32)
-                    k = np.concatenate([np.arange(1, n), [0] * (n > 0), [n]]).astype(np.int64)
-                    size = np.concatenate([np.diff(ends) - 1 - digits, [0] * (n > 0), [n]]).astype(np.int64)
-                    end = np.concatenate([ends[1:], ends[:1], ends[-1:] if n else [-1]]).astype(np.int64)
+                    k = np.array([*range(1, n), *[0][: n > 0], n], np.int64)
+                    size = np.array([*(np.diff(ends) - 1 - digits), *[0][: n > 0], n], np.int64)
+                    end = np.array([*ends[1:], *ends[:1], ends[-1] if n else -1], np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array([file] * len(doc)), pa.array(np.full(len(doc), b, np.int64)), pa.array(kind), pa.array(k), pa.array(doc), pa.array(size), pa.array(end)], names)
                     if b == 0 and n:  # the file's own first document, open before the first block
                         yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([-1], pa.int64()), pa.array([2], pa.int32()), pa.array([0], pa.int64()), pa.array([opened], pa.int64()), pa.array([0], pa.int64()), pa.array([-1], pa.int64())], names)
