@@ -2,25 +2,55 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import rowmill
 from rowmill.sinks.scratch import ensure_checkpoint_dir, shared_dir
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once a session, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(rowmill.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="rowmill-code-"), "rowmill.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    _SHIPPED.add(sc.applicationId)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, under its own names (extra columns, whatever
     they are called, never meet the operator's)."""
+    ship_code(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str, str]:
+    """``docs`` with its columns named x0, x1, ..., and the new names of the id and the text.  No name that
+    a caller may have chosen meets an operator's own then; ``toDF(*docs.columns)`` restores them."""
+    ship_code(docs.sparkSession)
+    names = [f"x{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*names), names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
+
+
 def saved(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder; the lineage is cut, so a
     lost executor costs no recomputation.  Spark removes the files with the last reference."""

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.llm.bpe import few
-from rowmill.llm.common import binary, id_text, parts, written
+from rowmill.llm.common import binary, id_text, numbered, parts, written
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -191,17 +191,17 @@ def kept_lines(text: bytes, last: int | None, packed: bytes | None) -> tuple[int
     return len(own), [own[k] for k in keep(last + 1, packed)] + own[last + 1 :]
 
 
-def with_bitmaps(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    """Columns of ``docs`` plus __doc, __last, __keep (null: all lines stay)."""
+def with_bitmaps(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int) -> DataFrame:
+    """Columns of ``docs`` plus __last, __keep (null: all lines stay)."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few(batches):
-            own = pa.array([text_mark(x) for x in binary(batch.column("text"))], pa.int64())
+            own = pa.array([text_mark(x) for x in binary(batch.column(text_col))], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, "__mark"])
 
-    keyed = docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
+    keyed = docs.withColumn("__doc", F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema) + ", `__mark` long"
-    maps = keep_bitmaps(with_keys(id_text(docs)), min_chars, min_docs).toDF("__doc", "__mark", "__last", "__keep")
+    maps = keep_bitmaps(with_keys(id_text(docs, id_col, text_col)), min_chars, min_docs).toDF("__doc", "__mark", "__last", "__keep")
     return keyed.mapInArrow(mark, schema).join(maps, ["__doc", "__mark"], "left")
 
 
@@ -225,19 +225,21 @@ def line_report(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
                 sha.append(hashlib.sha256(text if packed is None else b"\n".join(rest)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
-    both = with_bitmaps(id_text(docs), min_chars, min_docs)
+    both = with_bitmaps(id_text(docs), "doc_id", "text", min_chars, min_docs)
     return both.select("doc_id", "text", "__last", "__keep").mapInArrow(report, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with the lines gone from ``text`` (null stays null); all columns and rows are kept."""
-    both = with_bitmaps(docs, min_chars, min_docs).select(*docs.columns, "__last", "__keep")
+    inner, own_id, own_text = numbered(docs)
+    both = with_bitmaps(inner, own_id, own_text, min_chars, min_docs).select(*inner.columns, "__last", "__keep")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few(batches):
-            old = batch.column("text")
+            old = batch.column(own_text)
             new = [None if t is None else t if p is None else b"\n".join(kept_lines(t, k, p)[1]) for t, k, p in zip(old.cast(pa.binary()).to_pylist(), batch.column("__last").to_pylist(), batch.column("__keep").to_pylist())]
-            at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, pa.field("text", pa.string()), pa.array(new, pa.binary()).cast(pa.string())).select(docs.columns)
+            at = batch.schema.get_field_index(own_text)
+            yield batch.set_column(at, pa.field(own_text, pa.string()), pa.array(new, pa.binary()).cast(pa.string())).select(names)
 
-    return both.mapInArrow(cut, docs.schema)
+    names = inner.columns
+    return both.mapInArrow(cut, inner.schema).toDF(*docs.columns)

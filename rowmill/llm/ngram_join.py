@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowmill.llm.bpe import few
-from rowmill.llm.common import id_text, parts, saved, strings, written
+from rowmill.llm.common import id_text, numbered, parts, saved, strings, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -378,9 +378,11 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = T
     stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th"))
     marked = gone.groupBy("doc_id", "th").agg(F.max(stays).alias("__stays"), F.count("*").alias("__rows"))
     marked = marked.toDF("__id", "__th", "__stays", "__rows")
-    keyed = docs.withColumn("__hash", F.xxhash64(F.col("text").cast("string")))
-    both = keyed.join(marked, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")), "left")
-    once = both.where("__stays is null or (__stays and __rows = 1)").select(docs.columns)
+    inner, own_id, own_text = numbered(docs)
+    keyed = inner.withColumn("__hash", F.xxhash64(F.col(own_text).cast("string")))
+    both = keyed.join(marked, F.col(own_id).cast("long").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")), "left")
+    once = both.where("__stays is null or (__stays and __rows = 1)").select(inner.columns)
     again = both.where("__stays and __rows > 1")
-    first = Window.partitionBy("__id", "__th").orderBy(*(F.col(c) for c in docs.columns if c not in ("doc_id", "text")), "text")
-    return once.unionByName(again.withColumn("__k", F.row_number().over(first)).where("__k = 1").select(docs.columns))
+    first = Window.partitionBy("__id", "__th").orderBy(F.to_json(F.struct(*inner.columns)))
+    again = again.withColumn("__k", F.row_number().over(first)).where("__k = 1").select(inner.columns)
+    return once.unionByName(again).toDF(*docs.columns)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from rowmill.llm.bpe import few
-from rowmill.llm.common import id_text, strings
+from rowmill.llm.common import id_text, ship_code, strings
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -326,6 +326,7 @@ def redacted(text: str) -> str:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced (null stays null); all columns and rows are kept."""
+    ship_code(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few(batches):

@@ -220,10 +220,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataF
     if found is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(found[0])
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few(batches):
-            x = np.array([figures(t) for t in binary(batch.column("text"))], np.float32).reshape(-1, FIGURES)
+            x = np.array([figures(t) for t in binary(batch.column(at))], np.float32).reshape(-1, FIGURES)
             yield batch.filter(pa.array(shared.value.score(x.astype(float)) >= CUT))
 
     return docs.mapInArrow(run, docs.schema)

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowmill.llm.common import ship_code
+
 
 def width(emb: DataFrame) -> int:
     """Length of the longest vector; shorter ones count as padded with zeros."""
@@ -17,6 +19,7 @@ def width(emb: DataFrame) -> int:
 
 def usable(emb: DataFrame) -> DataFrame:
     """(vec_id, embedding array<double>) of rows with an id and a vector of finite components."""
+    ship_code(emb.sparkSession)
     own = emb.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return own.where("vec_id is not null and embedding is not null").where(~bad)

@@ -1,0 +1,113 @@
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from rowmill.llm import ngram_join as N
+from tests.llm.cases import EXTRA, edge_docs, edge_rows, empty_docs, prose, tuples
+
+
+def word_sets(text):
+    w = N._WORD((text or "").lower())
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute(rows):
+    """Class (smallest id of the linked rows) and number of links of every row."""
+    sets = [word_sets(t) for _, t in rows]
+    up = list(range(len(rows)))
+    links = [0] * len(rows)
+
+    def top(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    for i, j in combinations(range(len(rows)), 2):
+        a, b = sets[i], sets[j]
+        if a and b and 10 * len(a & b) >= 8 * len(a | b):
+            links[i] += 1
+            links[j] += 1
+            up[max(top(i), top(j))] = min(top(i), top(j))
+    out = []
+    for k, (i, _) in enumerate(rows):
+        ids = [rows[m][0] for m in range(len(rows)) if top(m) == top(k) and rows[m][0] is not None]
+        out.append((i, min(ids) if ids else None, links[k]))
+    return sorted(out, key=repr)
+
+
+def test_edges(spark):
+    got = N.near_duplicates(edge_docs(spark))
+    assert tuples(got, "doc_id", "class_id", "n_links") == brute(edge_rows())
+    assert N.near_duplicates(empty_docs(spark)).collect() == []
+
+
+def near_copies(n, seed=0):
+    """Copies of one text with a few words changed: most pairs are near 0.8, some below."""
+    rng = np.random.default_rng(seed)
+    base = prose(100, 120).split()
+    out = []
+    for k in range(n):
+        own = list(base)
+        for at in rng.choice(len(own), rng.integers(0, 4), replace=False):
+            own[at] = f"w{k}x{at}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_a_group_of_near_copies_among_others(spark, monkeypatch):
+    rows = [(k, t) for k, t in enumerate([*near_copies(60), *(prose(1000 + k, 60) for k in range(40)), *near_copies(5, 9)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert tuples(N.near_duplicates(docs)) == want
+    # the same in blocks, and with every bucket taken for a large one
+    monkeypatch.setattr(N, "BLOCK_NODES", 7)
+    monkeypatch.setattr(N, "LARGE_BUCKET", 2)
+    assert tuples(N.near_duplicates(docs)) == want
+
+
+def test_posterior_bound_is_monotone_and_keeps_the_threshold():
+    from math import comb
+    for n in (16, 32, 128):
+        m = N.least_matches(n)
+        tail = lambda k: sum(comb(n + 1, i) * 0.8**i * 0.2 ** (n + 1 - i) for i in range(k + 1))
+        assert tail(m) >= N.TOLERANCE and (m == 0 or tail(m - 1) < N.TOLERANCE)
+    assert N.least_matches(128) / 128 < 0.8
+    with pytest.raises(ValueError):
+        N.similar(None, threshold=0.5)
+
+
+def test_exact_verification():
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 60, 500, np.uint64))
+    sets = [base]
+    for k in range(1, 40):
+        own = np.concatenate([base[: len(base) - 3 * k], rng.integers(0, 1 << 60, 3 * k, np.uint64)])
+        sets.append(np.unique(own))
+    every = np.arange(len(sets))
+    i, j = N.linked(sets, every, every)
+    want = {(a, b) for a, b in combinations(range(len(sets)), 2) if 10 * len(np.intersect1d(sets[a], sets[b])) >= 8 * len(np.union1d(sets[a], sets[b]))}
+    assert {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist())} == want
+
+
+def test_components(spark):
+    chain = [(k, k + 1) for k in range(40)] + [(100, 101), (102, 101), (103, 100), (7, 7)]
+    got = dict(N.components(spark.createDataFrame(chain, "a long, b long")).collect())
+    assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in (100, 101, 102, 103)}}
+
+
+def test_keep_one(spark):
+    docs = edge_docs(spark)
+    kept = N.keep_one(docs)
+    assert kept.columns == docs.columns and set(EXTRA) <= set(kept.columns)
+    classes = brute(edge_rows())
+    n_wordless = sum(not word_sets(t) for _, t in edge_rows())
+    by_text = {}
+    for i, t in edge_rows():
+        by_text.setdefault(t, []).append(i)
+    rows = tuples(kept, "doc_id", "text")
+    assert len({r[1] for r in rows if word_sets(r[1])}) == len([r for r in rows if word_sets(r[1])])
+    assert sum(not word_sets(t) for _, t in rows) == n_wordless
+    assert [i for i, t in rows if t == "Hello"] == [12]
+    assert {c for _, c, _ in classes if c is not None} >= {i for i, t in rows if word_sets(t) and i is not None}
+    assert N.keep_one(empty_docs(spark)).collect() == []
