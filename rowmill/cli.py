@@ -26,7 +26,7 @@ from rowmill.operators.profile import take_ordered
 from rowmill.operators.quality import QualitySpec, parse_thresholds, quality_report, report_to_dict
 from rowmill.operators.reports import REPORTS, run_reports
 from rowmill.operators.route import RULE_SETS, apply_rule_set
-from rowmill.operators.validate import ValidationSpec, annotate, invalid_sample, normalize_zip, split, validation_counts, zip_changes
+from rowmill.operators.validate import ValidationSpec, annotate, invalid_sample, normalize_zip, validation_counts, zip_changes
 from rowmill.plans.publish import DEFAULT_TABLES, publish_tables
 from rowmill.plans.throughput import measure
 from rowmill.sinks.writers import write_named, write_report, write_split, write_table
@@ -71,7 +71,7 @@ def _common(p: argparse.ArgumentParser, write: bool = True) -> None:
 
 
 def _read(spark: SparkSession, args, stage: str) -> DataFrame:
-    src = args.input or upstream_input(args.root, stage)
+    src = args.input or upstream_input(args.root, stage, spark)
     opts = {}
     if hasattr(args, "delimiter"):
         opts = dict(header=not args.no_header, infer_schema=not args.no_infer_schema, delimiter=args.delimiter)
@@ -106,10 +106,7 @@ def cmd_cleanse(spark, args) -> dict:
                               strip_punct=args.strip_punct)
         deduped = dedup(df, keys, match_on=match)
     else:
-        # after --take the rows come out of a shuffle, whose order is not repeatable: the join
-        # form then reads its id-tagged table from a checkpoint so both sides see the same ids
-        limited = bool(args.take and args.take > 0)
-        deduped = dedup_by_join(df, keys, checkpoint=limited) if args.method == "join" else dedup(df, keys)
+        deduped = dedup_by_join(df, keys) if args.method == "join" else dedup(df, keys)
     out = {"keys": keys}
     if args.write_output:
         out["paths"] = write_table(deduped, f"{args.root}/processed/cleanse_dedup", coalesce=_coalesce(args.coalesce))
@@ -159,8 +156,8 @@ def cmd_validate(spark, args) -> dict:
     df = _read(spark, args, "aggregate")
     out = {}
     if args.zip_normalize and args.zip_col in df.columns:
-        out["zip_changed_rows"] = zip_changes(df, args.zip_col, args.zip_len, args.zip_numeric).first()[0]
-        df = normalize_zip(df, args.zip_col, args.zip_len, args.zip_numeric)
+        out["zip_changed_rows"] = zip_changes(df, args.zip_col, args.zip_len, args.zip_numeric, args.zip_truncate).first()[0]
+        df = normalize_zip(df, args.zip_col, args.zip_len, args.zip_numeric, args.zip_truncate)
     spec = ValidationSpec(
         required=tuple(_csv_list(args.required_cols)), range_column="price",
         min_value=None if args.min_price is None else float(args.min_price),
@@ -170,8 +167,7 @@ def cmd_validate(spark, args) -> dict:
     )
     ann = annotate(df, spec)
     if args.write_output:
-        valid, invalid = split(ann)
-        out["paths"] = write_split(valid, invalid, f"{args.root}/processed/validated", coalesce=_coalesce(args.coalesce))
+        out["paths"] = write_split(ann, f"{args.root}/processed/validated", coalesce=_coalesce(args.coalesce))
         # counts and the sample come from the written tables: no second pass over the input
         ann = spark.read.parquet(out["paths"]["valid"]["parquet"]).unionByName(
             spark.read.parquet(out["paths"]["invalid"]["parquet"]))
@@ -268,6 +264,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--zip-len", type=int, default=5)
     p.add_argument("--zip-normalize", action="store_true")
     p.add_argument("--zip-numeric", action="store_true")
+    p.add_argument("--zip-truncate", action="store_true", help="cut codes longer than --zip-len")
     p.add_argument("--nonneg-cols", default="price,house_size,acre_lot")
     p.add_argument("--int-cols", default="bed,bath")
 

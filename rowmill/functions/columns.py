@@ -97,13 +97,13 @@ def normalize_code(
     col: Column | str,
     length: int | None = 5,
     numeric: bool = True,
-    truncate: bool = True,
+    truncate: bool = False,
     null_as_empty: bool = False,
 ) -> Column:
     """Normalise a postal-style code: text, optionally digits only, left-padded.
 
-    ``lpad`` also cuts values longer than ``length`` (ZIP+4 -> 5 digits); pass
-    ``truncate=False`` to keep long values whole.  A null stays null unless
+    Values longer than ``length`` stay whole; ``truncate=True`` cuts them (ZIP+4 ->
+    5 digits).  A null stays null unless
     ``null_as_empty`` asks for the padded-empty form (all zeros).
     """
     c = F.col(col) if isinstance(col, str) else col

@@ -7,12 +7,15 @@ final aggregate after a hash exchange on the group keys.
 ``scale`` switches sums and averages to exact decimal arithmetic
 (``decimal(38, scale)``): the result no longer depends on the order in which
 partial sums meet, so it is identical run after run and engine after engine.
-The average is then ``sum / count`` over the non-null values, as ``avg`` is.
+The average is then ``sum / count`` over the values summed.  Values that the decimal
+can't hold (NaN, infinities, too large) are left out of both, as a null is;
+:func:`skipped_of` counts them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,66 +23,59 @@ from pyspark.sql import functions as F
 from rowmill.functions.names import named
 
 # --- Fixed values: supported aggregate names ("mean" is "avg").
-AGGREGATES = ("sum", "min", "max", "avg", "count")
 ALIASES = {"mean": "avg"}
 
+_METRIC = re.compile(r"\s*(?P<column>[^:,]*[^:,\s])\s*:\s*(?P<name>\w+)\s*")
 
-def parse_metrics(spec: str | Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
-    """``"price:sum,price:max"`` (or pairs) -> ``[("price", "sum"), ("price", "max")]``."""
-    if not spec:
-        raise ValueError("metrics are required; format col:agg[,col:agg]")
-    parts = spec.split(",") if isinstance(spec, str) else [f"{c}:{a}" for c, a in spec]
-    out: list[tuple[str, str]] = []
-    for part in parts:
-        part = part.strip()
-        if not part:
-            continue
-        if ":" not in part:
-            raise ValueError(f"invalid metric {part!r}; use col:agg")
-        col, agg = (x.strip() for x in part.split(":", 1))
-        agg = ALIASES.get(agg.lower(), agg.lower())
-        if not col or not agg:
-            raise ValueError(f"invalid metric {part!r}; empty column or aggregate")
-        if agg not in AGGREGATES:
-            raise ValueError(f"unsupported aggregate {agg!r} for {col!r}")
-        out.append((col, agg))
-    if not out:
-        raise ValueError("no metrics parsed")
-    return out
-
-
-def _value(df: DataFrame, col: str) -> Column:
-    return named(col).try_cast("double") if col in df.columns else F.lit(None).cast("double")
+
+def exact(x: Column, scale: int) -> Column:
+    """``x`` as ``decimal(38, scale)``; null where it doesn't fit (NaN, infinities, too large)."""
+    return x.try_cast(f"decimal(38,{scale})")
 
 
 def sum_of(x: Column, scale: int | None = None) -> Column:
-    if scale is None:
-        return F.sum(x)
-    return F.sum(x.cast(f"decimal(38,{scale})")).cast("double")
+    """Sum; with ``scale`` of the values that fit the decimal, null if their sum doesn't."""
+    return F.sum(x) if scale is None else F.try_sum(exact(x, scale)).cast("double")
 
 
 def avg_of(x: Column, scale: int | None = None) -> Column:
-    if scale is None:
-        return F.avg(x)
-    return F.try_divide(sum_of(x, scale), F.count(x))
+    """Average; with ``scale`` over exactly the values that :func:`sum_of` adds."""
+    return F.avg(x) if scale is None else F.try_divide(sum_of(x, scale), F.count(exact(x, scale)))
+
+
+def skipped_of(x: Column, scale: int) -> Column:
+    """How many non-null values a sum or average with ``scale`` leaves out."""
+    return F.count_if(x.isNotNull() & exact(x, scale).isNull())
+
+
+AGGREGATES: Mapping[str, Callable[[Column, int | None], Column]] = {
+    "sum": sum_of,
+    "avg": avg_of,
+    "min": lambda x, scale: F.min(x),
+    "max": lambda x, scale: F.max(x),
+    "count": lambda x, scale: F.count(x),
+}
+
+
+def parse_metrics(spec: str | Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
+    """``"price:sum,price:max"`` (or pairs) -> ``[("price", "sum"), ("price", "max")]``.
+
+    All parts that aren't ``column:aggregate`` with a known aggregate are named in one error.
+    """
+    texts = spec.split(",") if isinstance(spec, str) else [":".join(pair) for pair in spec or ()]
+    texts = [t for t in texts if t.strip()]
+    matches = [_METRIC.fullmatch(t) for t in texts]
+    pairs = [(m["column"], ALIASES.get(m["name"].lower(), m["name"].lower())) if m else ("", "") for m in matches]
+    wrong = [t for t, (_, name) in zip(texts, pairs) if name not in AGGREGATES]
+    if wrong or not pairs:
+        raise ValueError(f"metrics are column:aggregate, aggregates {sorted(AGGREGATES)}; got {wrong or spec!r}")
+    return pairs
 
 
 def metric(df: DataFrame, col: str, agg: str, scale: int | None = None, alias: str | None = None) -> Column:
     """One aggregate over ``col`` coerced to double (absent column -> null)."""
-    x = _value(df, col)
-    if agg == "sum":
-        c = sum_of(x, scale)
-    elif agg == "min":
-        c = F.min(x)
-    elif agg == "max":
-        c = F.max(x)
-    elif agg == "avg":
-        c = avg_of(x, scale)
-    elif agg == "count":
-        c = F.count(x)
-    else:
-        raise ValueError(f"unsupported aggregate {agg!r}")
-    return c.alias(alias or f"{col}_{agg}")
+    x = named(col).try_cast("double") if col in df.columns else F.lit(None).cast("double")
+    return AGGREGATES[agg](x, scale).alias(alias or f"{col}_{agg}")
 
 
 def metric_columns(df: DataFrame, metrics, scale: int | None = None) -> list[Column]:

@@ -22,11 +22,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowmill.sinks.scratch import ensure_checkpoint_dir
+from rowmill.sinks.scratch import stored
 
 NULL_KEY_MODES = ("drop", "group", "keep")
 
-# --- Fixed values: key candidates for auto-detection, tried in this order.
+# --- Fixed values: key columns for auto-detection.  Ids come first, then the combination of most columns:
+# a shorter one would merge rows that differ in what it leaves out.
 ID_CANDIDATES = ("parcel_number", "parcelnumber", "parcelid", "apn", "property_id", "mlsnumber", "mls_id", "id")
 KEY_COMBOS = (
     ("address", "zipcode"),
@@ -50,16 +51,13 @@ def detect_keys(df: DataFrame, required: bool = True) -> list[str]:
 
     With ``required`` an undetectable schema raises; otherwise ``[]`` is returned.
     """
-    lower = {c.lower(): c for c in df.columns}
-    for cand in ID_CANDIDATES:
-        if cand in lower:
-            return [lower[cand]]
-    for combo in KEY_COMBOS:
-        if all(k in lower for k in combo):
-            return [lower[k] for k in combo]
-    if required:
-        raise ValueError("could not detect dedup keys; pass keys explicitly")
-    return []
+    own = {c.lower(): c for c in df.columns}
+    choices = [(name,) for name in ID_CANDIDATES] + sorted(KEY_COMBOS, key=len, reverse=True)
+    fitting = (choice for choice in choices if own.keys() >= set(choice))
+    keys = [own[name] for name in next(fitting, ())]
+    if required and not keys:
+        raise ValueError(f"none of the known key columns is in {sorted(own)}; pass keys explicitly")
+    return keys
 
 
 def _order_exprs(df: DataFrame, keys: Sequence[str], order_by, keys_vary: bool = False) -> list[tuple[Column, bool]]:
@@ -161,7 +159,6 @@ def dedup_by_join(
     order_by: Sequence[str | Column] | str | None = None,
     null_keys: str = "drop",
     on_missing_keys: str = "error",
-    checkpoint: bool = False,
 ) -> DataFrame:
     """Self-join form: the winning row id per key, joined back on keys + id.
 
@@ -170,11 +167,10 @@ def dedup_by_join(
     rows.  Rows with a null key never match the join (``drop``) unless
     ``null_keys='group'`` compares keys null-safely.
 
-    The row id is evaluated on both sides of the join; that gives the same ids
-    for a deterministic input (a file scan and the transformations above it).
-    For an input whose row order is not repeatable (a round-robin repartition,
-    a sample) pass ``checkpoint=True``: the id-tagged table is then written once
-    to the shared checkpoint folder and both sides read it.
+    The id-tagged table is written once to the shared scratch folder and both
+    sides of the join read it.  An id evaluated on both sides would differ as soon
+    as their plans do (other columns, other partitions after AQE) and rows would
+    be lost.
     """
     keys = _prepare(df, keys, null_keys, on_missing_keys)
     if keys is None:
@@ -182,10 +178,7 @@ def dedup_by_join(
     if null_keys == "keep":
         raise ValueError("dedup_by_join supports null_keys 'drop' or 'group'")
     cols = df.columns
-    with_id = df.withColumn(_RID, F.monotonically_increasing_id())
-    if checkpoint:
-        ensure_checkpoint_dir(df.sparkSession)
-        with_id = with_id.checkpoint(eager=True)
+    with_id = stored(df.withColumn(_RID, F.monotonically_increasing_id()), "dedup")
     # physical order: the row id itself decides (one evaluation of the id, shared by both sides)
     order = [] if order_by == "physical" else _order_exprs(df, keys, order_by)
     if any(desc for _, desc in order):

@@ -6,7 +6,8 @@ single ``groupBy`` aggregates with map-side partial aggregation.
 
 The market-trends median is exact by default (SQL ``percentile_disc(0.5)``,
 computed as a distributed prefix sum, see :mod:`rowmill.operators.quantile`),
-so no group is ever buffered in one task.  ``median="approx"`` uses
+so no group is ever buffered in one task; its table of (city, state, price) counts
+is written to the shared scratch folder when the report is built.  ``median="approx"`` uses
 ``percentile_approx`` instead: a mergeable sketch of bounded size, one pass,
 rank error below 1/accuracy of the group size.
 """
@@ -15,18 +16,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.functions.columns import ACRES, BATH, BEDS_AGG, PRICE, SIZE_AGG, dimension, first_present, lot_bucket, year_of
-from rowmill.operators.aggregate import avg_of, sum_of
-from rowmill.operators.quantile import attach, percentile_disc
+from rowmill.operators.aggregate import avg_of, exact, sum_of
+from rowmill.operators.quantile import attach, percentile_from_counts
+from rowmill.sinks.scratch import stored
 
 MEDIAN_ACCURACY = 10_000
 
 
-
-
 def market_trends(df: DataFrame, scale: int | None = None, median: str = "exact",
                   median_accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
     price, size = first_present(df, PRICE), first_present(df, SIZE_AGG)
@@ -41,16 +41,30 @@ def market_trends(df: DataFrame, scale: int | None = None, median: str = "exact"
         )
     if median != "exact":
         raise ValueError("median must be 'exact' or 'approx'")
-    base = dims.groupBy("city", "state").agg(
-        avg_of(p, scale).alias("avg_price"),
-        F.count(F.lit(1)).alias("num_properties"),
-        avg_of(s, scale).alias("avg_house_size"),
-    )
-    med = percentile_disc(dims, ["city", "state"], p, 0.5, alias="median_price")
+    # sums and counts by (city, state, price), stored: averages and median both follow from
+    # this table, so the facts are read and joined once
+    cells = stored(dims.groupBy("city", "state", "__price").agg(*_parts(p, s, scale)), "market-trends")
+    med = percentile_from_counts(cells.filter(p.isNotNull()), ["city", "state"], "__price", "__rows", 0.5, "median_price")
+    base = cells.groupBy("city", "state").agg(*_whole(scale))
     out = attach(base, med, ["city", "state"], ["median_price"])
     return out.select("city", "state", "avg_price", "median_price", "num_properties", "avg_house_size")
 
 
+def _parts(p: Column, s: Column, scale: int | None) -> list[Column]:
+    """Counts and sums of price and size that add up to those of a larger group."""
+    price, size = (p, s) if scale is None else (exact(p, scale), exact(s, scale))
+    total = F.sum if scale is None else F.try_sum
+    return [F.count(F.lit(1)).alias("__rows"), total(price).alias("__sum_p"), F.count(price).alias("__n_p"),
+            total(size).alias("__sum_s"), F.count(size).alias("__n_s")]
+
+
+def _whole(scale: int | None) -> list[Column]:
+    """The report's averages and count from :func:`_parts` of smaller groups."""
+    total = F.sum if scale is None else F.try_sum
+    mean = lambda k: F.try_divide(total(f"__sum_{k}").cast("double"), F.sum(f"__n_{k}"))
+    return [mean("p").alias("avg_price"), F.sum("__rows").alias("num_properties"), mean("s").alias("avg_house_size")]
+
+
 def property_type_size(df: DataFrame, scale: int | None = None) -> DataFrame:
     price = first_present(df, PRICE)
     return df.groupBy(
@@ -124,8 +138,8 @@ def run_report(df: DataFrame, name: str, scale: int | None = None) -> DataFrame:
 
 
 def run_reports(df: DataFrame, names: Iterable[str] | None = None, scale: int | None = None,
-                one_pass: bool = False, materialize_to: str | None = None) -> dict[str, DataFrame]:
-    """Lazy plans for the chosen reports (all by default).
+                one_pass: bool = False) -> dict[str, DataFrame]:
+    """Plans for the chosen reports (all by default).
 
     By default each report is its own plan and prunes the scan to the 2-4
     columns it needs.  ``one_pass=True`` computes them together from one scan
@@ -136,13 +150,15 @@ def run_reports(df: DataFrame, names: Iterable[str] | None = None, scale: int |
         if n not in REPORTS:
             raise ValueError(f"unknown report {n!r}; known: {sorted(REPORTS)}")
     if one_pass:
-        return reports_one_pass(df, names, scale, materialize_to)
+        return reports_one_pass(df, names, scale)
     return {n: run_report(df, n, scale) for n in (names or REPORTS)}
 
 
 # --- one pass for all reports ------------------------------------------------------------
 
-_DIMS = ("city", "state", "bed", "bath", "lot_bucket", "brokered_by", "status", "year")
+# --- Fixed values: the reports' groupings and column names.
+_CELL = ("city", "state", "__cell")
+_DIMS = ("city", "state", "bed", "bath", "lot_bucket", "brokered_by", "status", "year", "__cell")
 _SETS = {
     "market_trends": ("city", "state"),
     "property_type_size": ("bed", "bath"),
@@ -166,15 +182,13 @@ def _gid(dims: tuple[str, ...]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(_DIMS) if c not in dims)
 
 
-def reports_one_pass(df: DataFrame, names: Iterable[str] | None = None, scale: int | None = None,
-                     materialize_to: str | None = None) -> dict[str, DataFrame]:
+def reports_one_pass(df: DataFrame, names: Iterable[str] | None = None, scale: int | None = None) -> dict[str, DataFrame]:
     """All chosen reports from one scan and one shuffle (``GROUPING SETS``).
 
-    Each input row is expanded once per report and partially aggregated before
-    the shuffle.  The combined result -- one row per report group -- is written
-    to ``materialize_to`` (a shared folder) when given, so the per-report frames
-    read it instead of recomputing the aggregate; the market-trends median
-    still needs its own distributed pass over (city, state, price).
+    Each input row is expanded once per report, and once by (city, state, price)
+    for the market-trends median, and partially aggregated before the shuffle.
+    The combined result -- one row per group -- is written to the shared scratch
+    folder, and every report is read from it.
     """
     names = list(names or REPORTS)
     price, size = first_present(df, PRICE), first_present(df, SIZE_AGG)
@@ -184,10 +198,10 @@ def reports_one_pass(df: DataFrame, names: Iterable[str] | None = None, scale: i
         lot_bucket(first_present(df, ACRES)).alias("lot_bucket"),
         dimension(df, "brokered_by"), dimension(df, "status"),
         year_of(df, "prev_sold_date").alias("year"),
-        price.alias("__price"), size.alias("__size"),
+        price.alias("__price"), size.alias("__size"), price.alias(_CELL[-1]),
     )
     p, s = F.col("__price"), F.col("__size")
-    sets = [list(_SETS[n]) for n in names]
+    sets = [list(_SETS[n]) for n in names] + ([list(_CELL)] if "market_trends" in names else [])
     combined = dims.groupingSets(sets, *_DIMS).agg(
         F.grouping_id().alias("__gid"),
         F.count(F.lit(1)).alias("__rows"),
@@ -197,16 +211,15 @@ def reports_one_pass(df: DataFrame, names: Iterable[str] | None = None, scale: i
         sum_of(p, scale).alias("total_listing_value"),
         avg_of(s, scale).alias("avg_house_size"),
     )
-    if materialize_to:
-        combined.write.mode("overwrite").parquet(materialize_to)
-        combined = df.sparkSession.read.parquet(materialize_to)
+    combined = stored(combined, "reports")
     out: dict[str, DataFrame] = {}
     for name in names:
         part = combined.filter(F.col("__gid") == F.lit(_gid(_SETS[name])))
         part = part.withColumns({"num_properties": F.col("__rows"), "num_listings": F.col("__rows"),
                                  "count": F.col("__rows"), "num_transactions": F.col("__rows")})
         if name == "market_trends":
-            med = percentile_disc(dims, ["city", "state"], p, 0.5, alias="median_price")
+            cells = combined.filter((F.col("__gid") == F.lit(_gid(_CELL))) & F.col(_CELL[-1]).isNotNull())
+            med = percentile_from_counts(cells, ["city", "state"], _CELL[-1], "__rows", 0.5, "median_price")
             part = attach(part, med, ["city", "state"], ["median_price"])
         out[name] = part.select(*_OUTPUT[name])
     return out

@@ -156,7 +156,7 @@ def normalize_zip(
     column: str = "zip_code",
     length: int | None = 5,
     numeric: bool = False,
-    truncate: bool = True,
+    truncate: bool = False,
     null_as_empty: bool = False,
 ) -> DataFrame:
     """Rewrite the zip column in place (string, digits only if ``numeric``, padded)."""
@@ -166,7 +166,7 @@ def normalize_zip(
 
 
 def zip_changes(df: DataFrame, column: str = "zip_code", length: int | None = 5, numeric: bool = False,
-                truncate: bool = True, null_as_empty: bool = False) -> DataFrame:
+                truncate: bool = False, null_as_empty: bool = False) -> DataFrame:
     """Number of rows whose zip text the normalisation changes (one aggregate)."""
     before = F.col(column).cast("string")
     after = normalize_code(F.col(column), length, numeric, truncate, null_as_empty)

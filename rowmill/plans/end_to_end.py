@@ -22,7 +22,7 @@ from rowmill.operators.dedup import dedup, detect_keys
 from rowmill.operators.reports import REPORTS, run_reports, segment_state
 from rowmill.operators.route import apply_rule_set
 from rowmill.operators.validate import ValidationSpec, annotate, split, validation_counts
-from rowmill.sinks.scratch import shared_dir
+from rowmill.sinks.scratch import stored
 
 
 @dataclass(frozen=True)
@@ -55,9 +55,7 @@ def run(df: DataFrame, opts: PipelineOptions = PipelineOptions()) -> dict[str, D
     """All pipeline outputs as DataFrames over one materialised fork point."""
     annotated = prepare(df, opts)
     if opts.materialize:
-        path = shared_dir(df.sparkSession, "pipeline")
-        annotated.write.mode("overwrite").parquet(path)
-        annotated = df.sparkSession.read.parquet(path)
+        annotated = stored(annotated, "pipeline")
     valid, invalid = split(annotated)
     out = {"annotated": annotated, "valid": valid, "invalid": invalid, "counts": validation_counts(annotated)}
     out.update(run_reports(valid, opts.reports, scale=opts.scale, one_pass=opts.one_pass))

@@ -9,6 +9,7 @@ invalid-row sample).  Money and size sums use exact decimal arithmetic
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +30,11 @@ from rowmill.operators.validate import (
 )
 from rowmill.plans import oracle as O
 from rowmill.plans.fixtures import listings, listings_dirty, table
-from rowmill.plans.end_to_end import PipelineOptions, key_normalizer, summary_by_segment
+from rowmill.plans.end_to_end import PipelineOptions, key_normalizer, run as run_pipeline, summary_by_segment
 from rowmill.plans.publish import publish_tables
 from rowmill.plans.throughput import measure
 from rowmill.sinks.scratch import shared_dir
-from rowmill.sinks.writers import write_split, write_table
+from rowmill.sinks.writers import write_named, write_report, write_split, write_table
 from rowmill.sources.files import read_csv, read_table
 from rowmill.streaming.split import annotate_stream, split_stream
 
@@ -53,6 +54,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _unique(what: str) -> str:
+    """A table prefix of its own: sessions that share a catalog don't overwrite each other's tables."""
+    return f"rowmill_{what}_{uuid.uuid4().hex}_"
+
+
 def _errors_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("validation_errors", F.concat_ws("|", F.col("validation_errors")))
 
@@ -84,7 +90,7 @@ def scan_csv(spark, sf):
 def scan_csv_multi(spark, sf):
     li = _lineitem_no_ts(spark, sf)
     returned = _csv_copy(li.filter(F.col("l_returnflag") == "R"), spark)
-    others = _csv_copy(li.filter(F.col("l_returnflag") != "R"), spark)
+    others = _csv_copy(li.filter(~F.col("l_returnflag").eqNullSafe("R")), spark)
     return read_csv(spark, [returned, others])
 
 
@@ -110,6 +116,12 @@ def scan_csv_delim(spark, sf):
     return read_csv(spark, _csv_copy(_lineitem_no_ts(spark, sf), spark, sep="|"), delimiter="|")
 
 
+@register("scan_csv_schema", "select * from lineitem")
+def scan_csv_schema(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return read_csv(spark, _csv_copy(li, spark), schema=li.schema)
+
+
 @register("scan_parquet", "select * from lineitem")
 def scan_parquet(spark, sf):
     return read_table(spark, f"{sf.rstrip('/')}/lineitem.parquet")
@@ -131,8 +143,7 @@ def roundtrip_csv(spark, sf):
 
 @register("roundtrip_split", O.listings_query(O.annotated_sql()))
 def roundtrip_split(spark, sf):
-    valid, invalid = split(annotate(listings(spark, sf)))
-    paths = write_split(valid, invalid, shared_dir(spark, "split"))
+    paths = write_split(annotate(listings(spark, sf)), shared_dir(spark, "split"))
     back = spark.read.parquet(paths["valid"]["parquet"]).unionByName(spark.read.parquet(paths["invalid"]["parquet"]))
     return _errors_as_text(back)
 
@@ -154,7 +165,7 @@ def publish(spark, sf):
     root = shared_dir(spark, "outputs")
     write_table(REPORTS["market_trends"](listings(spark, sf), scale=SCALE), f"{root}/aggregated/market_trends",
                 formats=("parquet",))
-    (name,) = publish_tables(spark, root, ["market_trends"], location=shared_dir(spark, "tables"), prefix="rowmill_")
+    (name,) = publish_tables(spark, root, ["market_trends"], location=shared_dir(spark, "tables"), prefix=_unique("report"))
     return spark.table(name)
 
 
@@ -294,13 +305,12 @@ ORDER_RULES = (
 
 @register(
     "route_custom",
-    "select o_orderkey, o_orderpriority, o_totalprice, o_orderstatus, case when o_orderpriority = '1-URGENT' "
+    "select *, case when o_orderpriority = '1-URGENT' "
     "then 'urgent' when o_totalprice > 300000 then 'large' when o_orderstatus = 'F' then 'failed' "
     "else 'normal' end as order_class from orders",
 )
 def route_custom(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
-    return route(o, ORDER_RULES, default="normal", column="order_class")
+    return route(table(spark, sf, "orders"), ORDER_RULES, default="normal", column="order_class")
 
 
 _ZIPN = r"lpad(regexp_replace(zip_code, '[^0-9]', '', 'g'), 5, '0')"
@@ -308,13 +318,13 @@ _ZIPN = r"lpad(regexp_replace(zip_code, '[^0-9]', '', 'g'), 5, '0')"
 
 @register("zip_normalize", O.listings_query(f"select street, {_ZIPN} as zip_code from listings"))
 def zip_normalize(spark, sf):
-    return normalize_zip(listings(spark, sf), "zip_code", 5, numeric=True).select("street", "zip_code")
+    return normalize_zip(listings(spark, sf), "zip_code", 5, numeric=True, truncate=True).select("street", "zip_code")
 
 
 @register("zip_changed_count",
           O.listings_query(f"select count(*) filter (where zip_code <> {_ZIPN}) as changed_rows from listings"))
 def zip_changed_count(spark, sf):
-    return zip_changes(listings(spark, sf), "zip_code", 5, numeric=True)
+    return zip_changes(listings(spark, sf), "zip_code", 5, numeric=True, truncate=True)
 
 
 # ---------------------------------------------------------------- filters, limits, inspection (F1-F8)
@@ -391,9 +401,32 @@ def dedup_join(spark, sf):
     return dedup_by_join(listings(spark, sf), ["city", "state", "zip_code"])
 
 
-@register("dedup_by_join_normalized", O.listings_query(O.dedup_sql("listings_dirty", ["city", "state", "zip_code"]), dirty=True))
+_KEYS3 = ("city", "state", "zip_code")
+_NORMALIZED = ", ".join(f"{O.norm(c)} as {c}" if c in _KEYS3 else c for c in O.LISTING_COLUMNS)
+
+
+@register("dedup_by_join_normalized", O.listings_query(
+    O.dedup_sql("normalized", _KEYS3), dirty=True, extra_ctes=f"normalized as (select {_NORMALIZED} from listings_dirty)"))
 def dedup_join_dirty(spark, sf):
-    return dedup_by_join(listings_dirty(spark, sf), ["city", "state", "zip_code"])
+    clean = normalize_strings(listings_dirty(spark, sf), trim=True, lowercase=True, normalize_spaces=True, strip_punct=True,
+                              columns=_KEYS3)
+    return dedup_by_join(clean, _KEYS3)
+
+
+_ZIPPED = {"street": "address", "zip_code": "zip"}
+
+
+@register("dedup_auto_keys_zip", O.listings_query(
+    O.dedup_sql("named", ["address", "city", "state", "zip"], cols=[_ZIPPED.get(c, c) for c in O.LISTING_COLUMNS]), dirty=True,
+    extra_ctes="named as (select " + ", ".join(f"{c} as {_ZIPPED.get(c, c)}" for c in O.LISTING_COLUMNS) + " from listings_dirty)"))
+def dedup_auto_keys_zip(spark, sf):
+    df = listings_dirty(spark, sf).withColumnsRenamed(_ZIPPED)
+    return dedup(df, detect_keys(df))
+
+
+@register("dedup_no_keys", O.listings_query("select * from listings_dirty", dirty=True))
+def dedup_no_keys(spark, sf):
+    return dedup(listings_dirty(spark, sf), [], on_missing_keys="skip")
 
 
 @register("dedup_null_drop", O.listings_query(O.dedup_sql("listings", ["brokered_by", "zip_code"])))
@@ -703,7 +736,7 @@ def quality_failing(spark, sf):
 
 # ---------------------------------------------------------------- throughput
 def _throughput(spark, sf):
-    return measure(spark, listings(spark, sf), sizes=(-1,))
+    return measure(spark, listings(spark, sf), sizes=(-1,), handoff="write")
 
 
 @register(
@@ -753,6 +786,64 @@ def end_to_end(spark, sf):
     return summary_by_segment(listings_dirty(spark, sf), PipelineOptions(keys=ADDRESS, scale=SCALE))
 
 
+def _e2e_run(spark, sf):
+    return run_pipeline(listings_dirty(spark, sf), PipelineOptions(keys=ADDRESS, scale=SCALE, one_pass=True))
+
+
+_VALID = f"{_E2E}, v as (select * exclude (errs), errs as validation_errors from annotated where errs = '')"
+
+
+@register("end_to_end_split", O.listings_query(
+    "select * exclude (errs), errs as validation_errors, errs = '' as is_valid from annotated", dirty=True, extra_ctes=_E2E))
+def end_to_end_split(spark, sf):
+    """The whole run; its split outputs, written and read back."""
+    paths = write_split(_e2e_run(spark, sf)["annotated"], shared_dir(spark, "validated"), formats=("parquet",))
+    return _errors_as_text(spark.read.parquet(*(paths[side]["parquet"] for side in ("valid", "invalid"))))
+
+
+@register("end_to_end_reports", O.listings_query(
+    f"select 'broker_performance' as report, brokered_by as name, count(*) as rows, {O.davg('price')} as avg_price from v group by brokered_by "
+    f"union all select 'status_analysis', status, count(*), {O.davg('price')} from v group by status "
+    f"union all select 'market_trends', state || ' ' || city, count(*), {O.davg('price')} from v group by state, city",
+    dirty=True, extra_ctes=_VALID))
+def end_to_end_reports(spark, sf):
+    """The whole run; three of its reports, written to a folder each and read back."""
+    out = _e2e_run(spark, sf)
+    names = {"broker_performance": ("brokered_by", "num_listings"), "status_analysis": ("status", "count"),
+             "market_trends": (F.concat_ws(" ", "state", "city"), "num_properties")}
+    paths = write_named({n: out[n] for n in names}, shared_dir(spark, "aggregated"), formats=("parquet",))
+    parts = [
+        spark.read.parquet(paths[n]["parquet"]).select(
+            F.lit(n).alias("report"), (F.col(k) if isinstance(k, str) else k).alias("name"), F.col(c).alias("rows"), "avg_price")
+        for n, (k, c) in names.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("quality_written", O.quality_sql())
+def quality_written(spark, sf):
+    """The quality report as its sink writes it, read back."""
+    report = quality_report(listings(spark, sf))
+    return spark.read.schema(report.schema).json(write_report(report, shared_dir(spark, "quality"))["json"])
+
+
+@register(
+    "throughput_written",
+    O.listings_query(
+        "select '1000' as size, stage, records from (select 'read' as stage, count(*) as records from first1000 "
+        "union all select 'dedup', count(*) from d union all select 'route', count(*) from d "
+        "union all select 'aggregate', count(*) from (select distinct segment, state from r) g) t",
+        extra_ctes=f"first1000 as (select * from listings order by street limit 1000), "
+                   f"d as ({O.dedup_sql('first1000', ADDRESS)}), r as (select *, {O.ROUTE_BASIC} as segment from d)",
+    ),
+)
+def throughput_written(spark, sf):
+    """Sizes with an order, and the metrics table as its sink writes it, read back."""
+    m = measure(spark, listings(spark, sf), sizes=(1000,), handoff="write", order_by=["street"])
+    back = spark.read.schema(m.schema).json(write_report(m, shared_dir(spark, "metrics"))["json"])
+    return back.select("size", "stage", "records")
+
+
 # ---------------------------------------------------------------- streaming (row-wise operators on a stream)
 @register(
     "stream_split",
@@ -803,13 +894,12 @@ EVENT_RULES = (
 
 @register(
     "route_events",
-    "select event_id, event_type, value, case when event_type = 'purchase' and value > 100 then 'high_value_purchase' "
+    "select *, case when event_type = 'purchase' and value > 100 then 'high_value_purchase' "
     "when event_type = 'error' then 'failure' when event_type in ('click', 'view') and value >= 50 then 'engaged' "
     "else 'other' end as event_class from events",
 )
 def route_events(spark, sf):
-    e = table(spark, sf, "events").select("event_id", "event_type", "value")
-    return route(e, EVENT_RULES, default="other", column="event_class")
+    return route(table(spark, sf, "events"), EVENT_RULES, default="other", column="event_class")
 
 
 _ORDERS_Q = dict(
@@ -907,7 +997,7 @@ def top_states_sql(spark, sf):
     root = shared_dir(spark, "outputs")
     write_table(REPORTS["market_trends"](listings(spark, sf), scale=SCALE), f"{root}/aggregated/market_trends",
                 formats=("parquet",))
-    (name,) = publish_tables(spark, root, ["market_trends"], location=shared_dir(spark, "tables"), prefix="rowmill_top_")
+    (name,) = publish_tables(spark, root, ["market_trends"], location=shared_dir(spark, "tables"), prefix=_unique("top"))
     return spark.sql(f"select state, avg_price, num_properties from {name} "
                      "order by avg_price desc nulls last, state, city limit 5")
 
@@ -931,6 +1021,11 @@ def reports_one_pass_broker(spark, sf):
     return _one_pass(spark, sf, "broker_performance")
 
 
+for _report, _plain in (("property_type_size", "report_property_type_size"), ("lot_size_influence", "report_lot_size"),
+                        ("status_analysis", "report_status"), ("time_yearly", "report_time_yearly")):
+    register(f"reports_one_pass_{_report}", ORACLE[_plain])(lambda spark, sf, name=_report: _one_pass(spark, sf, name))
+
+
 @register("report_market_trends_approx")
 def report_market_trends_approx(spark, sf):
     # D8 option: one-pass percentile_approx sketch (accuracy 10,000) instead of the exact median.

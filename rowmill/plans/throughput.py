@@ -76,6 +76,7 @@ def measure(
     keys: Sequence[str] | None = None,
     rule_set: str = "preset_basic",
     handoff: str = "persist",
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per (size, stage); size ``<= 0`` means the whole input ("all").
 
@@ -83,6 +84,7 @@ def measure(
     (executor memory and local disk; fine for samples and local runs) or
     ``write`` (Parquet in the shared checkpoint folder; the scale-safe choice
     for a whole large table, and the stage time then includes the write).
+    With ``order_by`` a size keeps the first rows in that order instead of any.
     """
     if handoff not in ("persist", "write"):
         raise ValueError("handoff must be 'persist' or 'write'")
@@ -94,7 +96,8 @@ def measure(
         label = "all" if size is None or size <= 0 else str(size)
         # a limit funnels its rows into one partition; spread them again so that the
         # timed stages run with the session's parallelism, not as single tasks
-        src = df if label == "all" else df.limit(int(size)).repartition(spark.sparkContext.defaultParallelism)
+        first = df.orderBy(*order_by) if order_by else df
+        src = df if label == "all" else first.limit(int(size)).repartition(spark.sparkContext.defaultParallelism)
         held: list[DataFrame] = []
         try:
             read, t, n_in = keep(src)

@@ -2,9 +2,11 @@
 
 On a cluster the folder must be visible to every executor and survive the loss
 of any of them, so it is taken from ``spark.checkpoint.dir`` (the shared folder
-the cluster names).  Only when that setting is absent -- a local test session --
-is a local folder created and set, so later ``DataFrame.checkpoint()`` calls use
-it too.
+the cluster names).  Only a local session without that setting gets a folder of
+its own; anywhere else the missing setting is an error.
+
+All scratch paths of a session lie under one folder, which the file system
+removes when the driver ends.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
 
@@ -27,14 +29,42 @@ def _configured(spark: SparkSession) -> str | None:
         return None
 
 
-def shared_dir(spark: SparkSession, name: str = "scratch") -> str:
-    """A fresh, unique path under the shared checkpoint folder (not yet created)."""
+def _root(spark: SparkSession) -> str:
     root = _configured(spark)
-    if not root:
-        root = tempfile.mkdtemp(prefix="rowmill-checkpoint-")
-        spark.conf.set(_CONF, root)
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/rowmill/{name}-{uuid.uuid4().hex}"
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(f"set {_CONF} to a folder that the driver and all executors share (master is {master})")
+    root = tempfile.mkdtemp(prefix="rowmill-checkpoint-")
+    spark.conf.set(_CONF, root)
+    spark.sparkContext.setCheckpointDir(root)
+    return root
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of any path or URI that Spark can read."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def shared_dir(spark: SparkSession, name: str = "scratch") -> str:
+    """A fresh, unique path under the session's shared scratch folder (not yet created)."""
+    base = f"{_root(spark).rstrip('/')}/rowmill-{spark.sparkContext.applicationId}"
+    fs, at = hadoop_path(spark, base)
+    if not fs.exists(at):
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str = "scratch") -> DataFrame:
+    """``df`` computed once, as Parquet in the shared scratch folder, and read back: everything after
+    it reads the same rows, however its plan differs, and a lost executor costs a re-read."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -44,9 +74,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    root = _configured(spark)
-    if not root:
-        root = tempfile.mkdtemp(prefix="rowmill-checkpoint-")
-        spark.conf.set(_CONF, root)
-    sc.setCheckpointDir(root)
+    sc.setCheckpointDir(_root(spark))
     return sc.getCheckpointDir()

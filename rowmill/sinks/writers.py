@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from rowmill.functions.names import named
+from rowmill.operators.validate import split
+from rowmill.sinks.scratch import stored
 
 ARRAY_SEPARATOR = "|"
 
@@ -44,6 +46,10 @@ def write_table(
 ) -> dict[str, str]:
     """Write ``df`` under ``root/<format>`` for each format; returns the paths.
 
+    The plan of ``df`` runs once: Parquet is written first and the other formats are
+    written from it (from a scratch copy if Parquet isn't asked for), so all
+    formats hold the same rows.
+
     With ``partition_by`` the rows are first rebalanced by the partition columns
     (``rebalance`` hint): without it every task writes a file into every value it
     sees (tasks x values small files); with a plain ``repartition`` a value that
@@ -51,12 +57,14 @@ def write_table(
     split such a value into advisory-size pieces and merge small ones (with AQE
     off the hint is a plain hash repartition by the partition columns).
     """
+    if len(formats) > 1 and "parquet" not in formats:
+        df = stored(df, "formats")
     out = df
     if partition_by and rebalance and not (coalesce and coalesce > 0):
         out = out.hint("rebalance", *partition_by)
     out = out.coalesce(coalesce) if coalesce and coalesce > 0 else out
     paths: dict[str, str] = {}
-    for fmt in formats:
+    for fmt in sorted(formats, key=lambda f: f != "parquet"):
         target = f"{root.rstrip('/')}/{fmt}"
         frame = csv_safe(out) if fmt == "csv" else out
         writer = frame.write.mode(mode)
@@ -68,17 +76,23 @@ def write_table(
             writer = writer.option("compression", compression)
         writer.format(fmt).save(target)
         paths[fmt] = target
-    return paths
+        if fmt == "parquet":  # columns in their order and with their types, also those of the folders
+            out = df.sparkSession.read.schema(df.schema).parquet(target).select(*[named(c) for c in df.columns])
+            if partition_by and rebalance and not (coalesce and coalesce > 0):
+                out = out.hint("rebalance", *partition_by)
+            out = out.coalesce(coalesce) if coalesce and coalesce > 0 else out
+    return {fmt: paths[fmt] for fmt in formats}
 
 
 def write_split(
-    valid: DataFrame,
-    invalid: DataFrame,
+    annotated: DataFrame,
     root: str,
     formats: Sequence[str] = ("parquet", "csv"),
     coalesce: int | None = None,
 ) -> dict[str, dict[str, str]]:
-    """Valid and invalid records under ``root/valid`` and ``root/invalid``."""
+    """Valid and invalid records of an annotated table under ``root/valid`` and ``root/invalid``; its
+    plan runs once."""
+    valid, invalid = split(stored(annotated, "split"))
     return {
         "valid": write_table(valid, f"{root.rstrip('/')}/valid", formats, coalesce),
         "invalid": write_table(invalid, f"{root.rstrip('/')}/invalid", formats, coalesce),

@@ -8,51 +8,74 @@ full extra pass over CSV input and can lose information (``02108`` -> 2108).
 
 from __future__ import annotations
 
-import glob as _glob
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-_GLOB_CHARS = set("*?[")
+from rowmill.sinks.scratch import hadoop_path
 
 
-def _is_remote(path: str) -> bool:
-    return "://" in path and not path.startswith("file://")
+def _found(spark: SparkSession, item: str) -> list[str]:
+    """Paths that ``item``, a path or a glob, stands for, sorted; asked of the file system that holds
+    it, as Spark does.  Without a scheme in ``item`` the answers have none either."""
+    fs, at = hadoop_path(spark, item)
+    if fs.exists(at):
+        return [item]
+    hits = fs.globStatus(at) or []
+    bare = at.toUri().getScheme() is None
+    return sorted(h.getPath().toUri().getPath() if bare else h.getPath().toString() for h in hits)
 
 
-def resolve_paths(inputs: str | Sequence[str]) -> list[str]:
-    """Expand local globs into a sorted list; remote URIs pass through unchanged.
+def _session(spark: SparkSession | None) -> SparkSession:
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        raise RuntimeError("paths are looked up through a Spark session; start one first")
+    return spark
 
-    A pattern that matches nothing raises ``FileNotFoundError`` instead of
-    handing Spark an empty list (which fails with an unclear message).
+
+def resolve_paths(inputs: str | Sequence[str], spark: SparkSession | None = None) -> list[str]:
+    """Expand paths and globs, on any storage Spark reads, into a list.
+
+    What matches nothing raises ``FileNotFoundError`` instead of handing Spark an
+    empty list (which fails with an unclear message).
     """
-    items = [inputs] if isinstance(inputs, str) else list(inputs)
+    spark = _session(spark)
     out: list[str] = []
-    for item in items:
-        if _is_remote(item) or not (_GLOB_CHARS & set(item)):
-            if not _is_remote(item) and not os.path.exists(item):
-                raise FileNotFoundError(f"input not found: {item}")
-            out.append(item)
-            continue
-        matches = sorted(_glob.glob(item))
-        if not matches:
-            raise FileNotFoundError(f"no files match: {item}")
-        out.extend(matches)
+    for item in [inputs] if isinstance(inputs, str) else inputs:
+        hits = _found(spark, item)
+        if not hits:
+            raise FileNotFoundError(f"input not found: {item}")
+        out.extend(hits)
     if not out:
         raise FileNotFoundError("no input paths given")
     return out
 
 
-def first_existing(candidates: Sequence[str]) -> str:
-    """First candidate path that exists (upstream fallback chain)."""
+def first_existing(candidates: Sequence[str], spark: SparkSession | None = None) -> str:
+    """First candidate path or glob that exists (upstream fallback chain)."""
+    spark = _session(spark)
     for c in candidates:
-        if _is_remote(c) or os.path.exists(c) or (_GLOB_CHARS & set(c) and _glob.glob(c)):
+        if _found(spark, c):
             return c
     raise FileNotFoundError(f"none of the inputs exist: {list(candidates)}")
 
 
+def _format_of(spark: SparkSession, paths: Sequence[str]) -> str:
+    """CSV, unless a single path is a Parquet file or a folder whose data files aren't CSV."""
+    if len(paths) != 1:
+        return "csv"
+    fs, at = hadoop_path(spark, paths[0])
+    if not fs.getFileStatus(at).isDirectory():
+        return "parquet" if paths[0].endswith(".parquet") else "csv"
+    files = fs.listFiles(at, True)
+    while files.hasNext():  # the first data file tells
+        name = files.next().getPath().getName()
+        if not name.startswith(("_", ".")):
+            return "csv" if ".csv" in name else "parquet"
+    return "parquet"
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -79,12 +102,12 @@ def read_csv(
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", str(bool(infer_schema)).lower())
-    return reader.csv(resolve_paths(paths))
+    return reader.csv(resolve_paths(paths, spark))
 
 
 def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Parquet scan of one directory/file or several."""
-    return spark.read.parquet(*resolve_paths(paths))
+    return spark.read.parquet(*resolve_paths(paths, spark))
 
 
 def read_table(
@@ -93,10 +116,10 @@ def read_table(
     format: str | None = None,
     **csv_options,
 ) -> DataFrame:
-    """Read a table; the format defaults to: one directory -> Parquet, else CSV."""
-    paths = resolve_paths(inputs)
+    """Read a table; without ``format``, one folder of Parquet files is Parquet, all else CSV."""
+    paths = resolve_paths(inputs, spark)
     if format is None:
-        format = "parquet" if len(paths) == 1 and (os.path.isdir(paths[0]) or paths[0].endswith(".parquet")) else "csv"
+        format = _format_of(spark, paths)
     if format == "parquet":
         return spark.read.parquet(*paths)
     if format == "csv":
@@ -111,7 +134,7 @@ UPSTREAM = {
 }
 
 
-def upstream_input(root: str, stage: str = "aggregate") -> str:
+def upstream_input(root: str, stage: str = "aggregate", spark: SparkSession | None = None) -> str:
     """The newest existing hand-off for ``stage`` under ``root`` (routed -> dedup -> raw CSV)."""
     chain = UPSTREAM.get(stage, UPSTREAM["aggregate"])
-    return first_existing([f"{root.rstrip('/')}/{rel}" for rel in chain])
+    return first_existing([f"{root.rstrip('/')}/{rel}" for rel in chain], spark)

@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from rowmill.functions.text import trim_strings
 from rowmill.operators.route import apply_rule_set
 from rowmill.operators.validate import VALID, ValidationSpec, annotate
-from rowmill.sinks.scratch import shared_dir
+from rowmill.sinks.scratch import shared_dir, stored
 
 
 def annotate_stream(
@@ -45,6 +45,7 @@ def annotate_stream(
 
 def _write_batch(root: str):
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = stored(batch, "batch")  # computed once, read by both sides
         for name, cond in (("valid", F.col(VALID)), ("invalid", ~F.col(VALID))):
             batch.filter(cond).write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
     return write

@@ -53,7 +53,7 @@ def failed_tasks(group):
 
 checks = {
     "dedup": lambda src: dedup(src, keys),
-    "dedup_by_join": lambda src: dedup_by_join(src, keys, checkpoint=True),
+    "dedup_by_join": lambda src: dedup_by_join(src, keys),
     "percentile": lambda src: percentile_disc(src, ["l_returnflag"], "l_extendedprice"),
 }
 for name, build in checks.items():

@@ -19,7 +19,7 @@ def test_stage_chain(spark, root, tmp_path):
     assert main(["cleanse", "--root", root, "--auto-keys", "--method", "join"], spark)["keys"] == [
         "street", "city", "state", "zip_code"]
     routed = main(["route", "--root", root, "--write-output", "--coalesce", "1"], spark)
-    assert routed["segments"] == {"luxury": 2, "standard": 8}
+    assert routed["segments"] == {"luxury": 2, "family": 2, "standard": 6}
     reps = main(["aggregate", "--root", root, "--run-all-presets", "--write-output"], spark)
     assert reps["groups"]["time_yearly"] == 9 and set(reps["paths"]) == {
         "market_trends", "property_type_size", "lot_size_influence", "broker_performance", "status_analysis",
@@ -28,7 +28,7 @@ def test_stage_chain(spark, root, tmp_path):
                 "price:sum,price:min,price:max,price:avg,house_size:avg"], spark)
     assert gen["groups"] == 10
     val = main(["validate", "--root", root, "--zip-numeric", "--write-output"], spark)
-    assert (val["total"], val["valid"], val["invalid"]) == (10, 9, 1)  # 02108 was inferred as 2108
+    assert (val["total"], val["valid"], val["invalid"]) == (10, 9, 1)  # 03801 was inferred as 3801
     assert val["sample_invalid"][0]["validation_errors"] == ["zip_wrong_length"]
     fixed = main(["validate", "--root", root, "--zip-numeric", "--zip-normalize"], spark)
     assert (fixed["valid"], fixed["zip_changed_rows"]) == (10, 1)
@@ -54,18 +54,18 @@ def test_take_is_ordered_and_parallel(spark, root):
     df = read_csv(spark, root + "/raw/usa-real-estate/*.csv")
     small = _limit(df, 3)
     assert small.count() == 3 and small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(r["street"] for r in small.collect()) == ["101 Maple Dr", "123 Main St", "202 Elm St"]
+    assert sorted(r["street"] for r in small.collect()) == ["1200 Bluebonnet Dr", "17 Harbor Way", "2204 Mesa Trail"]
 
 
 def test_cleanse_normalisation_scope(spark, root):
     main(["cleanse", "--root", root, "--keys", "street,city,state,zip_code", "--lowercase", "--columns", "city",
           "--write-output"], spark)
     out = spark.read.parquet(root + "/processed/cleanse_dedup/parquet")
-    assert out.filter("city = 'boston'").count() == 1 and out.filter("state = 'MA'").count() == 1
+    assert out.filter("city = 'portsmouth'").count() == 1 and out.filter("state = 'NH'").count() == 1
     main(["cleanse", "--root", root, "--keys", "street,city,state,zip_code", "--lowercase", "--strip-punct",
           "--keep-original-values", "--write-output"], spark)
     out = spark.read.parquet(root + "/processed/cleanse_dedup/parquet")
-    assert out.count() == 10 and out.filter("city = 'Boston'").count() == 1
+    assert out.count() == 10 and out.filter("city = 'Portsmouth'").count() == 1
 
 
 def test_price_bounds_can_be_disabled(spark, root):

@@ -57,6 +57,8 @@ def test_detect_keys(spark):
     assert detect_keys(cols("MLS_ID", "street")) == ["MLS_ID"]
     assert detect_keys(cols("address", "zipcode", "city")) == ["address", "zipcode"]
     assert detect_keys(cols("address", "city", "state")) == ["address", "city", "state"]
+    assert detect_keys(cols("address", "city", "state", "zip")) == ["address", "city", "state", "zip"]
+    assert detect_keys(cols("address", "street", "city", "state", "zip_code")) == ["street", "city", "state", "zip_code"]
     assert detect_keys(cols("street", "city", "state", "zip_code")) == ["street", "city", "state", "zip_code"]
     assert detect_keys(cols("foo"), required=False) == []
     with pytest.raises(ValueError):
@@ -102,7 +104,29 @@ def test_join_form_physical_order_and_odd_names(spark):
     assert dedup(df, ["key col"]).columns == ["key col", "v.x"]
 
 
-def test_join_form_checkpoint_on_unrepeatable_input(spark):
+def test_join_form_on_unrepeatable_input(spark):
     df = spark.range(0, 5000, 1, 4).selectExpr("id % 50 as k", "id as v").repartition(7)  # round-robin order
-    out = dedup_by_join(df, ["k"], checkpoint=True)
+    out = dedup_by_join(df, ["k"])
     assert out.count() == 50 and rows(out) == rows(dedup(df, ["k"]))
+
+
+def test_join_form_survives_without_broadcast_under_aqe(spark):
+    """Counts, keys and rows agree with the window form when nothing is small enough to broadcast."""
+    from rowmill.plans.fixtures import listings
+    from tests.conftest import SF_SMALL
+    keys = ["city", "state", "zip_code"]
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.enabled": "true", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for nulls in ("drop", "group"):
+            want = dedup(listings(spark, SF_SMALL), keys, null_keys=nulls)
+            n = want.count()
+            assert dedup_by_join(listings(spark, SF_SMALL), keys, null_keys=nulls).count() == n > 0
+            assert dedup_by_join(listings(spark, SF_SMALL), keys, null_keys=nulls).select(*keys).count() == n
+            assert rows(dedup_by_join(listings(spark, SF_SMALL), keys, null_keys=nulls)) == rows(want)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -39,9 +39,9 @@ def test_lot_bucket_edges(spark):
 
 def test_normalize_code(spark):
     df = one_col(spark, ["02108", "2108", "90210-1234", "12a345", "", None])
-    got = [r[0] for r in df.select(normalize_code("x", 5, numeric=True)).collect()]
+    got = [r[0] for r in df.select(normalize_code("x", 5, numeric=True, truncate=True)).collect()]
     assert got == ["02108", "02108", "90210", "12345", "00000", None]
-    keep_long = [r[0] for r in df.select(normalize_code("x", 5, numeric=True, truncate=False)).collect()]
+    keep_long = [r[0] for r in df.select(normalize_code("x", 5, numeric=True)).collect()]
     assert keep_long[2] == "902101234"
     as_ref = [r[0] for r in df.select(normalize_code("x", 5, numeric=True, null_as_empty=True)).collect()]
     assert as_ref[-1] == "00000"

@@ -2,7 +2,7 @@ import glob
 
 import pytest
 
-from rowmill.operators import annotate, split
+from rowmill.operators import annotate
 from rowmill.plans.publish import publish_tables
 from rowmill.sinks import shared_dir, write_named, write_split, write_table
 from rowmill.sources import first_existing, read_csv, read_table, resolve_paths
@@ -14,7 +14,7 @@ def test_csv_options(spark, sample_csv, tmp_path):
     assert inferred.count() == 10 and inferred.schema["prev_sold_date"].dataType.simpleString() == "date"
     strings = read_csv(spark, sample_csv, infer_schema=False)
     assert {f.dataType.simpleString() for f in strings.schema.fields} == {"string"}
-    assert strings.filter("city = 'Boston'").first()["zip_code"] == "02108"
+    assert strings.filter("city = 'Portsmouth'").first()["zip_code"] == "03801"
     no_header = read_csv(spark, sample_csv, header=False, infer_schema=False)
     assert no_header.columns[:2] == ["_c0", "_c1"] and no_header.count() == 11
     piped = tmp_path / "piped.csv"
@@ -27,6 +27,7 @@ def test_multi_path_and_globs(spark, sample_csv, tmp_path):
     other.write_text("\n".join([SAMPLE_HEADER, *SAMPLE_ROWS[:3]]))
     assert read_csv(spark, [sample_csv, str(other)]).count() == 13
     assert resolve_paths(str(tmp_path / "*.csv")) == [str(other)]
+    assert resolve_paths(f"file://{tmp_path}/*.csv") == [f"file:{other}"]
     with pytest.raises(FileNotFoundError):
         resolve_paths(str(tmp_path / "*.nothing"))
     with pytest.raises(FileNotFoundError):
@@ -46,9 +47,7 @@ def test_write_and_format_rule(spark, sample, tmp_path):
 
 
 def test_split_sink_arrays_in_csv(spark, sample, tmp_path):
-    ann = annotate(sample, )
-    valid, invalid = split(ann)
-    out = write_split(valid, invalid, str(tmp_path / "v"))
+    out = write_split(annotate(sample), str(tmp_path / "v"))
     assert set(out) == {"valid", "invalid"}
     back = spark.read.parquet(out["valid"]["parquet"])
     assert back.schema["validation_errors"].dataType.simpleString() == "array<string>"
@@ -60,7 +59,7 @@ def test_split_sink_arrays_in_csv(spark, sample, tmp_path):
 def test_partitioned_output(spark, sample, tmp_path):
     p = write_table(sample, str(tmp_path / "p"), formats=("parquet",), partition_by=["state"])["parquet"]
     assert len(glob.glob(p + "/state=*")) == 10
-    pruned = spark.read.parquet(p).filter("state = 'CA'")
+    pruned = spark.read.parquet(p).filter("state = 'NM'")
     assert "PartitionFilters: [isnotnull(state" in pruned._jdf.queryExecution().executedPlan().toString()
     assert pruned.count() == 1
 
@@ -68,7 +67,7 @@ def test_partitioned_output(spark, sample, tmp_path):
 def test_shared_dir_uses_checkpoint_conf(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     d = shared_dir(spark, "t")
-    assert d != shared_dir(spark, "t") and "/rowmill/t-" in d
+    assert d != shared_dir(spark, "t") and "/rowmill-" in d and "/t-" in d
     if configured:
         assert d.startswith(configured.rstrip("/"))
 
@@ -83,7 +82,7 @@ def test_publish_tables(spark, sample, tmp_path, capsys):
     assert spark.table("t_routed").count() == 10
 
 
-def test_upstream_fallback(tmp_path, sample_csv):
+def test_upstream_fallback(spark, tmp_path, sample_csv):
     from rowmill.sources import upstream_input
     raw = tmp_path / "raw" / "usa-real-estate"
     raw.mkdir(parents=True)
@@ -138,3 +137,58 @@ def test_publish_bucketed(spark, sample, tmp_path):
     assert t.count() == 10
     plan = t.groupBy("city", "state").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # already partitioned by the bucket columns
+
+
+def test_uris_and_folders_of_either_format(spark, sample, tmp_path):
+    paths = write_table(sample, f"file://{tmp_path}/b")
+    import os
+    os.rename(f"{tmp_path}/b/parquet", f"{tmp_path}/b/routed")  # no telling suffix
+    for uri in (f"file://{tmp_path}/b/routed", f"file:{tmp_path}/b/routed", f"{tmp_path}/b/routed"):
+        assert read_table(spark, uri).schema == sample.schema and read_table(spark, uri).count() == 10
+    assert read_table(spark, paths["csv"]).count() == 10  # a folder of CSV files
+    with pytest.raises(FileNotFoundError):
+        first_existing([f"file://{tmp_path}/none", f"file:{tmp_path}/nor/this*"])
+    assert first_existing([f"file://{tmp_path}/none", f"file:{tmp_path}/b/routed"]) == f"file:{tmp_path}/b/routed"
+
+
+def test_no_local_scratch_off_local_masters(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from rowmill.sinks import scratch
+    monkeypatch.setattr(scratch, "_configured", lambda s: None)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch.shared_dir(SimpleNamespace(sparkContext=SimpleNamespace(master=master)))
+
+
+def counted(spark, df):
+    """``df`` with an accumulator that counts how often its rows are computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    return df.mapInArrow(touch, df.schema), seen
+
+
+def test_each_write_runs_the_plan_once(spark, sample, tmp_path):
+    from rowmill.streaming.split import _write_batch
+    df, seen = counted(spark, sample)
+    write_table(df, str(tmp_path / "two"))
+    assert seen.value == 10
+    df, seen = counted(spark, sample)
+    write_table(df, str(tmp_path / "text"), formats=("json", "csv"))
+    assert seen.value == 10
+    df, seen = counted(spark, sample)
+    write_split(annotate(df), str(tmp_path / "split"))
+    assert seen.value == 10
+    df, seen = counted(spark, sample)
+    _write_batch(str(tmp_path / "batch"))(annotate(df), 0)
+    assert seen.value == 10
+
+
+def test_partitioned_csv_equals_parquet(spark, sample, tmp_path):
+    p = write_table(sample, str(tmp_path / "p"), partition_by=["bed"])
+    back = read_csv(spark, p["csv"], schema=sample.schema).select(*sample.columns)
+    assert sorted(back.collect()) == sorted(sample.collect())

@@ -8,12 +8,12 @@ import re
 import duckdb
 import pytest
 
-import __spark_entry__ as E
 from rowmill.plans.fixtures import TABLES
+from rowmill.plans.registry import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
 from tools.oracle_check import digest
 
-ORACLE = E.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
     assert not interpreted_operators(df), interpreted_operators(df)
     res = con.execute(ORACLE[name])

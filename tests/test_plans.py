@@ -1,4 +1,5 @@
 import __spark_entry__ as E
+from rowmill.plans import registry
 from rowmill.operators.dedup import dedup
 from rowmill.plans.end_to_end import PipelineOptions, run
 from rowmill.plans.throughput import measure
@@ -12,7 +13,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_but_timings():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(registry.QUERIES) - set(registry.ORACLE)
     assert missing == {"throughput", "report_market_trends_approx"}
 
 
@@ -70,7 +71,9 @@ def test_entry_module_import_is_side_effect_free():
     import sys
     code = ("import sys; sys.path.insert(0, '.'); import __spark_entry__ as E; "
             "from pyspark import SparkContext; assert SparkContext._active_spark_context is None; "
-            "print(len(E.queries()), len(E.oracle_sql()))")
+            "from rowmill.plans.registry import ORACLE, QUERIES; "
+            "assert QUERIES.keys() <= E.queries().keys() and ORACLE.keys() <= E.oracle_sql().keys(); "
+            "print(len(QUERIES), len(ORACLE))")
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120,
                          cwd=__file__.rsplit("/tests/", 1)[0])
     assert out.returncode == 0, out.stderr[-2000:]

@@ -231,7 +231,7 @@ def test_codes_buckets_and_routing_match_plain_python(spark, values):
     from pyspark.sql import functions as F
     from rowmill.functions import lot_bucket, normalize_code
     df = spark.createDataFrame(values, "zip string, acre_lot double, price double, beds int, sqft double")
-    out = apply_rule_set(df).select(normalize_code("zip", 5, numeric=True).alias("z"),
+    out = apply_rule_set(df).select(normalize_code("zip", 5, numeric=True, truncate=True).alias("z"),
                                     lot_bucket(F.col("acre_lot")).alias("b"), "segment").collect()
 
     def zip_py(z):

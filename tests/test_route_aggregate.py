@@ -10,7 +10,7 @@ from tests.conftest import rows
 def test_route_preset_on_sample(sample):
     routed = apply_rule_set(sample)
     counts = dict(rows(routed.groupBy("segment").count()))
-    assert counts == {"luxury": 2, "standard": 8}
+    assert counts == {"luxury": 2, "family": 2, "standard": 6}
 
 
 def test_route_edges_and_null_conditions(spark):
@@ -39,30 +39,48 @@ def test_parse_metrics():
 def test_aggregate_generic(sample):
     out = aggregate(sample, [], "price:sum,price:min,price:max,price:avg,price:count,nope:sum")
     r = out.first().asDict()
-    assert r["price_sum"] == 8000000 and r["price_min"] == 300000 and r["price_max"] == 1500000
-    assert r["price_avg"] == 800000 and r["price_count"] == 10 and r["nope_sum"] is None
+    assert r["price_sum"] == 6000000 and r["price_min"] == 225000 and r["price_max"] == 1250000
+    assert r["price_avg"] == 600000 and r["price_count"] == 10 and r["nope_sum"] is None
     exact = aggregate(sample, ["status"], "price:avg", scale=2)
-    assert dict(rows(exact)) == {"For Sale": 800000.0, "Sold": 800000.0}
+    assert dict(rows(exact)) == {"For Sale": 3530000 / 7, "Sold": 2470000 / 3}
     with pytest.raises(Exception):
         aggregate(sample, ["absent_dim"], "price:sum").collect()
 
 
+def test_scale_leaves_out_what_it_cannot_hold_and_counts_it(spark):
+    from rowmill.operators.aggregate import skipped_of
+    df = spark.createDataFrame([("a", float("nan")), ("a", 1.5), ("a", float("inf")), ("a", 2.5), ("a", 1e40), ("a", None), ("b", 1e40)],
+                               "g string, v double")
+    out = aggregate(df, ["g"], "v:sum,v:avg,v:count", scale=2)
+    assert rows(out) == [("a", 4.0, 2.0, 5), ("b", None, None, 1)]
+    assert rows(df.groupBy("g").agg(skipped_of(F.col("v"), 2))) == [("a", 3), ("b", 1)]
+    big = spark.createDataFrame([(9e35,), (9e35,)], "price double")
+    assert REPORTS["market_trends"](big, scale=2).first()["num_properties"] == 2
+
+
+def test_market_trends_reads_the_facts_once(spark, sample, tmp_path):
+    path = str(tmp_path / "facts")
+    sample.write.parquet(path)
+    plan = market_trends(spark.read.parquet(path), scale=2)._jdf.queryExecution().executedPlan().toString()
+    assert path not in plan  # only the stored (city, state, price) table is read from here on
+
+
 def test_reports_on_sample(sample):
     rep = run_reports(sample)
     assert set(rep) == set(REPORTS)
     lot = {r["lot_bucket"]: r for r in rep["lot_size_influence"].collect()}
-    assert set(lot) == {"small", "medium"}
-    assert round(lot["medium"]["avg_price"], 2) == 916666.67 and round(lot["small"]["avg_house_size"], 2) == 1507.14
-    status = {r["status"]: (r["count"], r["avg_price"], round(r["avg_house_size"], 2)) for r in rep["status_analysis"].collect()}
-    assert status == {"For Sale": (7, 800000.0, 1764.29), "Sold": (3, 800000.0, 1466.67)}
+    assert set(lot) == {"small", "medium", "large"}
+    assert lot["medium"]["avg_price"] == 531250 and lot["small"]["avg_house_size"] == 1115 and lot["large"]["avg_price"] == 1175000
+    status = {r["status"]: (r["count"], round(r["avg_price"], 2), round(r["avg_house_size"], 2)) for r in rep["status_analysis"].collect()}
+    assert status == {"For Sale": (7, 504285.71, 1860.0), "Sold": (3, 823333.33, 2213.33)}
     pts = {(r["bed"], r["bath"]): (r["avg_price"], r["min_price"], r["max_price"], r["num_properties"])
            for r in rep["property_type_size"].collect()}
-    assert pts[(2, 1)] == (350000, 300000, 400000, 2) and pts[(3, 2)] == (675000, 550000, 800000, 4)
+    assert pts[(2, 1)] == (390000, 390000, 390000, 2) and pts[(3, 2)] == (545000, 475000, 640000, 3)
     yearly = {r["year"]: (r["avg_price"], r["num_transactions"]) for r in rep["time_yearly"].collect()}
-    assert yearly[2018] == (1075000, 2) and len(yearly) == 9
+    assert yearly[2018] == (945000, 2) and len(yearly) == 9
     assert rep["market_trends"].count() == 10 and rep["broker_performance"].count() == 10
     top = [tuple(r) for r in top_k(rep["market_trends"], "avg_price", 5, tie_breakers=["state"]).select("state", "avg_price").collect()]
-    assert top == [("CA", 1500000.0), ("WA", 1200000.0), ("MA", 950000.0), ("NY", 950000.0), ("FL", 800000.0)]
+    assert top == [("NM", 1250000.0), ("OK", 1100000.0), ("UT", 700000.0), ("NH", 640000.0), ("GA", 520000.0)]
 
 
 def test_reports_absent_columns_give_typed_null_groups(spark):
@@ -99,12 +117,11 @@ def test_percentile_disc_matches_brute_force_with_hot_group(spark):
 
 
 def test_one_pass_reports_equal_separate_plans(sample, spark):
-    from rowmill.sinks import shared_dir
     df = sample.union(sample.limit(3).selectExpr("street", "city", "state", "zip_code", "null as brokered_by",
                                                  "status", "price + 1", "bed", "bath", "acre_lot", "house_size",
                                                  "null as prev_sold_date"))
     sep = run_reports(df, scale=2)
-    one = run_reports(df, scale=2, one_pass=True, materialize_to=shared_dir(spark, "reports"))
+    one = run_reports(df, scale=2, one_pass=True)
     assert set(sep) == set(one)
     for name in sep:
         assert sep[name].columns == one[name].columns

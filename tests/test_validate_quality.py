@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from rowmill.operators import (
@@ -15,7 +16,7 @@ def test_validation_on_sample_zip_inferred_as_int(spark, sample_csv):
     c = validation_counts(ann).first()
     assert (c["total"], c["valid"], c["invalid"]) == (10, 9, 1)
     bad = invalid_sample(ann).first()
-    assert bad["validation_errors"] == ["zip_wrong_length"] and bad["city"] == "Boston"
+    assert bad["validation_errors"] == ["zip_wrong_length"] and bad["city"] == "Portsmouth"
     assert zip_changes(inferred).first()["changed_rows"] == 1
     fixed = annotate(normalize_zip(inferred))
     assert validation_counts(fixed).first()["valid"] == 10
@@ -42,7 +43,7 @@ def test_rules_and_error_order(spark):
 
 
 def test_split_is_disjoint_and_complete(sample):
-    ann = annotate(sample.withColumn("price", F.when(F.col("city") == "Miami", F.lit(-1.0)).otherwise(F.col("price"))))
+    ann = annotate(sample.withColumn("price", F.when(F.col("city") == "Mobile", F.lit(-1.0)).otherwise(F.col("price"))))
     valid, invalid = split(ann)
     assert valid.count() + invalid.count() == sample.count()
     assert rows(error_counts(ann)) == [("negative:price", 1), ("price_below_min", 1)]
@@ -85,15 +86,23 @@ def test_quality_empty_table(spark):
     assert got["required_non_null:street"]["fraction"] == 0.0 and got["unique_keys:street,city,state,zip_code"]["status"] == "pass"
 
 
-def test_quality_is_one_scan_one_shuffle(sample):
+def test_quality_shuffles_only_keys_and_a_count(sample):
     plan = quality_report(sample)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1
     assert plan.count("Exchange hashpartitioning") == 1
+    partial = [x for x in plan.splitlines() if "HashAggregate(keys=[street" in x and "partial_count" in x]
+    assert len(partial) == 1 and partial[0].count("partial_") == 1
+
+
+def test_blank_test_leaves_other_types_alone(sample):
+    plan = quality_report(sample)._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(price" not in plan and "trim(street" in plan
 
 
 def test_parse_thresholds():
-    assert parse_thresholds("price:0, house_size:10,junk") == {"price": 0.0, "house_size": 10.0}
+    assert parse_thresholds("price:0, house size : -1.5e2 ,") == {"price": 0.0, "house size": -150.0}
     assert parse_thresholds("") == {}
+    with pytest.raises(ValueError, match=r"\['junk', 'b:x'\]"):
+        parse_thresholds("price:0,junk,b:x")
 
 
 def test_coercion_rule_reports_unparsable_text(spark):
