@@ -33,8 +33,9 @@ TREES = 4
 BLOCK = 4096
 PIVOTS = 512
 ROUNDS = 2
-BEAM = 384
-EXPAND = 48
+BEAM = 320
+EXPAND = 160
+SEARCH_ROUNDS = 6
 EXACT = 3  # times k: candidates rescored in double precision
 
 
@@ -248,7 +249,7 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXP
             v = np.column_stack([v, np.zeros(len(v))]).astype("<f4")
             q = batch.column("q").to_numpy()
             s = v @ x.T
-            k = min(expand, len(node))
+            k = min(EXPAND // 4, len(node))
             top = np.argsort(-s, 1, kind="stable")[:, :k]
             yield pa.RecordBatch.from_arrays(
                 [pa.array((q % p).astype(np.int32)), pa.array(q), pa.array([r.tobytes() for r in v], pa.binary()), pa.array(list(node[top]), pa.list_(pa.int64())), pa.array(list(np.take_along_axis(s, top, 1)), pa.list_(pa.float32())), pa.array([[False] * k] * len(q), pa.list_(pa.bool_()))],
@@ -351,7 +352,7 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXP
         return pa.table([left.column("home"), left.column("q"), left.column("vec"), *(pa.ListArray.from_arrays(ends, pa.array(x)) for x in (b, s, d))], ["home", "q", "vec", "beam", "score", "done"])
 
     state = saved(queries.select("q", "v").mapInArrow(start, BEAMS))
-    for _ in range(2 * (beam // expand) + 4):
+    for _ in range(SEARCH_ROUNDS * max(1, EXPAND // expand)):
         asked = state.mapInArrow(ask, "part int, home int, q long, nodes array<long>")
         near = asked.groupBy("part").cogroup(index.graph.groupBy("part")).applyInArrow(follow, "home int, q long, nodes array<long>")
         wanted = state.groupBy("home").cogroup(near.groupBy("home")).applyInArrow(score_requests, "part int, home int, q long, vec binary, least float, nodes array<long>")
