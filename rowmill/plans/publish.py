@@ -54,6 +54,9 @@ def save_table(df: DataFrame, name: str, location: str | None = None,
     use is already hash-partitioned on them: those plans read it without an
     exchange, so the shuffle is paid once at write time instead of per query.
     """
+    if bucket_by:
+        # one task per bucket: without it every task would write a file into every bucket it meets
+        df = df.repartition(int(bucket_by[0]), *bucket_by[1])
     writer = df.write.mode("overwrite").format("parquet")
     if location:
         writer = writer.option("path", location)
