@@ -100,8 +100,8 @@ def least_matches(compared: int, threshold: float = THRESHOLD, tolerance: float
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, s1, s2, n, bands, sketch) per row; s1, s2 are a 128-bit hash of the set (null:
-    no words), th a hash of the text."""
+    """(doc_id, th, s1, s2, n, bands, sketch) per row; s1, s2 are a 128-bit hash of the set (without
+    words: of the text, null as empty), th a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = np.arange(BANDS, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
@@ -110,14 +110,14 @@ def signatures(docs: DataFrame) -> DataFrame:
             for text in strings(batch.column("text")):
                 own = shingles(text)
                 n.append(len(own))
-                if not len(own):
-                    for x in (s1, s2, bands, sketch):
-                        x.append(None)
-                    continue
-                a, b = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), "<i8").tolist()
-                low = min_hashes(own)
+                a, b = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes() or b"text:" + text.encode()), "<i8").tolist()
                 s1.append(a)
                 s2.append(b)
+                if not len(own):  # no words: equal to equal texts only, and in no bucket
+                    bands.append([])
+                    sketch.append(b"")
+                    continue
+                low = min_hashes(own)
                 key = salt.copy()
                 for r in range(ROWS):
                     key = (key ^ low[r::ROWS]) * np.uint64(0x9E3779B97F4A7C15)
@@ -310,16 +310,15 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TO
 
     ``class_id`` is the smallest doc_id of the documents connected through pairs of similarity
     ``threshold`` or more, ``n_links`` the number of such pairs the row is in, copies counted
-    each.  Null and empty texts and texts without words are similar to nothing.  Rows that share
-    a doc_id or lack one are documents of their own, and nulls never name a class that
+    each.  Texts without words are similar to equal texts only (null counts as empty).  Rows that
+    share a doc_id or lack one are documents of their own, and nulls never name a class that
     has another id.  The bands are set for thresholds from 0.8 up.
     """
     if threshold < THRESHOLD:
         raise ValueError(f"the bands find pairs of similarity {THRESHOLD} or more")
     spark = docs.sparkSession
     own = written(signatures(docs), "signatures")
-    some = own.where("s1 is not null")
-    distinct = some.groupBy("s1", "s2").agg(F.count("*").alias("copies"), F.min("n").alias("n"), F.min("th").alias("th"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    distinct = own.groupBy("s1", "s2").agg(F.count("*").alias("copies"), F.min("n").alias("n"), F.min("th").alias("th"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     nodes = written(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     band = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -359,9 +358,9 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TO
 
     per_set = nodes.select("s1", "s2", "node", "copies").join(per_node, "node", "left")
     per_set = per_set.select("s1", "s2", F.coalesce("root", "node").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    rows = own.select("doc_id", "th", "s1", "s2").join(per_set, ["s1", "s2"], "left")
-    named = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"))
-    return rows.join(named, "class", "left").select("doc_id", "th", "class", F.coalesce("class_id", F.when(F.col("class").isNull(), F.col("doc_id"))).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    rows = own.select("doc_id", "th", "s1", "s2").join(per_set, ["s1", "s2"])
+    named = rows.groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    return rows.join(named, "class").select("doc_id", "th", "class", "class_id", F.col("n_links").cast("long").alias("n_links"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
@@ -371,8 +370,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """``docs`` with one document of each class: the smallest doc_id, of equal ones the smallest text
-    hash; of identical rows one.  Documents without words all stay."""
-    own = written(similar(id_text(docs), threshold, tolerance).where("class is not null"), "classes")
+    hash; of identical rows one.  Of equal texts without words (null as empty) one stays too."""
+    own = written(similar(id_text(docs), threshold, tolerance), "classes")
     best = own.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "th")).alias("best"), F.count("*").alias("size"))
     gone = own.join(best.where("size > 1"), "class")
     stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th"))

@@ -75,16 +75,16 @@ select doc_id, count(*) as n_lines,
 from keys left join often using (k) group by doc_id""",
     "op1_ngram_join": r"""
 with recursive words as (
-  select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') as w from documents),
+  select doc_id, text, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') as w from documents),
 shingled as (
-  select doc_id, case when len(w) = 0 then []
+  select doc_id, case when len(w) = 0 then [coalesce(text, '')]
     when len(w) < 5 then [array_to_string(w, ' ')]
     else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) end as s
   from words),
-sets as (select distinct list_sort(s) as s from shingled where len(s) > 0),
+sets as (select distinct list_sort(s) as s from shingled),
 named as (select row_number() over (order by s) as k, s, len(s) as n from sets),
-member as (select doc_id, k from shingled left join named on list_sort(shingled.s) = named.s),
-copies as (select k, count(*) as c from member where k is not null group by k),
+member as (select doc_id, k from shingled join named on list_sort(shingled.s) = named.s),
+copies as (select k, count(*) as c from member group by k),
 grams as (select k, n, unnest(s) as g from named),
 pairs as (
   select a.k as i, b.k as j from grams a join grams b on a.g = b.g and a.k <> b.k
@@ -94,10 +94,9 @@ reach(i, j) as (select k, k from named union select reach.i, pairs.j from reach
 class as (select i, min(j) as label from reach group by i),
 links as (select i, sum(c) as links from pairs join copies on pairs.j = copies.k group by i),
 label as (select label, min(doc_id) as class_id from class join member on class.i = member.k group by label)
-select doc_id, coalesce(class_id, doc_id) as class_id,
-  cast(case when member.k is null then 0 else coalesce(links.links, 0) + copies.c - 1 end as bigint) as n_links
-from member left join class on member.k = class.i left join label using (label)
-left join links on links.i = member.k left join copies on copies.k = member.k""",
+select doc_id, class_id, cast(coalesce(links.links, 0) + copies.c - 1 as bigint) as n_links
+from member join class on member.k = class.i join label using (label)
+join copies on copies.k = member.k left join links on links.i = member.k""",
     "op10_pivot_topk": """
 with ints as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v

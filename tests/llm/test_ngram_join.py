@@ -9,11 +9,11 @@ from tests.llm.cases import EXTRA, edge_docs, edge_rows, empty_docs, prose, tupl
 
 def word_sets(text):
     w = N._WORD((text or "").lower())
-    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else {text or ""}
 
 
-def brute(rows):
-    """Class (smallest id of the linked rows) and number of links of every row."""
+def linked_rows(rows):
+    """For every row the first row it is connected with, and its number of links."""
     sets = [word_sets(t) for _, t in rows]
     up = list(range(len(rows)))
     links = [0] * len(rows)
@@ -29,11 +29,14 @@ def brute(rows):
             links[i] += 1
             links[j] += 1
             up[max(top(i), top(j))] = min(top(i), top(j))
-    out = []
-    for k, (i, _) in enumerate(rows):
-        ids = [rows[m][0] for m in range(len(rows)) if top(m) == top(k) and rows[m][0] is not None]
-        out.append((i, min(ids) if ids else None, links[k]))
-    return sorted(out, key=repr)
+    return [top(k) for k in range(len(rows))], links
+
+
+def brute(rows):
+    """Class (smallest id of the connected rows) and number of links of every row."""
+    tops, links = linked_rows(rows)
+    ids = {t: [i for (i, _), own in zip(rows, tops) if own == t and i is not None] for t in tops}
+    return sorted(((i, min(ids[t], default=None), n) for (i, _), t, n in zip(rows, tops, links)), key=repr)
 
 
 def test_edges(spark):
@@ -100,14 +103,12 @@ def test_keep_one(spark):
     docs = edge_docs(spark)
     kept = N.keep_one(docs)
     assert kept.columns == docs.columns and set(EXTRA) <= set(kept.columns)
-    classes = brute(edge_rows())
-    n_wordless = sum(not word_sets(t) for _, t in edge_rows())
-    by_text = {}
-    for i, t in edge_rows():
-        by_text.setdefault(t, []).append(i)
+    tops, _ = linked_rows(edge_rows())
     rows = tuples(kept, "doc_id", "text")
-    assert len({r[1] for r in rows if word_sets(r[1])}) == len([r for r in rows if word_sets(r[1])])
-    assert sum(not word_sets(t) for _, t in rows) == n_wordless
-    assert [i for i, t in rows if t == "Hello"] == [12]
-    assert {c for _, c, _ in classes if c is not None} >= {i for i, t in rows if word_sets(t) and i is not None}
+    assert len(rows) == len(set(tops))  # one of each class
+    for t in set(tops):
+        ids = [i for (i, _), own in zip(edge_rows(), tops) if own == t]
+        texts = {x for (_, x), own in zip(edge_rows(), tops) if own == t}
+        least = min((i for i in ids if i is not None), default=None)
+        assert sum(i == least and x in texts for i, x in rows) == 1
     assert N.keep_one(empty_docs(spark)).collect() == []
