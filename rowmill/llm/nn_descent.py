@@ -24,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import parts, saved, written
+from rowmill.llm.common import parts, saved, some_rows, written
 from rowmill.llm.vectors import distinct, matrix, packed, unpack, usable, width
 
 NEIGHBOURS = 32
 SAMPLE = 20  # neighbours of each direction that meet in a round
 TREES = 4
 BLOCK = 4096
+PART = 2048
 PIVOTS = 512
 ROUNDS = 2
 BEAM = 320
@@ -39,11 +40,9 @@ SEARCH_ROUNDS = 6
 EXACT = 3  # times k: candidates rescored in double precision
 
 
-def nodes_of(points: DataFrame, wide: int, top: float) -> DataFrame:
+def nodes_of(points: DataFrame, wide: int, top: float, p: int) -> DataFrame:
     """(part, node, vec, v, ids): node numbers are place * parts + part, so a node's part and its place
     in it follow from the number."""
-    p = parts(points.sparkSession)
-
     def lift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = matrix(batch.column("v"), "<f8", wide)
@@ -106,7 +105,7 @@ def first_lists(nodes: DataFrame, dim: int, n: int, p: int) -> DataFrame:
     spark = nodes.sparkSession
     number = int(min(PIVOTS, max(1, n // (BLOCK // 2))))
     trees = TREES if number > 1 or n > BLOCK else 1
-    taken = [bytes(r["vec"]) for r in nodes.select("vec").orderBy(F.xxhash64("vec")).limit(number * trees).collect()]
+    taken = [bytes(r["vec"]) for r in some_rows(nodes.select("vec"), number * trees, F.xxhash64("vec")).collect()]
     pivots = spark.sparkContext.broadcast(np.frombuffer(b"".join(taken), "<f4").reshape(-1, dim)[: number * trees])
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +187,7 @@ def descend(nodes: DataFrame, state: DataFrame, dim: int, p: int) -> DataFrame:
         if size:
             yield from out()
 
-    found = seen.repartition(p, "node").sortWithinPartitions("node").mapInArrow(compare, LISTS)
+    found = seen.repartition(max(p, parts(seen.sparkSession)), "node").sortWithinPartitions("node").mapInArrow(compare, LISTS)
     # what meets in this round is old from now on
     before = state.withColumn("old", F.transform("near", lambda x: F.lit(True)))
     return saved(merged(before.unionByName(found), NEIGHBOURS, p))
@@ -225,8 +224,8 @@ def build(emb: DataFrame, k: int = 20, rounds: int = ROUNDS) -> Index | None:
     top, n = points.select("v").mapInArrow(norm, "m double, n long").agg(F.max("m"), F.sum("n")).first()
     if not n:
         return None
-    p = parts(spark)
-    nodes = nodes_of(points, wide, top)
+    p = max(4, -(-n // PART))  # parts of one size at any scale, whatever the number of shuffle partitions
+    nodes = nodes_of(points, wide, top, p)
     state = first_lists(nodes, wide + 1, n, p)
     for _ in range(rounds if n > BLOCK else 0):  # one block has compared all with all
         state = descend(nodes, state, wide + 1, p)
@@ -239,7 +238,7 @@ BEAMS = "home int, q long, vec binary, beam array<long>, score array<float>, don
 def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
     """(q, beam, score) for ``queries`` (q, v): greedy search from the pivots nearest to each query."""
     spark, p, dim = index.spark, index.p, index.wide + 1
-    entry = index.nodes.orderBy(F.xxhash64("node")).limit(PIVOTS).select("node", "vec").collect()
+    entry = some_rows(index.nodes.select("node", "vec"), PIVOTS, F.xxhash64("node")).collect()
     seeds = spark.sparkContext.broadcast((np.array([r["node"] for r in entry]), np.frombuffer(b"".join(bytes(r["vec"]) for r in entry), "<f4").reshape(-1, dim)))
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
