@@ -25,7 +25,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import id_text, put_shared, strings
+from rowmill.llm.common import id_text, put_shared, strings, written
 
 #: Fixed value: the splitting pattern of byte-level BPE vocabularies of this family.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -373,10 +373,22 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent(counts: DataFrame, size: int) -> list[str]:
+    """The most frequent words, as many as fit ``size`` when taken by sixteenths of powers of two of
+    their counts.  The driver gets a histogram of at most 1024 numbers, then at most ``size`` words."""
+    counts = written(counts.withColumn("level", F.floor(F.log2("n") * 16)), "words")
+    total, cut = 0, None
+    for row in counts.groupBy("level").agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        total += row["words"]
+        if total > size:
+            break
+        cut = row["level"]
+    return [] if cut is None else [r["word"] for r in counts.where(F.col("level") >= cut).select("word").collect()]
+
+
 def lexicon_file(docs: DataFrame, vocab: Vocabulary, size: int = LEXICON_WORDS) -> str:
-    """Compile the ``size`` most frequent words (ties: smaller word) and ship the file."""
-    top = count_words(docs).orderBy(F.desc("n"), "word").limit(size).collect()
-    words = sorted({r["word"].encode() for r in top if r["word"]})
+    """Compile at most ``size`` of the most frequent words and ship the file."""
+    words = sorted(w.encode() for w in frequent(count_words(docs), size) if w)
     return put_shared(docs.sparkSession, Lexicon.build(words, vocab.merge(words)).dump(), "lexicon")
 
 
