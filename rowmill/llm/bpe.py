@@ -33,8 +33,10 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 LEXICON_WORDS = 200_000
 #: Longer words are merged one by one with a heap, shorter ones in batches.
 BATCH_BYTES = 48
-#: Bounds a worker's memory: entries of its cache of space-separated chunks.
-CACHE_ENTRIES = 400_000
+#: Bounds a worker's memory: entries of its cache of space-separated chunks (about 200 bytes each).
+CACHE_ENTRIES = 1_000_000
+#: Different chunks that a task counts before it passes their words on.
+COUNT_ENTRIES = 400_000
 NONE = np.iinfo(np.int32).max
 
 
@@ -256,8 +258,9 @@ class Lexicon:
         ok = (state >= 0) & (self.final[np.maximum(state, 0)] > 0)
         return np.where(ok, place, -1)
 
-    def output(self, place: int) -> bytes:
-        return self.ids[self.start[place] : self.start[place + 1]].tobytes()
+    def outputs(self, places: np.ndarray) -> list[bytes]:
+        raw = memoryview(np.ascontiguousarray(self.ids)).cast("B") if len(self.ids) else b""
+        return [bytes(raw[a:b]) for a, b in zip((4 * self.start[places].astype(int)).tolist(), (4 * self.start[places + 1].astype(int)).tolist())]
 
 
 class Encoder:
@@ -275,8 +278,9 @@ class Encoder:
         result: list[bytes] = [b""] * len(raw)
         if self.lexicon is not None and raw:
             place = self.lexicon.find(raw)
-            for k in np.flatnonzero(place >= 0):
-                result[k] = self.lexicon.output(place[k])
+            known = np.flatnonzero(place >= 0)
+            for k, ids in zip(known.tolist(), self.lexicon.outputs(place[known])):
+                result[k] = ids
             rest = np.flatnonzero(place < 0)
         else:
             rest = np.arange(len(raw))
@@ -366,7 +370,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                 first, *rest = t.split(" ")
                 inner[first] += 1
                 inner.update([" " + c for c in rest])
-            if len(inner) > CACHE_ENTRIES:
+            if len(inner) > COUNT_ENTRIES:
                 yield out()
         yield out()
 
