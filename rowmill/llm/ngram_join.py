@@ -38,7 +38,7 @@ STEP = 16
 SKETCH = 32  # MinHash values that travel with a bucket's members
 TOLERANCE = 1e-6
 LARGE_BUCKET = 512
-BLOCK_SHINGLES = 3_000_000
+BLOCK_SHINGLES = 1_500_000
 BLOCK_NODES = 4096
 
 _RNG = np.random.default_rng(20240607)
@@ -51,7 +51,7 @@ class _Hashes(dict):
     """64-bit hash of a word, kept."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
