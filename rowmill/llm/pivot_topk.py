@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import parts, written
+from rowmill.llm.common import parts, some_rows, written
 from rowmill.llm.vectors import distinct, matrix, packed, unpack, usable, width
 
 SCALE = 1024
@@ -186,7 +186,7 @@ def search(emb: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCALE)
 
     every = points.select("v").unionByName(asked.select("v"))
     top = every.mapInArrow(norm, "n double").agg(F.max("n")).first()[0]
-    taken = [bytes(r["v"]) for r in points.select("v").orderBy(F.xxhash64("v")).limit(SAMPLE).collect()]
+    taken = [bytes(r["v"]) for r in some_rows(points.select("v"), SAMPLE, F.xxhash64("v")).collect()]
     if top is None or not taken:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     sample = lifted(np.frombuffer(b"".join(taken), "<i8").reshape(len(taken), wide), top)
