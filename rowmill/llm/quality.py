@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.llm.bpe import few
-from rowmill.llm.common import binary, id_text, written
+from rowmill.llm.common import binary, id_text, some_rows, written
 
 #: Rows of each kind that a model is fitted on at most, whatever the corpus' size.
 SAMPLE = 6000
@@ -178,7 +178,7 @@ def train(x: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model,
     rows are good.  None if there is none."""
     x = x.where(fold(FOLDS) != HELD_OUT)
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long")).distinct()
-    some = lambda df: [r["x"] for r in df.orderBy(F.xxhash64("doc_id", "x"), "doc_id").limit(sample).select("x").collect()]
+    some = lambda df: [r["x"] for r in some_rows(df, sample, F.xxhash64("doc_id", "x")).select("x").collect()]
     a, b = some(x.join(good, "doc_id")), some(x)
     if not a:
         return None
