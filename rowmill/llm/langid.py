@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.llm.bpe import few
-from rowmill.llm.common import id_text, strings
+from rowmill.llm.common import id_text, some_rows, strings
 from rowmill.llm.quality import fold
 
 BITS = 16
@@ -95,11 +95,8 @@ def sample_rows(docs: DataFrame, size: int) -> list[tuple[str, np.ndarray, np.nd
                     rows.append((lang, g.astype("<u4").tobytes(), (n / len(own)).astype("<f4").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.binary(), pa.binary()))], ["lang", "g", "tf"])
 
-    chosen = docs.withColumn("h", F.xxhash64("doc_id", F.xxhash64("text")))
-    cut = chosen.select("h").orderBy("h").limit(size).agg(F.max("h")).first()[0]
-    if cut is None:
-        return []
-    rows = chosen.where(F.col("h") <= cut).select("lang", "text").mapInArrow(run, "lang string, g binary, tf binary").limit(2 * size).collect()
+    chosen = some_rows(docs, size, F.xxhash64("doc_id", F.xxhash64("text")))
+    rows = chosen.select("lang", "text").mapInArrow(run, "lang string, g binary, tf binary").collect()
     return sorted((r["lang"], bytes(r["g"]), bytes(r["tf"])) for r in rows)
 
 
