@@ -9,10 +9,11 @@ first neighbours.  Then rounds of Spark joins: each node meets its neighbours an
 a neighbour of, with their vectors; every two of them of which one is new there are
 compared, and what improves a list is sent to it.
 
-Search: every query keeps a beam.  Each round takes its best nodes not yet expanded, joins
-them with their neighbours, and those with their vectors, and merges what scores higher.
-Nodes live in partitions by number, so a request goes to the partition with an array of
-nodes; nothing but pivots, a bounded number, is known to all tasks.
+Search: every query keeps a beam.  It starts from seeds, some nodes of the cells whose pivots are
+nearest to it; cells, and with them seeds, grow in number with the nodes.  Each round takes the
+best nodes not yet expanded, joins them with their neighbours, and those with their vectors,
+and merges what scores higher, until all beams are expanded.  Nodes live in partitions by
+number, so a request goes to the partition with an array of nodes; seeds are joined by cell.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +38,8 @@ PIVOTS = 512
 ROUNDS = 2
 BEAM = 320
 EXPAND = 160
-SEARCH_ROUNDS = 6
+SEEDS = 128  # of each cell
+PROBES = 2  # cells of each partition that a query starts from
 EXACT = 3  # times k: candidates rescored in double precision
 
 
@@ -100,23 +103,42 @@ def merged(entries: DataFrame, k: int, p: int) -> DataFrame:
     return entries.groupBy("part").applyInArrow(run, LISTS)
 
 
-def first_lists(nodes: DataFrame, dim: int, n: int, p: int) -> DataFrame:
-    """Neighbours within blocks of nodes that share a nearest pivot, over several sets of pivots."""
+class Cells:
+    """Partitions of the nodes by nearest pivot: ``keyed`` (tree, pivot, node, vec), and what the pivots are."""
+
+    def __init__(self, keyed: DataFrame, pivots: Broadcast, trees: int, number: int):
+        self.keyed, self.pivots, self.trees, self.number = keyed, pivots, trees, number
+
+
+def cells_of(nodes: DataFrame, dim: int, n: int) -> Cells:
+    """Cells over several sets of pivots."""
     spark = nodes.sparkSession
     number = int(min(PIVOTS, max(1, n // (BLOCK // 2))))
     trees = TREES if number > 1 or n > BLOCK else 1
-    taken = [bytes(r["vec"]) for r in some_rows(nodes.select("vec"), number * trees, F.xxhash64("vec")).collect()]
-    pivots = spark.sparkContext.broadcast(np.frombuffer(b"".join(taken), "<f4").reshape(-1, dim)[: number * trees])
+    taken = some_rows(nodes.select("node", "vec"), number * trees, F.xxhash64("vec")).collect()
+    pivots = spark.sparkContext.broadcast((np.array([r["node"] for r in taken]), np.frombuffer(b"".join(bytes(r["vec"]) for r in taken), "<f4").reshape(-1, dim)))
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = matrix(batch.column("vec"), "<f4", dim)
             for t in range(trees):
-                own = pivots.value[t::trees]
-                near = ((own * own).sum(1) - 2 * x @ own.T).argmin(1)
+                near = nearest_pivots(x, pivots.value[1][t::trees], 1)[0][:, 0]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(near.astype(np.int32)), batch.column("node"), batch.column("vec")], ["tree", "pivot", "node", "vec"])
 
-    keyed = written(nodes.select("node", "vec").mapInArrow(key, "tree int, pivot int, node long, vec binary"), "blocks")
+    return Cells(written(nodes.select("node", "vec").mapInArrow(key, "tree int, pivot int, node long, vec binary"), "blocks"), pivots, trees, number)
+
+
+def nearest_pivots(x: np.ndarray, pivots: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k pivots of the highest inner product with each row (lifted pivots are of one length), and those."""
+    s = x @ pivots.T
+    k = min(k, len(pivots))
+    top = np.argsort(-s, 1, kind="stable")[:, :k] if k > 1 else s.argmax(1)[:, None]
+    return top, np.take_along_axis(s, top, 1)
+
+
+def first_lists(cells: Cells, dim: int, p: int) -> DataFrame:
+    """Neighbours within blocks of nodes that share a cell."""
+    keyed = cells.keyed
     size = keyed.groupBy("tree", "pivot").agg(F.ceil(F.count("*") / BLOCK).alias("g"))  # at most TREES * PIVOTS rows
     placed = keyed.join(F.broadcast(size), ["tree", "pivot"]).withColumn("block", F.pmod(F.xxhash64("node", "tree"), "g"))
 
@@ -203,10 +225,10 @@ def graph_of(state: DataFrame) -> DataFrame:
 
 
 class Index:
-    """A stored graph over stored nodes."""
+    """A stored graph over stored nodes, with their cells."""
 
-    def __init__(self, spark: SparkSession, nodes: DataFrame, graph: DataFrame, wide: int, p: int):
-        self.spark, self.nodes, self.graph, self.wide, self.p = spark, nodes, graph, wide, p
+    def __init__(self, spark: SparkSession, nodes: DataFrame, graph: DataFrame, cells: Cells, wide: int, p: int):
+        self.spark, self.nodes, self.graph, self.cells, self.wide, self.p = spark, nodes, graph, cells, wide, p
 
 
 def build(emb: DataFrame, k: int = 20, rounds: int = ROUNDS) -> Index | None:
@@ -226,34 +248,75 @@ def build(emb: DataFrame, k: int = 20, rounds: int = ROUNDS) -> Index | None:
         return None
     p = max(4, -(-n // PART))  # parts of one size at any scale, whatever the number of shuffle partitions
     nodes = nodes_of(points, wide, top, p)
-    state = first_lists(nodes, wide + 1, n, p)
+    cells = cells_of(nodes, wide + 1, n)
+    state = first_lists(cells, wide + 1, p)
     for _ in range(rounds if n > BLOCK else 0):  # one block has compared all with all
         state = descend(nodes, state, wide + 1, p)
-    return Index(spark, nodes, written(graph_of(state), "graph"), wide, p)
+    return Index(spark, nodes, written(graph_of(state), "graph"), cells, wide, p)
 
 
 BEAMS = "home int, q long, vec binary, beam array<long>, score array<float>, done array<boolean>"
 
 
-def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
-    """(q, beam, score) for ``queries`` (q, v): greedy search from the pivots nearest to each query."""
-    spark, p, dim = index.spark, index.p, index.wide + 1
-    entry = some_rows(index.nodes.select("node", "vec"), PIVOTS, F.xxhash64("node")).collect()
-    seeds = spark.sparkContext.broadcast((np.array([r["node"] for r in entry]), np.frombuffer(b"".join(bytes(r["vec"]) for r in entry), "<f4").reshape(-1, dim)))
+def started(index: Index, queries: DataFrame) -> DataFrame:
+    """Beams of the best seeds of the cells nearest to each query, and of those cells' pivots."""
+    p, dim, cells = index.p, index.wide + 1, index.cells
+    pivots, trees = cells.pivots, cells.trees
+    seeds = max(SEEDS, PIVOTS // cells.number)
+    few = Window.partitionBy("tree", "pivot").orderBy(F.xxhash64("node", "tree"))
+    entry = written(cells.keyed.withColumn("r", F.row_number().over(few)).where(F.col("r") <= seeds).drop("r"), "seeds")
+
+    def lifted(batch: pa.RecordBatch) -> np.ndarray:
+        v = matrix(batch.column("v"), "<f8", dim - 1)
+        return np.column_stack([v, np.zeros(len(v))]).astype("<f4")
 
-    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, x = seeds.value
+    def beams(v: np.ndarray, q: np.ndarray, node: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+        k = node.shape[1]
+        ends = pa.array(np.arange(len(q) + 1, dtype=np.int32) * k)
+        values = (pa.array(node.ravel()), pa.array(score.ravel().astype(np.float32)), pa.array(np.zeros(node.size, bool)))
+        return pa.RecordBatch.from_arrays([pa.array((q % p).astype(np.int32)), pa.array(q), pa.array([r.tobytes() for r in v], pa.binary()), *(pa.ListArray.from_arrays(ends, x) for x in values)], ["home", "q", "vec", "beam", "score", "done"])
+
+    def at_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, x = pivots.value
+        for batch in batches:
+            v, q = lifted(batch), batch.column("q").to_numpy()
+            for t in range(trees):
+                near, s = nearest_pivots(v, x[t::trees], PROBES)
+                yield beams(v, q, name[t::trees][near], s)
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = matrix(batch.column("v"), "<f8", dim - 1)
-            v = np.column_stack([v, np.zeros(len(v))]).astype("<f4")
-            q = batch.column("q").to_numpy()
-            s = v @ x.T
-            k = min(EXPAND // 4, len(node))
-            top = np.argsort(-s, 1, kind="stable")[:, :k]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((q % p).astype(np.int32)), pa.array(q), pa.array([r.tobytes() for r in v], pa.binary()), pa.array(list(node[top]), pa.list_(pa.int64())), pa.array(list(np.take_along_axis(s, top, 1)), pa.list_(pa.float32())), pa.array([[False] * k] * len(q), pa.list_(pa.bool_()))],
-                ["home", "q", "vec", "beam", "score", "done"],
-            )
+            v = lifted(batch)
+            raw = pa.array([r.tobytes() for r in v], pa.binary())
+            for t in range(trees):
+                near = nearest_pivots(v, pivots.value[1][t::trees], PROBES)[0]
+                for k in range(near.shape[1]):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), t, np.int32)), pa.array(near[:, k].astype(np.int32)), batch.column("q"), raw], ["tree", "pivot", "q", "vec"])
+
+    def at_seeds(left: pa.Table, right: pa.Table) -> pa.Table:
+        v, x, node = matrix(left.column("vec"), "<f4", dim), matrix(right.column("vec"), "<f4", dim), right.column("node").to_numpy()
+        k = min(EXPAND // 4, len(node))
+        s = v @ x.T
+        top = np.argsort(-s, 1, kind="stable")[:, :k]
+        return pa.Table.from_batches([beams(v, left.column("q").to_numpy(), node[top], np.take_along_axis(s, top, 1))])
+
+    def join(t: pa.Table) -> pa.Table:
+        q, (offset, node) = t.column("q").to_numpy(), unpack(t.column("beam"))
+        name, first, row = np.unique(q, return_index=True, return_inverse=True)
+        a, b, s, d = best(np.repeat(row, np.diff(offset)), node, unpack(t.column("score"))[1], EXPAND // 4)
+        ends = pa.array(np.searchsorted(a, np.arange(len(name) + 1)), pa.int32())
+        return pa.table([t.column("home").take(pa.array(first)), pa.array(name), t.column("vec").take(pa.array(first)), *(pa.ListArray.from_arrays(ends, pa.array(x)) for x in (b, s, d))], ["home", "q", "vec", "beam", "score", "done"])
+
+    own = queries.select("q", "v")
+    routed = own.mapInArrow(route, "tree int, pivot int, q long, vec binary")
+    found = routed.groupBy("tree", "pivot").cogroup(entry.groupBy("tree", "pivot")).applyInArrow(at_seeds, BEAMS)
+    return saved(found.unionByName(own.mapInArrow(at_pivots, BEAMS)).groupBy("home").applyInArrow(join, BEAMS))
+
+
+def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
+    """(q, beam, score) for ``queries`` (q, v): greedy search until every node of every beam is expanded.
+    It ends: a node has one score for a query, so beams only get better."""
+    p, dim = index.p, index.wide + 1
 
     def open_nodes(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, node, place) of each query's best nodes not expanded."""
@@ -326,7 +389,7 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXP
         least = left.column("least").to_numpy()
         sizes, keep, scores = [], [], []
         for k in range(left.num_rows):
-            s = x[at[offset[k] : offset[k + 1]]] @ v[k]
+            s = (x[at[offset[k] : offset[k + 1]]] * v[k]).sum(1)  # in the same order of sums for any set of nodes
             ok = np.flatnonzero(s > least[k])
             sizes.append(len(ok))
             keep.append(offset[k] + ok)
@@ -350,15 +413,13 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXP
         ends = pa.array(np.searchsorted(a, np.arange(len(q) + 1)), pa.int32())
         return pa.table([left.column("home"), left.column("q"), left.column("vec"), *(pa.ListArray.from_arrays(ends, pa.array(x)) for x in (b, s, d))], ["home", "q", "vec", "beam", "score", "done"])
 
-    state = saved(queries.select("q", "v").mapInArrow(start, BEAMS))
-    for _ in range(SEARCH_ROUNDS * max(1, EXPAND // expand)):
+    state = started(index, queries)
+    while not state.where(F.exists("done", lambda x: ~x)).isEmpty():
         asked = state.mapInArrow(ask, "part int, home int, q long, nodes array<long>")
         near = asked.groupBy("part").cogroup(index.graph.groupBy("part")).applyInArrow(follow, "home int, q long, nodes array<long>")
         wanted = state.groupBy("home").cogroup(near.groupBy("home")).applyInArrow(score_requests, "part int, home int, q long, vec binary, least float, nodes array<long>")
         scored = wanted.groupBy("part").cogroup(index.nodes.select("part", "node", "vec").groupBy("part")).applyInArrow(score_nodes, "home int, q long, nodes array<long>, score array<float>")
         state = saved(state.groupBy("home").cogroup(scored.groupBy("home")).applyInArrow(widen, BEAMS))
-        if state.where(F.exists("done", lambda x: ~x)).isEmpty():
-            break
     return state.select("q", "beam", "score")
 
 

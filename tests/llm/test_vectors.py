@@ -111,3 +111,24 @@ def test_descent_and_greedy_search_find_most(spark, monkeypatch, clustered):
     emb = frame(spark, rows)
     got = A.nearest(emb, emb.where("vec_id % 50 = 0"), beam=96, expand=24).collect()
     assert recall(spark, rows, got, 50) >= 0.95
+
+
+def test_search_goes_on_until_beams_are_expanded(spark, monkeypatch):
+    monkeypatch.setattr(A, "PIVOTS", 1)
+    monkeypatch.setattr(A, "SEEDS", 1, raising=False)
+    a = np.linspace(0, 3, 400)  # an arc: every step towards a query is short, and the only seed is far from most
+    rows = [(k, [np.cos(x), np.sin(x)]) for k, x in enumerate(a)]
+    emb = frame(spark, rows)
+    got = A.nearest(emb, emb.where("vec_id % 50 = 0")).collect()
+    assert recall(spark, rows, got, 50) >= 0.99
+
+
+def test_search_reaches_clusters_beyond_the_number_of_pivots(spark, monkeypatch):
+    monkeypatch.setattr(A, "BLOCK", 200)
+    monkeypatch.setattr(A, "PIVOTS", 4)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(50, 12))[np.arange(2500) % 50] + 0.01 * rng.normal(size=(2500, 12))
+    rows = [(k, list(v)) for k, v in enumerate(x)]
+    emb = frame(spark, rows)
+    got = A.nearest(emb, emb.where("vec_id % 49 = 0"), beam=96, expand=24).collect()
+    assert recall(spark, rows, got, 49) >= 0.95
