@@ -5,9 +5,10 @@ between points is nearness of directions; queries get a zero there.  Equal vecto
 node.
 
 Build: a few partitions by nearest pivot, in blocks of bounded size, give every node
-first neighbours.  Then rounds of Spark joins: each node meets its neighbours and those it is
-a neighbour of, with their vectors; every two of them of which one is new there are
-compared, and what improves a list is sent to it.
+first neighbours; the number of pivots grows with the nodes.  Then rounds of Spark joins: each
+node meets its neighbours and those it is a neighbour of, with their vectors; every two of
+them of which one is new there are compared, and what improves a list is sent to it.  Rounds
+go on until they change hardly anything.
 
 Search: every query keeps a beam.  It starts from seeds, some nodes of the cells whose pivots are
 nearest to it; cells, and with them seeds, grow in number with the nodes.  Each round takes the
@@ -34,8 +35,9 @@ SAMPLE = 20  # neighbours of each direction that meet in a round
 TREES = 4
 BLOCK = 4096
 PART = 2048
-PIVOTS = 512
-ROUNDS = 2
+PIVOTS = 512  # more than so many are compared by way of groups
+GROUPS = 4  # groups looked at
+TOLERANCE = 0.001  # share of list entries that a round must change for another to follow
 BEAM = 320
 EXPAND = 160
 SEEDS = 128  # of each cell
@@ -104,42 +106,63 @@ def merged(entries: DataFrame, k: int, p: int) -> DataFrame:
 
 
 class Cells:
-    """Partitions of the nodes by nearest pivot: ``keyed`` (tree, pivot, node, vec), and what the pivots are."""
+    """Partitions of the nodes by nearest pivot: ``keyed`` (tree, pivot, node, vec), and what the pivots are:
+    of each tree the nodes, the vectors and their groups."""
 
-    def __init__(self, keyed: DataFrame, pivots: Broadcast, trees: int, number: int):
-        self.keyed, self.pivots, self.trees, self.number = keyed, pivots, trees, number
+    def __init__(self, keyed: DataFrame, pivots: Broadcast, number: int):
+        self.keyed, self.pivots, self.number = keyed, pivots, number
 
 
 def cells_of(nodes: DataFrame, dim: int, n: int) -> Cells:
-    """Cells over several sets of pivots."""
+    """Cells over several sets of pivots, one pivot for half a block of nodes."""
     spark = nodes.sparkSession
-    number = int(min(PIVOTS, max(1, n // (BLOCK // 2))))
+    number = int(max(1, n // (BLOCK // 2)))
     trees = TREES if number > 1 or n > BLOCK else 1
     taken = some_rows(nodes.select("node", "vec"), number * trees, F.xxhash64("vec")).collect()
-    pivots = spark.sparkContext.broadcast((np.array([r["node"] for r in taken]), np.frombuffer(b"".join(bytes(r["vec"]) for r in taken), "<f4").reshape(-1, dim)))
+    name, x = np.array([r["node"] for r in taken]), np.frombuffer(b"".join(bytes(r["vec"]) for r in taken), "<f4").reshape(-1, dim)
+    pivots = spark.sparkContext.broadcast([(name[t::trees], x[t::trees], grouped(x[t::trees]) if number > PIVOTS else None) for t in range(trees)])
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = matrix(batch.column("vec"), "<f4", dim)
-            for t in range(trees):
-                near = nearest_pivots(x, pivots.value[1][t::trees], 1)[0][:, 0]
+            for t, (_, own, group) in enumerate(pivots.value):
+                near = nearest_pivots(x, own, group, 1)[0][:, 0]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(near.astype(np.int32)), batch.column("node"), batch.column("vec")], ["tree", "pivot", "node", "vec"])
 
-    return Cells(written(nodes.select("node", "vec").mapInArrow(key, "tree int, pivot int, node long, vec binary"), "blocks"), pivots, trees, number)
+    return Cells(written(nodes.select("node", "vec").mapInArrow(key, "tree int, pivot int, node long, vec binary"), "blocks"), pivots, number)
 
 
-def nearest_pivots(x: np.ndarray, pivots: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k pivots of the highest inner product with each row (lifted pivots are of one length), and those."""
-    s = x @ pivots.T
+def grouped(pivots: np.ndarray) -> np.ndarray:
+    """The group of each pivot: the nearest of the first few, about the square root of their number."""
+    few = pivots[: int(np.ceil(np.sqrt(len(pivots))))]
+    return np.concatenate([(pivots[at : at + 4096] @ few.T).argmax(1) for at in range(0, len(pivots), 4096)])
+
+
+def nearest_pivots(x: np.ndarray, pivots: np.ndarray, group: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k pivots of the highest inner product with each row (lifted pivots are of one length), and those;
+    with groups, of the pivots in the few groups nearest to the row, where a pivot may be given twice."""
     k = min(k, len(pivots))
-    top = np.argsort(-s, 1, kind="stable")[:, :k] if k > 1 else s.argmax(1)[:, None]
-    return top, np.take_along_axis(s, top, 1)
+    if group is None:
+        s = x @ pivots.T
+        top = np.argsort(-s, 1, kind="stable")[:, :k] if k > 1 else s.argmax(1)[:, None]
+        return top, np.take_along_axis(s, top, 1)
+    number = int(np.ceil(np.sqrt(len(pivots))))
+    close = np.argsort(-(x @ pivots[:number].T), 1, kind="stable")[:, :GROUPS]
+    top, value = np.tile(close[:, :1], k), np.full((len(x), k), -np.inf, np.float32)
+    for g in range(number):
+        row, own = np.flatnonzero((close == g).any(1)), np.flatnonzero(group == g)
+        if len(row) and len(own):
+            both = np.concatenate([value[row], x[row] @ pivots[own].T], 1)
+            name = np.concatenate([top[row], np.tile(own, (len(row), 1))], 1)
+            order = np.argsort(-both, 1, kind="stable")[:, :k]
+            top[row], value[row] = np.take_along_axis(name, order, 1), np.take_along_axis(both, order, 1)
+    return top, (x[:, None] * pivots[top]).sum(2)
 
 
 def first_lists(cells: Cells, dim: int, p: int) -> DataFrame:
     """Neighbours within blocks of nodes that share a cell."""
     keyed = cells.keyed
-    size = keyed.groupBy("tree", "pivot").agg(F.ceil(F.count("*") / BLOCK).alias("g"))  # at most TREES * PIVOTS rows
+    size = keyed.groupBy("tree", "pivot").agg(F.ceil(F.count("*") / BLOCK).alias("g"))  # a row for each cell
     placed = keyed.join(F.broadcast(size), ["tree", "pivot"]).withColumn("block", F.pmod(F.xxhash64("node", "tree"), "g"))
 
     def run(t: pa.Table) -> pa.Table:
@@ -159,15 +182,16 @@ def first_lists(cells: Cells, dim: int, p: int) -> DataFrame:
     return saved(merged(placed.groupBy("tree", "pivot", "block").applyInArrow(run, LISTS), NEIGHBOURS, p))
 
 
-def descend(nodes: DataFrame, state: DataFrame, dim: int, p: int) -> DataFrame:
-    """One round: neighbours of a node meet there, pairs with a new member are compared."""
+def descend(nodes: DataFrame, state: DataFrame, dim: int, p: int, turn: int) -> DataFrame:
+    """One round: neighbours of a node meet there, pairs with a new member are compared.  An entry is old
+    once both its ends have met with it; others get their turn in later rounds."""
     rate = F.when(F.size("near") >= NEIGHBOURS, F.element_at("score", -1)).otherwise(F.lit(float("-inf")).cast("float"))
     edge = state.select("node", F.posexplode(F.arrays_zip("near", "old")).alias("place", "e"))
     # a node's best few, and the new entries wherever they stand
-    edge = edge.where((F.col("place") < SAMPLE) | (~F.col("e.old") & (F.xxhash64("node", "e.near") % 2 == 0)))
+    edge = edge.where((F.col("place") < SAMPLE) | (~F.col("e.old") & (F.xxhash64("node", "e.near", F.lit(turn)) % 2 == 0)))
     edge = edge.select("node", F.col("e.near").alias("other"), F.col("e.old").alias("old"))
     back = edge.select(F.col("other").alias("node"), F.col("node").alias("other"), "old")
-    few = Window.partitionBy("node").orderBy(F.xxhash64("node", "other"))
+    few = Window.partitionBy("node").orderBy("old", F.xxhash64("node", "other", F.lit(turn)))
     back = back.withColumn("r", F.row_number().over(few)).where(F.col("r") <= SAMPLE).drop("r")
     meet = edge.unionByName(back).groupBy("node", "other").agg(F.min("old").alias("old"))
     held = state.select(F.col("node").alias("other"), rate.alias("least"))
@@ -192,10 +216,10 @@ def descend(nodes: DataFrame, state: DataFrame, dim: int, p: int) -> DataFrame:
             yield from t.take(pa.array(order)).to_batches()
 
         for t in runs(batches, ["node"]):
-            x = matrix(t.column("h"), "<f2", dim).astype(np.float32)
+            x = matrix(t.column("h"), "<f2", dim).astype(float)
             other, new = t.column("other").to_numpy(), ~t.column("old").to_numpy(zero_copy_only=False).astype(bool)
             least = t.column("least").fill_null(float("-inf")).to_numpy()
-            score = x @ x.T
+            score = (x @ x.T).astype(np.float32)  # summed in double precision: a pair scores the same wherever it meets
             ok = new[:, None] | new
             np.fill_diagonal(ok, False)
             i, j = np.nonzero(ok & (score > least[:, None]))
@@ -210,8 +234,10 @@ def descend(nodes: DataFrame, state: DataFrame, dim: int, p: int) -> DataFrame:
             yield from out()
 
     found = seen.repartition(max(p, parts(seen.sparkSession)), "node").sortWithinPartitions("node").mapInArrow(compare, LISTS)
-    # what meets in this round is old from now on
-    before = state.withColumn("old", F.transform("near", lambda x: F.lit(True)))
+    # what meets at both ends in this round is old from now on
+    met = back.groupBy(F.col("other").alias("node")).agg(F.collect_list("node").alias("met"))
+    old = F.transform(F.arrays_zip("near", "old"), lambda e: e["old"] | F.array_contains(F.coalesce("met", F.array().cast("array<long>")), e["near"]))
+    before = state.join(met, "node", "left").withColumn("old", old).select(*state.columns)
     return saved(merged(before.unionByName(found), NEIGHBOURS, p))
 
 
@@ -225,13 +251,14 @@ def graph_of(state: DataFrame) -> DataFrame:
 
 
 class Index:
-    """A stored graph over stored nodes, with their cells."""
+    """A stored graph over stored nodes, with their cells; ``updates``: the share of entries each round changed."""
 
-    def __init__(self, spark: SparkSession, nodes: DataFrame, graph: DataFrame, cells: Cells, wide: int, p: int):
+    def __init__(self, spark: SparkSession, nodes: DataFrame, graph: DataFrame, cells: Cells, wide: int, p: int, updates: list[float]):
         self.spark, self.nodes, self.graph, self.cells, self.wide, self.p = spark, nodes, graph, cells, wide, p
+        self.updates = updates
 
 
-def build(emb: DataFrame, k: int = 20, rounds: int = ROUNDS) -> Index | None:
+def build(emb: DataFrame, k: int = 20, tolerance: float = TOLERANCE) -> Index | None:
     """Index of all usable rows; keeps each different vector's k + 1 smallest ids.  None if empty."""
     spark = emb.sparkSession
     wide = width(emb)
@@ -250,9 +277,13 @@ def build(emb: DataFrame, k: int = 20, rounds: int = ROUNDS) -> Index | None:
     nodes = nodes_of(points, wide, top, p)
     cells = cells_of(nodes, wide + 1, n)
     state = first_lists(cells, wide + 1, p)
-    for _ in range(rounds if n > BLOCK else 0):  # one block has compared all with all
-        state = descend(nodes, state, wide + 1, p)
-    return Index(spark, nodes, written(graph_of(state), "graph"), cells, wide, p)
+    updates: list[float] = []
+    while n > BLOCK and (not updates or updates[-1] >= tolerance):  # one block has compared all with all
+        was, state = state, descend(nodes, state, wide + 1, p, len(updates))
+        both = state.select("node", "near").join(was.select("node", F.col("near").alias("was")), "node", "left")
+        changed = both.agg(F.sum(F.size(F.array_except("near", F.coalesce("was", F.array().cast("array<long>")))))).first()[0]
+        updates.append((changed or 0) / (n * min(NEIGHBOURS, n - 1)))
+    return Index(spark, nodes, written(graph_of(state), "graph"), cells, wide, p, updates)
 
 
 BEAMS = "home int, q long, vec binary, beam array<long>, score array<float>, done array<boolean>"
@@ -261,7 +292,7 @@ BEAMS = "home int, q long, vec binary, beam array<long>, score array<float>, don
 def started(index: Index, queries: DataFrame) -> DataFrame:
     """Beams of the best seeds of the cells nearest to each query, and of those cells' pivots."""
     p, dim, cells = index.p, index.wide + 1, index.cells
-    pivots, trees = cells.pivots, cells.trees
+    pivots = cells.pivots
     seeds = max(SEEDS, PIVOTS // cells.number)
     few = Window.partitionBy("tree", "pivot").orderBy(F.xxhash64("node", "tree"))
     entry = written(cells.keyed.withColumn("r", F.row_number().over(few)).where(F.col("r") <= seeds).drop("r"), "seeds")
@@ -277,19 +308,18 @@ def started(index: Index, queries: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array((q % p).astype(np.int32)), pa.array(q), pa.array([r.tobytes() for r in v], pa.binary()), *(pa.ListArray.from_arrays(ends, x) for x in values)], ["home", "q", "vec", "beam", "score", "done"])
 
     def at_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, x = pivots.value
         for batch in batches:
             v, q = lifted(batch), batch.column("q").to_numpy()
-            for t in range(trees):
-                near, s = nearest_pivots(v, x[t::trees], PROBES)
-                yield beams(v, q, name[t::trees][near], s)
+            for name, x, group in pivots.value:
+                near, s = nearest_pivots(v, x, group, PROBES)
+                yield beams(v, q, name[near], s)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = lifted(batch)
             raw = pa.array([r.tobytes() for r in v], pa.binary())
-            for t in range(trees):
-                near = nearest_pivots(v, pivots.value[1][t::trees], PROBES)[0]
+            for t, (_, x, group) in enumerate(pivots.value):
+                near = nearest_pivots(v, x, group, PROBES)[0]
                 for k in range(near.shape[1]):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), t, np.int32)), pa.array(near[:, k].astype(np.int32)), batch.column("q"), raw], ["tree", "pivot", "q", "vec"])
 
@@ -423,7 +453,7 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXP
     return state.select("q", "beam", "score")
 
 
-def nearest(emb: DataFrame, queries: DataFrame, k: int = 20, rounds: int = ROUNDS, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
+def nearest(emb: DataFrame, queries: DataFrame, k: int = 20, tolerance: float = TOLERANCE, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
     """The k nearest found of each query, by inner product.
 
     ``emb`` and ``queries``: (vec_id, embedding).  Output: ``query_id``, ``rank`` from 1, ``vec_id``,
@@ -434,7 +464,7 @@ def nearest(emb: DataFrame, queries: DataFrame, k: int = 20, rounds: int = ROUND
     """
     spark = emb.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    index = build(emb, k, rounds)
+    index = build(emb, k, tolerance)
     if index is None:
         return empty
     asked = packed(usable(queries).where(F.exists("embedding", lambda x: x != 0)), index.wide, "<f8").distinct()

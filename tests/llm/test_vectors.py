@@ -132,3 +132,23 @@ def test_search_reaches_clusters_beyond_the_number_of_pivots(spark, monkeypatch)
     emb = frame(spark, rows)
     got = A.nearest(emb, emb.where("vec_id % 49 = 0"), beam=96, expand=24).collect()
     assert recall(spark, rows, got, 49) >= 0.95
+
+
+def test_descent_converges(spark, monkeypatch):
+    monkeypatch.setattr(A, "BLOCK", 64)
+    monkeypatch.setattr(A, "PIVOTS", 4)  # far fewer than cells: pivots are looked up by group
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2500, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    emb = frame(spark, [(k, list(v)) for k, v in enumerate(x)])
+    index = A.build(emb)
+    name = {r["node"]: r["ids"][0] for r in index.nodes.collect()}
+    x = x.astype(np.float32)
+    hit = 0
+    for r in index.graph.collect():
+        k = name[r["node"]]
+        s = x @ x[k]
+        s[k] = -np.inf
+        hit += len({name[b] for b in r["near"]} & set(np.argsort(-s)[:20].tolist()))
+    assert hit / 50_000 >= 0.99
+    assert index.updates[-1] < A.TOLERANCE <= min(index.updates[:-1])
