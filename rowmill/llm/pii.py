@@ -114,6 +114,8 @@ _AT = re.compile(r"\s*[\[({<]\s*(?:at|arroba|arobase|ät|@)\s*[\])}>]\s*|\s+(?:a
 _DOT = re.compile(r"\s*[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]\s*|\s+(?:dot|punkt|point|punto)\s+|(?<=[a-z0-9])_dot_(?=[a-z0-9])|&#46;|&#x2e;|&period;", re.I)
 _SIGNS = ("dot", "punkt", "point", "punto", "(at", "[at", "{at", "<at", "( at", "[ at", "{ at", "(@", "[@", "{@", "arroba", "arobase", "&#64", "&#x40", "&commat", "&#46", "&period", "%40", "(.", "[.", "{.")
 _DOT_BEFORE = re.compile(rf"({_DOT.pattern})\Z", re.I)
+_PART_DOT = re.compile(rf"(?<=[0-9])(?:{_DOT.pattern})(?=[0-9])", re.I)
+_PARTS = re.compile(rf"(?<![0-9])[0-9]++(?:(?:\.|{_DOT.pattern})[0-9]++){{3,}}+", re.I)
 #: Words that follow a plain "at" in sentences.
 _NO_SITE = frozenset("the a an this that these those my your our his her their its all any each every first last least most once home work der die das dem den la le les el los las un una une".split())
 _WORD_LEFT = re.compile(r"[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*\Z")
@@ -245,6 +247,11 @@ def unmask_addresses(m: Mapped) -> Mapped:
     return m.rewrite(apart)
 
 
+def unmask_parts(m: Mapped) -> Mapped:
+    """Disguised dots in chains of four or more numbers."""
+    return m.rewrite([(d.start(), d.end(), ".") for chain in _PARTS.finditer(m.text) for d in _PART_DOT.finditer(m.text, chain.start(), chain.end())])
+
+
 def _tail(text: str, at: int) -> bool:
     label = _WORD_RIGHT.match(text, at)
     return bool(label) and label[0].isalpha() and 2 <= len(label[0]) <= 24
@@ -271,7 +278,7 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     own = base(text)
     if not disguised(text):
         return own, own
-    m = unmask_addresses(unmask_digits(unmask_characters(Mapped(text))))
+    m = unmask_parts(unmask_addresses(unmask_digits(unmask_characters(Mapped(text)))))
     if m.text == text:
         return own, own
     covers: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}

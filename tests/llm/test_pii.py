@@ -90,3 +90,10 @@ def test_redaction(spark):
     assert text == "mail [EMAIL] or [EMAIL], [IP], [PHONE], [CARD]"
     assert out.where("text is null").count() == docs.where("text is null").count()
     assert P.redacted("jоhn@example.com!") == "[EMAIL]!"
+
+
+@pytest.mark.parametrize("span", ["192[.]168[.]1[.]1", "192(dot)168(dot)1(dot)1", "192 dot 168 dot 1 dot 1", "192.168[.]1.1", "10&#46;0&#46;0&#46;1", "10 [ punkt ] 0.0 punto 1"])
+def test_disguised_dots_between_numbers(span):
+    assert P.find(f"host {span} is up") == ([], [(5, 5 + len(span), "ip")])
+    assert P.redacted(f"host {span}, up") == "host [IP], up"
+    assert P.find("ratios 3 point 5, 300 dot 1 dot 2 dot 3 and 1 dot 2 dot 3") == ([], [])
