@@ -17,6 +17,7 @@ import re
 import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -98,8 +99,6 @@ LOOK_ALIKES = {
     "ı": "i", "ⅼ": "l", "․": ".", "。": ".", "·": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "﹢": "+", " ": " ", " ": " ", " ": " ", " ": " ",
 }
 INVISIBLE = frozenset("­​‌‍‎‏⁠﻿")
-#: What marks a text for the second part: invisible or look-alike characters, foreign digits, wide and styled forms.
-_ODD = re.compile("[" + re.escape("".join(sorted({*LOOK_ALIKES, *INVISIBLE}))) + "٠-٩۰-۹०-९！-～①-⓿⁰-⁹₀-₉\U0001d400-\U0001d7ff]")
 DIGIT_WORDS = {
     **dict(zip("zero one two three four five six seven eight nine".split(), "0123456789")), "oh": "0",
     **dict(zip("null eins zwei drei vier fünf sechs sieben acht neun".split(), "0123456789")),
@@ -109,10 +108,14 @@ DIGIT_WORDS = {
 _SPELLED = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _DIGIT_RUN = re.compile(rf"(?<!\w)(?:(?:plus|\+)[\x20-]*)?(?:(?:{_SPELLED}|[0-9])(?!\w)[\x20.,-]{{0,2}}(?:(?:dot|point|punkt|punto)(?!\w)\x20)?)*(?:{_SPELLED})(?!\w)(?:[\x20.,-]{{0,2}}(?:(?:dot|point|punkt|punto)\x20)?(?:{_SPELLED}|[0-9]+)(?!\w))*", re.I)
 _DIGIT_TOKEN = re.compile(rf"(?P<digit>{_SPELLED})|(?P<plus>plus)|(?P<dot>dot|point|punkt|punto)", re.I)
-_HINTS = ("two", "four", "five", "seven", "eight", "nine", "zero", "zwei", "vier", "sieben", "neun", "deux", "quatre", "cinq", "huit", "neuf", "cuatro", "cinco", "siete", "ocho", "nueve", "six", "seis", "sechs", "three", "drei", "trois", "tres")
 _AT = re.compile(r"\s*[\[({<]\s*(?:at|arroba|arobase|ät|@)\s*[\])}>]\s*|\s+(?:at|arroba|arobase)\s+|(?<=[a-z0-9])_at_(?=[a-z0-9])|&#64;|&#x40;|&commat;|%40", re.I)
 _DOT = re.compile(r"\s*[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]\s*|\s+(?:dot|punkt|point|punto)\s+|(?<=[a-z0-9])_dot_(?=[a-z0-9])|&#46;|&#x2e;|&period;", re.I)
-_SIGNS = ("dot", "punkt", "point", "punto", "(at", "[at", "{at", "<at", "( at", "[ at", "{ at", "(@", "[@", "{@", "arroba", "arobase", "&#64", "&#x40", "&commat", "&#46", "&period", "%40", "(.", "[.", "{.")
+#: A match of each pattern holds one of these, in lower case.
+_SIGNS = (
+    (_AT, ("at", "arroba", "arobase", "ät", "@", "&#64;", "&#x40;", "&commat;", "%40")),
+    (_DOT, ("dot", "punkt", "point", "punto", ".", "&#46;", "&#x2e;", "&period;")),
+    (_DIGIT_RUN, tuple(DIGIT_WORDS)),
+)
 _DOT_BEFORE = re.compile(rf"({_DOT.pattern})\Z", re.I)
 _PART_DOT = re.compile(rf"(?<=[0-9])(?:{_DOT.pattern})(?=[0-9])", re.I)
 _PARTS = re.compile(rf"(?<![0-9])[0-9]++(?:(?:\.|{_DOT.pattern})[0-9]++){{3,}}+", re.I)
@@ -132,6 +135,8 @@ class Mapped:
 
     def rewrite(self, changes: list[tuple[int, int, str]]) -> "Mapped":
         """Replace spans, in order and apart from each other; each new character stands for the whole span."""
+        if not changes:
+            return self
         out, start, end, at = [], [], [], 0
         for a, b, new in changes:
             out += [self.text[at:a], new]
@@ -144,6 +149,7 @@ class Mapped:
         return self.start[a], self.end[b - 1]
 
 
+@cache
 def plain_character(c: str) -> str:
     if c in INVISIBLE:
         return ""
@@ -266,11 +272,11 @@ def bare_numbers(m: Mapped, source: str) -> Iterator[Span]:
 
 
 def disguised(text: str) -> bool:
-    """Whether any sign of a disguise is there."""
-    if not text.isascii() and _ODD.search(text):
+    """Whether a transducer may rewrite anything: all that it looks for is looked for."""
+    if not text.isascii() and any(plain_character(c) != c for c in set(text) if ord(c) > 127):
         return True
-    low = text.lower()
-    return any(s in low for s in _SIGNS) or (any(s in low for s in _HINTS) and any(len(r[0]) > 12 for r in _DIGIT_RUN.finditer(low)))
+    low = text.lower().replace("\u0307", "")  # of a dotted capital i, which patterns take for an i
+    return any(any(x in low for x in signs) and sign.search(text) for sign, signs in _SIGNS)
 
 
 def find(text: str) -> tuple[list[Span], list[Span]]:

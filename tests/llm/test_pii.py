@@ -97,3 +97,22 @@ def test_disguised_dots_between_numbers(span):
     assert P.find(f"host {span} is up") == ([], [(5, 5 + len(span), "ip")])
     assert P.redacted(f"host {span}, up") == "host [IP], up"
     assert P.find("ratios 3 point 5, 300 dot 1 dot 2 dot 3 and 1 dot 2 dot 3") == ([], [])
+
+
+@pytest.mark.parametrize(("text", "kind"), [
+    ("john_at_example.com", "email"), ("jo@example&#x2e;com", "email"), ("jo﹫example.com", "email"), ("jo@example﹒com", "email"), ("jo@exampⅼe.com", "email"), ("jo@ⅰn.org", "email"),
+    ("১৯২.১৬৮.১.১", "ip"), ("๑๙๒.๑๖๘.๑.๑", "ip"), ("+૪૯૧૭૦૧૨૩૪૫૬૭", "phone"), ("௪௧௧௧ ௧௧௧௧ ௧௧௧௧ ௧௧௧௧", "card"), ("10<.>0<.>0<.>1", "ip"),
+])
+def test_signs_of_all_transducers_open_the_gate(text, kind):
+    assert P.find(text) == ([], [(0, len(text), kind)])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["1", "255", "one", "fİve", "ſix", "seven", " ", ".", "@", "joe", "x.org", "com", "_at_", " at ", "(AT)", "{ dot }", " point ", "&#X2E;", "%40", "+", "plus ", "৯", "﹒", "ⅰ", "é", "-", "<.>", "192.168.1."]), max_size=16))
+def test_the_gate_changes_nothing(parts):
+    text = "".join(parts)
+    if not P.disguised(text):
+        m = P.Mapped(text)
+        for step in (P.unmask_characters, P.unmask_digits, P.unmask_addresses, P.unmask_parts):
+            m = step(m)
+        assert m.text == text
