@@ -108,6 +108,7 @@ DIGIT_WORDS = {
 _SPELLED = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _DIGIT_RUN = re.compile(rf"(?<!\w)(?:(?:plus|\+)[\x20-]*)?(?:(?:{_SPELLED}|[0-9])(?!\w)[\x20.,-]{{0,2}}(?:(?:dot|point|punkt|punto)(?!\w)\x20)?)*(?:{_SPELLED})(?!\w)(?:[\x20.,-]{{0,2}}(?:(?:dot|point|punkt|punto)\x20)?(?:{_SPELLED}|[0-9]+)(?!\w))*", re.I)
 _DIGIT_TOKEN = re.compile(rf"(?P<digit>{_SPELLED})|(?P<plus>plus)|(?P<dot>dot|point|punkt|punto)", re.I)
+_NUMERIC, _DIGIT_LEFT, _DIGIT_RIGHT = re.compile("[0-9]"), re.compile(r"[0-9][\x20().,-]{0,2}\Z"), re.compile(r"[\x20().,-]{0,2}[0-9]")
 _AT = re.compile(r"\s*[\[({<]\s*(?:at|arroba|arobase|ät|@)\s*[\])}>]\s*|\s+(?:at|arroba|arobase)\s+|(?<=[a-z0-9])_at_(?=[a-z0-9])|&#64;|&#x40;|&commat;|%40", re.I)
 _DOT = re.compile(r"\s*[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]\s*|\s+(?:dot|punkt|point|punto)\s+|(?<=[a-z0-9])_dot_(?=[a-z0-9])|&#46;|&#x2e;|&period;", re.I)
 #: A match of each pattern holds one of these, in lower case.
@@ -166,11 +167,12 @@ def unmask_characters(m: Mapped) -> Mapped:
 
 
 def unmask_digits(m: Mapped) -> Mapped:
-    """Runs with at least four spelled digits become digits; single blanks and commas inside go."""
+    """Runs with at least four spelled digits, or with digits in or next to them, become digits; single
+    blanks and commas inside go.  The detectors decide what is a number."""
     changes = []
     for run in _DIGIT_RUN.finditer(m.text):
         tokens = list(_DIGIT_TOKEN.finditer(m.text, run.start(), run.end()))
-        if sum(t["digit"] is not None for t in tokens) < 4:
+        if sum(t["digit"] is not None for t in tokens) < 4 and not (_NUMERIC.search(run[0]) or _DIGIT_LEFT.search(m.text[max(0, run.start() - 3) : run.start()]) or _DIGIT_RIGHT.match(m.text, run.end())):
             continue
         at = run.start()
         for t in tokens:

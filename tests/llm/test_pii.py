@@ -116,3 +116,9 @@ def test_the_gate_changes_nothing(parts):
         for step in (P.unmask_characters, P.unmask_digits, P.unmask_addresses, P.unmask_parts):
             m = step(m)
         assert m.text == text
+
+
+@pytest.mark.parametrize(("span", "kind"), [("+49 170 one two three 4567", "phone"), ("+1 415 five five five 0199", "phone"), ("192.168.one.one", "ip"), ("4111 1111 1111 one one one 1", "card")])
+def test_few_spelled_digits_among_numbers(span, kind):
+    assert (5, 5 + len(span), kind) in P.find(f"call {span} now")[1]
+    assert P.find("in 2019 one of 3 men, two 10 year olds and seven 5 pound notes") == ([], [])
