@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from rowmill.llm import bpe, langid, line_dedup, ngram_join, nn_descent, packing, pii, pivot_topk, quality, token_scan
+from rowmill.llm import bpe, collocations, cuckoo, langid, line_dedup, ngram_join, nn_descent, packing, pii, pivot_topk, quality, spelling, token_scan
 from rowmill.llm.common import table
 
 
@@ -54,9 +54,22 @@ def op10_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_topk.search(emb, emb.where(F.col("vec_id") % 100 == 0))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_cuckoo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo.dedup_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_ngram_join, op2_pii, op3_quality, op4_line_dedup, op5_nn_descent, op6_langid, op7_token_scan, op8_bpe, op9_packing, op10_pivot_topk)
+    for f in (op1_ngram_join, op2_pii, op3_quality, op4_line_dedup, op5_nn_descent, op6_langid, op7_token_scan, op8_bpe, op9_packing, op10_pivot_topk,
+              op11_collocations, op12_spelling, op13_cuckoo)
 }
 
 ORACLE: dict[str, str] = {
@@ -97,6 +110,39 @@ label as (select label, min(doc_id) as class_id from class join member on class.
 select doc_id, class_id, cast(coalesce(links.links, 0) + copies.c - 1 as bigint) as n_links
 from member join class on member.k = class.i join label using (label)
 join copies on copies.k = member.k left join links on links.i = member.k""",
+    "op11_collocations": r"""
+with d as (
+  select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+pieces as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as p from d),
+words as (select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from pieces),
+sizes as (select lang, w, unnest([1, 2, 3, 4, 5]) as size from words),
+grams as (
+  select lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(list_slice(w, i, i + size - 1), ' '))) as phrase
+  from sizes where len(w) >= size),
+counts as (select lang, size, phrase, count(*) as f from grams group by all),
+total as (select lang, sum(f) as n from counts where size = 1 group by lang),
+often as (select lang, size, string_split(phrase, ' ') as w, phrase, f from counts where f >= 100),
+inside as (
+  select lang, f, size, unnest(list_transform(range(1, size), lambda k: k)) as k, w from often where size > 2),
+parts as (
+  select distinct lang, f, array_to_string(list_slice(w, i, i + k - 1), ' ') as phrase
+  from (select lang, f, k, w, unnest(range(1, size - k + 2)) as i from inside)),
+covered as (select distinct o.lang, o.phrase from often o join parts p on o.lang = p.lang and o.phrase = p.phrase where 100 * p.f >= 100 * o.f),
+own as (select * from often anti join covered using (lang, phrase) where size > 1),
+cuts as (select lang, phrase, f as a, w, size, unnest(range(1, size)) as k from own),
+scored as (
+  select c.lang, c.phrase, c.a, c.k, p.f as l, q.f as r, n, (cast(1000 as hugeint) * c.a * n) // (cast(p.f as hugeint) * q.f) as score
+  from cuts c join total on total.lang = c.lang
+  join often p on p.lang = c.lang and p.phrase = array_to_string(list_slice(c.w, 1, c.k), ' ')
+  join often q on q.lang = c.lang and q.phrase = array_to_string(list_slice(c.w, c.k + 1, c.size), ' ')),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from lowest)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score from ranked where rank <= 2000""",
+    "op13_cuckoo": r"""
+with own as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
+select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partition by t) as group_size,
+  row_number() over best = 1 as kept, sha256(t) as text_sha256
+from own window best as (partition by t order by doc_id nulls last rows between unbounded preceding and unbounded following)""",
     "op10_pivot_topk": """
 with ints as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
