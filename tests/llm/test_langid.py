@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -69,3 +70,15 @@ def test_regularised_weights_are_sparse_and_temperature_calibrates():
     s = np.stack([x @ m.weight[g] + m.bias for _, g, x in rows[300:]])
     loss = lambda t: float(np.mean([np.log(np.exp(a / t - (a / t).max()).sum()) - (a / t - (a / t).max())[y] for a, (y, _, _) in zip(s, rows[300:])]))
     assert loss(m.temperature) <= min(loss(1.0), loss(5.0), loss(0.2)) + 1e-9
+
+
+def test_rare_languages_are_classes(spark):
+    rng = random.Random(6)
+    en = "the river and old mill turn over quiet stones while bright birds sing near tall green trees".split()
+    pl = "rzeka i stary młyn obracają ciche kamienie gdy jasne ptaki śpiewają blisko wysokich drzew zawsze".split()
+    rows = [(k, " ".join(rng.choices(pl if k % 5000 == 1 else en, k=25)), "pl" if k % 5000 == 1 else "en") for k in range(60_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    got = {r["doc_id"]: r["lang_pred"] for r in G.identify(docs).collect()}
+    assert sum(lang == "pl" for _, _, lang in rows) == 12
+    assert all(got[k] == lang for k, _, lang in rows if lang == "pl")
+    assert sum(got[k] != lang for k, _, lang in rows) < 60

@@ -122,3 +122,42 @@ def test_the_gate_changes_nothing(parts):
 def test_few_spelled_digits_among_numbers(span, kind):
     assert (5, 5 + len(span), kind) in P.find(f"call {span} now")[1]
     assert P.find("in 2019 one of 3 men, two 10 year olds and seven 5 pound notes") == ([], [])
+
+
+PARTS = ["1", "255", "one", "fİve", "ſix", "seven", "two ", " ", ".", "@", "joe", "x.org", "com", "_at_", " at ", "(AT)", "{ dot }", " point ", "&#X2E;", "%40", "+", "plus ", "৯", "﹒", "ⅰ", "é", "-", "<.>", "192.168.1.", "dot ", " dot\t", "\n", "  at\n", "un", "deux", "5 ", "3,", "a", "(", ")"]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=24))
+def test_looking_around_candidates_finds_what_a_full_search_finds(parts):
+    text = P.unmask_characters(P.Mapped("".join(parts))).text
+    assert [m.span() for m in P.digit_runs(text)] == [m.span() for m in P._DIGIT_RUN.finditer(text)]
+    found, at = [], 0
+    for a, b, bare in P.at_signs(text, P.lowered(text)):
+        core = P._SPACES.match(text, a).end() if a < at else a
+        if a >= at or core > at or (core == at and not bare):
+            found.append((max(a, at), b))
+            at = b
+    assert found == [m.span() for m in P._AT.finditer(text)]
+    for end in range(len(text) + 1):
+        m = re.search(rf"(?:{P._DOT.pattern})\Z", text[:end], re.I)
+        assert P.dot_before(text, P.lowered(text), end) == (m and m.start())
+        m = re.search(r"[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*\Z", text[:end])
+        assert P.Names(text).start(end) == (m.start() if m else end)
+
+
+def test_disguises_of_any_width():
+    for n in (1, 25, 3000):
+        text = f"to jane{' ' * n}[dot] doe{' ' * n}[at]{' ' * n}x{' ' * n}[dot]{' ' * n}com, ok"
+        assert P.find(text)[1] == [(3, len(text) - 4, "email")]
+    name = "n" * 500
+    assert P.find(f"{name} (at) x (dot) com") == ([], [(0, 517, "email")])
+
+
+def test_white_space_takes_linear_time():
+    began = time.time()
+    for blank in (" ", "\n", " \t"):
+        P.find("one at " + blank * 600_000 + " dot 3 (at) x (dot)" + blank * 600_000)
+    for x in ("1 " * 100_000 + "x", "1 " * 50_000 + "one", "_at_a" * 60_000, "( " * 200_000, "1 at " * 50_000, "dot " * 50_000 + "a (at) b.co"):
+        P.find(x)
+    assert time.time() - began < 60

@@ -203,3 +203,29 @@ def test_headers_hold_every_long():
     for x in (0, 1, -1, 50256, (1 << 63) - 1, -(1 << 63) + 1, 12345678901234):
         d = np.frombuffer(S.header(x), "<u2")
         assert S.END not in d and S.read_headers(d[None].astype(np.int64))[0] == x
+
+
+@pytest.mark.parametrize("run", [" ", "\n", " \n"])
+def test_a_million_blanks(spark, library, run):
+    """More than the library behind packing and token files can split."""
+    text = "a b" + run * (1_500_000 // len(run)) + "<|endoftext|> c"
+    docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+    got = sorted(K.pack_documents(docs).where("doc_id = 1").collect(), key=lambda r: r["piece"])
+    assert [r["ids_crc32"] for r in got] == [zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes()) for r in got] and sum(r["length"] for r in got) == len(ids)
+    library.encode_special_tokens = True
+    try:
+        n = len(library.encode(text, add_special_tokens=False).ids)
+    finally:
+        library.encode_special_tokens = False
+    assert sorted(map(tuple, S.document_tokens(docs).collect())) == [(1, n), (2, 1)]
+
+
+def test_vocabulary_from_ranks_is_the_same(vocab):
+    import base64
+    with open(K.default_ranks(), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    other = B.Vocabulary.of_ranks(ranks, {"<|endoftext|>": len(ranks)})
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdeéz日 '") for _ in range(rng.randint(1, 60))).encode() for _ in range(800)]
+    assert other.merge(words) == vocab.merge(words) and other.token_bytes == vocab.token_bytes
