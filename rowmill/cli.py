@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rowmill.functions.text import clean_text, normalize_strings, trim_strings
 from rowmill.operators.aggregate import aggregate
 from rowmill.operators.dedup import dedup, dedup_by_join, detect_keys
-from rowmill.operators.profile import take_ordered
+from rowmill.operators.limit import SMALL, take_ordered
 from rowmill.operators.quality import QualitySpec, parse_thresholds, quality_report, report_to_dict
 from rowmill.operators.reports import REPORTS, run_reports
 from rowmill.operators.route import RULE_SETS, apply_rule_set
@@ -30,9 +30,7 @@ from rowmill.operators.validate import ValidationSpec, annotate, invalid_sample,
 from rowmill.plans.publish import DEFAULT_TABLES, publish_tables
 from rowmill.plans.throughput import measure
 from rowmill.sinks.writers import write_named, write_report, write_split, write_table
-from rowmill.sources.files import read_csv, read_table, upstream_input
-
-RAW = "raw/usa-real-estate/*.csv"
+from rowmill.sources.files import HEADERS, RAW, read_csv, read_table, upstream_input
 
 
 def _csv_list(text: str | None) -> list[str]:
@@ -48,17 +46,20 @@ def _coalesce(n: int | None) -> int | None:
 
 
 def _limit(df: DataFrame, take: int | None) -> DataFrame:
-    """Ordered limit; its rows are spread back over the session's parallelism (a limit
-    leaves them in one partition, which would make every later stage a single task)."""
+    """Ordered limit; the few rows of a small one are spread over the session's parallelism (they come in
+    one partition, which would make every later stage a single task)."""
     if not take or take <= 0:
         return df
-    return take_ordered(df, take).repartition(df.sparkSession.sparkContext.defaultParallelism)
+    first = take_ordered(df, take)
+    return first.repartition(df.sparkSession.sparkContext.defaultParallelism) if take <= SMALL else first
 
 
 def _csv_flags(p: argparse.ArgumentParser) -> None:
     p.add_argument("--delimiter", default=",")
     p.add_argument("--no-header", action="store_true")
     p.add_argument("--no-infer-schema", action="store_true")
+    p.add_argument("--headers", default="check", choices=HEADERS,
+                   help="files whose headers differ: fail, unite by column name, or take columns by position")
 
 
 def _common(p: argparse.ArgumentParser, write: bool = True) -> None:
@@ -74,13 +75,15 @@ def _read(spark: SparkSession, args, stage: str) -> DataFrame:
     src = args.input or upstream_input(args.root, stage, spark)
     opts = {}
     if hasattr(args, "delimiter"):
-        opts = dict(header=not args.no_header, infer_schema=not args.no_infer_schema, delimiter=args.delimiter)
+        opts = dict(header=not args.no_header, infer_schema=not args.no_infer_schema, delimiter=args.delimiter,
+                    headers=args.headers)
     return _limit(read_table(spark, src, **opts), args.take)
 
 
 def cmd_ingest(spark, args) -> dict:
     df = _limit(read_csv(spark, args.input or f"{args.root}/{RAW}", header=not args.no_header,
-                         infer_schema=not args.no_infer_schema, delimiter=args.delimiter), args.take)
+                         infer_schema=not args.no_infer_schema, delimiter=args.delimiter,
+                         headers=args.headers), args.take)
     df.printSchema()
     out = {"rows": df.count(), "sample": [r.asDict() for r in df.limit(5).collect()]}
     print(f"rows: {out['rows']}")
@@ -89,7 +92,8 @@ def cmd_ingest(spark, args) -> dict:
 
 def cmd_cleanse(spark, args) -> dict:
     df = _limit(read_csv(spark, args.input or f"{args.root}/{RAW}", header=not args.no_header,
-                         infer_schema=not args.no_infer_schema, delimiter=args.delimiter), args.take)
+                         infer_schema=not args.no_infer_schema, delimiter=args.delimiter,
+                         headers=args.headers), args.take)
     if not args.no_trim:
         df = trim_strings(df)
     normalize = args.lowercase or args.normalize_spaces or args.strip_punct

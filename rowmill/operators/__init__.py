@@ -2,7 +2,8 @@
 
 from rowmill.operators.aggregate import aggregate, metric, parse_metrics, top_k
 from rowmill.operators.dedup import dedup, dedup_by_join, detect_keys
-from rowmill.operators.profile import profile, take_ordered
+from rowmill.operators.limit import take_any, take_ordered
+from rowmill.operators.profile import profile
 from rowmill.operators.quality import (
     QualitySpec,
     duplicate_groups,
@@ -29,7 +30,7 @@ from rowmill.operators.validate import (
 __all__ = [
     "aggregate", "metric", "parse_metrics", "top_k",
     "dedup", "dedup_by_join", "detect_keys",
-    "profile", "take_ordered",
+    "profile", "take_any", "take_ordered",
     "QualitySpec", "duplicate_groups", "failing", "parse_thresholds", "quality_report", "quality_summary",
     "report_to_dict", "percentile_disc", "percentile_from_counts",
     "REPORTS", "reports_one_pass", "run_report", "run_reports", "segment_state",

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ def _order_exprs(df: DataFrame, keys: Sequence[str], order_by, keys_vary: bool =
             rest += list(keys)
         return [(_c(c), False) for c in rest] or [(F.lit(1), False)]
     if order_by == "physical":
-        return [(F.monotonically_increasing_id(), False)]
+        return [(c, False) for c in _physical(df)]
     out = []
     for c in order_by:
         if isinstance(c, str) and c.startswith("-"):
@@ -83,6 +84,17 @@ def _order_exprs(df: DataFrame, keys: Sequence[str], order_by, keys_vary: bool =
     return out
 
 
+def _physical(df: DataFrame) -> list[Column]:
+    """A row's place: file and row number for a plain Parquet scan, which stay whatever tasks its files are
+    split into; else the order in which this plan's partitions hand rows out."""
+    place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    try:
+        df.select(*place)
+    except AnalysisException:
+        return [F.monotonically_increasing_id()]
+    return place
+
+
 def _sorted(pairs: list[tuple[Column, bool]]) -> list[Column]:
     """Ascending with nulls first; descending with nulls last (the mirror order)."""
     return [c.desc_nulls_last() if desc else c.asc_nulls_first() for c, desc in pairs]
@@ -122,13 +134,18 @@ def dedup(
     value, or ``keep`` every such row.
     ``match_on`` compares keys after a normalisation (e.g. :func:`clean_text`)
     while the output keeps the original values.  ``order_by='physical'`` keeps
-    the first row in scan order, which depends on the input partitioning.
+    the first row in scan order: by file and row number for a plain Parquet scan, else as the
+    input is partitioned (see :func:`rowmill.sources.with_row_id` for lasting numbers).
     """
     keys = _prepare(df, keys, null_keys, on_missing_keys)
     if keys is None:
         return df
     cols = df.columns
     src = df
+    order = _order_exprs(df, keys, order_by, match_on is not None)
+    if order_by == "physical":  # taken at the scan, before any projection
+        src = src.select("*", *[c.alias(f"__rowmill_p{i}") for i, (c, _) in enumerate(order)])
+        order = [(F.col(f"__rowmill_p{i}"), False) for i in range(len(order))]
     if match_on is not None:
         # materialise the normalised keys once: as window partition expressions they
         # would be re-evaluated by every sort comparison (regexes, O(n log n) times)
@@ -142,7 +159,7 @@ def dedup(
         # each row with a null key becomes its own group: kept, and spread over all partitions
         src = src.withColumn(_NULLSEP, F.when(~_all_not_null(keys), F.monotonically_increasing_id()))
         part = part + [F.col(_NULLSEP)]
-    w = Window.partitionBy(*part).orderBy(*_sorted(_order_exprs(df, keys, order_by, match_on is not None)))
+    w = Window.partitionBy(*part).orderBy(*_sorted(order))
     return src.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).select(*[_c(c) for c in cols])
 
 

@@ -1,9 +1,7 @@
-"""Table inspection: per-column profile from one aggregate, and ordered limits."""
+"""Table inspection: per-column profile from one aggregate."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +26,3 @@ def profile(df: DataFrame) -> DataFrame:
         for i, f in enumerate(fields)
     ]
     return stats.select(F.inline(F.array(*rows)))
-
-
-def take_ordered(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:
-    """First ``n`` rows in a repeatable order (all columns by default); ``n <= 0`` keeps all."""
-    if n is None or n <= 0:
-        return df
-    cols = order_by or df.columns
-    return df.orderBy(*[named(c).asc_nulls_first() for c in cols]).limit(int(n))

@@ -21,7 +21,8 @@ from rowmill.functions.columns import (
 from rowmill.functions.text import normalize_strings
 from rowmill.operators.aggregate import aggregate, top_k
 from rowmill.operators.dedup import dedup, dedup_by_join, detect_keys
-from rowmill.operators.profile import profile, take_ordered
+from rowmill.operators.limit import take_ordered
+from rowmill.operators.profile import profile
 from rowmill.operators.quality import QualitySpec, duplicate_groups, failing, quality_report, quality_summary
 from rowmill.operators.reports import REPORTS, run_reports, segment_state
 from rowmill.operators.route import Rule, apply_rule_set, route
@@ -35,7 +36,7 @@ from rowmill.plans.publish import publish_tables
 from rowmill.plans.throughput import measure
 from rowmill.sinks.scratch import shared_dir
 from rowmill.sinks.writers import write_named, write_report, write_split, write_table
-from rowmill.sources.files import read_csv, read_table
+from rowmill.sources.files import read_csv, read_parquet, read_table
 from rowmill.streaming.split import annotate_stream, split_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +95,26 @@ def scan_csv_multi(spark, sf):
     return read_csv(spark, [returned, others])
 
 
+_MIXED = ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+
+
+@register("scan_csv_mixed_headers",
+          "select l_orderkey, l_linenumber, l_quantity, l_returnflag, "
+          "case when l_returnflag = 'A' then null else l_linestatus end as l_linestatus, "
+          "case when l_returnflag = 'N' then l_discount end as l_discount from lineitem")
+def scan_csv_mixed_headers(spark, sf):
+    """Three folders of CSV files as one table: the columns in another order, one missing, one more."""
+    li = table(spark, sf, "lineitem")
+    parts = [
+        _csv_copy(li.filter("l_returnflag = 'R'").select(*_MIXED), spark),
+        _csv_copy(li.filter("l_returnflag = 'A'").select("l_returnflag", "l_quantity", "l_linenumber", "l_orderkey"), spark),
+        _csv_copy(li.filter("l_returnflag not in ('R', 'A')").select("l_discount", *reversed(_MIXED)), spark),
+    ]
+    types = {f.name: f.dataType.simpleString() for f in li.schema.fields}
+    schema = ", ".join(f"{c} {types[c]}" for c in (*_MIXED, "l_discount"))
+    return read_csv(spark, parts, headers="by_name", schema=schema)
+
+
 @register("scan_csv_no_header", _INFERRED.format(*[f"_c{i}" for i in range(10)]))
 def scan_csv_no_header(spark, sf):
     return read_csv(spark, _csv_copy(_lineitem_no_ts(spark, sf), spark, header=False), header=False)
@@ -353,6 +374,32 @@ def limit_ordered(spark, sf):
     return take_ordered(listings(spark, sf), 1000)
 
 
+_HALF = "(select count(*) // 2 from listings)"
+
+
+@register("limit_ordered_half", O.listings_query(
+    f"select * exclude (rn) from (select *, row_number() over (order by {O.order_all(O.LISTING_COLUMNS)}) as rn "
+    f"from listings) t where rn <= {_HALF}"))
+def limit_ordered_half(spark, sf):
+    """The first half of the table in the order of all columns: a limit far beyond what one task should hold."""
+    rows = listings(spark, sf)
+    return take_ordered(rows, rows.count() // 2, small=0)
+
+
+@register("row_id", "select *, row_number() over () - 1 as row_id from lineitem")
+def row_id(spark, sf):
+    """Every row with its number, by file and place in the file."""
+    return read_parquet(spark, f"{sf.rstrip('/')}/lineitem.parquet", row_id="row_id")
+
+
+@register("dedup_first_row",
+          "with numbered as (select *, row_number() over () as place from lineitem) select * exclude (place, rn) from "
+          "(select *, row_number() over (partition by l_partkey, l_suppkey order by place) as rn from numbered) t where rn = 1")
+def dedup_first_row(spark, sf):
+    """The first physical row of every key, all columns."""
+    return dedup(read_parquet(spark, f"{sf.rstrip('/')}/lineitem.parquet"), ["l_partkey", "l_suppkey"], order_by="physical")
+
+
 @register(
     "top_states",
     O.listings_query(f"select state, city, avg_price, num_properties from ({_MARKET}) m "

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.operators.dedup import dedup, detect_keys
+from rowmill.operators.limit import SMALL, take_any, take_ordered
 from rowmill.operators.reports import segment_state
 from rowmill.operators.route import apply_rule_set
 from rowmill.sinks.scratch import shared_dir
@@ -69,6 +70,13 @@ def _written(df: DataFrame) -> tuple[DataFrame, float, int]:
     return spark.read.parquet(path), seconds, int(obs.get["rows"])
 
 
+def _sample(df: DataFrame, size: int, order_by: Sequence[str] | None) -> DataFrame:
+    """``size`` rows; the few of a small size come in one partition and are spread again, so that the timed
+    stages run with the session's parallelism, not as single tasks."""
+    rows = take_ordered(df, size, order_by) if order_by else take_any(df, size)
+    return rows.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL else rows
+
+
 def measure(
     spark: SparkSession,
     df: DataFrame,
@@ -94,10 +102,7 @@ def measure(
     records: list[tuple] = []
     for size in sizes:
         label = "all" if size is None or size <= 0 else str(size)
-        # a limit funnels its rows into one partition; spread them again so that the
-        # timed stages run with the session's parallelism, not as single tasks
-        first = df.orderBy(*order_by) if order_by else df
-        src = df if label == "all" else first.limit(int(size)).repartition(spark.sparkContext.defaultParallelism)
+        src = df if label == "all" else _sample(df, int(size), order_by)
         held: list[DataFrame] = []
         try:
             read, t, n_in = keep(src)
