@@ -4,7 +4,8 @@ Base matches come from four plain patterns over the text as it is.  Then transdu
 rewrite disguises (look-alike characters, spelled digits, "at" and "dot"), each output
 character carrying the source span it stands for; the same patterns run on the rewritten
 text and their spans are mapped back.  Spans that no base match of the kind covers are
-added.  Texts without a sign of a disguise skip the second part.
+added.  A transducer looks at a text only around what may be a disguise: characters that
+have a plain form, spelled digits, signs for "at", chains of numbers.
 
 All patterns are applied in time proportional to the text, also on long runs of digits
 or letters: a match starts only where a run does.
@@ -19,6 +20,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -30,7 +32,7 @@ Span = tuple[int, int, str]
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_CHAIN = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3,}+")
+_CHAIN = re.compile(r"[0-9](?<![0-9]{2})[0-9]*+(?:\.[0-9]++){3,}+")
 _PART = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _LONG = re.compile(r"[0-9](?:[\x20-]?[0-9]){13,}+")
@@ -111,43 +113,44 @@ _DIGIT_TOKEN = re.compile(rf"(?P<digit>{_SPELLED})|(?P<plus>plus)|(?P<dot>dot|po
 _NUMERIC, _DIGIT_LEFT, _DIGIT_RIGHT = re.compile("[0-9]"), re.compile(r"[0-9][\x20().,-]{0,2}\Z"), re.compile(r"[\x20().,-]{0,2}[0-9]")
 _AT = re.compile(r"\s*[\[({<]\s*(?:at|arroba|arobase|ät|@)\s*[\])}>]\s*|\s+(?:at|arroba|arobase)\s+|(?<=[a-z0-9])_at_(?=[a-z0-9])|&#64;|&#x40;|&commat;|%40", re.I)
 _DOT = re.compile(r"\s*[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]\s*|\s+(?:dot|punkt|point|punto)\s+|(?<=[a-z0-9])_dot_(?=[a-z0-9])|&#46;|&#x2e;|&period;", re.I)
-#: A match of each pattern holds one of these, in lower case.
-_SIGNS = (
-    (_AT, ("at", "arroba", "arobase", "ät", "@", "&#64;", "&#x40;", "&commat;", "%40")),
-    (_DOT, ("dot", "punkt", "point", "punto", ".", "&#46;", "&#x2e;", "&period;")),
-    (_DIGIT_RUN, tuple(DIGIT_WORDS)),
-)
-_DOT_BEFORE = re.compile(rf"({_DOT.pattern})\Z", re.I)
+#: In lower case, all but the white space around it of what _AT matches.
+_AT_CORE = re.compile(r"[\[({<]\s*(?:at|arroba|arobase|ät|@)\s*[\])}>]|a(?<=\sa)(?:t|rroba|robase)(?=\s)|_(?<=[a-z0-9]_)at_(?=[a-z0-9])|&(?:#64|#x40|commat);|%40")
+_DOT_WORDS, _DOT_NAMES = ("dot", "punkt", "point", "punto"), ("&#46;", "&#x2e;", "&period;")
+_SPACES = re.compile(r"\s*")
 _PART_DOT = re.compile(rf"(?<=[0-9])(?:{_DOT.pattern})(?=[0-9])", re.I)
-_PARTS = re.compile(rf"(?<![0-9])[0-9]++(?:(?:\.|{_DOT.pattern})[0-9]++){{3,}}+", re.I)
+_PARTS = re.compile(rf"[0-9](?<![0-9]{{2}})[0-9]*+(?:(?:\.|{_DOT.pattern})[0-9]++){{3,}}+", re.I)
 #: Words that follow a plain "at" in sentences.
 _NO_SITE = frozenset("the a an this that these those my your our his her their its all any each every first last least most once home work der die das dem den la le les el los las un una une".split())
-_WORD_LEFT = re.compile(r"[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*\Z")
 _WORD_RIGHT = re.compile(r"[A-Za-z0-9-]+")
 
 
 class Mapped:
-    """A rewritten text; character k stands for source[start[k]:end[k]]."""
+    """A rewritten text; character k stands for source[start[k]:end[k]] (without arrays: for itself)."""
 
-    def __init__(self, text: str, start: list[int] | None = None, end: list[int] | None = None):
-        self.text = text
-        self.start = list(range(len(text))) if start is None else start
-        self.end = list(range(1, len(text) + 1)) if end is None else end
+    def __init__(self, text: str, start: np.ndarray | None = None, end: np.ndarray | None = None):
+        self.text, self.start, self.end = text, start, end
 
     def rewrite(self, changes: list[tuple[int, int, str]]) -> "Mapped":
         """Replace spans, in order and apart from each other; each new character stands for the whole span."""
         if not changes:
             return self
-        out, start, end, at = [], [], [], 0
+        out, at = [], 0
         for a, b, new in changes:
             out += [self.text[at:a], new]
-            start += self.start[at:a] + [self.start[a]] * len(new)
-            end += self.end[at:a] + [self.end[b - 1]] * len(new)
             at = b
-        return Mapped("".join([*out, self.text[at:]]), start + self.start[at:], end + self.end[at:])
+        a, b, size = (np.array(x) for x in zip(*((a, b, len(new)) for a, b, new in changes)))
+        n = len(self.text)
+        start = np.arange(n) if self.start is None else self.start
+        end = np.arange(1, n + 1) if self.end is None else self.end
+        step = np.zeros(n + 1, np.int64)
+        np.add.at(step, a, 1)
+        np.add.at(step, b, -1)
+        kept = np.flatnonzero(np.cumsum(step[:n]) == 0)
+        order = np.argsort(np.concatenate([2 * kept + 1, np.repeat(2 * a, size)]), kind="stable")
+        return Mapped("".join([*out, self.text[at:]]), np.concatenate([start[kept], np.repeat(start[a], size)])[order], np.concatenate([end[kept], np.repeat(end[b - 1], size)])[order])
 
     def source(self, a: int, b: int) -> tuple[int, int]:
-        return self.start[a], self.end[b - 1]
+        return (a, b) if self.start is None else (int(self.start[a]), int(self.end[b - 1]))
 
 
 @cache
@@ -163,14 +166,73 @@ def plain_character(c: str) -> str:
 
 
 def unmask_characters(m: Mapped) -> Mapped:
-    return m.rewrite([(k, k + 1, new) for k, c in enumerate(m.text) if ord(c) > 127 and (new := plain_character(c)) != c])
+    if m.text.isascii():
+        return m
+    odd = [c for c in set(m.text) if ord(c) > 127 and plain_character(c) != c]
+    if not odd:
+        return m
+    return m.rewrite([(x.start(), x.end(), plain_character(x[0])) for x in re.finditer("[" + re.escape("".join(odd)) + "]", m.text)])
+
+
+def lowered(text: str) -> str:
+    """In lower case, of the same length: a dotted capital i becomes an i, as patterns take it."""
+    return text.replace("\u0130", "i").lower()
+
+
+def _spelled_word() -> re.Pattern[str]:
+    """A spelled digit, by its first letter: what can't start one is passed over quickly."""
+    by_letter: dict[str, list[str]] = {}
+    for w in sorted(DIGIT_WORDS, key=len, reverse=True):
+        by_letter.setdefault(w[0], []).append(w[1:])
+    return re.compile("|".join(rf"{c}(?<!\w\w)(?:{'|'.join(rest)})(?!\w)" for c, rest in by_letter.items()))
+
+
+_SPELLED_WORD = _spelled_word()
+
+
+def run_starts(text: str, low: str, at: int, first: int) -> list[int]:
+    """Where a run may start whose first spelled digit is at ``first``, ascending: at a plus, at single digits
+    before it, or there."""
+    starts = [k := first]
+    while True:
+        i = k
+        if text[i - 1 : i] == " ":
+            i -= next((len(w) + 1 for w in _DOT_WORDS if low.endswith(w, 0, i - 1)), 0)
+        gap = 1 if text[i - 1 : i] in _SEPARATORS and "0" <= text[i - 2 : i - 1] <= "9" else 2
+        digit = i - gap - 1
+        if digit < at or not all(c in _SEPARATORS for c in text[digit + 1 : i]) or not "0" <= text[digit] <= "9":
+            break
+        before = text[digit - 1 : digit]
+        if before.isalnum() or before == "_":
+            break
+        starts.append(k := digit)
+    i = k
+    while i > at and text[i - 1] in " -":
+        i -= 1
+    starts += [i - len(w) for w in ("+", "plus") if low.endswith(w, at, i)]
+    return starts[::-1]
+
+
+_SEPARATORS = frozenset(" .,-")
+
+
+def digit_runs(text: str) -> Iterator[re.Match[str]]:
+    """What ``_DIGIT_RUN.finditer`` gives; tried only where a spelled digit is near."""
+    low, at = lowered(text), 0
+    for word in _SPELLED_WORD.finditer(low):
+        if word.start() >= at:
+            for start in run_starts(text, low, at, word.start()):
+                if run := _DIGIT_RUN.match(text, start):
+                    yield run
+                    at = run.end()
+                    break
 
 
 def unmask_digits(m: Mapped) -> Mapped:
     """Runs with at least four spelled digits, or with digits in or next to them, become digits; single
     blanks and commas inside go.  The detectors decide what is a number."""
     changes = []
-    for run in _DIGIT_RUN.finditer(m.text):
+    for run in digit_runs(m.text):
         tokens = list(_DIGIT_TOKEN.finditer(m.text, run.start(), run.end()))
         if sum(t["digit"] is not None for t in tokens) < 4 and not (_NUMERIC.search(run[0]) or _DIGIT_LEFT.search(m.text[max(0, run.start() - 3) : run.start()]) or _DIGIT_RIGHT.match(m.text, run.end())):
             continue
@@ -178,7 +240,7 @@ def unmask_digits(m: Mapped) -> Mapped:
         for t in tokens:
             if at < t.start():
                 changes += gap(m.text, at, t.start())
-            changes.append((t.start(), t.end(), DIGIT_WORDS[t[0].lower()] if t["digit"] else "+" if t["plus"] else "."))
+            changes.append((t.start(), t.end(), DIGIT_WORDS[lowered(t[0])] if t["digit"] else "+" if t["plus"] else "."))
             at = t.end()
         changes += gap(m.text, at, run.end())
     return m.rewrite(changes)
@@ -189,21 +251,82 @@ def gap(text: str, a: int, b: int) -> list[tuple[int, int, str]]:
     return [(k, k + 1, "") for k in range(a, b) if not (text[k].isdigit() or text[k] in ".+")]
 
 
+class Names:
+    """Starts of the names that end at places of a text, asked for in ascending order: a run of local characters is walked once."""
+
+    def __init__(self, text: str):
+        self.text, self.lo, self.hi = text, 0, 0
+
+    def start(self, end: int) -> int:
+        """Of the longest name that ends there; ``end`` itself without one."""
+        k = end
+        while k > 0 and self.text[k - 1] in _LOCAL:
+            k -= 1
+            if self.lo < k < self.hi:
+                k = self.lo
+        if k < end:
+            self.lo, self.hi = k, end
+        while k < end and self.text[k] == ".":
+            k += 1
+        return k
+
+
+def back_over_spaces(text: str, at: int, least: int = 0) -> int:
+    while at > least and text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def dot_before(text: str, low: str, end: int) -> int | None:
+    """Start of a disguised dot that ends there, with the white space around it."""
+    k = back_over_spaces(text, end)
+    if text[k - 1 : k] in _CLOSE and k:
+        inner = back_over_spaces(text, k - 1)
+        for w in (*_DOT_WORDS, "."):
+            if low.endswith(w, 0, inner):
+                open_at = back_over_spaces(text, inner - len(w))
+                if open_at and text[open_at - 1] in _OPEN:
+                    return back_over_spaces(text, open_at - 1)
+    if k < end:
+        for w in _DOT_WORDS:
+            if low.endswith(w, 0, k) and (i := back_over_spaces(text, k - len(w))) < k - len(w):
+                return i
+    return next((end - len(w) for w in _DOT_NAMES if k == end and low.endswith(w, 0, end)), None)
+
+
+_OPEN, _CLOSE = frozenset("[({<"), frozenset("])}>")
+
+
+def at_signs(text: str, low: str) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, bare) of what _AT matches anywhere; bare: just a word."""
+    for core in _AT_CORE.finditer(low):
+        a, b, bare = core.start(), core.end(), core[0].isalpha()
+        if bare or core[0][0] in _OPEN:
+            a, b = back_over_spaces(text, a), _SPACES.match(text, b).end()
+        yield a, b, bare
+
+
 def unmask_addresses(m: Mapped) -> Mapped:
     """Disguised "at" and "dot" where they make up an address: name, at, then labels joined by dots,
     at least one of the signs disguised."""
     text = m.text
+    low = lowered(text)
+    names = Names(text)
     changes: list[tuple[int, int, str]] = []
     at = 0
-    while found := _AT.search(text, at):
-        at = found.end()
-        left = text[max(0, found.start() - 80) : found.start()]
-        name = _WORD_LEFT.search(left)
-        here = [(found.start(), found.end(), "@")]
-        bare = found[0].strip().isalpha()  # " at " alone is a common word
+    for a, found_end, bare in at_signs(text, low):  # bare: " at " alone is a common word
+        core = a
+        if a < at:  # white space before it belongs to what was found last
+            core = _SPACES.match(text, a).end()
+            if core < at or (bare and core == at):
+                continue
+            a = at
+        at = found_end
         # the name itself may have dots in disguise: "first dot last at ..."
-        begin = found.start() - (len(name[0]) if name else 0)
-        k, dots = found.end(), 0
+        begin = names.start(a)
+        name = begin < a
+        here = [(a, found_end, "@")]
+        k, dots = found_end, 0
         spelled = 0
         label = _WORD_RIGHT.match(text, k)
         while label:
@@ -220,16 +343,12 @@ def unmask_addresses(m: Mapped) -> Mapped:
             dots += 1
             label = _WORD_RIGHT.match(text, k)
         last = label[0] if label else ""
-        site = _WORD_RIGHT.match(text, found.end())
+        site = _WORD_RIGHT.match(text, found_end)
         if name and dots and last.isalpha() and 2 <= len(last) <= 24 and (not bare or (spelled and site[0].lower() not in _NO_SITE)):
             before = []
-            while sign := _DOT_BEFORE.search(text[max(0, begin - 20) : begin]):
-                start = begin - len(sign[0])
-                more = _WORD_LEFT.search(text[max(0, start - 80) : start])
-                if not more:
-                    break
+            while (start := dot_before(text, low, begin)) is not None and (more := Names(text).start(start)) < start:
                 before.append((start, begin, "."))
-                begin = start - len(more[0])
+                begin = more
             changes += sorted(before) + here
             at = k
     # an @ as it is, with disguised dots after it
@@ -273,20 +392,20 @@ def bare_numbers(m: Mapped, source: str) -> Iterator[Span]:
             yield run.start(), run.end(), "phone"
 
 
+def undisguised(text: str) -> Mapped:
+    """The text without disguises."""
+    return unmask_parts(unmask_addresses(unmask_digits(unmask_characters(Mapped(text)))))
+
+
 def disguised(text: str) -> bool:
-    """Whether a transducer may rewrite anything: all that it looks for is looked for."""
-    if not text.isascii() and any(plain_character(c) != c for c in set(text) if ord(c) > 127):
-        return True
-    low = text.lower().replace("\u0307", "")  # of a dotted capital i, which patterns take for an i
-    return any(any(x in low for x in signs) and sign.search(text) for sign, signs in _SIGNS)
+    """Whether a transducer rewrites anything."""
+    return undisguised(text).text != text
 
 
 def find(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans, by start, then kind; code points, end exclusive."""
     own = base(text)
-    if not disguised(text):
-        return own, own
-    m = unmask_parts(unmask_addresses(unmask_digits(unmask_characters(Mapped(text)))))
+    m = undisguised(text)
     if m.text == text:
         return own, own
     covers: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
