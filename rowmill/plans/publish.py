@@ -1,11 +1,21 @@
-"""Publish Parquet outputs as named SQL tables of the session catalog."""
+"""Publish Parquet outputs as named SQL tables of the session catalog.
+
+A published name is a view over the newest of its versions, each a table of its own with its own
+folder.  A refresh writes a new version first and then lets the view point to it, which is one change
+of the catalog: readers that planned before it go on with the old version, those after it get the new
+one, none meets a table in between.  A write that fails leaves the view and its versions as they
+were.  Versions older than the last ``keep`` go with their files.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowmill.sinks.scratch import hadoop_path
+
 # --- Fixed values: pipeline outputs that can be published, relative to an output root.
 DEFAULT_TABLES = {
     "routed": "routed/parquet",
@@ -26,8 +36,9 @@ def publish_tables(
     location: str | None = None,
     prefix: str = "",
     buckets: Mapping[str, tuple[int, Sequence[str]]] | None = None,
+    keep: int = 2,
 ) -> list[str]:
-    """Create or replace one table per name from ``root/<relative path>``.
+    """Create or refresh one table per name from ``root/<relative path>`` (see :func:`publish_version`).
 
     Unknown names are skipped with a message; all known tables when ``tables``
     is None.  With ``location`` the tables are external, stored under it.
@@ -41,14 +52,59 @@ def publish_tables(
             continue
         df = spark.read.parquet(f"{root.rstrip('/')}/{known[name]}")
         bucket = (buckets or {}).get(name)
-        written.append(save_table(df, prefix + name, None if location is None else f"{location.rstrip('/')}/{name}",
-                                  bucket_by=bucket))
+        written.append(publish_version(df, prefix + name, None if location is None else f"{location.rstrip('/')}/{name}",
+                                       bucket_by=bucket, keep=keep))
     return written
 
 
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """The version tables of a published name, oldest first."""
+    db, _, own = name.rpartition(".")
+    found = spark.catalog.listTables(*([db] if db else []))
+    pattern = re.compile(re.escape(own) + r"__v(\d+)", re.I)
+    numbers = sorted((int(m[1]), t.name) for t in found if t.tableType != "VIEW" and (m := pattern.fullmatch(t.name)))
+    return [f"{db}.{t}" if db else t for _, t in numbers]
+
+
+def publish_version(df: DataFrame, name: str, location: str | None = None,
+                    bucket_by: tuple[int, Sequence[str]] | None = None, keep: int = 2) -> str:
+    """Write ``df`` as the next version of ``name`` and let the view ``name`` point to it.
+
+    With ``location`` every version is an external table in a folder of its own under it.  A plain
+    table of that name, from an earlier way of publishing, gives way to the view.  Returns ``name``.
+    """
+    if keep < 1:
+        raise ValueError("at least the published version must be kept")
+    spark = df.sparkSession
+    before = versions(spark, name)
+    number = int(before[-1].rpartition("__v")[2]) + 1 if before else 1
+    version = f"{name}__v{number:06d}"
+    path = None if location is None else f"{location.rstrip('/')}/v{number:06d}"
+    try:
+        save_table(df, version, path, bucket_by, mode="errorifexists")
+    except Exception:
+        _remove(spark, version, path)
+        raise
+    if any(t.name.lower() == name.rpartition(".")[2].lower() and t.tableType not in ("VIEW", "TEMPORARY")
+           for t in spark.catalog.listTables(*([name.rpartition(".")[0]] if "." in name else []))):
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    for old in [*before, version][:-keep]:
+        _remove(spark, old, None if location is None else f"{location.rstrip('/')}/v{old.rpartition('__v')[2]}")
+    return name
+
+
+def _remove(spark: SparkSession, table: str, path: str | None) -> None:
+    """Drop a version table; the files of an external one go too."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if path is not None:
+        fs, at = hadoop_path(spark, path)
+        fs.delete(at, True)
+
+
 def save_table(df: DataFrame, name: str, location: str | None = None,
-               bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
-    """``saveAsTable`` in overwrite mode, optionally bucketed and sorted by key columns.
+               bucket_by: tuple[int, Sequence[str]] | None = None, mode: str = "overwrite") -> str:
+    """``saveAsTable``, optionally bucketed and sorted by key columns.
 
     A table bucketed by the keys that later dedups, uniqueness checks or joins
     use is already hash-partitioned on them: those plans read it without an
@@ -57,7 +113,7 @@ def save_table(df: DataFrame, name: str, location: str | None = None,
     if bucket_by:
         # one task per bucket: without it every task would write a file into every bucket it meets
         df = df.repartition(int(bucket_by[0]), *bucket_by[1])
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode(mode).format("parquet")
     if location:
         writer = writer.option("path", location)
     if bucket_by:

@@ -23,8 +23,10 @@ from rowmill.operators.aggregate import aggregate, top_k
 from rowmill.operators.dedup import dedup, dedup_by_join, detect_keys
 from rowmill.operators.limit import take_ordered
 from rowmill.operators.profile import profile
-from rowmill.operators.quality import QualitySpec, duplicate_groups, failing, quality_report, quality_summary
+from rowmill.operators.quality import QualitySpec, duplicate_groups, failing, parse_thresholds, quality_report, quality_summary
+from rowmill.operators.quality_state import QualityStore
 from rowmill.operators.reports import REPORTS, run_reports, segment_state
+from rowmill.operators.sketch import RANK_ERROR, merge_sketches, quantile_of, quantile_sketches, rank_errors
 from rowmill.operators.route import Rule, apply_rule_set, route
 from rowmill.operators.validate import (
     ValidationSpec, annotate, error_counts, invalid_sample, normalize_zip, split, validation_counts, zip_changes,
@@ -32,11 +34,12 @@ from rowmill.operators.validate import (
 from rowmill.plans import oracle as O
 from rowmill.plans.fixtures import listings, listings_dirty, table
 from rowmill.plans.end_to_end import PipelineOptions, key_normalizer, run as run_pipeline, summary_by_segment
-from rowmill.plans.publish import publish_tables
-from rowmill.plans.throughput import measure
-from rowmill.sinks.scratch import shared_dir
+from rowmill.plans.publish import publish_tables, publish_version
+from rowmill.plans.throughput import measure, timed
+from rowmill.sinks.scratch import shared_dir, stored
 from rowmill.sinks.writers import write_named, write_report, write_split, write_table
-from rowmill.sources.files import read_csv, read_parquet, read_table
+from rowmill.sources.files import RAW, read_csv, read_parquet, read_table, upstream_input
+from rowmill.streaming.dedup import dedup_stream, winners
 from rowmill.streaming.split import annotate_stream, split_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1115,3 +1118,128 @@ _UNI = r"regexp_replace(trim(regexp_replace(lower(trim({c})), '\s+', ' ', 'g')),
 def clean_pages(spark, sf):
     return normalize_strings(table(spark, sf, "pages"), trim=True, lowercase=True, normalize_spaces=True,
                              strip_punct=True, unicode=True)
+
+
+# ---------------------------------------------------------------- formats, globs, fallback, file sizes
+@register("scan_by_format", "select * exclude (l_shipdate), 'parquet' as read_as from lineitem where l_linenumber % 2 = 0 "
+          "union all select * exclude (l_shipdate), 'csv' as read_as from lineitem where l_linenumber % 2 = 1")
+def scan_by_format(spark, sf):
+    """One call reads a folder of Parquet files and a folder of CSV files, each by what it holds."""
+    li = _lineitem_no_ts(spark, sf)
+    own = shared_dir(spark, "format")
+    li.filter("l_linenumber % 2 = 0").write.parquet(f"{own}/a")
+    li.filter("l_linenumber % 2 = 1").write.option("header", "true").csv(f"{own}/b")
+    parquet = read_table(spark, f"{own}/a").withColumn("read_as", F.lit("parquet"))
+    return parquet.unionByName(read_table(spark, f"{own}/b", schema=li.schema).withColumn("read_as", F.lit("csv")))
+
+
+@register("scan_glob", "select o_orderpriority, o_orderstatus, count(*) as orders from orders where o_orderpriority like '%-%' "
+          "and o_orderstatus <> 'P' group by o_orderpriority, o_orderstatus")
+def scan_glob(spark, sf):
+    """A glob of folders: two of three statuses, whatever files they hold."""
+    root = shared_dir(spark, "glob")
+    table(spark, sf, "orders").withColumn("status", F.col("o_orderstatus")).write.partitionBy("status").option("header", "true").csv(root)
+    found = read_table(spark, f"{root}/status=[!P]", schema=table(spark, sf, "orders").schema)
+    return found.filter("o_orderpriority like '%-%'").groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@register("upstream_fallback", "select 'raw' as stage, r_regionkey, r_name from region union all "
+          "select 'dedup', n_regionkey, n_name from nation union all select 'routed', r_regionkey, r_name from region where r_regionkey < 3")
+def upstream_fallback(spark, sf):
+    """What a stage reads while only the raw files, then the deduplicated and then the routed folder are there."""
+    root = shared_dir(spark, "upstream")
+    region = table(spark, sf, "region").select("r_regionkey", "r_name")
+    nation = table(spark, sf, "nation").select(F.col("n_regionkey").alias("r_regionkey"), F.col("n_name").alias("r_name"))
+    parts = []
+    for stage, rows, folder in (("raw", region, RAW.rpartition("/")[0]), ("dedup", nation, "processed/cleanse_dedup/parquet"),
+                                ("routed", region.filter("r_regionkey < 3"), "processed/routed/parquet")):
+        writer = rows.coalesce(1).write
+        (writer.option("header", "true").csv(f"{root}/{folder}") if stage == "raw" else writer.parquet(f"{root}/{folder}"))
+        found = read_table(spark, upstream_input(root, "aggregate", spark), schema=region.schema) if stage == "raw" else read_table(spark, upstream_input(root, "aggregate", spark))
+        parts.append(found.select(F.lit(stage).alias("stage"), "*"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("files_by_size", "select * from lineitem")
+def files_by_size(spark, sf):
+    """Written as sorted files of 200 KB and read back."""
+    paths = write_table(table(spark, sf, "lineitem"), shared_dir(spark, "sized"), formats=("parquet",), target_bytes=200_000, sort_by=["l_returnflag", "l_shipdate"])
+    return read_parquet(spark, paths["parquet"])
+
+
+@register("quality_limits_text", O.quality_sql(required=(), unique_keys=(), minimum={"price": 0.0, "house_size": 100.0},
+                                               maximum={"bath": 6.0}, max_null_fraction={"brokered_by": 0.01}))
+def quality_limits_text(spark, sf):
+    """Limits given as text, as the command line takes them."""
+    spec = QualitySpec(required=(), unique_keys=(), minimum=parse_thresholds("price:0, house_size:1e2"),
+                       maximum=parse_thresholds("bath:6"), max_null_fraction=parse_thresholds("brokered_by:.01"))
+    return quality_report(listings(spark, sf), spec)
+
+
+@register("timed_stages", O.listings_query("select 'listings' as stage, count(*) as records, true as took_time from listings union all "
+          "select 'dedup', count(*), true from (select distinct city, state, zip_code from listings where city is not null and state is not null and zip_code is not null) d"))
+def timed_stages(spark, sf):
+    """Two stages run to their end: rows counted in the same run, seconds above zero."""
+    stages = {"listings": listings(spark, sf), "dedup": dedup(listings(spark, sf), ["city", "state", "zip_code"])}
+    rows = [(name, n, seconds > 0) for name, (seconds, n) in ((k, timed(df)) for k, df in stages.items())]
+    return spark.createDataFrame(rows, "stage string, records bigint, took_time boolean")
+
+
+# ---------------------------------------------------------------- uniqueness of wide keys, growing tables, sketches, streams
+_DOC_UNIQUE = dict(required=("text",), unique_keys=("text", "lang", "source"), minimum={}, max_null_fraction={"lang": 0.5})
+_DOC_COLS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+@register("quality_unique_wide", O.quality_sql(source="documents", present=_DOC_COLS, **_DOC_UNIQUE))
+def quality_unique_wide(spark, sf):
+    """Keys of whole texts: hashes are shuffled first, texts only where they may repeat."""
+    return quality_report(_documents(spark, sf), QualitySpec(**_DOC_UNIQUE, wide_keys=True))
+
+
+@register("duplicate_groups_wide", "select text, lang, count(*) as count from documents group by text, lang having count(*) > 1")
+def duplicate_groups_wide(spark, sf):
+    return duplicate_groups(_documents(spark, sf), ["text", "lang"], wide_keys=True)
+
+
+@register("quality_incremental", O.quality_sql(unique_keys=("city", "state", "zip_code")))
+def quality_incremental(spark, sf):
+    """Three increments checked one by one; the report of all of them comes from their states."""
+    rows = listings(spark, sf)
+    store = QualityStore(spark, shared_dir(spark, "quality-state"), rows.columns, QualitySpec(unique_keys=("city", "state", "zip_code")))
+    for k in range(3):
+        store.add(f"part-{k}", rows.filter(F.coalesce(F.col("bed"), F.lit(0)) % 3 == k))
+    return store.report()
+
+
+@register("median_sketch", O.listings_query("select city, state, count(price) as n, true as within, true as approx_within "
+                                            "from listings group by city, state having count(price) > 0"))
+def median_sketch(spark, sf):
+    """Median price by city from sketches of yearly runs, stored and merged, and from the one-pass approximation: both
+    lie within the stated rank error of the exact ranks."""
+    rows, by = listings(spark, sf), ["city", "state"]
+    runs = [stored(quantile_sketches(rows.filter(F.coalesce(F.year("prev_sold_date"), F.lit(0)) % 3 == k), by, "price"), "sketch") for k in range(3)]
+    merged = quantile_of(merge_sketches(runs, by), 0.5, "median")
+    approx = REPORTS["market_trends"](rows, scale=SCALE, median="approx").filter("median_price is not null")
+    one = rank_errors(rows, by, "price", merged, "median").select(*by, "n", (F.col("error") <= RANK_ERROR).alias("within"))
+    two = rank_errors(rows, by, "price", approx, "median_price").select(*by, (F.col("error") <= RANK_ERROR).alias("approx_within"))
+    return one.join(two, by)
+
+
+@register("stream_dedup", O.listings_query(O.dedup_sql("listings", ["city", "state", "zip_code"])))
+def stream_dedup(spark, sf):
+    """Listings that come in several batches: the winners are those of one dedup of all of them."""
+    rows, keys, root = listings(spark, sf), ["city", "state", "zip_code"], shared_dir(spark, "stream-dedup")
+    rows.repartition(4, "bed").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    dedup_stream(stream, keys, f"{root}/out").awaitTermination()
+    return winners(spark, f"{root}/out", rows.schema, keys)
+
+
+@register("publish_versions", "select 'before' as seen, n_regionkey as key, n_name as name from nation union all select 'after', r_regionkey, r_name from region")
+def publish_versions(spark, sf):
+    """A name refreshed while a reader holds it: the reader goes on with the old rows, the next one gets the new."""
+    name, root = f"{_unique('versions')}t", shared_dir(spark, "versions")
+    publish_version(table(spark, sf, "nation").select(F.col("n_regionkey").alias("key"), F.col("n_name").alias("name")), name, root)
+    reader = spark.table(name)
+    publish_version(table(spark, sf, "region").select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name")), name, root)
+    return reader.select(F.lit("before").alias("seen"), "*").unionByName(spark.table(name).select(F.lit("after").alias("seen"), "*"))

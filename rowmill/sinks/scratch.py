@@ -67,6 +67,14 @@ def stored(df: DataFrame, name: str = "scratch") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files behind a frame that :func:`stored` gave, before the driver ends; it must not be read again."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        fs, at = hadoop_path(spark, folder)
+        fs.delete(at, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable: the context's checkpoint folder is the
     shared one from ``spark.checkpoint.dir`` (a local folder only when that is unset)."""

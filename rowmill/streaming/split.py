@@ -3,8 +3,8 @@
 Trimming, routing and row validation are narrow, stateless projections, so
 the same expressions run on a streaming DataFrame.  Each micro-batch is split
 by ``foreachBatch`` into ``valid`` and ``invalid`` Parquet folders.  A batch is
-written to its own ``batch=<id>`` sub-folder in overwrite mode, so a batch that
-is replayed after a failure replaces its earlier partial output: together with
+written once and moved to its own ``batch=<id>`` sub-folders when it is complete, so a batch that
+is replayed after a failure replaces its earlier partial output and nothing is left behind: together with
 the checkpoint (offsets + commits in the shared folder) the sink is
 exactly-once.
 """
@@ -19,7 +19,8 @@ from pyspark.sql.types import StructType
 from rowmill.functions.text import trim_strings
 from rowmill.operators.route import apply_rule_set
 from rowmill.operators.validate import VALID, ValidationSpec, annotate
-from rowmill.sinks.scratch import shared_dir, stored
+from rowmill.sinks.scratch import shared_dir
+from rowmill.sinks.writers import write_sides
 
 
 def annotate_stream(
@@ -45,9 +46,8 @@ def annotate_stream(
 
 def _write_batch(root: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = stored(batch, "batch")  # computed once, read by both sides
-        for name, cond in (("valid", F.col(VALID)), ("invalid", ~F.col(VALID))):
-            batch.filter(cond).write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+        side = F.when(F.col(VALID), F.lit("valid")).otherwise(F.lit("invalid"))
+        write_sides(batch, side, {name: f"{root}/{name}/batch={batch_id}" for name in ("valid", "invalid")}, root)
     return write
 
 
