@@ -145,14 +145,14 @@ select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partitio
 from own window best as (partition by t order by doc_id nulls last rows between unbounded preceding and unbounded following)""",
     "op10_pivot_topk": """
 with ints as (
-  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+  select distinct vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
   from embeddings
   where vec_id is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scored as (
-  select q.vec_id as query_id, c.vec_id,
+  select q.vec_id as query_id, q.v as asked, c.vec_id,
     cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
   from ints q join ints c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
-ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+ranked as (select *, row_number() over (partition by query_id, asked order by score desc, vec_id) as rank from scored)
 select query_id, cast(rank as int) as rank, vec_id, score from ranked where rank <= 10""",
 }

@@ -43,11 +43,11 @@ def packed(own: DataFrame, wide: int, kind: str, scale: int | None = None) -> Da
 
 
 def distinct(vectors: DataFrame, ids: int) -> DataFrame:
-    """(v, ids): each different vector with its ``ids`` smallest vec_ids, ascending.  Only so many rows
-    of a vector leave a task, however often it occurs."""
+    """(v, ids): each different vector with its ``ids`` smallest different vec_ids, ascending.  Rows repeated
+    whole are one before ids are ranked; only so many rows of a vector leave a task, however often it occurs."""
     rank = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    few = vectors.withColumn("__r", rank).where(F.col("__r") <= ids)
-    return few.groupBy("v").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
+    few = vectors.distinct().withColumn("__r", rank).where(F.col("__r") <= ids)
+    return few.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, kind: str, wide: int) -> np.ndarray:
