@@ -82,6 +82,23 @@ class Vocabulary:
         order = np.argsort(keys, kind="stable")
         self.pair_key, self.pair_rank, self.pair_out = keys[order], order.astype(np.int32), out[order]
 
+    @classmethod
+    def of_ranks(cls, ranks: dict[bytes, int], special: dict[str, int]) -> "Vocabulary":
+        """From tokens and their ranks, which are their ids: two neighbours merge to the token that they spell."""
+        self = cls.__new__(cls)
+        self.special = dict(special)
+        self.size = max([*ranks.values(), *special.values()]) + 1
+        self.token_bytes = [b""] * self.size
+        for token, k in [*ranks.items(), *((t.encode(), k) for t, k in special.items())]:
+            self.token_bytes[k] = token
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        pairs = {ranks[t[:k]] * self.size + ranks[t[k:]]: r for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
+        keys = np.array(list(pairs), np.int64)
+        order = np.argsort(keys)
+        out = np.array(list(pairs.values()), np.int32)[order]
+        self.pair_key, self.pair_rank, self.pair_out = keys[order], out, out
+        return self
+
     def find(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NONE without a merge) and result of each pair; b < 0: no right neighbour."""
         key = a.astype(np.int64) * self.size + b

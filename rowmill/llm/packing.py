@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowmill.llm.bpe import PATTERN, few
+from rowmill.llm.bpe import PATTERN, Encoder, Vocabulary, few
 from rowmill.llm.common import id_text, parts, strings, written
 
 CAPACITY = 2048
@@ -34,15 +34,33 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-_ENCODING: dict[str, object] = {}
+class Encoding:
+    """Ids of a vocabulary given by ranks.  The library's splitting gives up on some million blanks or line
+    feeds in a row; such a text is encoded by our own encoder, which is exact and has no such limit."""
 
+    def __init__(self, ranks: dict[bytes, int], special: dict[str, int]):
+        import tiktoken
+
+        self.library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.ranks, self.special, self.slow = ranks, special, None
+
+    def encode(self, text: str, with_special: bool) -> np.ndarray:
+        """With ``with_special`` the strings of special tokens become their ids, else they are ordinary text."""
+        try:
+            return self.library.encode_to_numpy(text, allowed_special=set(self.special) if with_special else set(), disallowed_special=())
+        except ValueError:
+            if self.slow is None:
+                self.slow = Encoder(Vocabulary.of_ranks(self.ranks, self.special))
+            return np.frombuffer((self.slow.encode if with_special else self.slow.plain)([text])[0], "<u4")
 
-def encoding(ranks: dict[bytes, int], special: dict[str, int]):
-    """The worker's encoding of this vocabulary."""
-    import tiktoken
 
+_ENCODING: dict[str, Encoding] = {}
+
+
+def encoding(ranks: dict[bytes, int], special: dict[str, int]) -> Encoding:
+    """The worker's encoding of this vocabulary."""
     if "own" not in _ENCODING:
-        _ENCODING["own"] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        _ENCODING["own"] = Encoding(ranks, special)
     return _ENCODING["own"]
 
 
@@ -57,11 +75,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, ranks_path: str | None = N
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoding(*shared.value)
-        allowed = set(shared.value[1])
         for batch in few(batches):
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text"))):
-                ids = memoryview(own.encode_to_numpy(text, allowed_special=allowed, disallowed_special=()).astype("<u4", copy=False).tobytes() + end)
+                ids = memoryview(own.encode(text, True).astype("<u4", copy=False).tobytes() + end)
                 n = len(ids) // 4
                 at, k = 0, 0
                 while at < n:

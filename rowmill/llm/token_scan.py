@@ -57,7 +57,7 @@ def write_tokens(docs: DataFrame, path: str, ranks_path: str | None = None) -> N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoding(*shared.value)
         for batch in few(batches):
-            rows = [header(d) + own.encode_to_numpy(t, disallowed_special=()).astype("<u2").tobytes() for d, t in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text")))]
+            rows = [header(d) + own.encode(t, False).astype("<u2").tobytes() for d, t in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text")))]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
 
     end = np.array([END], "<u2").tobytes().decode("latin-1")
