@@ -9,11 +9,12 @@ so whole texts cost one look-up an n-gram.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowmill.llm.bpe import few
@@ -22,8 +23,11 @@ from rowmill.llm.quality import fold
 
 BITS = 16
 ORDERS = 3
-#: Documents that the weights are fitted on at most, whatever the corpus' size.
-SAMPLE = 2400
+#: Documents that the weights are fitted on at most, whatever the corpus' size; but ``LEAST`` of each language,
+#: or all that it has.
+SAMPLE, LEAST = 2400, 40
+#: Languages that are told apart at most: the most frequent.
+LANGUAGES = 500
 #: Every so-many-th document of the sample sets the temperature.
 CALIBRATION = 4
 FOLDS, HELD_OUT = 4, 2
@@ -83,8 +87,9 @@ def document_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
     return out, n
 
 
-def sample_rows(docs: DataFrame, size: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """(lang, hashes, term frequencies) of at most ``size`` rows, chosen by a hash of the row."""
+def sample_rows(docs: DataFrame, size: int, least: int = LEAST) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(lang, hashes, term frequencies) of at most ``size`` rows, chosen by a hash of the row, and of rows of
+    languages that have fewer than ``least`` among them, up to ``least`` each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few(batches):
@@ -95,9 +100,21 @@ def sample_rows(docs: DataFrame, size: int) -> list[tuple[str, np.ndarray, np.nd
                     rows.append((lang, g.astype("<u4").tobytes(), (n / len(own)).astype("<f4").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.binary(), pa.binary()))], ["lang", "g", "tf"])
 
-    chosen = some_rows(docs, size, F.xxhash64("doc_id", F.xxhash64("text")))
-    rows = chosen.select("lang", "text").mapInArrow(run, "lang string, g binary, tf binary").collect()
-    return sorted((r["lang"], bytes(r["g"]), bytes(r["tf"])) for r in rows)
+    def collected(rows: DataFrame) -> list[tuple[str, bytes, bytes]]:
+        rows = rows.select("lang", "text").mapInArrow(run, "lang string, g binary, tf binary").collect()
+        return [(r["lang"], bytes(r["g"]), bytes(r["tf"])) for r in rows]
+
+    key = F.xxhash64("doc_id", F.xxhash64("text"))
+    chosen = collected(some_rows(docs, size, key))
+    have = Counter(lang for lang, _, _ in chosen)
+    langs = [r["lang"] for r in docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    few_rows = [x for x in langs if have[x] < least]
+    if few_rows:
+        place = F.row_number().over(Window.partitionBy("lang").orderBy(key))
+        rare = docs.where(F.col("lang").isin(few_rows)).withColumn("__r", place).where(F.col("__r") <= least)
+        chosen = [r for r in chosen if r[0] not in set(few_rows)] + collected(rare)
+    known = set(langs)
+    return sorted(r for r in chosen if r[0] in known)
 
 
 class Model:
