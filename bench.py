@@ -66,7 +66,7 @@ def main() -> None:
 
     from rowmill.plans.fixtures import listings
     from rowmill.plans.registry import QUERIES
-    from rowmill.plans.throughput import measure
+    from rowmill.plans.throughput import measure, timed
 
     def run(name: str) -> float:
         spark.sparkContext.setJobGroup(name, name)
@@ -89,6 +89,10 @@ def main() -> None:
         target = stages if r["size"] == "all" else stages_10k
         target[r["stage"]] = {"seconds": r["seconds"], "records": r["records"], "rps": r["rps"]}
 
+    # what any aggregate over a shuffle costs in this session, however few its rows
+    one = spark.range(1, numPartitions=cpus).selectExpr("id % 2 as k", "id").persist()
+    fixed = min(timed(one.groupBy("k").sum("id"))[0] for _ in range(4))
+
     spark.stop()
     try:
         balance = task_balance(event_dir, HEADLINE)
@@ -104,6 +108,7 @@ def main() -> None:
         "cold": cold,
         "stages": stages,
         "stages_10000_rows": stages_10k,
+        "one_row_aggregate_seconds": round(fixed, 4),
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "cpus": cpus,
         "task_balance": balance,

@@ -6,8 +6,7 @@ single ``groupBy`` aggregates with map-side partial aggregation.
 
 The market-trends median is exact by default (SQL ``percentile_disc(0.5)``,
 computed as a distributed prefix sum, see :mod:`rowmill.operators.quantile`),
-so no group is ever buffered in one task; its table of (city, state, price) counts
-is written to the shared scratch folder when the report is built.  ``median="approx"`` uses
+so no group is ever buffered in one task.  ``median="approx"`` uses
 ``percentile_approx`` instead: a mergeable sketch of bounded size, one pass,
 rank error below 1/accuracy of the group size.
 """
@@ -16,12 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.functions.columns import ACRES, BATH, BEDS_AGG, PRICE, SIZE_AGG, dimension, first_present, lot_bucket, year_of
-from rowmill.operators.aggregate import avg_of, exact, sum_of
-from rowmill.operators.quantile import attach, percentile_from_counts
+from rowmill.operators.aggregate import avg_of, sum_of
+from rowmill.operators.quantile import attach, percentile_disc, percentile_from_counts
 from rowmill.sinks.scratch import stored
 
 MEDIAN_ACCURACY = 10_000
@@ -41,30 +40,15 @@ def market_trends(df: DataFrame, scale: int | None = None, median: str = "exact"
         )
     if median != "exact":
         raise ValueError("median must be 'exact' or 'approx'")
-    # sums and counts by (city, state, price), stored: averages and median both follow from
-    # this table, so the facts are read and joined once
-    cells = stored(dims.groupBy("city", "state", "__price").agg(*_parts(p, s, scale)), "market-trends")
-    med = percentile_from_counts(cells.filter(p.isNotNull()), ["city", "state"], "__price", "__rows", 0.5, "median_price")
-    base = cells.groupBy("city", "state").agg(*_whole(scale))
+    # averages ship a row a group and task; only (city, state, price) and a count travel for the median.  Its
+    # range-partitioned table is one exchange that both of its readers use: nothing is stored
+    base = dims.groupBy("city", "state").agg(
+        avg_of(p, scale).alias("avg_price"), F.count(F.lit(1)).alias("num_properties"), avg_of(s, scale).alias("avg_house_size"))
+    med = percentile_disc(dims, ["city", "state"], p, 0.5, "median_price")
     out = attach(base, med, ["city", "state"], ["median_price"])
     return out.select("city", "state", "avg_price", "median_price", "num_properties", "avg_house_size")
 
 
-def _parts(p: Column, s: Column, scale: int | None) -> list[Column]:
-    """Counts and sums of price and size that add up to those of a larger group."""
-    price, size = (p, s) if scale is None else (exact(p, scale), exact(s, scale))
-    total = F.sum if scale is None else F.try_sum
-    return [F.count(F.lit(1)).alias("__rows"), total(price).alias("__sum_p"), F.count(price).alias("__n_p"),
-            total(size).alias("__sum_s"), F.count(size).alias("__n_s")]
-
-
-def _whole(scale: int | None) -> list[Column]:
-    """The report's averages and count from :func:`_parts` of smaller groups."""
-    total = F.sum if scale is None else F.try_sum
-    mean = lambda k: F.try_divide(total(f"__sum_{k}").cast("double"), F.sum(f"__n_{k}"))
-    return [mean("p").alias("avg_price"), F.sum("__rows").alias("num_properties"), mean("s").alias("avg_house_size")]
-
-
 def property_type_size(df: DataFrame, scale: int | None = None) -> DataFrame:
     price = first_present(df, PRICE)
     return df.groupBy(

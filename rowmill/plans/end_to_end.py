@@ -22,7 +22,7 @@ from rowmill.operators.dedup import dedup, detect_keys
 from rowmill.operators.reports import REPORTS, run_reports, segment_state
 from rowmill.operators.route import apply_rule_set
 from rowmill.operators.validate import ValidationSpec, annotate, split, validation_counts
-from rowmill.sinks.scratch import stored
+from rowmill.sinks.scratch import hadoop_path, stored
 
 
 @dataclass(frozen=True)
@@ -35,15 +35,37 @@ class PipelineOptions:
     scale: int | None = None                   # exact decimal sums/averages when set
     materialize: bool = True                   # write the fork point to the shared folder
     one_pass: bool = False                     # all reports from one scan (GROUPING SETS)
+    spread: bool = True                        # deal out the rows of few input splits before the key clean-up
 
 
 def key_normalizer(c):
     return clean_text(c, trim=True, lowercase=True, normalize_spaces=True, strip_punct=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if its files make fewer splits than there are cores.
+
+    The key clean-up is four regular expressions a column; rows that come from one small file would all go
+    through them in one task.  Large inputs have many more splits than cores and are left as they
+    are, so no table that matters is shuffled for it.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if len(files) >= cores:
+        return df
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    limit = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(most))
+    splits = 0
+    for f in files:
+        fs, at = hadoop_path(spark, f)
+        splits += -(-fs.getFileStatus(at).getLen() // limit)
+    return df if splits >= cores else df.repartition(cores)
+
+
 def prepare(df: DataFrame, opts: PipelineOptions = PipelineOptions()) -> DataFrame:
     """Trim strings, dedup on (normalised) keys, route and annotate -- lazily."""
-    cleaned = trim_strings(df)
+    cleaned = trim_strings(spread(df) if opts.spread and opts.normalize_keys else df)
     keys = list(opts.keys) if opts.keys else detect_keys(cleaned, required=False)
     deduped = dedup(cleaned, keys, match_on=key_normalizer if opts.normalize_keys else None,
                     on_missing_keys="skip")

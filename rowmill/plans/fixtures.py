@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -64,8 +65,16 @@ def with_listings(sql: str, dirty: bool = False) -> str:
     return f"{ctes}\n{sql}"
 
 
+#: Schemas by session and path: a table's footers are read for its schema once, not in a job of their own for every query.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:

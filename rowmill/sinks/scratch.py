@@ -68,7 +68,7 @@ def stored(df: DataFrame, name: str = "scratch") -> DataFrame:
 
 
 def discard(df: DataFrame) -> None:
-    """Remove the files behind a frame that :func:`stored` gave, before the driver ends; it must not be read again."""
+    """Remove the files behind a frame read from a stored table, before the driver ends; it must not be read again."""
     spark = df.sparkSession
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
         fs, at = hadoop_path(spark, folder)

@@ -33,12 +33,33 @@ NEEDS = {
 
 @pytest.mark.parametrize("name", sorted(NEEDS))
 def test_reports_read_only_their_columns(sample_parquet, name):
-    kwargs = {"median": "approx"} if name == "market_trends" else {}  # the exact form has stored its groups
-    schemas = read_schema(REPORTS[name](sample_parquet, **kwargs))
-    assert schemas
-    for s in schemas:
-        cols = {f.split(":")[0] for f in s.split(",")}
-        assert cols <= NEEDS[name], (name, cols)
+    for kwargs in ({}, {"median": "approx"}) if name == "market_trends" else ({},):
+        schemas = read_schema(REPORTS[name](sample_parquet, **kwargs))
+        assert schemas
+        for s in schemas:
+            cols = {f.split(":")[0] for f in s.split(",")}
+            assert cols <= NEEDS[name], (name, cols)
+
+
+def test_exact_median_carries_only_group_and_price(sample_parquet, monkeypatch):
+    from rowmill.operators import reports
+    monkeypatch.setattr(reports, "stored", lambda *a: pytest.fail("the report stored a copy"))
+    df = REPORTS["market_trends"](sample_parquet)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan or plan.count("rangepartitioning") == 1  # one range-partitioned table, two readers
+    assert not any("house_size" in line and "rangepartitioning" in line for line in plan.splitlines())
+
+
+def test_few_splits_are_spread_before_the_key_clean_up(spark, sample_parquet, monkeypatch):
+    from rowmill.plans import end_to_end as P
+    assert "RoundRobinPartitioning" in P.spread(sample_parquet)._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")  # many splits
+        assert P.spread(sample_parquet) is sample_parquet
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_null_key_filter_is_pushed_to_the_scan(sample_parquet):

@@ -58,11 +58,14 @@ def test_scale_leaves_out_what_it_cannot_hold_and_counts_it(spark):
     assert REPORTS["market_trends"](big, scale=2).first()["num_properties"] == 2
 
 
-def test_market_trends_reads_the_facts_once(spark, sample, tmp_path):
+def test_market_trends_stores_nothing(spark, sample, tmp_path, monkeypatch):
+    """Two pruned scans of the facts, one for the averages and one for the median, and no copy of them."""
     path = str(tmp_path / "facts")
     sample.write.parquet(path)
+    written = []
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.parquet", lambda self, path, *a, **k: written.append(path))
     plan = market_trends(spark.read.parquet(path), scale=2)._jdf.queryExecution().executedPlan().toString()
-    assert path not in plan  # only the stored (city, state, price) table is read from here on
+    assert path in plan and not written
 
 
 def test_reports_on_sample(sample):
