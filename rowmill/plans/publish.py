@@ -10,6 +10,7 @@ were.  Versions older than the last ``keep`` go with their files.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,7 +62,7 @@ def versions(spark: SparkSession, name: str) -> list[str]:
     """The version tables of a published name, oldest first."""
     db, _, own = name.rpartition(".")
     found = spark.catalog.listTables(*([db] if db else []))
-    pattern = re.compile(re.escape(own) + r"__v(\d+)", re.I)
+    pattern = re.compile(re.escape(own) + r"__v(\d+)_[0-9a-f]{8}", re.I)
     numbers = sorted((int(m[1]), t.name) for t in found if t.tableType != "VIEW" and (m := pattern.fullmatch(t.name)))
     return [f"{db}.{t}" if db else t for _, t in numbers]
 
@@ -77,9 +78,10 @@ def publish_version(df: DataFrame, name: str, location: str | None = None,
         raise ValueError("at least the published version must be kept")
     spark = df.sparkSession
     before = versions(spark, name)
-    number = int(before[-1].rpartition("__v")[2]) + 1 if before else 1
-    version = f"{name}__v{number:06d}"
-    path = None if location is None else f"{location.rstrip('/')}/v{number:06d}"
+    number = int(before[-1].rpartition("__v")[2].split("_")[0]) + 1 if before else 1
+    # a name of its own: another publisher, or files of a catalog that is gone, are never met
+    version = f"{name}__v{number:06d}_{uuid.uuid4().hex[:8]}"
+    path = _folder(location, version)
     try:
         save_table(df, version, path, bucket_by, mode="errorifexists")
     except Exception:
@@ -90,10 +92,14 @@ def publish_version(df: DataFrame, name: str, location: str | None = None,
         spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
     for old in [*before, version][:-keep]:
-        _remove(spark, old, None if location is None else f"{location.rstrip('/')}/v{old.rpartition('__v')[2]}")
+        _remove(spark, old, _folder(location, old))
     return name
 
 
+def _folder(location: str | None, version: str) -> str | None:
+    return None if location is None else f"{location.rstrip('/')}/v{version.rpartition('__v')[2]}"
+
+
 def _remove(spark: SparkSession, table: str, path: str | None) -> None:
     """Drop a version table; the files of an external one go too."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
