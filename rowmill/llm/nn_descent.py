@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by inner product: NN-descent and greedy graph search.
 
-Vectors get one more coordinate, sqrt(M^2 - |x|^2) with M the largest norm, so that nearness
-between points is nearness of directions; queries get a zero there.  Equal vectors are one
-node.
+Vectors are searched in classes of similar norms, those within a factor of two, so that a few long ones
+don't squeeze all others into one place; a query asks every class.  In a class, vectors are scaled to
+norms up to 1 and get one more coordinate, sqrt(1 - |x|^2), so that nearness between points is
+nearness of directions; queries get a zero there.  Equal vectors are one node.
 
 Build: a few partitions by nearest pivot, in blocks of bounded size, give every node
 first neighbours; the number of pivots grows with the nodes.  Then rounds of Spark joins: each
@@ -20,6 +21,7 @@ number, so a request goes to the partition with an array of nodes; seeds are joi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,9 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowmill.llm.common import parts, saved, some_rows, written
+from rowmill.llm.common import parts, some_rows, written
 from rowmill.llm.vectors import distinct, matrix, packed, unpack, usable, width
+from rowmill.sinks.scratch import discard
 
 NEIGHBOURS = 32
 SAMPLE = 20  # neighbours of each direction that meet in a round
@@ -42,7 +45,8 @@ BEAM = 320
 EXPAND = 160
 SEEDS = 128  # of each cell
 PROBES = 2  # cells of each partition that a query starts from
-EXACT = 3  # times k: candidates rescored in double precision
+EXACT = 3  # times k: candidates of each class rescored in double precision
+CLASSES = 40  # the last one has all that is shorter than the longest vector by 2^39 and more
 
 
 def nodes_of(points: DataFrame, wide: int, top: float, p: int) -> DataFrame:
@@ -50,8 +54,8 @@ def nodes_of(points: DataFrame, wide: int, top: float, p: int) -> DataFrame:
     in it follow from the number."""
     def lift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column("v"), "<f8", wide)
-            rest = np.sqrt(np.maximum(0.0, top - (x * x).sum(1)))
+            x = matrix(batch.column("v"), "<f8", wide) / top
+            rest = np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(1)))
             raw = [r.tobytes() for r in np.column_stack([x, rest]).astype("<f4")]
             yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("node"), pa.array(raw, pa.binary()), batch.column("v"), batch.column("ids")], ["part", "node", "vec", "v", "ids"])
 
@@ -179,7 +183,7 @@ def first_lists(cells: Cells, dim: int, p: int) -> DataFrame:
         a, b, s = (np.concatenate(x) for x in zip(*out))
         return lists(*best(a, b, s, k), p)
 
-    return saved(merged(placed.groupBy("tree", "pivot", "block").applyInArrow(run, LISTS), NEIGHBOURS, p))
+    return written(merged(placed.groupBy("tree", "pivot", "block").applyInArrow(run, LISTS), NEIGHBOURS, p), "lists")
 
 
 def descend(nodes: DataFrame, state: DataFrame, dim: int, p: int, turn: int) -> DataFrame:
@@ -238,7 +242,7 @@ def descend(nodes: DataFrame, state: DataFrame, dim: int, p: int, turn: int) ->
     met = back.groupBy(F.col("other").alias("node")).agg(F.collect_list("node").alias("met"))
     old = F.transform(F.arrays_zip("near", "old"), lambda e: e["old"] | F.array_contains(F.coalesce("met", F.array().cast("array<long>")), e["near"]))
     before = state.join(met, "node", "left").withColumn("old", old).select(*state.columns)
-    return saved(merged(before.unionByName(found), NEIGHBOURS, p))
+    return written(merged(before.unionByName(found), NEIGHBOURS, p), "lists")
 
 
 def graph_of(state: DataFrame) -> DataFrame:
@@ -258,23 +262,49 @@ class Index:
         self.updates = updates
 
 
-def build(emb: DataFrame, k: int = 20, tolerance: float = TOLERANCE) -> Index | None:
-    """Index of all usable rows; keeps each different vector's k + 1 smallest ids.  None if empty."""
-    spark = emb.sparkSession
+def norms(x: np.ndarray) -> np.ndarray:
+    """Lengths of rows that aren't zero; no square overflows or vanishes."""
+    most = np.abs(x).max(1, initial=0.0)
+    y = x / np.where(most > 0, most, 1.0)[:, None]
+    return np.minimum(most * np.sqrt((y * y).sum(1)), np.finfo(float).max / 4)
+
+
+def points_of(emb: DataFrame, k: int) -> tuple[DataFrame, int]:
+    """(v, ids, norm) of different vectors, stored, and their width; each keeps its k + 1 smallest ids."""
     wide = width(emb)
     own = packed(usable(emb).where(F.exists("embedding", lambda x: x != 0)), wide, "<f8")
-    points = written(distinct(own, k + 1), "points")
 
-    def norm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column("v"), "<f8", wide)
-            yield pa.RecordBatch.from_arrays([pa.array([float((x * x).sum(1).max())] if len(x) else [], pa.float64()), pa.array([len(x)] if len(x) else [], pa.int64())], ["m", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column("v"), batch.column("ids"), pa.array(norms(matrix(batch.column("v"), "<f8", wide)))], ["v", "ids", "norm"])
+
+    return written(distinct(own, k + 1).mapInArrow(run, "v binary, ids array<long>, norm double"), "points"), wide
 
-    top, n = points.select("v").mapInArrow(norm, "m double, n long").agg(F.max("m"), F.sum("n")).first()
-    if not n:
-        return None
+
+def build(emb: DataFrame, k: int = 20, tolerance: float = TOLERANCE) -> Index | None:
+    """One index of all usable rows; None if empty."""
+    points, wide = points_of(emb, k)
+    top, n = points.agg(F.max("norm"), F.count(F.lit(1))).first()
+    return index_of(points, wide, top, n, tolerance) if n else None
+
+
+def build_classes(emb: DataFrame, k: int = 20, tolerance: float = TOLERANCE) -> list[Index]:
+    """An index for each class of norms that has rows, at most ``CLASSES``."""
+    points, wide = points_of(emb, k)
+    top = points.agg(F.max("norm")).first()[0]
+    if top is None:
+        return []
+    place = F.least(F.lit(CLASSES - 1), F.floor(F.log2(F.lit(top) / F.col("norm")))).cast("int")
+    classed = points.withColumn("class", place)
+    found = classed.groupBy("class").agg(F.max("norm").alias("top"), F.count(F.lit(1)).alias("n")).orderBy("class").collect()
+    return [index_of(classed.where(F.col("class") == r["class"]).drop("class"), wide, r["top"], r["n"], tolerance) for r in found]
+
+
+def index_of(points: DataFrame, wide: int, top: float, n: int, tolerance: float) -> Index:
+    """Index of ``n`` points (v, ids, norm) whose largest norm is ``top``."""
+    spark = points.sparkSession
     p = max(4, -(-n // PART))  # parts of one size at any scale, whatever the number of shuffle partitions
-    nodes = nodes_of(points, wide, top, p)
+    nodes = nodes_of(points.drop("norm"), wide, top, p)
     cells = cells_of(nodes, wide + 1, n)
     state = first_lists(cells, wide + 1, p)
     updates: list[float] = []
@@ -282,6 +312,7 @@ def build(emb: DataFrame, k: int = 20, tolerance: float = TOLERANCE) -> Index |
         was, state = state, descend(nodes, state, wide + 1, p, len(updates))
         both = state.select("node", "near").join(was.select("node", F.col("near").alias("was")), "node", "left")
         changed = both.agg(F.sum(F.size(F.array_except("near", F.coalesce("was", F.array().cast("array<long>")))))).first()[0]
+        discard(was)
         updates.append((changed or 0) / (n * min(NEIGHBOURS, n - 1)))
     return Index(spark, nodes, written(graph_of(state), "graph"), cells, wide, p, updates)
 
@@ -299,6 +330,7 @@ def started(index: Index, queries: DataFrame) -> DataFrame:
 
     def lifted(batch: pa.RecordBatch) -> np.ndarray:
         v = matrix(batch.column("v"), "<f8", dim - 1)
+        v = v / norms(v)[:, None]  # a query's length changes none of its orders
         return np.column_stack([v, np.zeros(len(v))]).astype("<f4")
 
     def beams(v: np.ndarray, q: np.ndarray, node: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
@@ -340,7 +372,7 @@ def started(index: Index, queries: DataFrame) -> DataFrame:
     own = queries.select("q", "v")
     routed = own.mapInArrow(route, "tree int, pivot int, q long, vec binary")
     found = routed.groupBy("tree", "pivot").cogroup(entry.groupBy("tree", "pivot")).applyInArrow(at_seeds, BEAMS)
-    return saved(found.unionByName(own.mapInArrow(at_pivots, BEAMS)).groupBy("home").applyInArrow(join, BEAMS))
+    return written(found.unionByName(own.mapInArrow(at_pivots, BEAMS)).groupBy("home").applyInArrow(join, BEAMS), "beams")
 
 
 def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
@@ -449,7 +481,9 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXP
         near = asked.groupBy("part").cogroup(index.graph.groupBy("part")).applyInArrow(follow, "home int, q long, nodes array<long>")
         wanted = state.groupBy("home").cogroup(near.groupBy("home")).applyInArrow(score_requests, "part int, home int, q long, vec binary, least float, nodes array<long>")
         scored = wanted.groupBy("part").cogroup(index.nodes.select("part", "node", "vec").groupBy("part")).applyInArrow(score_nodes, "home int, q long, nodes array<long>, score array<float>")
-        state = saved(state.groupBy("home").cogroup(scored.groupBy("home")).applyInArrow(widen, BEAMS))
+        # a written table, whose size Spark knows: its estimate of a checkpoint's would grow with every round
+        was, state = state, written(state.groupBy("home").cogroup(scored.groupBy("home")).applyInArrow(widen, BEAMS), "beams")
+        discard(was)
     return state.select("q", "beam", "score")
 
 
@@ -464,21 +498,26 @@ def nearest(emb: DataFrame, queries: DataFrame, k: int = 20, tolerance: float =
     """
     spark = emb.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    index = build(emb, k, tolerance)
-    if index is None:
+    indexes = build_classes(emb, k, tolerance)
+    if not indexes:
         return empty
-    asked = packed(usable(queries).where(F.exists("embedding", lambda x: x != 0)), index.wide, "<f8").distinct()
+    index_wide = indexes[0].wide
+    asked = packed(usable(queries).where(F.exists("embedding", lambda x: x != 0)), index_wide, "<f8").distinct()
     asked = written(asked.withColumn("q", F.monotonically_increasing_id()), "queries")
-    found = search(index, asked.groupBy("v").agg(F.min("q").alias("q")), max(beam, EXACT * k), expand)
-    close = found.select("q", F.posexplode(F.slice("beam", 1, EXACT * k)).alias("place", "node")).select("q", "node")
-    pairs = close.join(index.nodes.select("node", F.col("v").alias("x"), "ids"), "node").join(asked.select("q", "v"), "q")
+    each = written(asked.groupBy("v").agg(F.min("q").alias("q")), "asked")
+
+    def candidates(index: Index) -> DataFrame:
+        found = search(index, each, max(beam, EXACT * k), expand)
+        close = found.select("q", F.posexplode(F.slice("beam", 1, EXACT * k)).alias("place", "node")).select("q", "node")
+        return close.join(index.nodes.select("node", F.col("v").alias("x"), "ids"), "node").select("q", "x", "ids")
+
+    pairs = reduce(DataFrame.unionByName, map(candidates, indexes)).join(asked.select("q", "v"), "q")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = (matrix(batch.column("v"), "<f8", index_wide) * matrix(batch.column("x"), "<f8", index_wide)).sum(1)
             yield pa.RecordBatch.from_arrays([batch.column("v"), batch.column("ids"), pa.array(s)], ["v", "ids", "score"])
 
-    index_wide = index.wide
     scored = pairs.select("v", "x", "ids").mapInArrow(exact, "v binary, ids array<long>, score double")
     # every query of an equal vector gets the same candidates, but itself
     named = scored.join(asked.select("v", "q", F.col("vec_id").alias("query_id")), "v").select("q", "query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id != query_id")

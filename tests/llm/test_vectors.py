@@ -51,6 +51,8 @@ def test_exact_search_on_edges(spark, monkeypatch):
     monkeypatch.setattr(E, "ANNULUS", 16)  # many annuli, small steps
     monkeypatch.setattr(E, "STEP", 3)
     assert sorted(map(tuple, E.search(emb, queries).collect())) == want
+    monkeypatch.setattr(E, "BOUNDS", 0)  # too many to broadcast: joined by pivot
+    assert sorted(map(tuple, E.search(emb, queries).collect())) == want
 
 
 def test_exact_search_in_clusters(spark, monkeypatch):
@@ -152,3 +154,62 @@ def test_descent_converges(spark, monkeypatch):
         hit += len({name[b] for b in r["near"]} & set(np.argsort(-s)[:20].tolist()))
     assert hit / 50_000 >= 0.99
     assert index.updates[-1] < A.TOLERANCE <= min(index.updates[:-1])
+
+
+def test_rows_repeated_whole_count_once(spark):
+    """Thirty copies of a row push no other vec_id out."""
+    x = [0.3, -0.2, 0.9]
+    rows = [(5, x)] * 30 + [(k, x) for k in range(6, 40)] + [(100, [1.0, 0.5, 0.25])] * 3 + [(41, [0.9, 0.1, 0.2])]
+    emb = frame(spark, rows)
+    once = list({(i, tuple(v)) for i, v in rows})
+    want = brute([(i, list(v)) for i, v in once], 100, 10, integer)
+    assert sorted(map(tuple, E.search(emb, emb.where("vec_id = 100")).collect())) == want and len(want) == 10
+    got = sorted(map(tuple, A.nearest(emb, emb.where("vec_id = 100")).collect()))
+    near = brute([(i, list(v)) for i, v in once], 100, 20, lambda a, b: float(a @ b))
+    assert [r[:3] for r in got] == [r[:3] for r in near] and len(got) == 20
+
+
+def test_the_sql_of_the_exact_search_agrees_on_repeated_rows(spark, tmp_path):
+    import duckdb
+
+    from rowmill.llm import registry
+    rng = np.random.default_rng(1)
+    rows = [(k % 130, list(rng.normal(size=4).round(1))) for k in range(260)] + [(100, [0.5] * 4)] * 4 + [(7, [0.25] * 4)] * 4
+    path = str(tmp_path / "embeddings.parquet")
+    frame(spark, rows).select("vec_id", "embedding").write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{path}/*.parquet')")
+    want = sorted(con.execute(registry.ORACLE["op10_pivot_topk"]).fetchall())
+    assert sorted(map(tuple, registry.op10_pivot_topk(spark, str(tmp_path)).collect())) == want
+
+
+@pytest.mark.parametrize("kind", ["outlier", "large", "small", "spread"])
+def test_norms_of_any_size(spark, monkeypatch, kind):
+    """One long vector, very long and very short ones, and norms over many magnitudes cost no recall."""
+    monkeypatch.setattr(A, "BLOCK", 400)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1500, 12))
+    if kind == "outlier":
+        x[1234] *= 1e4
+    x *= {"large": 1e30, "small": 1e-30}.get(kind, 1.0)
+    if kind == "spread":
+        x *= np.exp(rng.uniform(-3, 3, size=(1500, 1)))
+    rows = [(k, list(v)) for k, v in enumerate(x)]
+    emb = frame(spark, rows)
+    got = A.nearest(emb, emb.where("vec_id % 60 = 0"), beam=96, expand=24).collect()
+    assert all(np.isfinite(r["score"]) for r in got)
+    own = padded(rows)
+    vec = dict(own)
+    hit = 0
+    found = {(r["query_id"], r["vec_id"]) for r in got}
+    for q, _, i, _ in brute([(i, list(v)) for i, v in own], 60, 20, lambda a, b: float(a @ b)):
+        hit += (q, i) in found
+    assert len(vec) == 1500 and hit / (25 * 20) >= 0.95
+
+
+def test_class_edges(spark):
+    """Huge and tiny components, alone or together, neither overflow nor vanish."""
+    rows = [(0, [1e300, 1e300]), (20, [1e-300, 2e-300]), (1, [1.0, 1.0]), (2, [-1.0, 2.0]), (3, [3e-200, 1e-200]), (40, [1.0, 0.0])]
+    emb = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in A.nearest(emb, emb.where("vec_id % 20 = 0")).collect()}
+    assert got[40, 1] == 0 and got[40, 2] == 1 and len(got) == 15
