@@ -304,6 +304,21 @@ def block_links(blocks: DataFrame, threshold: float, tolerance: float) -> DataFr
     return blocks.mapInArrow(run, "node long, links long, root long, many boolean")
 
 
+def one_a_task(texts: DataFrame) -> DataFrame:
+    """Rows (text, th) with a hash that none before in their task had: a text that a third of all documents share
+    leaves each task once, however many copies it has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)
+        for batch in batches:
+            own, first = np.unique(batch.column("th").to_numpy(), return_index=True)
+            new = ~np.isin(own, seen, assume_unique=True)
+            seen = np.concatenate([seen, own[new]])
+            yield batch.take(pa.array(np.sort(first[new])))
+
+    return texts.mapInArrow(run, "text string, th long")
+
+
 def similar(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """Class and links of every row of ``docs`` (``doc_id``, ``text``): (doc_id, th, class, class_id,
     n_links).
@@ -332,7 +347,7 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TO
     size = label.join(nodes.select("node", "n", "copies", "th", "s1", "s2"), "node")
     total = size.groupBy("comp").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_NODES)).cast("int").alias("g"))
     placed = size.join(total, "comp").withColumn("block", F.pmod(F.xxhash64("node"), "g").cast("int"))
-    text = docs.withColumn("th", F.xxhash64("text")).join(placed, "th")
+    text = one_a_task(docs.select("text", F.xxhash64("text").alias("th"))).join(placed, "th")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["comp", "node", "copies", "g", "block", "own"]
@@ -359,7 +374,8 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TO
     per_set = nodes.select("s1", "s2", "node", "copies").join(per_node, "node", "left")
     per_set = per_set.select("s1", "s2", F.coalesce("root", "node").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     rows = own.select("doc_id", "th", "s1", "s2").join(per_set, ["s1", "s2"])
-    named = rows.groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    # a table of its own, so that Spark may split the rows of a class that holds many documents
+    named = written(rows.groupBy("class").agg(F.min("doc_id").alias("class_id")), "class_ids")
     return rows.join(named, "class").select("doc_id", "th", "class", "class_id", F.col("n_links").cast("long").alias("n_links"))
 
 
