@@ -83,6 +83,7 @@ def test_index_finds_what_search_finds(monkeypatch, block):
 def test_equals_brute_force(spark, monkeypatch, shard_words):
     monkeypatch.setattr(C, "STEP", 1 << 20 if shard_words > 1000 else 64)
     monkeypatch.setattr(C, "SHARD_WORDS", shard_words)
+    monkeypatch.setattr(C, "PART", C.PART if shard_words > 1000 else 50)  # lists of several parts
     rows = wordy_rows() if shard_words > 1 else wordy_rows(60)
     docs = spark.createDataFrame([(k, t, lang, *["mine"] * len(EXTRA)) for k, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string, " + ", ".join(f"`{c}` string" for c in EXTRA)).repartition(3)
     for min_count, longest, first in ((100 if shard_words > 1 else 10, 5, 2000), (2, 3, 7)):

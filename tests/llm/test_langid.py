@@ -82,3 +82,46 @@ def test_rare_languages_are_classes(spark):
     assert sum(lang == "pl" for _, _, lang in rows) == 12
     assert all(got[k] == lang for k, _, lang in rows if lang == "pl")
     assert sum(got[k] != lang for k, _, lang in rows) < 60
+
+
+def plain_ftrl(rows, langs, epochs, alpha=2.0, beta=1.0, l1=1e-4, l2=1e-4):
+    """The published update, one weight at a time."""
+    z, n = {}, {}
+
+    def weight(at):
+        own = z.get(at, 0.0)
+        return 0.0 if abs(own) <= l1 else -(own - np.sign(own) * l1) / ((beta + n.get(at, 0.0) ** 0.5) / alpha + l2)
+
+    rng = np.random.default_rng(7)
+    for _ in range(epochs):
+        for k in rng.permutation(len(rows)):
+            y, features, x = rows[k]
+            features, x = [*features, -1], [*x, 1.0]
+            s = [sum(v * weight((f, c)) for f, v in zip(features, x)) for c in range(langs)]
+            p = np.exp(np.array(s) - max(s))
+            p /= p.sum()
+            steps = []
+            for f, v in zip(features, x):
+                for c in range(langs):
+                    g = v * (p[c] - (c == y))
+                    sigma = ((n.get((f, c), 0.0) + g * g) ** 0.5 - n.get((f, c), 0.0) ** 0.5) / alpha
+                    steps.append(((f, c), g - sigma * weight((f, c)), g * g))
+            for at, dz, dn in steps:
+                z[at], n[at] = z.get(at, 0.0) + dz, n.get(at, 0.0) + dn
+    return weight
+
+
+def test_weights_equal_a_plain_trainer():
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(25):
+        g = np.unique(rng.integers(0, 40, 8))
+        rows.append((k % 3, g.astype(np.int64), rng.random(len(g)) * (1 + (g % 3 == k % 3))))
+    model = G.Model(["a", "b", "c"], np.ones(1 << G.BITS))
+    model.fit(rows, epochs=3)
+    weight = plain_ftrl(rows, 3, 3)
+    for f in range(40):
+        for c in range(3):
+            assert abs(model.weight[f, c] - weight((f, c))) < 1e-5
+    assert max(abs(model.bias[c] - weight((-1, c))) for c in range(3)) < 1e-9
+    assert (model.weight[40:] == 0).all() and np.abs(model.weight).max() > 0.1

@@ -57,3 +57,38 @@ def test_figures_read_the_whole_text():
     head = b"clean words in a plain line. " * 200
     assert Q.figures(head) != Q.figures(head + b"###" * 50)
     assert Q.figures(b"") == [0.0] * Q.FIGURES
+
+
+def sigmoid_loss(z):
+    return 1 / (1 + np.exp(z))
+
+
+def test_descent_follows_the_non_negative_risk():
+    """Steps equal those of a plain descent on numeric slopes of the published risk: when the part of the negatives
+    falls below zero, the step goes up on that part alone."""
+    rng = np.random.default_rng(3)
+    for prior in (0.2, 0.6, 0.95):
+        model = Q.Model(rng.normal(size=(300, 2)))
+        good, free = (model.bins(rng.normal(shift, 1, size=(n, 2))) for shift, n in ((0.8, 60), (0.1, 90)))
+        model.weight[:] = rng.normal(size=len(model.weight)) * 2
+        w = np.append(model.weight.copy(), 0.3)
+        model.bias = 0.3
+        model.descend(good, free, prior, rounds=4)
+
+        def parts(w):
+            raw = lambda bins: w[:-1][bins].sum(1) + w[-1]
+            positive = prior * sigmoid_loss(raw(good)).mean()
+            return positive, sigmoid_loss(-raw(free)).mean() - prior * sigmoid_loss(-raw(good)).mean()
+
+        m, v, turned = np.zeros(len(w)), np.zeros(len(w)), 0
+        for t in range(1, 5):
+            below = parts(w)[1] < 0
+            turned += below
+            goal = (lambda w: -parts(w)[1]) if below else (lambda w: sum(parts(w)))
+            slope = np.array([(goal(w + e) - goal(w - e)) / 2e-6 for e in np.eye(len(w)) * 1e-6])
+            slope[:-1] += 1e-4 * w[:-1]
+            m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope * slope
+            w = w - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+        seen = np.append(np.bincount(np.concatenate([good, free]).ravel(), minlength=len(w) - 1) > 0, True)
+        assert np.abs(np.append(model.weight, model.bias) - w)[seen].max() < 1e-3
+        assert turned == 0 or prior > 0.5

@@ -35,7 +35,7 @@ def test_query_equals_its_sql(spark, con, name):
 
 def test_every_operator_is_registered_once():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert E.queries()["pipeline"] is C.run and "pipeline" not in E.oracle_sql()
     assert [n for n, _ in C.STAGES] == ["quality_classifier", "line_dedup", "ngram_jaccard_join", "pii", "best_fit_packing"]
 

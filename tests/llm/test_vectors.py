@@ -213,3 +213,14 @@ def test_class_edges(spark):
     emb = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {(r["query_id"], r["rank"]): r["vec_id"] for r in A.nearest(emb, emb.where("vec_id % 20 = 0")).collect()}
     assert got[40, 1] == 0 and got[40, 2] == 1 and len(got) == 15
+
+
+def test_more_nodes_than_cells_hold(spark, monkeypatch):
+    """Cells many times a block are cut by a hash; the descent makes up for it."""
+    monkeypatch.setattr(A, "BLOCK", 100)
+    monkeypatch.setattr(A, "CELLS", 3)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(30, 12))[rng.integers(0, 30, 2000)] + 0.1 * rng.normal(size=(2000, 12))
+    rows = [(k, list(v)) for k, v in enumerate(x)]
+    emb = frame(spark, rows)
+    assert recall(spark, rows, A.nearest(emb, emb.where("vec_id % 50 = 0"), beam=96, expand=24).collect(), 50) >= 0.95
