@@ -26,6 +26,8 @@ PIVOTS = 64
 SAMPLE = 4096
 ANNULUS = 2048
 STEP = 256
+#: So many annuli's bounds (32 bytes each) are broadcast; beyond that queries and annuli are joined by pivot.
+BOUNDS = 1_000_000
 
 
 def choose_pivots(sample: np.ndarray, number: int) -> np.ndarray:
@@ -163,6 +165,75 @@ def probe(pairs: DataFrame, index: DataFrame, space, k: int) -> DataFrame:
     return pairs.groupBy("place").cogroup(index.groupBy("annulus")).applyInArrow(run, schema)
 
 
+class Bounds:
+    """Places of the annuli of each pivot, with the distances they reach from and to, both ascending."""
+
+    def __init__(self, rows: list, pivots: int):
+        own: list[list[tuple]] = [[] for _ in range(pivots)]
+        for r in sorted((r["pivot"], r["near"], r["far"], r["place"]) for r in rows):
+            own[r[0]].append(r[1:])
+        self.near, self.far = ([np.array([x[c] for x in o]) for o in own] for c in (0, 1))
+        self.place = [np.array([x[2] for x in o], np.int64) for o in own]
+
+    def homes(self, dq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, pivot) of the annulus nearest to each row's own distances to the pivots."""
+        best = np.full(len(dq), np.inf)
+        place, pivot = np.zeros(len(dq), np.int64), np.zeros(len(dq), np.int64)
+        tie = np.full(len(dq), np.inf)
+        for p, (near, far, own) in enumerate(zip(self.near, self.far, self.place)):
+            if len(own):
+                at = np.maximum(np.searchsorted(near, dq[:, p], "right") - 1, 0)
+                for k in (at, np.minimum(at + 1, len(own) - 1)):
+                    gap = np.maximum(0.0, np.maximum(near[k] - dq[:, p], dq[:, p] - far[k]))
+                    closer = (gap < best) | ((gap == best) & (dq[:, p] < tie))
+                    best, tie = np.where(closer, gap, best), np.where(closer, dq[:, p], tie)
+                    place, pivot = np.where(closer, own[k], place), np.where(closer, p, pivot)
+        return place, pivot
+
+    def within(self, dq: np.ndarray, r: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(pivot, rows, places): the annuli that reach within ``r`` of each row's distance to a pivot."""
+        for p, (near, far, own) in enumerate(zip(self.near, self.far, self.place)):
+            lo = np.searchsorted(far, dq[:, p] - r)
+            size = np.maximum(0, np.searchsorted(near, dq[:, p] + r, "right") - lo)
+            if size.any():
+                row = np.repeat(np.arange(len(dq)), size)
+                yield p, row, own[np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)]
+
+
+def distances_of(batch: pa.RecordBatch) -> np.ndarray:
+    return unpack(batch.column("far"))[1].reshape(batch.num_rows, -1)
+
+
+def shared_homes(shared):
+    """Each query at its first annulus."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                dq = distances_of(batch)
+                place, pivot = shared.value.homes(dq)
+                yield pa.RecordBatch.from_arrays([pa.array(place), batch.column("q"), batch.column("v"), batch.column("n2"), pa.array(dq[np.arange(len(dq)), pivot])], ["place", "q", "v", "n2", "dq"])
+
+    return run
+
+
+def shared_reach(shared, space):
+    """Each query at every annulus that may hold something better than its bound; others are never paired with it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                dq, n2 = distances_of(batch), batch.column("n2").to_numpy()
+                bound = batch.column("bound").cast(pa.float64()).fill_null(-np.inf).to_numpy()
+                r = np.where(np.isfinite(bound), np.sqrt(np.maximum(0.0, n2 + space.value.top - 2 * np.where(np.isfinite(bound), bound, 0.0))) + space.value.slack(), np.inf)
+                for p, row, place in shared.value.within(dq, r):
+                    for at in range(0, len(row), 20_000):
+                        k = pa.array(row[at : at + 20_000])
+                        yield pa.RecordBatch.from_arrays([pa.array(place[at : at + 20_000]), *(batch.column(c).take(k) for c in ("q", "v")), pa.array(dq[row[at : at + 20_000], p]), batch.column("bound").take(k)], ["place", "q", "v", "dq", "bound"])
+
+    return run
+
+
 def search(emb: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCALE) -> DataFrame:
     """The k largest integer inner products of each query.
 
@@ -177,7 +248,9 @@ def search(emb: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCALE)
     wide = width(emb)
     rows = packed(usable(emb), wide, "<i8", scale)
     points = written(distinct(rows, k + 1), "points")
-    asked = written(packed(usable(queries), wide, "<i8", scale).distinct().withColumn("q", F.monotonically_increasing_id()), "queries")
+    every_query = written(packed(usable(queries), wide, "<i8", scale).distinct(), "queries")
+    # equal queries are searched once
+    asked = written(every_query.select("v").distinct().withColumn("q", F.monotonically_increasing_id()), "asked")
 
     def norm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,22 +273,32 @@ def search(emb: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCALE)
             yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("v"), pa.array((x * x).sum(1)), pa.array(list(d), pa.list_(pa.float64()))], ["q", "v", "n2", "far"])
 
     keyed = asked.select("q", "v").mapInArrow(to_pivots, "q long, v binary, n2 double, far array<double>")
-    by_pivot = written(keyed.select("q", "v", "n2", F.posexplode("far").alias("pivot", "dq")), "by_pivot")
-    meta = index.select(F.col("annulus").alias("place"), "pivot", "near", "far")
-    gap = F.greatest(F.col("near") - F.col("dq"), F.col("dq") - F.col("far"), F.lit(0.0))
-    every = by_pivot.join(meta, "pivot").withColumn("gap", gap)
-    # first bound: the annulus nearest to the query's own key, of a pivot that has any
-    home = every.groupBy("q").agg(F.min_by(F.struct("place", "v", "n2", "dq"), F.struct("gap", "dq", "place")).alias("s")).select("q", "s.*")
+    keyed = written(keyed, "keyed_queries")
+    bounds = index.select(F.col("annulus").alias("place"), "pivot", "near", "far")
+    near_all = None
+    if bounds.count() <= BOUNDS:
+        shared = spark.sparkContext.broadcast(Bounds(bounds.collect(), len(space.value.pivots)))
+        home = keyed.mapInArrow(shared_homes(shared), "place long, q long, v binary, n2 double, dq double")
+    else:
+        by_pivot = keyed.select("q", "v", "n2", F.posexplode("far").alias("pivot", "dq"))
+        gap = F.greatest(F.col("near") - F.col("dq"), F.col("dq") - F.col("far"), F.lit(0.0))
+        near_all = written(by_pivot, "by_pivot").join(bounds, "pivot").withColumn("gap", gap)
+        # first bound: the annulus nearest to the query's own key, of a pivot that has any
+        home = near_all.groupBy("q").agg(F.min_by(F.struct("place", "v", "n2", "dq"), F.struct("gap", "dq", "place")).alias("s")).select("q", "s.*")
     start = probe(home.withColumn("bound", F.lit(None).cast("long")), index, space, k)
     worst = Window.partitionBy("q").orderBy(F.desc("score"))
     # the (k + 1)-th best so far: the query itself may be one of them
     bound = start.withColumn("r", F.row_number().over(worst)).where(F.col("r") == k + 1).select("q", F.col("score").alias("bound"))
     bound = written(bound, "bounds")
-    radius = F.sqrt(F.greatest(F.lit(0.0), F.col("n2") + F.lit(top) - 2 * F.col("bound"))) + F.lit(space.value.slack())
-    near = every.join(bound, "q", "left").where(F.col("bound").isNull() | (F.col("gap") <= radius))
-    found = probe(near.select("place", "q", "v", "dq", "bound"), index, space, k)
-    named = asked.select("q", F.col("vec_id").alias("query_id"))
-    all_ids = found.join(named, "q").select("q", "query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id != query_id")
-    order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    if near_all is None:
+        near = keyed.join(bound, "q", "left").mapInArrow(shared_reach(shared, space), "place long, q long, v binary, dq double, bound long")
+    else:
+        radius = F.sqrt(F.greatest(F.lit(0.0), F.col("n2") + F.lit(top) - 2 * F.col("bound"))) + F.lit(space.value.slack())
+        near = near_all.join(bound, "q", "left").where(F.col("bound").isNull() | (F.col("gap") <= radius)).select("place", "q", "v", "dq", "bound")
+    found = probe(near, index, space, k)
+    # every query of an equal vector gets the same candidates, but itself
+    named = every_query.select("v", F.monotonically_increasing_id().alias("own"), F.col("vec_id").alias("query_id")).join(asked, "v").select("q", "own", "query_id")
+    all_ids = found.join(named, "q").select("own", "query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id != query_id")
+    order = Window.partitionBy("own").orderBy(F.desc("score"), "vec_id")
     ranked = all_ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
