@@ -6,7 +6,7 @@ norms up to 1 and get one more coordinate, sqrt(1 - |x|^2), so that nearness bet
 nearness of directions; queries get a zero there.  Equal vectors are one node.
 
 Build: a few partitions by nearest pivot, in blocks of bounded size, give every node
-first neighbours; the number of pivots grows with the nodes.  Then rounds of Spark joins: each
+first neighbours; the number of pivots grows with the nodes, up to a bound.  Then rounds of Spark joins: each
 node meets its neighbours and those it is a neighbour of, with their vectors; every two of
 them of which one is new there are compared, and what improves a list is sent to it.  Rounds
 go on until they change hardly anything.
@@ -38,6 +38,7 @@ SAMPLE = 20  # neighbours of each direction that meet in a round
 TREES = 4
 BLOCK = 4096
 PART = 2048
+CELLS = 16_384  # pivots of a partition at most, so what is broadcast is bounded: 4 (components + 1) bytes each
 PIVOTS = 512  # more than so many are compared by way of groups
 GROUPS = 4  # groups looked at
 TOLERANCE = 0.001  # share of list entries that a round must change for another to follow
@@ -118,9 +119,10 @@ class Cells:
 
 
 def cells_of(nodes: DataFrame, dim: int, n: int) -> Cells:
-    """Cells over several sets of pivots, one pivot for half a block of nodes."""
+    """Cells over several sets of pivots, one pivot for half a block of nodes, up to ``CELLS``; larger cells are
+    cut into blocks by a hash, another one in each set, and the descent brings their parts together."""
     spark = nodes.sparkSession
-    number = int(max(1, n // (BLOCK // 2)))
+    number = int(max(1, min(CELLS, n // (BLOCK // 2))))
     trees = TREES if number > 1 or n > BLOCK else 1
     taken = some_rows(nodes.select("node", "vec"), number * trees, F.xxhash64("vec")).collect()
     name, x = np.array([r["node"] for r in taken]), np.frombuffer(b"".join(bytes(r["vec"]) for r in taken), "<f4").reshape(-1, dim)
@@ -166,7 +168,7 @@ def nearest_pivots(x: np.ndarray, pivots: np.ndarray, group: np.ndarray | None,
 def first_lists(cells: Cells, dim: int, p: int) -> DataFrame:
     """Neighbours within blocks of nodes that share a cell."""
     keyed = cells.keyed
-    size = keyed.groupBy("tree", "pivot").agg(F.ceil(F.count("*") / BLOCK).alias("g"))  # a row for each cell
+    size = keyed.groupBy("tree", "pivot").agg(F.ceil(F.count("*") / BLOCK).alias("g"))  # a row for each cell: at most TREES * CELLS
     placed = keyed.join(F.broadcast(size), ["tree", "pivot"]).withColumn("block", F.pmod(F.xxhash64("node", "tree"), "g"))
 
     def run(t: pa.Table) -> pa.Table:
