@@ -242,7 +242,8 @@ def search(emb: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCALE)
     are fewer candidates.  Rows without an id, a vector, or with a component that is null or not finite
     take no part; shorter vectors count as padded with zeros; rows that share the query's vec_id
     are the query itself, and rows repeated whole count once.  Empty tables give no rows.  Scores are
-    exact while they fit a long.
+    exact longs; vectors so long that one might not fit (a squared norm of 2^62 and more) raise an
+    OverflowError, as a sum of longs does in SQL.
     """
     spark = emb.sparkSession
     wide = width(emb)
@@ -260,6 +261,8 @@ def search(emb: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCALE)
     every = points.select("v").unionByName(asked.select("v"))
     top = every.mapInArrow(norm, "n double").agg(F.max("n")).first()[0]
     taken = [bytes(r["v"]) for r in some_rows(points.select("v"), SAMPLE, F.xxhash64("v")).collect()]
+    if top is not None and top >= 2.0**62:
+        raise OverflowError(f"inner products up to {top:.3g} don't fit a long")
     if top is None or not taken:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     sample = lifted(np.frombuffer(b"".join(taken), "<i8").reshape(len(taken), wide), top)

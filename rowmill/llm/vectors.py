@@ -26,7 +26,7 @@ def usable(emb: DataFrame) -> DataFrame:
 
 
 def packed(own: DataFrame, wide: int, kind: str, scale: int | None = None) -> DataFrame:
-    """(vec_id, v): the vector as bytes of numpy type ``kind``; with ``scale``, floor(scale * x)."""
+    """(vec_id, v): the vector as bytes of numpy type ``kind``; with ``scale``, floor(scale * x), held within 2^62."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -34,7 +34,7 @@ def packed(own: DataFrame, wide: int, kind: str, scale: int | None = None) -> Da
             size = np.diff(column.offsets.to_numpy()) if len(column) else np.zeros(0, np.int64)
             x = np.zeros((len(column), wide))
             x[np.arange(wide) < size[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
-            x = np.floor(x * scale) if scale else x + 0.0  # -0.0 becomes 0.0
+            x = np.floor(np.clip(x * scale, -(2.0**62), 2.0**62)) if scale else x + 0.0  # -0.0 becomes 0.0
             raw = x.astype(kind).tobytes()
             step = wide * np.dtype(kind).itemsize
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array([raw[k * step : (k + 1) * step] for k in range(len(column))], pa.binary())], ["vec_id", "v"])

@@ -224,3 +224,13 @@ def test_more_nodes_than_cells_hold(spark, monkeypatch):
     rows = [(k, list(v)) for k, v in enumerate(x)]
     emb = frame(spark, rows)
     assert recall(spark, rows, A.nearest(emb, emb.where("vec_id % 50 = 0"), beam=96, expand=24).collect(), 50) >= 0.95
+
+
+@pytest.mark.parametrize("x", [1e300, -1e300, 5e15, 3e6])
+def test_scores_that_fit_no_long_are_refused(spark, x):
+    emb = spark.createDataFrame([(0, [1.0, 2.0]), (100, [x, 1.0]), (3, [0.5, 0.25])], "vec_id long, embedding array<double>")
+    with pytest.raises(OverflowError, match="fit a long"):
+        E.search(emb, emb.where("vec_id % 100 = 0"))
+    near = [(0, [1.0, 2.0]), (100, [1.5e6, 1.0]), (3, [0.5, 0.25])]
+    emb = spark.createDataFrame(near, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, E.search(emb, emb.where("vec_id % 100 = 0")).collect())) == brute(near, 100, 10, lambda a, b: int(np.floor(1024 * a).astype(int) @ np.floor(1024 * b).astype(int)))
