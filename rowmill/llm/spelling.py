@@ -39,6 +39,8 @@ LEAST_FREQUENT = 30
 SLOTS = 1 << 17
 #: Different words or grams that a task counts before it passes them on.
 COUNT_ENTRIES = 300_000
+#: Longer words are verified apart.
+LONG = 64
 MIN_CHARS = 6
 MIN_COUNT = 5
 RATIO = 5
@@ -169,6 +171,20 @@ def gram_dictionary(vocabulary: DataFrame) -> GramDictionary:
     return GramDictionary((r["gram"] for r in frequent), slots)
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether ``b``, as long as ``a`` or longer by one, is one replacement or insertion away; in time n log n."""
+    low, high = 0, len(a)
+    while low < high:  # the longest common beginning
+        k = (low + high + 1) // 2
+        low, high = (k, high) if a[:k] == b[:k] else (low, k - 1)
+    return a != b and a[low + (len(a) == len(b)) :] == b[low + 1 :]
+
+
+def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([one_edit(a, b) for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())], pa.bool_()))
+
+
 def near_pairs(vocabulary: DataFrame) -> DataFrame:
     """(a, na, b, nb): each unordered pair of words that are one edit apart, once.  Words must have at least
     QMAX characters, so that some gram is always unaffected."""
@@ -194,9 +210,14 @@ def near_pairs(vocabulary: DataFrame) -> DataFrame:
     a, b = lists.alias("a"), lists.alias("b")
     longer = F.col("b.size") == F.col("a.size") + 1
     other = F.col("a.from_start") & (F.col("a.size") == F.col("b.size")) & (F.col("a.word") < F.col("b.word"))
-    near = (F.col("a.key") == F.col("b.key")) & (longer | other) & (F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1)
-    pairs = a.join(b, near).select(F.col("a.word").alias("a"), F.col("a.n").alias("na"), F.col("b.word").alias("b"), F.col("b.n").alias("nb"))
-    return pairs.distinct()
+    meet = (F.col("a.key") == F.col("b.key")) & (longer | other)
+    columns = [F.col("a.word").alias("a"), F.col("a.n").alias("na"), F.col("b.word").alias("b"), F.col("b.n").alias("nb")]
+    short = (F.col("a.size") <= LONG) & (F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1)
+    pairs = a.join(b, meet & short).select(*columns)
+    long = lists.where(F.col("size") > LONG)
+    # the built-in distance takes time by the square of such words
+    rest = long.alias("a").join(long.alias("b"), meet).select(*columns).distinct().mapInArrow(verified, "a string, na long, b string, nb long")
+    return pairs.distinct().unionByName(rest)
 
 
 def roots(forms: DataFrame) -> DataFrame:

@@ -33,6 +33,13 @@ def one_edit(a, b):
     return a[k + 1 :] == b[k + 1 :] if len(a) == len(b) else a[k:] == b[k + 1 :]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab", max_size=8), st.text("ab", max_size=9))
+def test_one_edit(a, b):
+    if 0 <= len(b) - len(a) <= 1:
+        assert S.one_edit(a, b) == one_edit(a, b)
+
+
 def brute(rows, ratio=5):
     n = brute_words(rows)
     near = {w: [v for v in n if one_edit(w, v)] for w in n}
@@ -45,6 +52,12 @@ def brute(rows, ratio=5):
     return sorted(((w, form[w], root(w), n[w], len(near[w]), None if form[w] is None else n[form[w]]) for w in n), key=repr)
 
 
+def test_long_words(spark, monkeypatch):
+    monkeypatch.setattr(S, "LONG", 7)  # words of 8 characters and more are long, and one of 7 may meet one of 8
+    want = brute(typed_rows())
+    assert tuples(S.variants(spark.createDataFrame(typed_rows(), "doc_id long, text string"))) == want
+
+
 def typed_rows():
     """Words in families one edit apart, in chains of rising counts, with accents, in texts of many words."""
     rng = random.Random(4)
