@@ -36,7 +36,7 @@ from rowmill.plans.fixtures import listings, listings_dirty, table
 from rowmill.plans.end_to_end import PipelineOptions, key_normalizer, run as run_pipeline, summary_by_segment
 from rowmill.plans.publish import publish_tables, publish_version
 from rowmill.plans.throughput import measure, timed
-from rowmill.sinks.scratch import shared_dir, stored
+from rowmill.sinks.scratch import input_bytes, shared_dir, stored
 from rowmill.sinks.writers import write_named, write_report, write_split, write_table
 from rowmill.sources.files import RAW, read_csv, read_parquet, read_table, upstream_input
 from rowmill.streaming.dedup import dedup_stream, winners
@@ -1225,12 +1225,17 @@ def median_sketch(spark, sf):
     return one.join(two, by)
 
 
+#: So many bytes of the tables behind the listings make a file of the stream.
+ARRIVAL_BYTES = 16 << 20
+
+
 @register("stream_dedup", O.listings_query(O.dedup_sql("listings", ["city", "state", "zip_code"])))
 def stream_dedup(spark, sf):
     """Listings that come in several batches: the winners are those of one dedup of all of them."""
     rows, keys, root = listings(spark, sf), ["city", "state", "zip_code"], shared_dir(spark, "stream-dedup")
-    rows.repartition(4, "bed").write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    files = max(4, input_bytes(rows) // ARRIVAL_BYTES)  # grow in number, not in size
+    rows.repartition(files, *rows.columns).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files // 2).parquet(f"{root}/in")
     dedup_stream(stream, keys, f"{root}/out").awaitTermination()
     return winners(spark, f"{root}/out", rows.schema, keys)
 

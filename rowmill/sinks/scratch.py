@@ -67,6 +67,15 @@ def stored(df: DataFrame, name: str = "scratch") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, each counted once."""
+    total = 0
+    for f in df.inputFiles():
+        fs, at = hadoop_path(df.sparkSession, f)
+        total += fs.getFileStatus(at).getLen()
+    return total
+
+
 def discard(df: DataFrame) -> None:
     """Remove the files behind a frame read from a stored table, before the driver ends; it must not be read again."""
     spark = df.sparkSession

@@ -1,7 +1,9 @@
+from pyspark.sql import functions as F
+
 from rowmill.operators import annotate, apply_rule_set
 from rowmill.sinks import shared_dir
 from rowmill.streaming import annotate_stream, split_stream
-from tests.conftest import rows
+from tests.conftest import SF_SMALL, rows
 
 
 def test_stream_split_matches_batch(spark, sample, tmp_path):
@@ -29,3 +31,18 @@ def test_stream_restart_processes_only_new_files(spark, sample, tmp_path):
     q.awaitTermination()
     total = spark.read.parquet(f"{out}/valid").count()
     assert (first, total) == (4, 14)  # the restart read only the new files, nothing twice
+
+
+def test_stream_dedup_reads_files_that_grow_in_number(spark, tmp_path, monkeypatch):
+    """More input makes more files of the stream, of about equal size, and no more batches; the winners stay."""
+    from rowmill.operators import dedup
+    from rowmill.plans import registry
+    from rowmill.plans.fixtures import listings
+
+    monkeypatch.setattr(registry, "ARRIVAL_BYTES", 10_000, raising=False)
+    monkeypatch.setattr(registry, "shared_dir", lambda spark, name="scratch": str(tmp_path / name))
+    found = registry.QUERIES["stream_dedup"](spark, SF_SMALL)
+    files = [r["count"] for r in spark.read.parquet(str(tmp_path / "stream-dedup" / "in")).groupBy(F.input_file_name()).count().collect()]
+    assert len(files) >= 8 and max(files) < 1.5 * sum(files) / len(files)
+    assert 2 <= len(list((tmp_path / "stream-dedup" / "out").glob("batch=*"))) <= 3
+    assert rows(found) == rows(dedup(listings(spark, SF_SMALL), ["city", "state", "zip_code"]))
