@@ -140,8 +140,11 @@ def csv_headers(spark: SparkSession, paths: str | Sequence[str], delimiter: str
     first = lines.where((F.col("start") == 0) & (F.trim("line") != ""))
     if "comment" in options:
         first = first.where(~F.startswith("line", F.lit(options["comment"])))
-    # a split is read by one task in the order of its lines
-    return first.groupBy("path").agg(F.min_by("line", "at").alias("header"))
+    # a split is read by one task in the order of its lines.  The least number of a file is a hash aggregate, a row a
+    # file; an aggregate that keeps the text would sort all lines of its split.  The files' lines are then picked by
+    # number: both scans read the same splits of one listing, so a line has one number in both
+    least = first.groupBy("path").agg(F.min("at").alias("at"))
+    return first.join(F.broadcast(least), ["path", "at"]).select("path", F.col("line").alias("header"))
 
 
 def _names(header: str, delimiter: str, options: dict[str, str]) -> tuple[str, ...]:

@@ -6,6 +6,7 @@ from rowmill.operators import annotate
 from rowmill.plans.publish import publish_tables
 from rowmill.sinks import shared_dir, write_named, write_split, write_table
 from rowmill.sources import first_existing, read_csv, read_table, resolve_paths
+from rowmill.sources.files import csv_headers
 from tests.conftest import SAMPLE_HEADER, SAMPLE_ROWS
 
 
@@ -192,3 +193,13 @@ def test_partitioned_csv_equals_parquet(spark, sample, tmp_path):
     p = write_table(sample, str(tmp_path / "p"), partition_by=["bed"])
     back = read_csv(spark, p["csv"], schema=sample.schema).select(*sample.columns)
     assert sorted(back.collect()) == sorted(sample.collect())
+
+
+def test_csv_headers_sorts_no_lines(spark, tmp_path):
+    """Only line numbers are aggregated: an aggregate over the text would hold and sort every line of a split."""
+    for k in range(5):
+        (tmp_path / f"{k}.csv").write_text("\n" * k + f"a,c{k}\n" + f"{k},x\n" * 50)
+    (tmp_path / "empty.csv").write_text("")
+    headers = csv_headers(spark, str(tmp_path))
+    assert "SortAggregate" not in headers._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["path"].rpartition("/")[2], r["header"]) for r in headers.collect()) == [(f"{k}.csv", f"a,c{k}") for k in range(5)]
