@@ -18,6 +18,7 @@ from rowmill.functions.names import named
 BLANK_RUN = r"\s+"
 PUNCT_ASCII = r"[^\w\s]"          # ASCII word characters: letters with accents are dropped
 PUNCT_UNICODE = r"[^\p{L}\p{N}_\s]"  # keeps letters and digits of every script
+UNCLEAN = r"[^\w ]|  |^ | $"       # found in every text that blank runs and ASCII punctuation would change
 
 
 def string_columns(df: DataFrame, columns: Iterable[str] | None = None) -> list[str]:
@@ -49,10 +50,13 @@ def clean_text(
         x = F.trim(x)
     if lowercase:
         x = F.lower(x)
+    given = x
     if normalize_spaces:
         x = F.trim(F.regexp_replace(x, BLANK_RUN, " "))
     if strip_punct:
         x = F.regexp_replace(x, PUNCT_UNICODE if unicode else PUNCT_ASCII, "")
+    if normalize_spaces and strip_punct and not unicode:  # one search instead of two replacements where nothing changes
+        x = F.when(given.rlike(UNCLEAN), x).otherwise(given)
     if final_trim:
         x = F.trim(F.regexp_replace(x, BLANK_RUN, " "))
     return x

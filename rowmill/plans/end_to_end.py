@@ -22,7 +22,10 @@ from rowmill.operators.dedup import dedup, detect_keys
 from rowmill.operators.reports import REPORTS, run_reports, segment_state
 from rowmill.operators.route import apply_rule_set
 from rowmill.operators.validate import ValidationSpec, annotate, split, validation_counts
-from rowmill.sinks.scratch import hadoop_path, stored
+from rowmill.sinks.scratch import input_bytes, stored
+
+#: Row groups, which aren't cut, are mostly smaller than this: files of so many bytes a core make tasks for all cores.
+SPREAD_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -43,24 +46,19 @@ def key_normalizer(c):
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores if its files make fewer splits than there are cores.
+    """``df`` over all cores if its files hold less than ``SPREAD_BYTES`` a core.
 
     The key clean-up is four regular expressions a column; rows that come from one small file would all go
-    through them in one task.  Large inputs have many more splits than cores and are left as they
-    are, so no table that matters is shuffled for it.
+    through them in one task.  Spark cuts larger files for all cores by itself, so they are left as
+    they are: no table that matters is shuffled for it, and none is put into as few tasks as there are cores.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) >= cores:
-        return df
     most = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    limit = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(most))
-    splits = 0
-    for f in files:
-        fs, at = hadoop_path(spark, f)
-        splits += -(-fs.getFileStatus(at).getLen() // limit)
-    return df if splits >= cores else df.repartition(cores)
+    limit = min(SPREAD_BYTES, int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(most)))
+    if len(df.inputFiles()) >= cores or input_bytes(df) >= limit * cores:
+        return df
+    return df.repartition(cores)
 
 
 def prepare(df: DataFrame, opts: PipelineOptions = PipelineOptions()) -> DataFrame:

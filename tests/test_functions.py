@@ -90,3 +90,20 @@ def test_names_with_dots_and_blanks(spark):
                                          minimum={"list price": 0.0}, max_null_fraction={"my.street": 0.1}))
     assert rep.count() == 4
     assert csv_safe(annotate(df, spec)).columns[0] == "my.street"
+
+
+def test_clean_text_skips_only_what_nothing_changes(spark):
+    """Texts that need no blank or punctuation clean-up take the short way; odd ones come out as by the whole chain."""
+    import re
+
+    texts = ["Plain Text_1", " a", "a ", "a  b", "a\tb", "\na", "a\n", "a - b", "É a", "", " ", "\t", "a b", "12345-6.", "- a", "a -", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+
+    def whole(t, trim):
+        t = (t.strip(" ") if trim else t).lower()
+        return re.sub(r"[^\w\s]", "", re.sub(r"\s+", " ", t, flags=re.A).strip(" "), flags=re.A)
+
+    for trim in (True, False):
+        got = df.select("k", clean_text("t", trim, True, True, True).alias("c"))
+        assert dict(map(tuple, got.collect())) == {k: None if t is None else whole(t, trim) for k, t in enumerate(texts)}
+    assert "rlike" in got._jdf.queryExecution().optimizedPlan().toString().lower()
