@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,36 @@ def avg_of(x: Column, scale: int | None = None) -> Column:
     return F.avg(x) if scale is None else F.try_divide(sum_of(x, scale), F.count(exact(x, scale)))
 
 
+#: Sums of values below this many units of 10^-scale are kept in a long, which holds 9 billion of them.
+SMALL = 10**9
+
+
+def exact_parts(name: str, x: Column, scale: int) -> dict[str, Column]:
+    """Columns from which :func:`sum_of_parts` and :func:`avg_of_parts` get what :func:`sum_of` and :func:`avg_of` get
+    from ``x``: small values as whole units in a long, large ones as decimals.  Decimals of 38 digits
+    are slow to add; where a row counts in many groups it is converted once, before it is copied for them."""
+    value, small = exact(x, scale), F.abs(exact(x, scale)) < F.lit(Decimal(SMALL).scaleb(-scale))
+    units = (value.try_cast(f"decimal({scale + 18},{scale})") * F.lit(Decimal(10**scale))).try_cast("bigint")
+    return {f"{name}_small": F.when(small, units), f"{name}_large": F.when(~small, value)}
+
+
+def _count_of_parts(name: str) -> Column:
+    return F.count(named(f"{name}_small")) + F.count(named(f"{name}_large"))
+
+
+def sum_of_parts(name: str, scale: int) -> Column:
+    """:func:`sum_of` the values behind :func:`exact_parts`."""
+    whole, zero = f"decimal(38,{scale})", F.lit(0)
+    small = F.coalesce(F.sum(named(f"{name}_small")), zero).cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-scale))
+    large = F.when(F.count(named(f"{name}_large")) > 0, F.try_sum(named(f"{name}_large"))).otherwise(zero.cast(whole))
+    return F.when(_count_of_parts(name) > 0, F.try_add(large, small.cast(whole))).cast("double")
+
+
+def avg_of_parts(name: str, scale: int) -> Column:
+    """:func:`avg_of` the values behind :func:`exact_parts`."""
+    return F.try_divide(sum_of_parts(name, scale), _count_of_parts(name))
+
+
 def skipped_of(x: Column, scale: int) -> Column:
     """How many non-null values a sum or average with ``scale`` leaves out."""
     return F.count_if(x.isNotNull() & exact(x, scale).isNull())

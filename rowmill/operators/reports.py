@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.functions.columns import ACRES, BATH, BEDS_AGG, PRICE, SIZE_AGG, dimension, first_present, lot_bucket, year_of
-from rowmill.operators.aggregate import avg_of, sum_of
+from rowmill.operators.aggregate import avg_of, avg_of_parts, exact_parts, sum_of, sum_of_parts
 from rowmill.operators.quantile import attach, percentile_disc, percentile_from_counts
 from rowmill.sinks.scratch import stored
 
@@ -185,15 +185,19 @@ def reports_one_pass(df: DataFrame, names: Iterable[str] | None = None, scale: i
         price.alias("__price"), size.alias("__size"), price.alias(_CELL[-1]),
     )
     p, s = F.col("__price"), F.col("__size")
+    if scale is None:
+        sums = {"avg_price": F.avg(p), "total_listing_value": F.sum(p), "avg_house_size": F.avg(s)}
+    else:  # a row is copied for every grouping: its exact values are made before
+        dims = dims.select("*", *[c.alias(n) for n, c in {**exact_parts("__p", p, scale), **exact_parts("__s", s, scale)}.items()])
+        sums = {"avg_price": avg_of_parts("__p", scale), "total_listing_value": sum_of_parts("__p", scale),
+                "avg_house_size": avg_of_parts("__s", scale)}
     sets = [list(_SETS[n]) for n in names] + ([list(_CELL)] if "market_trends" in names else [])
     combined = dims.groupingSets(sets, *_DIMS).agg(
         F.grouping_id().alias("__gid"),
         F.count(F.lit(1)).alias("__rows"),
-        avg_of(p, scale).alias("avg_price"),
         F.min(p).alias("min_price"),
         F.max(p).alias("max_price"),
-        sum_of(p, scale).alias("total_listing_value"),
-        avg_of(s, scale).alias("avg_house_size"),
+        *[c.alias(n) for n, c in sums.items()],
     )
     combined = stored(combined, "reports")
     out: dict[str, DataFrame] = {}

@@ -7,6 +7,7 @@ import pytest
 from rowmill.operators import QualitySpec, dedup, quality_report
 from rowmill.operators.reports import REPORTS
 from rowmill.streaming.split import _write_batch
+from tests.conftest import SF_SMALL, rows
 
 
 @pytest.fixture(scope="module")
@@ -107,3 +108,44 @@ def test_quality_report_job_count(spark, sample_parquet):
     finally:
         sc.setJobGroup(None, None)
     assert 1 <= len(jobs) <= 5
+
+
+def test_doubled_listings_are_joined_once(spark):
+    from rowmill.plans import fixtures as X
+    dirty = X.listings_dirty(spark, SF_SMALL)
+    assert dirty._jdf.queryExecution().executedPlan().toString().count("ReadSchema: struct<l_orderkey") == 1
+    sql = spark.sql(X.LISTINGS_DIRTY_TEMPLATE, listings=X.listings(spark, SF_SMALL))
+    assert dirty.schema.simpleString() == sql.schema.simpleString() and rows(dirty) == rows(sql)
+
+
+def test_files_that_spark_cuts_for_all_cores_are_not_shuffled(sample_parquet, monkeypatch):
+    from rowmill.plans import end_to_end as P
+    monkeypatch.setattr(P, "SPREAD_BYTES", 100, raising=False)
+    assert P.spread(sample_parquet) is sample_parquet
+
+
+def test_dedup_sorts_by_one_number_first(spark, sample_parquet):
+    from rowmill.operators.dedup import dedup_by_join
+    from rowmill.plans.end_to_end import key_normalizer
+    plan = dedup(sample_parquet, ["city", "zip_code"], match_on=key_normalizer)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if " Sort [" in line]
+    assert len(sorts) == 2 and all("Sort [__rowmill_hash" in line for line in sorts)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for nulls in ("drop", "group"):
+            plan = dedup_by_join(sample_parquet, ["city", "zip_code"], null_keys=nulls)._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin [__rowmill_rid" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_one_pass_converts_exact_values_before_the_copies(sample_parquet, monkeypatch):
+    from rowmill.operators import reports
+    taken = []
+    monkeypatch.setattr(reports, "stored", lambda df, name: taken.append(df) or df)
+    reports.reports_one_pass(sample_parquet, scale=2)
+    plan = taken[0]._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Expand")]
+    assert "price" not in above or "cast(__price" not in above.replace("try_", "")
+    assert "__p_small" in above

@@ -149,3 +149,17 @@ def test_percentile_without_exchange_reuse(spark):
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
     assert got == {"g": 50.0, "h": 5.0}
+
+
+def test_sums_in_parts_are_the_exact_sums(spark):
+    """Small values as units in a long, large ones as decimals: the same sums, averages and nulls as of decimals alone."""
+    from rowmill.operators.aggregate import avg_of, avg_of_parts, exact_parts, sum_of, sum_of_parts
+
+    top, nan, inf = 9.9e35, float("nan"), float("inf")
+    groups = {"small": [0.1, 0.2, -0.305, 1.005, None], "edge": [9999999.99, 1e7, 9999999.995, -1e7, -9999999.994], "mixed": [1e20, 0.01, -1e20, 3.0],
+              "none": [None, None], "odd": [nan, inf, 1e300, 5.25], "only odd": [nan, -inf], "over": [top, top], "large": [1e15, 2e15]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double")
+    for scale in (0, 2, 4):
+        want = df.groupBy("g").agg(sum_of(F.col("v"), scale).alias("s"), avg_of(F.col("v"), scale).alias("a"))
+        parts = df.select("g", *[c.alias(n) for n, c in exact_parts("x", F.col("v"), scale).items()])
+        assert rows(parts.groupBy("g").agg(sum_of_parts("x", scale).alias("s"), avg_of_parts("x", scale).alias("a"))) == rows(want)
